@@ -12,6 +12,7 @@ from rowsieve.plans import (
     split_verdict,
     valid_rows,
 )
+from rowsieve.session import tune_session
 from rowsieve.sinks import RouteSink
 from rowsieve.streaming import start_bronze, start_silver
 
@@ -32,5 +33,6 @@ __all__ = [
     "standardize",
     "start_bronze",
     "start_silver",
+    "tune_session",
     "valid_rows",
 ]

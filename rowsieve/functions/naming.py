@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,26 +20,36 @@ def column(name: str) -> Column:
     return F.col(quote(name))
 
 
-def fold(spark: SparkSession, name: str) -> str:
-    """The form under which two names count as the same column in this session."""
-    sensitive = str(spark.conf.get("spark.sql.caseSensitive", "false")).lower() == "true"
-    return name if sensitive else name.lower()
+class Names:
+    """Looks names up the way the session does: by default whatever their case."""
+
+    def __init__(self, spark: SparkSession, names: Iterable[str] = ()):
+        setting = spark.conf.get("spark.sql.caseSensitive", "false")
+        self._sensitive = str(setting).lower() == "true"
+        self._names = {}
+        for name in names:
+            self._names.setdefault(self.fold(name), name)
+
+    @classmethod
+    def of(cls, df: DataFrame) -> Names:
+        return cls(df.sparkSession, df.columns)
+
+    def fold(self, name: str) -> str:
+        """The form under which two names count as the same."""
+        return name if self._sensitive else name.lower()
+
+    def find(self, name: str) -> str | None:
+        """The spelling that is there, or None when the name is absent."""
+        return self._names.get(self.fold(name))
 
 
 def find_column(df: DataFrame, name: str) -> str | None:
-    """The DataFrame's own spelling of ``name``, or None when it is absent."""
-    wanted = fold(df.sparkSession, name)
-    for have in df.columns:
-        if fold(df.sparkSession, have) == wanted:
-            return have
-    return None
+    return Names.of(df).find(name)
 
 
 def require_columns(df: DataFrame, names: Sequence[str], purpose: str) -> list[str]:
-    found = []
-    for name in names:
-        have = find_column(df, name)
-        if have is None:
-            raise ValueError(f"{purpose}: no column {name!r} among {df.columns}")
-        found.append(have)
-    return found
+    known = Names.of(df)
+    missing = [n for n in names if known.find(n) is None]
+    if missing:
+        raise ValueError(f"{purpose}: no column {missing} among {df.columns}")
+    return [known.find(n) for n in names]

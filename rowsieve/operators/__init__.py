@@ -1,6 +1,6 @@
 from rowsieve.operators.dedup import dedup, dedup_stream
 from rowsieve.operators.flatten import flatten
-from rowsieve.operators.route import BatchMetrics, count_routes, route_batch
+from rowsieve.operators.route import BatchMetrics, count_routes, read_once, route_batch, route_once
 from rowsieve.operators.standardize import (
     add_event_date,
     add_platform,
@@ -22,7 +22,9 @@ __all__ = [
     "flatten",
     "map_columns",
     "parse_timestamp",
+    "read_once",
     "rename_present",
     "route_batch",
+    "route_once",
     "standardize",
 ]

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StructType
 
-from rowsieve.functions.naming import column, fold, require_columns
+from rowsieve.functions.naming import Names, column, require_columns
 
 
 @dataclass(frozen=True)
@@ -45,12 +45,13 @@ def flatten(
         _Field(f.name, f.dataType, column(f.name), chosen is None or f.name in chosen)
         for f in df.schema.fields
     ]
+    names = Names(df.sparkSession)
     changed = False
     while (at := _first_nested(fields)) is not None:
         changed = True
         field = fields[at]
         if isinstance(field.type, StructType):
-            fields = _expand(df, fields, at, on_clash)
+            fields = _expand(names, fields, at, on_clash)
             continue
         element = _Field(field.name, field.type.elementType, column(field.name), True)
         df = df.select(
@@ -70,15 +71,14 @@ def _first_nested(fields: Sequence[_Field]) -> int | None:
     return None
 
 
-def _expand(df: DataFrame, fields: Sequence[_Field], at: int, on_clash: str) -> list[_Field]:
+def _expand(names: Names, fields: Sequence[_Field], at: int, on_clash: str) -> list[_Field]:
     """Replace a struct by its fields without a projection of its own."""
-    spark = df.sparkSession
     parent = fields[at]
     rest = [f for i, f in enumerate(fields) if i != at]
     for child in parent.type.fields:
         name = f"{parent.name}_{child.name}"
         new = _Field(name, child.dataType, parent.value.getField(child.name), True)
-        taken = [i for i, f in enumerate(rest) if fold(spark, f.name) == fold(spark, name)]
+        taken = [i for i, f in enumerate(rest) if names.fold(f.name) == names.fold(name)]
         if not taken:
             rest.append(new)
         elif on_clash == "overwrite":

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from rowsieve.plans.rules import Rule
-from rowsieve.plans.verdict import SCOPE_COLUMN, VERDICT, apply_rules, split_verdict
+from rowsieve.plans.verdict import SCOPE_COLUMN, VERDICT, apply_rules, split_verdict, with_verdict
 from rowsieve.sinks.tables import RouteSink
 
 
@@ -26,12 +27,13 @@ class BatchMetrics:
         return self.valid + self.error
 
 
+def _counts():
+    return F.count_if(F.col(VERDICT)).alias("valid"), F.count_if(~F.col(VERDICT)).alias("error")
+
+
 def count_routes(verdicts: DataFrame) -> DataFrame:
     """Valid and error row counts of a DataFrame that has verdict columns."""
-    return verdicts.agg(
-        F.count_if(F.col(VERDICT)).alias("valid"),
-        F.count_if(~F.col(VERDICT)).alias("error"),
-    )
+    return verdicts.agg(*_counts())
 
 
 def route_batch(
@@ -47,20 +49,17 @@ def route_batch(
 
     The batch is persisted around the two writes, so source and rules are evaluated
     once. With ``storage=None`` nothing is cached and the source is read twice: the
-    choice for a backlog too large to hold. The counts are observed while the first
-    route is written, so no job is spent on counting. An empty error route is not
-    written, unless an earlier attempt at this batch left rows there.
+    choice for a backlog too large to hold, unless one dataset for both routes will do
+    (see :func:`route_once`). The counts are observed while the valid route is written,
+    so no job is spent on counting. An empty error route is not written, unless an
+    earlier attempt at this batch left rows there.
     """
     verdicts = apply_rules(df, rules, scope_column)
     if storage is not None:
         verdicts = verdicts.persist(storage)
     try:
         counts = Observation()
-        observed = verdicts.observe(
-            counts,
-            F.count_if(F.col(VERDICT)).alias("valid"),
-            F.count_if(~F.col(VERDICT)).alias("error"),
-        )
+        observed = verdicts.observe(counts, *_counts())
         valid_part, _ = split_verdict(observed)
         valid.write_batch(valid_part, batch_id)
         metrics = BatchMetrics(counts.get["valid"], counts.get["error"])
@@ -71,3 +70,32 @@ def route_batch(
     finally:
         if storage is not None:
             verdicts.unpersist()
+
+
+def route_once(
+    df: DataFrame,
+    rules: Iterable[Rule],
+    sink: RouteSink,
+    batch_id: int = 0,
+    scope_column: str = SCOPE_COLUMN,
+) -> BatchMetrics:
+    """Write both routes in one job, as two partitions of one dataset.
+
+    Source and rules are evaluated once and nothing is cached, which makes this the
+    cheapest way to route a large backlog. :func:`read_once` gives the routes back.
+    """
+    counts = Observation()
+    observed = apply_rules(df, rules, scope_column).observe(counts, *_counts())
+    _by_verdict(sink).write_batch(observed, batch_id)
+    return BatchMetrics(counts.get["valid"], counts.get["error"])
+
+
+def read_once(
+    spark: SparkSession, sink: RouteSink, schema: StructType
+) -> tuple[DataFrame, DataFrame]:
+    """The valid and the error rows that :func:`route_once` wrote, given the data's schema."""
+    return split_verdict(_by_verdict(sink).read(spark, with_verdict(schema)))
+
+
+def _by_verdict(sink: RouteSink) -> RouteSink:
+    return replace(sink, partition_keys=(VERDICT, *sink.partition_keys))

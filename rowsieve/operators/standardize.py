@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowsieve.functions.convert import leading_token, to_event_timestamp
-from rowsieve.functions.naming import column, find_column, fold
+from rowsieve.functions.naming import Names, column, find_column
 from rowsieve.plans.schema import ColumnSpec
 
 EVENT_TIME = "eventTimestamp"
@@ -30,26 +30,23 @@ def map_columns(
     A timestamp whose name changes is added at the end and its text stays beside it,
     unless ``keep_time_text`` is off; under the same name it is replaced in place.
     """
-    spark = df.sparkSession
+    fold = Names(df.sparkSession).fold
     specs = list(columns)
-    renames = {fold(spark, c.source): c.target for c in specs if not c.is_time}
-    times = {fold(spark, c.target): c for c in specs if c.is_time}
+    renames = {fold(c.source): c.target for c in specs if not c.is_time}
+    time_texts = {fold(c.source) for c in specs if c.is_time}
+    times = {fold(c.target): c for c in specs if c.is_time}
 
     projection = []
     for name in df.columns:
-        spec = times.pop(fold(spark, name), None)
+        spec = times.pop(fold(name), None)
         if spec is not None:
             projection.append(to_event_timestamp(column(spec.source)).alias(spec.target))
-        elif keep_time_text or not _is_time_text(spark, name, specs):
-            projection.append(column(name).alias(renames.get(fold(spark, name), name)))
+        elif keep_time_text or fold(name) not in time_texts:
+            projection.append(column(name).alias(renames.get(fold(name), name)))
     projection += [to_event_timestamp(column(c.source)).alias(c.target) for c in times.values()]
     return df.select(*projection)
 
 
-def _is_time_text(spark, name: str, specs: Iterable[ColumnSpec]) -> bool:
-    return any(c.is_time and fold(spark, c.source) == fold(spark, name) for c in specs)
-
-
 def parse_timestamp(df: DataFrame, name: str = EVENT_TIME) -> DataFrame:
     """Parse a text column in place; nothing happens when it is absent."""
     have = find_column(df, name)

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from rowsieve.functions.checks import RuleParameterError, rule_type
-from rowsieve.functions.naming import column, find_column, quote
+from rowsieve.functions.naming import Names, column, quote
 from rowsieve.plans.rules import Rule
 
 log = logging.getLogger(__name__)
@@ -71,13 +71,14 @@ def bind_rules(
     Rules of an unknown type or on an absent column have no effect and are logged;
     a rule that lacks a parameter raises :class:`RuleParameterError`.
     """
+    names = Names.of(df)
     bound = []
     for rule in rules:
         known = rule_type(rule.rule_type)
         if known is None:
             log.warning("rule %s: unknown type %r, skipped", rule.rule_id, rule.rule_type)
             continue
-        target = find_column(df, rule.column)
+        target = names.find(rule.column)
         if target is None:
             log.warning("rule %s: no column %r, skipped", rule.rule_id, rule.column)
             continue
@@ -91,15 +92,15 @@ def bind_rules(
             check = known.build(quote(target), rule.params)
         except RuleParameterError as e:
             raise RuleParameterError(f"rule {rule.rule_id} ({rule.rule_type}): {e}") from e
-        bound.append(BoundRule(rule, check, _scope(df, rule, scope_column)))
+        bound.append(BoundRule(rule, check, _scope(names, rule, scope_column)))
     return bound
 
 
-def _scope(df: DataFrame, rule: Rule, scope_column: str) -> Column | None:
+def _scope(names: Names, rule: Rule, scope_column: str) -> Column | None:
     """Whether the rule covers the row's application; None when it covers all."""
     if rule.include is None and not rule.exclude:
         return None
-    have = find_column(df, scope_column)
+    have = names.find(scope_column)
     if have is None:
         raise ValueError(f"rule {rule.rule_id} is scoped, but there is no column {scope_column!r}")
     application = column(have)
@@ -127,19 +128,22 @@ def apply_rules(
     valid = ~F.array_contains(outcomes, F.lit(True))
     failed = F.array(*[b.entry() for b in bound])
     undecided = F.array(*[b.entry(UNDETERMINED) for b in bound])
+    once = F.array_distinct if _entries_repeat(bound) else lambda entries: entries
     errors = (
         F.when(valid, none)
-        .when(
-            valid.isNull(),
-            F.array_distinct(F.filter(undecided, lambda _, i: outcomes[i].isNull())),
-        )
-        .otherwise(F.array_distinct(F.filter(failed, lambda _, i: outcomes[i])))
+        .when(valid.isNull(), once(F.filter(undecided, lambda _, i: outcomes[i].isNull())))
+        .otherwise(once(F.filter(failed, lambda _, i: outcomes[i])))
     )
     return evaluated.select(
         *kept, errors.alias(ERRORS), F.coalesce(valid, F.lit(False)).alias(VERDICT)
     )
 
 
+def _entries_repeat(bound: Sequence[BoundRule]) -> bool:
+    entries = {(b.rule.rule_id, b.rule.column, b.rule.message or "") for b in bound}
+    return len(entries) < len(bound)
+
+
 def valid_rows(
     df: DataFrame, rules: Iterable[Rule], scope_column: str = SCOPE_COLUMN
 ) -> DataFrame:
@@ -150,7 +154,7 @@ def valid_rows(
     """
     bound = bind_rules(df, rules, scope_column)
     rows = df.select(*[column(c) for c in _data_columns(df)])
-    return reduce(DataFrame.filter, [b.passes for b in bound], rows)
+    return rows.filter(reduce(and_, [b.passes for b in bound])) if bound else rows
 
 
 def error_rows(
@@ -177,5 +181,6 @@ def error_ids(errors: str = ERRORS, separator: str = ",") -> Column:
 
 
 def _data_columns(df: DataFrame) -> Sequence[str]:
-    verdict_columns = {find_column(df, ERRORS), find_column(df, VERDICT)}
+    names = Names.of(df)
+    verdict_columns = {names.find(ERRORS), names.find(VERDICT)}
     return [c for c in df.columns if c not in verdict_columns]

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowsieve.plans.verdict import ERRORS, VERDICT, error_ids
+from rowsieve.session import tune_session
 
 SECONDS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 SECONDS_SQL = "%Y-%m-%d %H:%M:%S.%f"
@@ -17,6 +18,7 @@ SECONDS_SQL = "%Y-%m-%d %H:%M:%S.%f"
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    tune_session(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -10,10 +10,10 @@ from pyspark.sql import functions as F
 
 from rowsieve.config import PipelineConfig
 from rowsieve.operators.dedup import dedup_stream
-from rowsieve.operators.route import route_batch
+from rowsieve.operators.route import read_once, route_batch, route_once
 from rowsieve.plans.rules import rules_from_policies
 from rowsieve.plans.schema import CORRUPT_RECORD, ColumnSpec
-from rowsieve.plans.verdict import with_verdict
+from rowsieve.plans.verdict import error_ids, with_verdict
 from rowsieve.queries.common import SECONDS, SECONDS_SQL, scratch, table, verdict_sql, verdict_view
 from rowsieve.queries.rules import COMBINED_SQL_RULES, checked_events, combined_rules, policy
 from rowsieve.queries.rules import CHECKED_SQL
@@ -51,6 +51,20 @@ def route_error(spark, sf_dir):
     return verdict_view(error, "event_id", "applicationCode", "value", "time_text")
 
 
+def route_one_pass(spark, sf_dir):
+    """Both routes written by one job and read back side by side."""
+    events = checked_events(spark, sf_dir)
+    sink = RouteSink(scratch(spark, "once"), ("applicationCode",))
+    route_once(events, combined_rules(), sink)
+    valid, error = read_once(spark, sink, events.schema)
+    columns = ("event_id", "applicationCode", "label", "value")
+    return valid.select(
+        *columns, F.lit("valid").alias("route"), F.lit("").alias("rule_ids")
+    ).unionByName(
+        error.select(*columns, F.lit("error").alias("route"), error_ids().alias("rule_ids"))
+    )
+
+
 def _land(spark: SparkSession, sf_dir: str, folder: str) -> None:
     """Write all events as JSON files in nested folders, as a producer would."""
     events = table(spark, sf_dir, "events").select(
@@ -126,7 +140,7 @@ def stream_silver(spark, sf_dir):
         error.select(
             *columns,
             F.lit("error").alias("route"),
-            F.array_join("dq_errors.rule_id", ",").alias("rule_ids"),
+            error_ids().alias("rule_ids"),
         )
     )
 
@@ -149,7 +163,7 @@ def stream_dedup(spark, sf_dir):
 
 
 QUERIES = {
-    f.__name__: f for f in (route_valid, route_error, stream_bronze, stream_silver, stream_dedup)
+    f.__name__: f for f in (route_valid, route_error, route_one_pass, stream_bronze, stream_silver, stream_dedup)
 }
 
 _ROUTED_SQL = verdict_sql(
@@ -171,6 +185,8 @@ ORACLES = {
     f"FROM ({_ROUTED_SQL}) WHERE is_valid",
     "route_error": "SELECT event_id, applicationCode, value, time_text, is_valid, rule_ids, messages "
     f"FROM ({_ROUTED_SQL}) WHERE NOT is_valid",
+    "route_one_pass": "SELECT event_id, applicationCode, label, value, "
+    f"CASE WHEN is_valid THEN 'valid' ELSE 'error' END AS route, rule_ids FROM ({_ROUTED_SQL})",
     "stream_bronze": "SELECT event_id, event_type, value, "
     "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || 'Z' AS event_time, "
     "true AS well_formed, true AS from_landing, true AS dated FROM events",

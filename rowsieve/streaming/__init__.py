@@ -1,10 +1,11 @@
 from rowsieve.streaming.bronze import bronze_stream, start_bronze
-from rowsieve.streaming.silver import await_end, start_routing, start_silver
+from rowsieve.streaming.silver import await_end, register_silver, start_routing, start_silver
 from rowsieve.streaming.triggers import trigger_options
 
 __all__ = [
     "await_end",
     "bronze_stream",
+    "register_silver",
     "start_bronze",
     "start_routing",
     "start_silver",

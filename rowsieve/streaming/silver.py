@@ -7,13 +7,15 @@ from collections.abc import Callable, Iterable, Mapping
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from rowsieve.config import PipelineConfig
 from rowsieve.operators.route import BatchMetrics, route_batch
 from rowsieve.operators.standardize import standardize
 from rowsieve.plans.rules import Rule
-from rowsieve.plans.verdict import SCOPE_COLUMN
-from rowsieve.sinks.tables import RouteSink, ensure_database
+from rowsieve.plans.verdict import SCOPE_COLUMN, with_verdict
+from rowsieve.session import tune_session
+from rowsieve.sinks.tables import RouteSink, ensure_database, register_route
 from rowsieve.sources.tables import stream_table
 from rowsieve.streaming.triggers import trigger_options
 
@@ -37,6 +39,7 @@ def start_routing(
     Rules are fixed at the start of the stream. Pass a function of the session instead
     to have them fetched anew for each batch. ``on_batch`` gets the row counts.
     """
+    tune_session(stream.sparkSession)
     fixed = None if callable(rules) else list(rules)
 
     def process(batch: DataFrame, batch_id: int) -> None:
@@ -82,6 +85,19 @@ def start_silver(
     )
 
 
+def register_silver(
+    spark: SparkSession, config: PipelineConfig, schema: StructType | None = None
+) -> None:
+    """Make the valid and error routes catalog tables, or bring those up to date.
+
+    ``schema`` is that of the valid rows; without it the files written so far tell.
+    """
+    ensure_database(spark, config.database)
+    schema = schema or config.valid_sink().read(spark).schema
+    register_route(spark, config.silver_name, config.valid_sink(), schema)
+    register_route(spark, config.error_name, config.error_sink(), with_verdict(schema))
+
+
 def await_end(query: StreamingQuery, timeout: float | None = None) -> bool:
     """Wait until a query ends, or for ``timeout`` seconds; True when it has ended."""
     if timeout is not None:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from rowsieve.operators import route_batch
+from rowsieve.operators import read_once, route_batch, route_once
 from rowsieve.plans.rules import Rule
 from rowsieve.plans.verdict import with_verdict
 from rowsieve.sinks import RouteSink, append_table, compact_batches, ensure_database, register_route
@@ -50,6 +50,20 @@ def test_each_row_goes_to_one_route(spark, sinks, cached):
     assert os.path.isdir(f"{sinks[0].path}/_stream_id=main/_batch_id=0/eventDate=2024-01-02")
 
 
+def test_both_routes_in_one_pass(spark, tmp_path):
+    sink = RouteSink(f"{tmp_path}/both")
+    for rows in ((*GOOD, *BAD), (*GOOD, BAD[0])):
+        metrics = route_once(batch(spark, *rows), RULES, sink, batch_id=3)
+        assert (metrics.valid, metrics.error) == (2, len(rows) - 2)
+        valid, error = read_once(spark, sink, SCHEMA)
+        assert valid.columns == SCHEMA.names
+        assert sorted(tuple(r) for r in valid.collect()) == sorted(tuple(r) for r in batch(spark, *GOOD).collect())
+        assert {r.id: [e.rule_id for e in r.dq_errors] for r in error.collect()} == {
+            r[0]: ["N" if r[1] is None else "L"] for r in rows[2:]
+        }
+    assert "PartitionFilters: [isnotnull(is_valid" in valid._jdf.queryExecution().executedPlan().toString()
+
+
 def test_nothing_stays_cached(spark, sinks):
     df = batch(spark, *GOOD)
     route_batch(df, RULES, *sinks)

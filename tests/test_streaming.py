@@ -14,7 +14,14 @@ from rowsieve.plans.schema import CORRUPT_RECORD
 from rowsieve.plans.schema import column_specs, source_schema
 from rowsieve.sinks import start_append
 from rowsieve.sources import dq_policies, load_rules, read_landing, stream_landing
-from rowsieve.streaming import await_end, start_bronze, start_routing, start_silver, trigger_options
+from rowsieve.streaming import (
+    await_end,
+    register_silver,
+    start_bronze,
+    start_routing,
+    start_silver,
+    trigger_options,
+)
 
 COLUMNS = column_specs(
     [
@@ -116,9 +123,14 @@ def test_silver(spark, config):
 
     silver(spark, config)
     assert held(spark, config) == expected
+    register_silver(spark, config)
+    assert spark.table(config.silver_name).count() == 2
+    assert spark.table(config.error_name).filter("not is_valid").count() == 4
     land(config, "b/data_stream_3.json", [event("7")])
     bronze(spark, config)
     silver(spark, config)
+    register_silver(spark, config)
+    assert spark.table(config.silver_name).count() == 3
     assert held(spark, config) == (["1", "7", "y"], expected[1])
 
 
