@@ -21,11 +21,11 @@ from rowsieve.plans.verdict import ERRORS_TYPE, apply_rules, bind_rules, split_v
 from rowsieve.queries import QUERIES
 from rowsieve.queries.common import scratch, table
 from rowsieve.queries.rules import checked_events, combined_rules
+from rowsieve.session import tune_session
 from rowsieve.sinks.tables import RouteSink
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
-WRITING = ("route_valid", "route_error", "stream_bronze", "stream_silver", "stream_dedup", "policy_lookup", "registry_active_schema")
 
 
 def session() -> SparkSession:
@@ -41,6 +41,7 @@ def session() -> SparkSession:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
+    tune_session(spark)
     return spark
 
 
@@ -109,8 +110,7 @@ def main() -> None:
 
     timed, compare = {}, {}
     for name, query in QUERIES.items():
-        runs = 1 if name in WRITING else 2
-        timed[name] = best(lambda: consume(query(spark, SF_DIR)), runs)  # noqa: B023
+        timed[name] = best(lambda: consume(query(spark, SF_DIR)))  # noqa: B023
     for count in (5, 20, 100):
         rules = lineitem_rules(count)
         one_pass = lambda: consume(apply_rules(items, rules, "l_linestatus"))  # noqa: B023, E731
