@@ -12,6 +12,7 @@ from pyspark.sql.types import StructType
 
 from rowsieve.plans.rules import Rule
 from rowsieve.plans.verdict import SCOPE_COLUMN, VERDICT, apply_rules, split_verdict, with_verdict
+from rowsieve.session import tune_session
 from rowsieve.sinks.tables import RouteSink
 
 
@@ -51,9 +52,11 @@ def route_batch(
     once. With ``storage=None`` nothing is cached and the source is read twice: the
     choice for a backlog too large to hold, unless one dataset for both routes will do
     (see :func:`route_once`). The counts are observed while the valid route is written,
-    so no job is spent on counting. An empty error route is not written, unless an
+    so no job is spent on counting; they could only be too high, after the loss of an
+    executor in a ``rebalance`` shuffle. An empty error route is not written, unless an
     earlier attempt at this batch left rows there.
     """
+    tune_session(df.sparkSession)
     verdicts = apply_rules(df, rules, scope_column)
     if storage is not None:
         verdicts = verdicts.persist(storage)
@@ -84,6 +87,7 @@ def route_once(
     Source and rules are evaluated once and nothing is cached, which makes this the
     cheapest way to route a large backlog. :func:`read_once` gives the routes back.
     """
+    tune_session(df.sparkSession)
     counts = Observation()
     observed = apply_rules(df, rules, scope_column).observe(counts, *_counts())
     _by_verdict(sink).write_batch(observed, batch_id)

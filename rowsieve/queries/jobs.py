@@ -5,7 +5,7 @@ Each runs its job into a new scratch folder and returns what the sinks then hold
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rowsieve.config import PipelineConfig
@@ -66,15 +66,19 @@ def route_one_pass(spark, sf_dir):
 
 
 def _land(spark: SparkSession, sf_dir: str, folder: str) -> None:
-    """Write all events as JSON files in nested folders, as a producer would."""
-    events = table(spark, sf_dir, "events").select(
+    """Write all events as JSON lines in nested folders; error events arrive broken."""
+    event = F.struct(
         "event_id",
         "event_type",
         "value",
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("event_time"),
+    )
+    broken = F.concat(F.lit('{"event_id": '), F.col("event_id").cast("string"), F.lit(", oops"))
+    lines = table(spark, sf_dir, "events").select(
+        F.when(F.col("event_type") == "error", broken).otherwise(F.to_json(event)).alias("line"),
         F.date_format("ts", "dd").alias("day"),
     )
-    events.write.partitionBy("day").json(folder)
+    lines.write.partitionBy("day").text(folder)
 
 
 def _config(folder: str, suffix: str) -> PipelineConfig:
@@ -88,7 +92,7 @@ def _config(folder: str, suffix: str) -> PipelineConfig:
         silver_checkpoint=f"{folder}/checkpoints/silver",
         bronze_table=f"event_log_bronze_{suffix}",
         silver_table=f"event_log_silver_{suffix}",
-        file_pattern="part-*.json",
+        file_pattern="part-*.txt",
     )
 
 
@@ -101,13 +105,21 @@ def _run_bronze(spark: SparkSession, sf_dir: str, purpose: str) -> PipelineConfi
     return config
 
 
+def _or_minus_one(name: str) -> Column:
+    """Malformed lines have no numbers."""
+    return F.coalesce(F.col(name), F.lit(-1)).alias(name)
+
+
 def stream_bronze(spark, sf_dir):
     config = _run_bronze(spark, sf_dir, "bronze")
     bronze = spark.table(config.bronze_name)
     return bronze.select(
-        *[c.source for c in STREAM_COLUMNS],
-        F.col(CORRUPT_RECORD).isNull().alias("well_formed"),
-        F.col("source_filename").rlike("/day=[0-9]+/part-[^/]*[.]json$").alias("from_landing"),
+        _or_minus_one("event_id"),
+        "event_type",
+        _or_minus_one("value"),
+        "event_time",
+        F.col(CORRUPT_RECORD).alias("malformed"),
+        F.col("source_filename").rlike("/day=[0-9]+/part-[^/]*[.]txt$").alias("from_landing"),
         (F.col("ingestion_date") == F.col("ingestion_timestamp").cast("date")).alias("dated"),
     )
 
@@ -118,7 +130,7 @@ def stream_silver(spark, sf_dir):
     rules = rules_from_policies(
         [
             policy("B0", "well_formed", CORRUPT_RECORD, "malformed input"),
-            policy("B1", "allowed_values", "applicationCode", "unknown type", {"values": '["click", "purchase", "signup", "view"]'}),
+            policy("B1", "allowed_values", "applicationCode", "unknown type", {"values": '["click", "purchase", "view"]'}),
             policy("B2", "not_null", "eventTimestamp", "no time"),
             policy("B3", "regex_pattern", "event_time", "whole minute", {"pattern": ":[0-5][1-9][.]"}, exclude=["view"]),
         ]
@@ -127,12 +139,13 @@ def stream_silver(spark, sf_dir):
     valid = config.valid_sink().read(spark)
     error = config.error_sink().read(spark)
     columns = (
-        "eventId",
+        _or_minus_one("eventId"),
         "applicationCode",
-        "value",
+        _or_minus_one("value"),
         F.date_format("eventTimestamp", SECONDS).alias("eventTimestamp"),
         F.col("eventDate").cast("string").alias("eventDate"),
         "platform_type",
+        F.col(CORRUPT_RECORD).alias("malformed"),
     )
     return valid.select(
         *columns, F.lit("valid").alias("route"), F.lit("").alias("rule_ids")
@@ -171,12 +184,23 @@ _ROUTED_SQL = verdict_sql(
     ["event_id", "value", "props", "applicationCode", "label", "time_text"],
     COMBINED_SQL_RULES,
 )
+_LANDED_SQL = f"""
+SELECT CASE WHEN event_type <> 'error' THEN event_id END AS event_id,
+  CASE WHEN event_type <> 'error' THEN event_type END AS event_type,
+  CASE WHEN event_type <> 'error' THEN value END AS value,
+  CASE WHEN event_type <> 'error' THEN strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || 'Z' END AS event_time,
+  CASE WHEN event_type <> 'error' THEN strftime(ts, '{SECONDS_SQL}') END AS parsed,
+  CASE WHEN event_type = 'error' THEN '{{"event_id": ' || event_id || ', oops' END AS malformed
+FROM events
+"""
 _SILVER_SQL = verdict_sql(
-    "SELECT event_id, event_type, value, ts FROM events",
-    ["event_id", "event_type", "value", "ts"],
+    _LANDED_SQL,
+    ["event_id", "event_type", "value", "parsed", "malformed"],
     [
-        ("B3", "whole minute", "event_type NOT IN ('view') AND NOT regexp_matches(strftime(ts, '%H:%M:%S.%f'), ':[0-5][1-9][.]')"),
-        ("B1", "unknown type", "event_type NOT IN ('click', 'purchase', 'signup', 'view')"),
+        ("B2", "no time", "parsed IS NULL"),
+        ("B3", "whole minute", "event_type NOT IN ('view') AND NOT regexp_matches(event_time, ':[0-5][1-9][.]')"),
+        ("B1", "unknown type", "event_type NOT IN ('click', 'purchase', 'view')"),
+        ("B0", "malformed input", "malformed IS NOT NULL"),
     ],
 )
 
@@ -187,13 +211,13 @@ ORACLES = {
     f"FROM ({_ROUTED_SQL}) WHERE NOT is_valid",
     "route_one_pass": "SELECT event_id, applicationCode, label, value, "
     f"CASE WHEN is_valid THEN 'valid' ELSE 'error' END AS route, rule_ids FROM ({_ROUTED_SQL})",
-    "stream_bronze": "SELECT event_id, event_type, value, "
-    "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || 'Z' AS event_time, "
-    "true AS well_formed, true AS from_landing, true AS dated FROM events",
-    "stream_silver": "SELECT event_id AS eventId, event_type AS applicationCode, value, "
-    f"strftime(ts, '{SECONDS_SQL}') AS eventTimestamp, strftime(ts, '%Y-%m-%d') AS eventDate, "
-    "event_type AS platform_type, CASE WHEN is_valid THEN 'valid' ELSE 'error' END AS route, "
-    f"rule_ids FROM ({_SILVER_SQL})",
+    "stream_bronze": "SELECT coalesce(event_id, -1) AS event_id, event_type, "
+    "coalesce(value, -1) AS value, event_time, malformed, "
+    f"true AS from_landing, true AS dated FROM ({_LANDED_SQL})",
+    "stream_silver": "SELECT coalesce(event_id, -1) AS eventId, event_type AS applicationCode, "
+    "coalesce(value, -1) AS value, "
+    "parsed AS eventTimestamp, left(parsed, 10) AS eventDate, event_type AS platform_type, malformed, "
+    f"CASE WHEN is_valid THEN 'valid' ELSE 'error' END AS route, rule_ids FROM ({_SILVER_SQL})",
     "stream_dedup": f"SELECT event_id, strftime(ts, '{SECONDS_SQL}') AS ts, user_id, event_type, "
     "value, props FROM events",
 }

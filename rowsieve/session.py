@@ -6,16 +6,24 @@ from pyspark.sql import SparkSession
 
 # Methods above this size are never compiled by the HotSpot JIT.
 JIT_METHOD_LIMIT = 8000
+# Each open file buffers up to a row group, so only a few at a time.
+OPEN_FILES_PER_TASK = 4
 
-_LIMIT = "spark.sql.codegen.hugeMethodLimit"
+_METHOD_LIMIT = "spark.sql.codegen.hugeMethodLimit"
+_OPEN_FILES = "spark.sql.maxConcurrentOutputFileWriters"
 
 
 def tune_session(spark: SparkSession) -> None:
-    """Keep generated code small enough to be compiled.
+    """Two settings that the jobs make for themselves; the session's own choice stays.
 
     Many rules in one projection give a method that the JVM only interprets, several
-    times slower. Below this limit Spark falls back to a projection split into small
-    methods. A stricter setting of the session stays.
+    times slower. Below the method limit Spark uses a projection split into small
+    methods instead.
+
+    A task that meets only a few partition values, as bronze with its one ingestion date
+    does, writes them side by side instead of sorting all its rows first.
     """
-    if int(spark.conf.get(_LIMIT)) > JIT_METHOD_LIMIT:
-        spark.conf.set(_LIMIT, str(JIT_METHOD_LIMIT))
+    if int(spark.conf.get(_METHOD_LIMIT)) > JIT_METHOD_LIMIT:
+        spark.conf.set(_METHOD_LIMIT, str(JIT_METHOD_LIMIT))
+    if int(spark.conf.get(_OPEN_FILES)) == 0:
+        spark.conf.set(_OPEN_FILES, str(OPEN_FILES_PER_TASK))
