@@ -1,15 +1,24 @@
-"""Keep one row per declared key."""
+"""Keep one row per declared key.
+
+A row without any key value identifies nothing, so it is a copy only of a row that
+equals it in every column: malformed input, whose keys are all NULL, is not lost.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 from rowsieve.functions.naming import column, require_columns
 
 _RANK = "_rank_in_key"
+_CONTENT = "_content_without_key"
+_SALT = "_key_salt"
 
 
 def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column] = ()) -> DataFrame:
@@ -20,17 +29,51 @@ def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column] = ()) -
     so a key that holds a large share of the rows does not load one task.
     """
     keys = require_columns(df, keys, "dedup")
+    rows = _with_content(df, keys)
     if not order_by:
-        return df.dropDuplicates(keys)
-    window = Window.partitionBy(*[column(k) for k in keys]).orderBy(*order_by)
-    ranked = df.withColumn(_RANK, F.row_number().over(window))
-    return ranked.filter(F.col(_RANK) == 1).drop(_RANK)
+        return rows.dropDuplicates([*keys, _CONTENT]).drop(_CONTENT)
+    group = [column(k) for k in keys] + [F.col(_CONTENT)]
+    window = Window.partitionBy(*group).orderBy(*order_by)
+    ranked = rows.withColumn(_RANK, F.row_number().over(window))
+    return ranked.filter(F.col(_RANK) == 1).drop(_RANK, _CONTENT)
 
 
 def dedup_stream(
-    df: DataFrame, keys: Sequence[str], event_time: str, delay: str
+    df: DataFrame, keys: Sequence[str], event_time: str, delay: str, salts: int = 16
 ) -> DataFrame:
-    """One row per key in a stream; state is kept for ``delay`` of event time."""
+    """One row per key in a stream; state is kept for ``delay`` of event time.
+
+    A stream cannot aggregate before its shuffle, so the copies of a hot key would all
+    meet in one task. They are first reduced within ``salts`` parts of each key, told
+    apart by the other columns (such as the source file), and then across the parts.
+    Where no key is hot, ``salts=1`` saves that step and its state.
+    """
     keys = require_columns(df, keys, "dedup_stream")
     [time] = require_columns(df, [event_time], "dedup_stream")
-    return df.withWatermark(time, delay).dropDuplicatesWithinWatermark(keys)
+    rows = _with_content(df, keys)
+    if salts > 1:
+        salt = F.pmod(F.xxhash64(*_comparable(df)), F.lit(salts)).cast("int")
+        rows = rows.withColumn(_SALT, salt).withWatermark(time, delay)
+        rows = rows.dropDuplicatesWithinWatermark([*keys, _CONTENT, _SALT]).drop(_SALT)
+    else:
+        rows = rows.withWatermark(time, delay)
+    return rows.dropDuplicatesWithinWatermark([*keys, _CONTENT]).drop(_CONTENT)
+
+
+def _with_content(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add the whole row as a value of its own where every key column is NULL."""
+    unkeyed = reduce(and_, [column(k).isNull() for k in keys])
+    return df.withColumn(_CONTENT, F.when(unkeyed, F.struct(*_comparable(df))))
+
+
+def _comparable(df: DataFrame) -> list[Column]:
+    """The columns that Spark can group by."""
+    return [column(f.name) for f in df.schema.fields if not _has_map(f.dataType)]
+
+
+def _has_map(kind: DataType) -> bool:
+    if isinstance(kind, ArrayType):
+        return _has_map(kind.elementType)
+    if isinstance(kind, StructType):
+        return any(_has_map(f.dataType) for f in kind.fields)
+    return isinstance(kind, (MapType, VariantType))

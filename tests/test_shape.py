@@ -227,12 +227,19 @@ def test_struct_flattening_is_one_projection(spark):
 
 def test_dedup(spark):
     df = spark.createDataFrame(
-        [(1, ["a"], 5, "x"), (1, ["a"], 3, "y"), (1, ["b"], 1, "z"), (None, None, 2, "u"), (None, None, 1, "v")],
+        [
+            (1, ["a"], 5, "x"), (1, ["a"], 3, "y"), (1, ["b"], 1, "z"), (None, ["c"], 2, "u"), (None, ["c"], 1, "v"),
+            (None, None, 7, "broken"), (None, None, 8, "broken too"), (None, None, 8, "broken too"),
+        ],
         "k int, t array<string>, o int, v string",
     )
-    assert dedup(df, ["K", "t"]).count() == 3
+    assert dedup(df, ["K", "t"]).count() == 5
     first = dedup(df, ["k", "t"], [F.col("o")])
     plan = first._jdf.queryExecution().executedPlan().toString()
     assert plan.count("WindowGroupLimit") == 2  # once before the shuffle
     assert first.columns == df.columns
-    assert sorted(r.v for r in first.collect()) == ["v", "y", "z"]
+    assert sorted(r.v for r in first.collect()) == ["broken", "broken too", "v", "y", "z"]
+    with_map = df.withColumn("m", F.create_map(F.lit("a"), F.lit(1)))
+    assert dedup(with_map, ["k", "t"]).count() == 5
+    with pytest.raises(ValueError, match="nope"):
+        dedup(df, ["k", "nope"])

@@ -227,12 +227,19 @@ def test_batch_reader_reads_lines_and_documents(spark, config):
     assert flat.count() == 0
 
 
-def test_stream_dedup_keeps_one_row_per_key(spark, config):
-    land(config, "a/data_stream_1.json", [event("1"), event("1"), event("2"), event(None, time=None)])
-    land(config, "a/data_stream_2.json", [event("1"), event("2", fields=("b",)), event(None, time="bad"), event(None, time=None)])
-    bronze(spark, config, max_files_per_trigger=1)
+@pytest.mark.parametrize("salts", [1, 16])
+def test_stream_dedup_keeps_one_row_per_key(spark, config, salts):
+    land(config, "a/data_stream_1.json", [event("1"), event("1"), event("2"), event("3", time=None)])
+    land(config, "a/data_stream_2.json", [event("1"), event("2", fields=("b",)), event("3", time="bad"), event("3", time=None)])
+    land(config, "a/data_stream_3.json", "{ broken")
+    land(config, "a/data_stream_4.json", "{ broken too")
+    for i in range(5, 12):  # a hot key, delivered again and again
+        land(config, f"b/data_stream_{i}.json", [event("1")] * 3)
+    bronze(spark, config, max_files_per_trigger=4)
     keys = ["signInId", "applicationCode", "eventTimestamp", "viewedFieldNames"]
-    once = lambda df: dedup_stream(standardize(df, COLUMNS), keys, "eventTimestamp", "1 hour")
+    once = lambda df: dedup_stream(standardize(df, COLUMNS), keys, "eventTimestamp", "1 hour", salts)
     silver(spark, config, [], transform=once, source_options={"maxFilesPerTrigger": "1"})
     rows = config.valid_sink().read(spark).collect()
-    assert sorted((r.signInId or "", r.viewedFieldNames) for r in rows) == [("", ["a"]), ("1", ["a"]), ("2", ["a"]), ("2", ["b"])]
+    keyed = sorted((r.signInId, r.viewedFieldNames) for r in rows if r.signInId)
+    assert keyed == [("1", ["a"]), ("2", ["a"]), ("2", ["b"]), ("3", ["a"])]
+    assert sorted(r[CORRUPT_RECORD] for r in rows if not r.signInId) == ["{ broken", "{ broken too"]
