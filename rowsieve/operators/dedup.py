@@ -24,17 +24,17 @@ _SALT = "_key_salt"
 def dedup(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column] = ()) -> DataFrame:
     """One row per key; with ``order_by`` the first row in that order.
 
-    Without an order the surviving row is any of its group. Either way copies are
-    reduced before the shuffle, by partial aggregation or by a per-task rank limit,
-    so a key that holds a large share of the rows does not load one task.
+    Without an order the surviving row is any of its group. Copies are reduced before
+    the shuffle, by partial aggregation where every column is a key and else by a rank
+    limit in each task, so a key that holds a large share of the rows does not load one
+    task.
     """
     keys = require_columns(df, keys, "dedup")
-    rows = _with_content(df, keys)
-    if not order_by:
-        return rows.dropDuplicates([*keys, _CONTENT]).drop(_CONTENT)
+    if set(keys) == set(df.columns):
+        return df.dropDuplicates()
     group = [column(k) for k in keys] + [F.col(_CONTENT)]
-    window = Window.partitionBy(*group).orderBy(*order_by)
-    ranked = rows.withColumn(_RANK, F.row_number().over(window))
+    window = Window.partitionBy(*group).orderBy(*(order_by or group[:1]))
+    ranked = _with_content(df, keys).withColumn(_RANK, F.row_number().over(window))
     return ranked.filter(F.col(_RANK) == 1).drop(_RANK, _CONTENT)
 
 
