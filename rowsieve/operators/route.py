@@ -50,8 +50,8 @@ def route_batch(
 
     The batch is persisted around the two writes, so source and rules are evaluated
     once. With ``storage=None`` nothing is cached and the source is read twice: the
-    choice for a backlog too large to hold, unless one dataset for both routes will do
-    (see :func:`route_once`). The counts are observed while the valid route is written,
+    choice for a backlog too large to hold, given a source that reads the same twice,
+    unless one dataset for both routes will do (see :func:`route_once`). The counts are observed while the valid route is written,
     so no job is spent on counting; they could only be too high, after the loss of an
     executor in a ``rebalance`` shuffle. An empty error route is not written, unless an
     earlier attempt at this batch left rows there.
