@@ -1,5 +1,11 @@
 from rowsieve.streaming.bronze import bronze_stream, start_bronze
-from rowsieve.streaming.silver import await_end, register_silver, start_routing, start_silver
+from rowsieve.streaming.silver import (
+    await_end,
+    register_silver,
+    start_routing,
+    start_routing_once,
+    start_silver,
+)
 from rowsieve.streaming.triggers import trigger_options
 
 __all__ = [
@@ -8,6 +14,7 @@ __all__ = [
     "register_silver",
     "start_bronze",
     "start_routing",
+    "start_routing_once",
     "start_silver",
     "trigger_options",
 ]

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from rowsieve.config import PipelineConfig
-from rowsieve.operators.route import BatchMetrics, route_batch
+from rowsieve.operators.route import BatchMetrics, route_batch, route_once
 from rowsieve.operators.standardize import standardize
 from rowsieve.plans.rules import Rule
 from rowsieve.plans.verdict import SCOPE_COLUMN, with_verdict
@@ -39,12 +39,47 @@ def start_routing(
     Rules are fixed at the start of the stream. Pass a function of the session instead
     to have them fetched anew for each batch. ``on_batch`` gets the row counts.
     """
+
+    def route(batch: DataFrame, current: list[Rule], batch_id: int) -> BatchMetrics:
+        return route_batch(batch, current, valid, error, batch_id, scope_column, storage)
+
+    return _start(stream, rules, route, checkpoint, trigger, on_batch)
+
+
+def start_routing_once(
+    stream: DataFrame,
+    rules: RuleSource,
+    sink: RouteSink,
+    checkpoint: str,
+    trigger: Mapping[str, object] | None = None,
+    scope_column: str = SCOPE_COLUMN,
+    on_batch: OnBatch | None = None,
+) -> StreamingQuery:
+    """As :func:`start_routing`, with both routes in one dataset.
+
+    Each micro-batch is one job and nothing is cached; see :func:`~rowsieve.operators.route_once`.
+    """
+
+    def route(batch: DataFrame, current: list[Rule], batch_id: int) -> BatchMetrics:
+        return route_once(batch, current, sink, batch_id, scope_column)
+
+    return _start(stream, rules, route, checkpoint, trigger, on_batch)
+
+
+def _start(
+    stream: DataFrame,
+    rules: RuleSource,
+    route: Callable[[DataFrame, list[Rule], int], BatchMetrics],
+    checkpoint: str,
+    trigger: Mapping[str, object] | None,
+    on_batch: OnBatch | None,
+) -> StreamingQuery:
     tune_session(stream.sparkSession)
     fixed = None if callable(rules) else list(rules)
 
     def process(batch: DataFrame, batch_id: int) -> None:
         current = list(rules(batch.sparkSession)) if fixed is None else fixed
-        metrics = route_batch(batch, current, valid, error, batch_id, scope_column, storage)
+        metrics = route(batch, current, batch_id)
         if on_batch is not None:
             on_batch(batch_id, metrics)
 

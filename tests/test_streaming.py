@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from rowsieve.config import PipelineConfig
-from rowsieve.operators import dedup_stream, standardize
+from rowsieve.operators import dedup_stream, read_once, standardize
 from rowsieve.plans.rules import Rule, rules_from_policies
 from rowsieve.plans.schema import CORRUPT_RECORD
 from rowsieve.plans.schema import column_specs, source_schema
@@ -19,6 +19,7 @@ from rowsieve.streaming import (
     register_silver,
     start_bronze,
     start_routing,
+    start_routing_once,
     start_silver,
     trigger_options,
 )
@@ -149,6 +150,22 @@ def test_replayed_batch_is_not_written_twice(spark, config):
     assert held(spark, config) == before == (["1"], [("x", ["ATM"])])
 
 
+def test_both_routes_in_one_dataset(spark, config):
+    land(config, "a/data_stream_1.json", [event("1"), event("x"), event(None)])
+    bronze(spark, config)
+    stream = standardize(spark.readStream.table(config.bronze_name), COLUMNS)
+    sink, seen = config.valid_sink(), []
+    for _ in range(2):
+        query = start_routing_once(
+            stream, RULES, sink, config.silver_checkpoint, on_batch=lambda i, m: seen.append((i, m.valid, m.error))
+        )
+        assert await_end(query, 120)
+    assert seen == [(0, 1, 2)]
+    valid, error = read_once(spark, sink, stream.schema)
+    assert [r.signInId for r in valid.collect()] == ["1"]
+    assert sorted(e.rule_id for r in error.collect() for e in r.dq_errors) == ["ATM", "ID"]
+
+
 def test_rules_reloaded_for_each_batch(spark, config):
     policies = [
         {"policy_id": "P", "dataset_name": "log", "rule_type": "min_length", "target_column": "signInId", "rule_params": {"length": n}}
