@@ -70,7 +70,9 @@ def chained_rules(df: DataFrame, rules: list[Rule], scope: str) -> DataFrame:
     """The same verdict as two more columns per rule."""
     out = df.withColumn("dq_errors", F.array().cast(ERRORS_TYPE)).withColumn("is_valid", F.lit(True))
     for b in bind_rules(df, rules, scope):
-        added = F.array_union("dq_errors", F.array(b.entry()))
+        texts = {"rule_id": b.rule.rule_id, "column": b.rule.column, "message": b.rule.message}
+        entry = F.struct(*[F.lit(text).alias(name) for name, text in texts.items()])
+        added = F.array_union("dq_errors", F.array(entry))
         out = out.withColumn(
             "dq_errors", F.when(b.fails, added).otherwise(F.col("dq_errors"))
         ).withColumn("is_valid", F.col("is_valid") & ~b.fails)

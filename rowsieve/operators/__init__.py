@@ -1,6 +1,14 @@
 from rowsieve.operators.dedup import dedup, dedup_stream
 from rowsieve.operators.flatten import flatten
-from rowsieve.operators.route import BatchMetrics, count_routes, read_once, route_batch, route_once
+from rowsieve.operators.route import (
+    BatchMetrics,
+    count_routes,
+    read_once,
+    route_batch,
+    route_once,
+    write_once,
+    write_routes,
+)
 from rowsieve.operators.standardize import (
     add_event_date,
     add_platform,
@@ -27,4 +35,6 @@ __all__ = [
     "route_batch",
     "route_once",
     "standardize",
+    "write_once",
+    "write_routes",
 ]

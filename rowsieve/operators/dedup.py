@@ -43,6 +43,9 @@ def dedup_stream(
 ) -> DataFrame:
     """One row per key in a stream; state is kept for ``delay`` of event time.
 
+    Rows later than that are discarded by the watermark. A row without an event time
+    never is, and its copies are recognised within one micro-batch only.
+
     A stream cannot aggregate before its shuffle, so the copies of a hot key would all
     meet in one task. They are first reduced within ``salts`` parts of each key, told
     apart by the other columns (such as the source file), and then across the parts.

@@ -51,23 +51,35 @@ def route_batch(
     The batch is persisted around the two writes, so source and rules are evaluated
     once. With ``storage=None`` nothing is cached and the source is read twice: the
     choice for a backlog too large to hold, given a source that reads the same twice,
-    unless one dataset for both routes will do (see :func:`route_once`). The counts are observed while the valid route is written,
-    so no job is spent on counting; they could only be too high, after the loss of an
-    executor in a ``rebalance`` shuffle. An empty error route is not written, unless an
-    earlier attempt at this batch left rows there.
+    unless one dataset for both routes will do (see :func:`route_once`). The counts are
+    observed while the valid route is written, so no job is spent on counting; they
+    could only be too high, after the loss of an executor in a ``rebalance`` shuffle.
+    An empty error route is not written, unless an earlier attempt at this batch left
+    rows there.
     """
-    tune_session(df.sparkSession)
-    verdicts = apply_rules(df, rules, scope_column)
+    return write_routes(apply_rules(df, rules, scope_column), valid, error, batch_id, storage)
+
+
+def write_routes(
+    verdicts: DataFrame,
+    valid: RouteSink,
+    error: RouteSink,
+    batch_id: int = 0,
+    storage: StorageLevel | None = StorageLevel.MEMORY_AND_DISK,
+) -> BatchMetrics:
+    """The writing part of :func:`route_batch`, for rows that have their verdict."""
+    tune_session(verdicts.sparkSession)
     if storage is not None:
         verdicts = verdicts.persist(storage)
     try:
         counts = Observation()
-        observed = verdicts.observe(counts, *_counts())
-        valid_part, _ = split_verdict(observed)
+        valid_part, _ = split_verdict(verdicts.observe(counts, *_counts()))
         valid.write_batch(valid_part, batch_id)
         metrics = BatchMetrics(counts.get["valid"], counts.get["error"])
         _, error_part = split_verdict(verdicts)
-        if metrics.error or error.has_batch(df.sparkSession, error_part.schema, batch_id):
+        if metrics.error or error.has_batch(
+            verdicts.sparkSession, error_part.schema, batch_id
+        ):
             error.write_batch(error_part, batch_id)
         return metrics
     finally:
@@ -87,10 +99,14 @@ def route_once(
     Source and rules are evaluated once and nothing is cached, which makes this the
     cheapest way to route a large backlog. :func:`read_once` gives the routes back.
     """
-    tune_session(df.sparkSession)
+    return write_once(apply_rules(df, rules, scope_column), sink, batch_id)
+
+
+def write_once(verdicts: DataFrame, sink: RouteSink, batch_id: int = 0) -> BatchMetrics:
+    """The writing part of :func:`route_once`, for rows that have their verdict."""
+    tune_session(verdicts.sparkSession)
     counts = Observation()
-    observed = apply_rules(df, rules, scope_column).observe(counts, *_counts())
-    _by_verdict(sink).write_batch(observed, batch_id)
+    _by_verdict(sink).write_batch(verdicts.observe(counts, *_counts()), batch_id)
     return BatchMetrics(counts.get["valid"], counts.get["error"])
 
 

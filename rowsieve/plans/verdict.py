@@ -11,6 +11,7 @@ exactly once into an array of outcomes, the next derives verdict and entries fro
 
 from __future__ import annotations
 
+import json
 import logging
 from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
@@ -52,16 +53,6 @@ class BoundRule:
     def passes(self) -> Column:
         return self.check if self.scope is None else ~self.scope | self.check
 
-    def entry(self, prefix: str = "") -> Column:
-        message = self.rule.message
-        if prefix:
-            message = prefix + (message or "")
-        return F.struct(
-            F.lit(self.rule.rule_id).cast("string").alias("rule_id"),
-            F.lit(self.rule.column).alias("column"),
-            F.lit(message).cast("string").alias("message"),
-        )
-
 
 def bind_rules(
     df: DataFrame, rules: Iterable[Rule], scope_column: str = SCOPE_COLUMN
@@ -72,6 +63,7 @@ def bind_rules(
     a rule that lacks a parameter raises :class:`RuleParameterError`.
     """
     names = Names.of(df)
+    scopes: dict[tuple, Column | None] = {}
     bound = []
     for rule in rules:
         known = rule_type(rule.rule_type)
@@ -92,7 +84,10 @@ def bind_rules(
             check = known.build(quote(target), rule.params)
         except RuleParameterError as e:
             raise RuleParameterError(f"rule {rule.rule_id} ({rule.rule_type}): {e}") from e
-        bound.append(BoundRule(rule, check, _scope(names, rule, scope_column)))
+        applications = (rule.include, rule.exclude)
+        if applications not in scopes:
+            scopes[applications] = _scope(names, rule, scope_column)
+        bound.append(BoundRule(rule, check, scopes[applications]))
     return bound
 
 
@@ -126,8 +121,7 @@ def apply_rules(
     outcomes = F.col(_OUTCOMES)
     # TRUE, FALSE and NULL exactly as the conjunction of "does not fail".
     valid = ~F.array_contains(outcomes, F.lit(True))
-    failed = F.array(*[b.entry() for b in bound])
-    undecided = F.array(*[b.entry(UNDETERMINED) for b in bound])
+    failed, undecided = _entries(bound), _entries(bound, UNDETERMINED)
     once = F.array_distinct if _entries_repeat(bound) else lambda entries: entries
     errors = (
         F.when(valid, none)
@@ -139,6 +133,23 @@ def apply_rules(
     )
 
 
+def _entries(bound: Sequence[BoundRule], prefix: str = "") -> Column:
+    """All rules' error entries as one constant, in rule order.
+
+    It goes to Spark as a single text: a Column per field would make the planning of a
+    few hundred rules take longer than most micro-batches.
+    """
+    entries = [
+        {
+            "rule_id": b.rule.rule_id,
+            "column": b.rule.column,
+            "message": prefix + (b.rule.message or "") if prefix else b.rule.message,
+        }
+        for b in bound
+    ]
+    return F.from_json(F.lit(json.dumps(entries)), ERRORS_TYPE)
+
+
 def _entries_repeat(bound: Sequence[BoundRule]) -> bool:
     entries = {(b.rule.rule_id, b.rule.column, b.rule.message or "") for b in bound}
     return len(entries) < len(bound)

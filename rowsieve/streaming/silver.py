@@ -10,10 +10,10 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from rowsieve.config import PipelineConfig
-from rowsieve.operators.route import BatchMetrics, route_batch, route_once
+from rowsieve.operators.route import BatchMetrics, write_once, write_routes
 from rowsieve.operators.standardize import standardize
 from rowsieve.plans.rules import Rule
-from rowsieve.plans.verdict import SCOPE_COLUMN, with_verdict
+from rowsieve.plans.verdict import SCOPE_COLUMN, apply_rules, with_verdict
 from rowsieve.session import tune_session
 from rowsieve.sinks.tables import RouteSink, ensure_database, register_route
 from rowsieve.sources.tables import stream_table
@@ -40,10 +40,10 @@ def start_routing(
     to have them fetched anew for each batch. ``on_batch`` gets the row counts.
     """
 
-    def route(batch: DataFrame, current: list[Rule], batch_id: int) -> BatchMetrics:
-        return route_batch(batch, current, valid, error, batch_id, scope_column, storage)
+    def write(verdicts: DataFrame, batch_id: int) -> BatchMetrics:
+        return write_routes(verdicts, valid, error, batch_id, storage)
 
-    return _start(stream, rules, route, checkpoint, trigger, on_batch)
+    return _start(stream, rules, write, checkpoint, trigger, scope_column, on_batch)
 
 
 def start_routing_once(
@@ -60,26 +60,30 @@ def start_routing_once(
     Each micro-batch is one job and nothing is cached; see :func:`~rowsieve.operators.route_once`.
     """
 
-    def route(batch: DataFrame, current: list[Rule], batch_id: int) -> BatchMetrics:
-        return route_once(batch, current, sink, batch_id, scope_column)
+    def write(verdicts: DataFrame, batch_id: int) -> BatchMetrics:
+        return write_once(verdicts, sink, batch_id)
 
-    return _start(stream, rules, route, checkpoint, trigger, on_batch)
+    return _start(stream, rules, write, checkpoint, trigger, scope_column, on_batch)
 
 
 def _start(
     stream: DataFrame,
     rules: RuleSource,
-    route: Callable[[DataFrame, list[Rule], int], BatchMetrics],
+    write: Callable[[DataFrame, int], BatchMetrics],
     checkpoint: str,
     trigger: Mapping[str, object] | None,
+    scope_column: str,
     on_batch: OnBatch | None,
 ) -> StreamingQuery:
     tune_session(stream.sparkSession)
-    fixed = None if callable(rules) else list(rules)
+    if not callable(rules):
+        # Planned once for the whole stream instead of once per batch.
+        stream = apply_rules(stream, rules, scope_column)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        current = list(rules(batch.sparkSession)) if fixed is None else fixed
-        metrics = route(batch, current, batch_id)
+        if callable(rules):
+            batch = apply_rules(batch, rules(batch.sparkSession), scope_column)
+        metrics = write(batch, batch_id)
         if on_batch is not None:
             on_batch(batch_id, metrics)
 

@@ -184,6 +184,15 @@ def test_same_entry_once_and_stable_order(spark):
         assert [e.rule_id for e in row.dq_errors] == ["P1", "P3", "P2", "P9"]
 
 
+def test_entries_keep_their_text(spark):
+    odd = 'a "quoted" \\back\\slash \' {x} ${y} \n\t \u00e4\u4e2d\U0001f600'
+    rules = [Rule(odd, "not_null", "a", {}, odd), Rule("none", "not_null", "a", {}, None)]
+    row = apply_rules(spark.createDataFrame([(None,)], "a string"), rules).head()
+    assert [tuple(e) for e in row.dq_errors] == [(odd, "a", odd), ("none", "a", None)]
+    plan = apply_rules(spark.createDataFrame([(None,)], "a string"), rules)
+    assert "from_json" not in plan._jdf.queryExecution().optimizedPlan().toString()
+
+
 def test_unknown_type_and_absent_column_have_no_effect(spark, caplog):
     df = spark.createDataFrame([("x",)], "a string")
     rules = [Rule("T", "no_such_type", "a"), Rule("C", "not_null", "no_such_column")]
