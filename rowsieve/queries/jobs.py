@@ -15,8 +15,7 @@ from rowsieve.plans.rules import rules_from_policies
 from rowsieve.plans.schema import CORRUPT_RECORD, ColumnSpec
 from rowsieve.plans.verdict import error_ids, with_verdict
 from rowsieve.queries.common import SECONDS, SECONDS_SQL, scratch, table, verdict_sql, verdict_view
-from rowsieve.queries.rules import COMBINED_SQL_RULES, checked_events, combined_rules, policy
-from rowsieve.queries.rules import CHECKED_SQL
+from rowsieve.queries.rules import COMBINED_VERDICT_SQL, checked_events, combined_rules, policy
 from rowsieve.sinks.files import start_append
 from rowsieve.sinks.tables import RouteSink
 from rowsieve.streaming.bronze import start_bronze
@@ -179,11 +178,6 @@ QUERIES = {
     f.__name__: f for f in (route_valid, route_error, route_one_pass, stream_bronze, stream_silver, stream_dedup)
 }
 
-_ROUTED_SQL = verdict_sql(
-    CHECKED_SQL,
-    ["event_id", "value", "props", "applicationCode", "label", "time_text"],
-    COMBINED_SQL_RULES,
-)
 _LANDED_SQL = f"""
 SELECT CASE WHEN event_type <> 'error' THEN event_id END AS event_id,
   CASE WHEN event_type <> 'error' THEN event_type END AS event_type,
@@ -206,11 +200,11 @@ _SILVER_SQL = verdict_sql(
 
 ORACLES = {
     "route_valid": "SELECT event_id, applicationCode, label, props, value, time_text "
-    f"FROM ({_ROUTED_SQL}) WHERE is_valid",
+    f"FROM ({COMBINED_VERDICT_SQL}) WHERE is_valid",
     "route_error": "SELECT event_id, applicationCode, value, time_text, is_valid, rule_ids, messages "
-    f"FROM ({_ROUTED_SQL}) WHERE NOT is_valid",
+    f"FROM ({COMBINED_VERDICT_SQL}) WHERE NOT is_valid",
     "route_one_pass": "SELECT event_id, applicationCode, label, value, "
-    f"CASE WHEN is_valid THEN 'valid' ELSE 'error' END AS route, rule_ids FROM ({_ROUTED_SQL})",
+    f"CASE WHEN is_valid THEN 'valid' ELSE 'error' END AS route, rule_ids FROM ({COMBINED_VERDICT_SQL})",
     "stream_bronze": "SELECT coalesce(event_id, -1) AS event_id, event_type, "
     "coalesce(value, -1) AS value, event_time, malformed, "
     f"true AS from_landing, true AS dated FROM ({_LANDED_SQL})",

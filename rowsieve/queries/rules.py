@@ -9,10 +9,9 @@ from rowsieve.functions.checks import register_rule
 from rowsieve.operators.route import count_routes
 from rowsieve.plans.rules import rules_from_dict, rules_from_policies
 from rowsieve.plans.verdict import apply_rules, error_rows, valid_rows
-from rowsieve.queries.common import table, verdict_sql, verdict_view
+from rowsieve.queries.common import scratch, table, verdict_sql, verdict_view
 from rowsieve.sinks.tables import overwrite_table
 from rowsieve.sources.metadata import dq_policies, load_rules
-from rowsieve.queries.common import scratch
 
 ISO_SQL = r"coalesce(regexp_full_match(time_text, '\d{4}-\d{2}-\d{2}T\d{2}:\d{2}:\d{2}\.\d{1,3}(Z|[+-]\d{2}:\d{2})'), false)"
 

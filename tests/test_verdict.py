@@ -2,7 +2,6 @@
 
 import itertools
 import logging
-from functools import reduce
 
 import pytest
 from hypothesis import HealthCheck, given, settings
