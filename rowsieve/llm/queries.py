@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from rowsieve.llm import best_fit, token_orc
+from rowsieve.llm import best_fit, divide_skip, line_dedup, quality_mil, token_orc
 from rowsieve.llm.common import read, scratch
 
 
@@ -14,6 +15,17 @@ def _tokenizer() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_quality_mil(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of all documents; a fifth of the ids by checksum is held out of training."""
+    fold = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5))
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = read(spark, sf_dir, "labels").where(fold != 0).select("doc_id", F.col("quality").alias("label"))
+    scored = quality_mil.score(docs, quality_mil.train(docs, labels))
+    held_out = F.coalesce(fold == 0, F.lit(False)).alias("held_out")
+    predicted = (F.col("score") >= quality_mil.THRESHOLD).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out, "score", predicted)
+
+
 def op2_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token ids of all documents, written to ORC and read back."""
     folder = scratch(spark, "tokens")
@@ -21,14 +33,34 @@ def op2_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_orc.checksums(token_orc.read_tokens(spark, folder))
 
 
+def op6_jaccard_divide_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Components of all documents by links of 0.85 or more on runs of four words."""
+    rule = divide_skip.Rule(words=4, numerator=85, denominator=100)
+    return divide_skip.jaccard_components(read(spark, sf_dir, "documents"), rule)
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' pieces of at most 2048 tokens, packed into sequences."""
     pieces = best_fit.token_pieces(read(spark, sf_dir, "documents"), _tokenizer(), end_id=0, capacity=2048)
     return best_fit.pack(pieces, 2048)
 
 
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without lines that an earlier line matches up to one word."""
+    kept = line_dedup.dedup_lines(read(spark, sf_dir, "documents"))
+    return kept.select(
+        "doc_id",
+        F.col("removed_lines").cast("long").alias("removed_lines"),
+        F.length("text").cast("long").alias("kept_chars"),
+        F.md5(F.col("text").cast("binary")).alias("kept_md5"),
+    )
+
+
 QUERIES = {
+    "op1_quality_mil": op1_quality_mil,
     "op2_token_orc": op2_token_orc,
+    "op6_jaccard_divide_skip": op6_jaccard_divide_skip,
     "op9_best_fit_packing": op9_best_fit_packing,
+    "op10_line_dedup": op10_line_dedup,
 }
 ORACLES: dict[str, str] = {}

@@ -18,7 +18,7 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers: dict[int, np.ndarray] = {}
 
 
-def _power(base: int, count: int) -> np.ndarray:
+def powers(base: int, count: int) -> np.ndarray:
     """base**0, base**1, ... modulo 2**64; kept and lengthened as needed."""
     have = _powers.get(base)
     if have is None or len(have) < count:
@@ -63,9 +63,9 @@ class Words:
         self.bounds = np.searchsorted(self.starts, self.offsets)
         if len(self.starts):
             values = np.where(space, np.uint64(0), low.astype(np.uint64) + np.uint64(1))
-            values = values * _power(_BASE, len(values))
+            values = values * powers(_BASE, len(values))
             sums = np.add.reduceat(values, self.starts)
-            self.hashes = mix(sums * _power(_INVERSE, len(low))[self.starts])
+            self.hashes = mix(sums * powers(_INVERSE, len(low))[self.starts])
         else:
             self.hashes = np.zeros(0, dtype=np.uint64)
 
