@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsieve.llm import best_fit, divide_skip, line_dedup, quality_mil, token_orc
+from rowsieve.llm import best_fit, bloom_cascade, cgk_decontam, divide_skip, line_dedup, quality_mil, token_orc
 from rowsieve.llm.common import read, scratch
 
 
@@ -33,6 +33,58 @@ def op2_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_orc.checksums(token_orc.read_tokens(spark, folder))
 
 
+def op4_cgk_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every benchmark item that a document holds up to a tenth of its words, for all
+    documents and items."""
+    return cgk_decontam.contamination(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+# The rules of the URL filter.
+URL_RULES = {
+    "org/": "allow",
+    "example.org/es/": "block",
+    "example.org/en/1": "block",
+    "com/fr/": "allow",
+    "com/de/": "block",
+}
+# A host with one of these labels is on the block list.
+BLOCKED_LABELS = ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
+
+
+def op5_bloom_cascade(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages judged by rules and, without one, by a block list of hosts.
+
+    The list holds every host of the table that has a blocked label.
+    """
+    pages = read(spark, sf_dir, "pages").select("page_id", "url")
+    hosts = pages.select(bloom_cascade.host_path(F.col("url"))[0].alias("host"))
+    labels = F.array(*[F.lit(x) for x in BLOCKED_LABELS])
+    blocked = hosts.where(F.arrays_overlap(F.split("host", "\\.", -1), labels))
+    return bloom_cascade.judge(pages, URL_RULES, blocked).drop("url")
+
+
+_HOST_SQL = "translate(CASE WHEN strpos(url, '://') > 0 THEN regexp_extract(substr(url, strpos(url, '://') + 3), '^[^/?#]*') ELSE '' END, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_RULES_SQL = ", ".join(
+    f"('{r.partition('/')[0]}', '/{r.partition('/')[2]}', '{r}', '{v}')" for r, v in URL_RULES.items()
+)
+OP5_SQL = f"""
+WITH p AS (
+  SELECT page_id, url, {_HOST_SQL} AS host,
+    CASE WHEN strpos(url, '://') > 0
+      THEN regexp_extract(substr(url, strpos(url, '://') + 3), '^[^/?#]*([^?#]*)', 1) ELSE '' END AS path
+  FROM pages),
+r(h, p, rule, verdict) AS (VALUES {_RULES_SQL}),
+best AS (
+  SELECT page_id, url, r.rule, r.verdict,
+    row_number() OVER (PARTITION BY page_id, url ORDER BY length(r.rule) DESC, r.rule) AS n
+  FROM p JOIN r ON (p.host = r.h OR ends_with(p.host, '.' || r.h)) AND starts_with(p.path, r.p))
+SELECT p.page_id, p.host, p.path, b.rule, coalesce(b.verdict,
+  CASE WHEN list_has_any(string_split(p.host, '.'), [{", ".join(f"'{x}'" for x in BLOCKED_LABELS)}])
+  THEN 'block' ELSE 'allow' END) AS verdict
+FROM p LEFT JOIN (SELECT * FROM best WHERE n = 1) b ON p.page_id = b.page_id AND p.url = b.url
+"""
+
+
 def op6_jaccard_divide_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Components of all documents by links of 0.85 or more on runs of four words."""
     rule = divide_skip.Rule(words=4, numerator=85, denominator=100)
@@ -59,8 +111,12 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_mil": op1_quality_mil,
     "op2_token_orc": op2_token_orc,
+    "op4_cgk_decontam": op4_cgk_decontam,
+    "op5_bloom_cascade": op5_bloom_cascade,
     "op6_jaccard_divide_skip": op6_jaccard_divide_skip,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_line_dedup": op10_line_dedup,
 }
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_bloom_cascade": OP5_SQL,
+}
