@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsieve.llm import best_fit, bloom_cascade, cgk_decontam, divide_skip, line_dedup, quality_mil, token_orc
+from rowsieve.llm import best_fit, bloom_cascade, cgk_decontam, divide_skip, line_dedup, quality_mil, token_orc, warc_index
 from rowsieve.llm.common import read, scratch
 
 
@@ -91,6 +91,28 @@ def op6_jaccard_divide_skip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divide_skip.jaccard_components(read(spark, sf_dir, "documents"), rule)
 
 
+def op7_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as WARC records and read back by way of their index."""
+    folder = scratch(spark, "warc")
+    warc_index.write_archive(read(spark, sf_dir, "pages"), folder)
+    return warc_index.read_archive(spark, folder).drop("url", "payload")
+
+
+# Five hexadecimal digits are four digits of base 32.
+_BASE32_SQL = """array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast(
+    (cast('0x' || substr(sha, cast(1 + 5 * (i // 4) as bigint), 5) as bigint) >> cast(15 - 5 * (i % 4) as bigint)) & 31
+    as bigint) + 1, 1) for i in range(0, 32)], '')"""
+OP7_SQL = f"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+h AS (SELECT page_id, strlen(body) AS payload_bytes, sha1(body) AS sha FROM p),
+d AS (SELECT page_id, payload_bytes, {_BASE32_SQL} AS payload_digest FROM h),
+g AS (SELECT *, max(page_id) OVER (PARTITION BY payload_digest) AS top FROM d)
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> top THEN top END AS refers_to FROM g
+"""
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' pieces of at most 2048 tokens, packed into sequences."""
     pieces = best_fit.token_pieces(read(spark, sf_dir, "documents"), _tokenizer(), end_id=0, capacity=2048)
@@ -114,9 +136,11 @@ QUERIES = {
     "op4_cgk_decontam": op4_cgk_decontam,
     "op5_bloom_cascade": op5_bloom_cascade,
     "op6_jaccard_divide_skip": op6_jaccard_divide_skip,
+    "op7_warc_index": op7_warc_index,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_line_dedup": op10_line_dedup,
 }
 ORACLES: dict[str, str] = {
     "op5_bloom_cascade": OP5_SQL,
+    "op7_warc_index": OP7_SQL,
 }
