@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsieve.llm import best_fit, bloom_cascade, cgk_decontam, divide_skip, line_dedup, quality_mil, token_orc, warc_index
+from rowsieve.llm import best_fit, bloom_cascade, cgk_decontam, divide_skip, line_dedup, quality_mil, rp_forest, token_orc, warc_index
 from rowsieve.llm.common import read, scratch
 
 
@@ -33,6 +33,25 @@ def op2_token_orc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_orc.checksums(token_orc.read_tokens(spark, folder))
 
 
+def op3_rp_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links of all vectors at a cosine of 0.9 or more, whatever their labels."""
+    return rp_forest.near_vectors(read(spark, sf_dir, "embeddings"), 0.9)
+
+
+OP3_SQL = """
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+n AS (SELECT vec_id, e, sqrt(list_inner_product(e, e)) AS len FROM v
+  WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
+link AS (SELECT a.vec_id AS x, b.vec_id AS y FROM n a JOIN n b ON a.vec_id <> b.vec_id AND a.len > 0 AND b.len > 0
+  WHERE list_inner_product(a.e, b.e) / (a.len * b.len) >= 0.9),
+reach(x, y) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.x, l.y FROM reach r JOIN link l ON r.y = l.x),
+comp AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x),
+num AS (SELECT x, count(*) AS n FROM link GROUP BY x)
+SELECT v.vec_id, coalesce(num.n, 0) AS n_links, c.component_id, v.vec_id = c.component_id AS kept
+FROM v JOIN comp c ON c.x = v.vec_id LEFT JOIN num ON num.x = v.vec_id
+"""
+
+
 def op4_cgk_decontam(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every benchmark item that a document holds up to a tenth of its words, for all
     documents and items."""
@@ -133,6 +152,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_mil": op1_quality_mil,
     "op2_token_orc": op2_token_orc,
+    "op3_rp_forest": op3_rp_forest,
     "op4_cgk_decontam": op4_cgk_decontam,
     "op5_bloom_cascade": op5_bloom_cascade,
     "op6_jaccard_divide_skip": op6_jaccard_divide_skip,
@@ -141,6 +161,7 @@ QUERIES = {
     "op10_line_dedup": op10_line_dedup,
 }
 ORACLES: dict[str, str] = {
+    "op3_rp_forest": OP3_SQL,
     "op5_bloom_cascade": OP5_SQL,
     "op7_warc_index": OP7_SQL,
 }
