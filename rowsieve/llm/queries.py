@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsieve.llm import best_fit, bloom_cascade, cgk_decontam, divide_skip, line_dedup, quality_mil, rp_forest, token_orc, warc_index
+from rowsieve.llm import best_fit, bloom_cascade, cgk_decontam, divide_skip, license_scan, line_dedup, quality_mil, rp_forest, token_orc, warc_index
 from rowsieve.llm.common import read, scratch
 
 
@@ -132,6 +132,60 @@ SELECT page_id, payload_bytes, payload_digest,
 """
 
 
+def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licences of all documents, as files ``source/lang/thousand/doc_id``."""
+    docs = read(spark, sf_dir, "documents")
+    thousand = F.floor(F.col("doc_id") / 1000).cast("string")
+    path = F.concat_ws("/", "source", "lang", thousand, F.col("doc_id").cast("string"))
+    files = docs.select("doc_id", path.alias("path"), "text")
+    return license_scan.scan(files).drop("text")
+
+
+_WORDS_SQL = "regexp_extract_all(lower({}), '[a-z0-9]+(?:[.][0-9]+)*')"
+_TEMPLATES_SQL = ", ".join(f"('{n}', '{t}', {-i})" for i, (n, t) in enumerate(sorted(license_scan.TEMPLATES.items())))
+
+
+def _cosine_sql(units: str) -> str:
+    """Best template of each unit ``(u, text)`` as ``u, score, rank, licence``."""
+    return f"""(
+  SELECT u, max(struct_pack(score := score, rank := rank, licence := licence)) AS best FROM (
+    SELECT c.u, n.rank, n.licence, round(coalesce(sum(c.tf * coalesce(i.idf, o.idf) * t.part), 0) / any_value(q.norm), 6) AS score
+    FROM (SELECT u, w, count(*) AS tf FROM (SELECT u, unnest({_WORDS_SQL.format('text')}) AS w FROM {units}) GROUP BY ALL) c
+    CROSS JOIN oov o CROSS JOIN names n LEFT JOIN idf i ON i.w = c.w
+    LEFT JOIN parts t ON t.w = c.w AND t.licence = n.licence
+    JOIN (SELECT u, sqrt(sum((tf * coalesce(i.idf, o.idf)) ** 2)) AS norm
+      FROM (SELECT u, w, count(*) AS tf FROM (SELECT u, unnest({_WORDS_SQL.format('text')}) AS w FROM {units}) GROUP BY ALL) x
+      CROSS JOIN oov o LEFT JOIN idf i ON i.w = x.w GROUP BY u) q ON q.u = c.u
+    GROUP BY c.u, n.rank, n.licence) GROUP BY u)"""
+
+
+OP8_SQL = f"""
+WITH names(licence, template, rank) AS (VALUES {_TEMPLATES_SQL}),
+f AS (SELECT doc_id, concat_ws('/', source, lang, cast(doc_id // 1000 as varchar), cast(doc_id as varchar)) AS path,
+  concat_ws('/', source, lang, cast(doc_id // 1000 as varchar)) AS dir, text FROM documents),
+tw AS (SELECT licence, w, count(*) AS tf FROM (
+  SELECT licence, unnest({_WORDS_SQL.format('template')}) AS w FROM names) GROUP BY ALL),
+dw AS (SELECT w, count(*) AS df FROM (SELECT DISTINCT doc_id, unnest({_WORDS_SQL.format('text')}) AS w FROM f)
+  WHERE w IN (SELECT w FROM tw) GROUP BY w),
+oov AS (SELECT ln(1 + count(*)) + 1 AS idf FROM f),
+idf AS (SELECT DISTINCT tw.w, ln((1 + (SELECT count(*) FROM f)) / (1 + coalesce(dw.df, 0))) + 1 AS idf FROM tw LEFT JOIN dw ON dw.w = tw.w),
+parts AS (SELECT licence, w, x / sqrt(sum(x * x) OVER (PARTITION BY licence)) AS part
+  FROM (SELECT licence, tw.w, tw.tf * idf.idf AS x FROM tw JOIN idf ON idf.w = tw.w)),
+line AS (SELECT struct_pack(d := doc_id, l := l) AS u, string_split(text, chr(10))[l] AS text
+  FROM (SELECT doc_id, text, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS l FROM f)),
+doc AS (SELECT doc_id AS u, text FROM f),
+header AS (SELECT u.d AS doc_id, max(struct_pack(score := best.score, first := -u.l, licence := best.licence)) AS h
+  FROM {_cosine_sql('line')} WHERE best.score >= {license_scan.HEADER} GROUP BY u.d),
+placed AS (SELECT f.dir, min(struct_pack(worse := -best.score, path := f.path, licence := best.licence)) AS b
+  FROM {_cosine_sql('doc')} x JOIN f ON f.doc_id = x.u WHERE best.score >= {license_scan.FILE} GROUP BY f.dir)
+SELECT f.doc_id, f.path, coalesce(h.licence, b.licence) AS licence,
+  CASE WHEN h.licence IS NOT NULL THEN 'header' ELSE p.dir END AS licence_source,
+  coalesce(h.score, -b.worse) AS score
+FROM f LEFT JOIN header ON header.doc_id = f.doc_id
+LEFT JOIN (SELECT dir, b FROM placed) p ON f.dir = p.dir
+"""
+
+
 def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents' pieces of at most 2048 tokens, packed into sequences."""
     pieces = best_fit.token_pieces(read(spark, sf_dir, "documents"), _tokenizer(), end_id=0, capacity=2048)
@@ -157,6 +211,7 @@ QUERIES = {
     "op5_bloom_cascade": op5_bloom_cascade,
     "op6_jaccard_divide_skip": op6_jaccard_divide_skip,
     "op7_warc_index": op7_warc_index,
+    "op8_license_scan": op8_license_scan,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_line_dedup": op10_line_dedup,
 }
@@ -164,4 +219,5 @@ ORACLES: dict[str, str] = {
     "op3_rp_forest": OP3_SQL,
     "op5_bloom_cascade": OP5_SQL,
     "op7_warc_index": OP7_SQL,
+    "op8_license_scan": OP8_SQL,
 }
