@@ -13,12 +13,15 @@ fit finds. Everything is decided on rows of a few integers:
 4. Gaps shrink, and the next round begins. When gaps take few of the pieces, as many of
    the largest pieces as their total length needs open sequences of their own.
 
+5. The last few pieces (``LAST_STEP``) and as many of the largest gaps go to one task.
+
 The driver sees one row a partition and one a length, never pieces or gaps. Each round's
 state is a table in the shared folder, so a lost executor costs a part of one round.
 """
 
 from __future__ import annotations
 
+import bisect
 import math
 from collections.abc import Iterable, Iterator
 
@@ -36,8 +39,11 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 LEAST_SHARE = 0.05
 # Up to so many openers are picked by exact rank, more by a share of the last length.
 EXACT_OPENERS = 100_000
+# Up to so many pieces are placed by one last task.
+LAST_STEP = 5_000
 
-_PIECE, _GAP, _PLACED = 0, 1, 2
+_PIECE, _GAP, _PLACED, _COUNTS = 0, 1, 2, 3
+_PLACES = "id long, sequence_id long, offset long"
 _STATE = ["kind", "id", "size", "sequence_id", "offset"]
 _SLOTS = "of_kind int, of_part int, low long, high long, slot long"
 _SWEPT = "kind int, part int, rank long, id long, size long, sequence_id long, offset long"
@@ -76,7 +82,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int
     return rows.mapInArrow(cut, PIECES + ", ids array<int>" * with_ids)
 
 
-def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = 2048, last_step: int = LAST_STEP) -> DataFrame:
     """The pieces and where they go: ``sequence_id``, ``offset``.
 
     ``pieces`` has a column ``length`` of 1 to ``capacity``; its other columns stay. Rows
@@ -87,46 +93,79 @@ def pack(pieces: DataFrame, capacity: int = 2048) -> DataFrame:
     if taken:
         raise ValueError(f"columns {sorted(taken)} are made here")
     rows = stored(pieces.withColumn("_uid", F.monotonically_increasing_id()), "pieces")
-    placed = place(rows.select(F.col("_uid").alias("id"), F.col("length").cast("long").alias("size")), capacity)
+    placed = place(rows.select(F.col("_uid").alias("id"), F.col("length").cast("long").alias("size")), capacity, last_step)
     places = placed.withColumnRenamed("id", "_uid")
     return rows.join(places, "_uid", "left").drop("_uid")
 
 
-def place(items: DataFrame, capacity: int) -> DataFrame:
-    """``id, sequence_id, offset`` for items ``id, size``; ids are distinct longs."""
+def place(items: DataFrame, capacity: int, last_step: int = LAST_STEP) -> DataFrame:
+    """``id, sequence_id, offset`` for items ``id, size``; ids are distinct longs.
+
+    At most ``last_step`` pieces are left to one task, which ends the tail of rounds that
+    would place a handful each.
+    """
     spark = items.sparkSession
     folder = scratch(spark, "packing")
     items = items.where(F.col("size").between(1, capacity))
     done = [_opened(items.where(F.col("size") * 2 > capacity))]
-    state = stored(
-        _rows(items.where(F.col("size") * 2 <= capacity), _PIECE).union(
-            _gaps(items.where(F.col("size") * 2 > capacity), capacity)
-        ),
-        "packing",
-        f"{folder}/state-0",
+    state = _rows(items.where(F.col("size") * 2 <= capacity), _PIECE).union(
+        _gaps(items.where(F.col("size") * 2 > capacity), capacity)
     )
-    left, total = _left(state)
+    state = stored(state, "packing", f"{folder}/state-0")
+    left = state.where(F.col("kind") == _PIECE).count()
     turn = 0
-    while left:
+    while left > last_step:
         turn += 1
-        state = stored(_round(state, capacity, f"{folder}/swept-{turn}"), "packing", f"{folder}/state-{turn}")
+        were = left
+        state, left = _round(state, capacity, f"{folder}/swept-{turn}")
+        state = stored(state, "packing", f"{folder}/state-{turn}")
         done.append(state.where(F.col("kind") == _PLACED).select("id", "sequence_id", "offset"))
-        were, (left, total) = left, _left(state)
+        state = state.where(F.col("kind") != _PLACED)
         if left and were - left < LEAST_SHARE * were:
-            turn += 1
-            opened = stored(_largest(state, math.ceil(total / capacity)), "packing", f"{folder}/opened-{turn}")
+            pieces = state.where(F.col("kind") == _PIECE)
+            total = pieces.agg(F.sum("size")).first()[0]
+            opened = stored(_largest(pieces, math.ceil(total / capacity)), "packing", f"{folder}/opened-{turn}")
             done.append(_opened(opened))
-            kept = state.where(F.col("kind") != _PLACED).join(opened.select("id", F.lit(_PIECE).alias("kind")), ["id", "kind"], "left_anti")
-            state = stored(
-                kept.select(*_STATE).union(_gaps(opened, capacity)), "packing", f"{folder}/state-{turn}"
-            )
-            left, total = _left(state)
+            ids = opened.select("id", F.lit(_PIECE).alias("kind"))
+            state = state.join(ids, ["id", "kind"], "left_anti").select(*_STATE).union(_gaps(opened, capacity))
+            left = state.where(F.col("kind") == _PIECE).count()
+    if left:
+        # So few pieces need no more gaps than there are of them, the largest.
+        pieces = state.where(F.col("kind") == _PIECE)
+        gaps = state.where(F.col("kind") == _GAP).orderBy(F.desc("size"), "id").limit(left)
+        rows = pieces.union(gaps).select("kind", "id", "size").coalesce(1)
+        done.append(stored(rows.mapInArrow(_finisher(capacity), _PLACES), "packing", f"{folder}/last"))
     out = done[0]
     for more in done[1:]:
         out = out.union(more)
     return out
 
 
+def _finisher(capacity: int):
+    """The last pieces in one task: largest first, each to the smallest gap that fits."""
+
+    def finish(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        pieces: list[tuple[int, int]] = []
+        free: list[tuple[int, int]] = []
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("kind", "size", "id")), strict=True):
+                (pieces if row[0] == _PIECE else free).append(row[1:])
+        pieces.sort(reverse=True)
+        free.sort()
+        out = []
+        for size, ident in pieces:
+            at = bisect.bisect_left(free, (size,))
+            room, sequence = free.pop(at) if at < len(free) else (capacity, ident)
+            out.append((ident, sequence, capacity - room))
+            if room > size:
+                bisect.insort(free, (room - size, sequence))
+        if out:
+            columns = [pa.array(c, pa.int64()) for c in zip(*out, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, names=["id", "sequence_id", "offset"])
+
+    return finish
+
+
 def _rows(items: DataFrame, kind: int) -> DataFrame:
     empty = F.lit(None).cast("long")
     return items.select(F.lit(kind).alias("kind"), "id", "size", empty.alias("sequence_id"), empty.alias("offset"))
@@ -141,14 +180,9 @@ def _opened(openers: DataFrame) -> DataFrame:
     return openers.select("id", F.col("id").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
 
 
-def _left(state: DataFrame) -> tuple[int, int]:
-    row = state.where(F.col("kind") == _PIECE).agg(F.count("*"), F.coalesce(F.sum("size"), F.lit(0))).first()
-    return row[0], row[1]
-
-
-def _largest(state: DataFrame, wanted: int) -> DataFrame:
+def _largest(pieces: DataFrame, wanted: int) -> DataFrame:
     """About ``wanted`` of the largest pieces, at least one."""
-    pieces = state.where(F.col("kind") == _PIECE).select("id", "size")
+    pieces = pieces.select("id", "size")
     if wanted <= EXACT_OPENERS:
         return pieces.orderBy(F.desc("size"), "id").limit(wanted)
     # One row a length, of which there are no more than the capacity.
@@ -162,17 +196,21 @@ def _largest(state: DataFrame, wanted: int) -> DataFrame:
     return pieces
 
 
-def _round(state: DataFrame, capacity: int, folder: str) -> DataFrame:
-    """The state after one sweep of all partitions and the matches between partitions."""
-    live = state.where(F.col("kind") != _PLACED).select("kind", "id", "size")
+def _round(state: DataFrame, capacity: int, folder: str) -> tuple[DataFrame, int]:
+    """The state after one sweep of all partitions and the matches between partitions,
+    and how many pieces are left."""
+    live = state.select("kind", "id", "size")
     ordered = live.repartitionByRange("size", "kind", "id").sortWithinPartitions("size", "kind", "id")
     swept = stored(ordered.mapInArrow(_sweeper(capacity), _SWEPT), "swept", folder)
-    ranked = swept.where(F.col("rank").isNotNull())
-    counts = {(r["part"], r["kind"]): r["count"] for r in ranked.groupBy("part", "kind").count().collect()}
-    slots = _slots(counts)
-    rest = swept.where(F.col("rank").isNull()).select(*_STATE)
+    # Each partition's last row holds its numbers of unused gaps and pieces.
+    counts = swept.where(F.col("kind") == _COUNTS).select("part", "id", "size").collect()
+    slots = _slots({r["part"]: (r["id"], r["size"]) for r in counts})
+    left = sum(r["size"] for r in counts) - sum(high - low + 1 for kind, _, low, high, _ in slots if kind == _PIECE)
+    swept = swept.where(F.col("kind") != _COUNTS)
     if not slots:
-        return rest.union(ranked.select(*_STATE))
+        return swept.select(*_STATE), left
+    rest = swept.where(F.col("rank").isNull()).select(*_STATE)
+    ranked = swept.where(F.col("rank").isNotNull())
     # Two rows for each pair of partitions that meet, of which there are fewer than two a
     # partition, so this side is small.
     table = F.broadcast(swept.sparkSession.createDataFrame(slots, _SLOTS))
@@ -197,7 +235,8 @@ def _round(state: DataFrame, capacity: int, folder: str) -> DataFrame:
     shrunk = F.struct(F.lit(_GAP), F.col("gap"), F.col("free") - F.col("length"), none, none)
     kind = "struct<kind:int,id:bigint,size:bigint,sequence_id:bigint,offset:bigint>"
     both = pieces.join(gaps, "at").select(F.inline(F.array(placed.cast(kind), shrunk.cast(kind))))
-    return rest.union(alone).union(both.where((F.col("kind") == _PLACED) | (F.col("size") > 0)))
+    both = both.where((F.col("kind") == _PLACED) | (F.col("size") > 0))
+    return rest.union(alone).union(both), left
 
 
 def _sweeper(capacity: int):
@@ -241,8 +280,8 @@ def _sweeper(capacity: int):
             for ident in reversed(waiting[length]):
                 out.append((_PIECE, part, rank, ident, length, None, None))
                 rank += 1
-        if out:
-            yield _swept(out)
+        out.append((_COUNTS, part, None, unused, rank, None, None))
+        yield _swept(out)
 
     return sweep
 
@@ -253,15 +292,16 @@ def _swept(rows: list[tuple]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(columns, names=["kind", "part", "rank", "id", "size", "sequence_id", "offset"])
 
 
-def _slots(counts: dict[tuple[int, int], int]) -> list[tuple[int, int, int, int, int]]:
-    """Which ranks meet: for each side ``(kind, part, first rank, last rank, slot)``.
+def _slots(counts: dict[int, tuple[int, int]]) -> list[tuple[int, int, int, int, int]]:
+    """Which ranks meet, from each partition's unused gaps and pieces: for either side
+    ``(kind, part, first rank, last rank, slot)``.
 
     Partitions ascend by size, so the unused gaps of one take the pieces left in the
     nearest lower ones, largest first.
     """
     out, stack, slot = [], [], 0
-    for part in sorted({p for p, _ in counts}):
-        gaps, used = counts.get((part, _GAP), 0), 0
+    for part, (gaps, pieces) in sorted(counts.items()):
+        used = 0
         while used < gaps and stack:
             lower, rank, count = stack.pop()
             n = min(count, gaps - used)
@@ -270,6 +310,6 @@ def _slots(counts: dict[tuple[int, int], int]) -> list[tuple[int, int, int, int,
             slot, used = slot + n, used + n
             if n < count:
                 stack.append((lower, rank + n, count - n))
-        if pieces := counts.get((part, _PIECE), 0):
+        if pieces:
             stack.append((part, 0, pieces))
     return out
