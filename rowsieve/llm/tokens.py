@@ -10,8 +10,8 @@ go through the whole tokenizer.
 from __future__ import annotations
 
 import functools
-import itertools
 import json
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -22,7 +22,7 @@ from tokenizers import Tokenizer
 from rowsieve.llm.common import text_bytes
 
 # Pieces that a worker keeps; beyond that it starts anew.
-KEPT_PIECES = 1_500_000
+KEPT_PIECES = 800_000
 
 # Letters that are lower case, composed and alike in every Unicode version.
 _ASCII_LETTERS = "abcdefghijklmnopqrstuvwxyz"
@@ -41,6 +41,10 @@ def _byte_letters() -> dict[int, str]:
     return {b: chr(b) for b in plain} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
+def _packed(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}I", *ids)
+
+
 class WordEncoder:
     def __init__(self, path: str):
         self.whole = Tokenizer.from_file(path)
@@ -53,14 +57,14 @@ class WordEncoder:
         self.by_word = parts == _STEPS
         self.letters = set((_ASCII_LETTERS + _LATIN_LETTERS) if self.by_word else "")
         self.stand_in = {ord(c): "".join(_byte_letters()[b] for b in c.encode()) for c in _LATIN_LETTERS}
-        self.pieces: dict[bytes, tuple[int, ...]] = {}
-        self.stems: dict[str, tuple[int, ...]] = {}
+        self.pieces: dict[bytes, bytes] = {}
+        self.stems: dict[str, bytes] = {}
 
-    def _stem(self, stem: str) -> tuple[int, ...]:
+    def _stem(self, stem: str) -> bytes:
         found = self.stems.get(stem)
         if found is None:
             tokens = self.whole.model.tokenize(stem.translate(self.stand_in))
-            found = self.stems[stem] = tuple([t.id for t in tokens])
+            found = self.stems[stem] = _packed([t.id for t in tokens])
         return found
 
     def _learn(self, pieces: list[bytes]) -> None:
@@ -78,7 +82,7 @@ class WordEncoder:
                 rest.append(piece)
         if rest:
             found = self.whole.encode_batch_fast([p.decode() for p in rest], add_special_tokens=False)
-            self.pieces.update((p, tuple(e.ids)) for p, e in zip(rest, found, strict=True))
+            self.pieces.update((p, _packed(e.ids)) for p, e in zip(rest, found, strict=True))
 
     def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         """Ids of each UTF-8 text."""
@@ -93,14 +97,13 @@ class WordEncoder:
         for mark in (".", ","):
             if mark.encode() not in self.pieces:
                 ids = self.whole.encode(mark, add_special_tokens=False).ids
-                self.pieces[mark.encode()] = tuple(ids)
+                self.pieces[mark.encode()] = _packed(ids)
         for text in texts:
             split = text.split()
             new = {p for p in split if p not in self.pieces}
             if new:
                 self._learn(list(new))
-            ids = itertools.chain.from_iterable(map(self.pieces.__getitem__, split))
-            yield np.fromiter(ids, dtype="<u4")
+            yield np.frombuffer(b"".join(map(self.pieces.__getitem__, split)), dtype="<u4")
 
 
 @functools.lru_cache(maxsize=2)
