@@ -71,16 +71,25 @@ def passages(texts: list[bytes], size: int = PASSAGE_WORDS) -> tuple[np.ndarray,
     per = np.bincount(passage, minlength=total)
     some = np.maximum(per, 1)
 
-    # Byte classes and trigrams: each byte belongs to the passage of the word before it.
-    byte_word = np.clip(np.searchsorted(words.starts, np.arange(len(words.raw)), side="right") - 1, 0, n - 1)
+    # Byte classes and trigrams: each byte belongs to the passage of the word before it in
+    # its text; what stands before the first word of a text counts for none.
+    byte_word = np.searchsorted(words.starts, np.arange(len(words.raw)), side="right") - 1
+    byte_text = np.repeat(np.arange(len(texts)), np.diff(words.offsets))
+    inside = (byte_word >= 0) & (text_of[byte_word] == byte_text)
+    inside[words.offsets[1:] - 1] = False  # the end of each text, which is not part of it
     byte_passage = passage[byte_word]
-    shares = np.bincount(byte_passage * _CLASSES + _CLASS[words.raw], minlength=total * _CLASSES)
+    shares = np.bincount(
+        byte_passage[inside] * _CLASSES + _CLASS[words.raw[inside]], minlength=total * _CLASSES
+    )
     shares = shares.reshape(total, _CLASSES).astype(np.float32)
     n_bytes = np.maximum(shares.sum(axis=1, keepdims=True), 1)
     out[:, :_CLASSES] = np.sqrt(shares / n_bytes)
     raw = words.raw.astype(np.uint32)
     grams = ((raw[:-2] * 961 + raw[1:-1] * 31 + raw[2:]) * np.uint32(2654435761)) >> np.uint32(26)
-    hist = np.bincount(byte_passage[:-2] * _TRIGRAM_BUCKETS + grams, minlength=total * _TRIGRAM_BUCKETS)
+    three = inside[:-2] & inside[1:-1] & inside[2:]
+    hist = np.bincount(
+        byte_passage[:-2][three] * _TRIGRAM_BUCKETS + grams[three], minlength=total * _TRIGRAM_BUCKETS
+    )
     out[:, -_TRIGRAM_BUCKETS:] = np.sqrt(hist.reshape(total, _TRIGRAM_BUCKETS) / n_bytes)
 
     # Word shapes and repeats.
@@ -90,11 +99,14 @@ def passages(texts: list[bytes], size: int = PASSAGE_WORDS) -> tuple[np.ndarray,
     first, last = _CLASS[words.raw[words.starts]], _CLASS[words.raw[words.ends - 1]]
     same_text = text_of[1:] == text_of[:-1]
     twice = np.concatenate([[False], same_text & (words.hashes[1:] == words.hashes[:-1])])
-    seen = _repeats(words.hashes ^ mix(passage.astype(np.uint64)))
+    seen = _repeats(mix(words.hashes ^ mix(passage.astype(np.uint64))))
+    # Runs of three words, not across texts; the last two words of a text begin none.
     run = words.hashes.copy()
-    run[:-1] = mix(run[:-1] + np.uint64(1) + words.hashes[1:])
-    run[:-1] = mix(run[:-1] + np.roll(words.hashes, -2)[:-1])
-    again = _repeats(run ^ mix(text_of.astype(np.uint64)))
+    run[:-2] = mix(mix(run[:-2] + np.uint64(1) + words.hashes[1:-1]) + words.hashes[2:])
+    whole = np.zeros(n, dtype=bool)
+    whole[:-2] = text_of[2:] == text_of[:-2]
+    again = np.zeros(n, dtype=bool)
+    again[whole] = _repeats((run ^ mix(text_of.astype(np.uint64)))[whole])
     lines = _line_repeats(words, text_of)
     shape = [
         mean / 10,
