@@ -16,6 +16,8 @@ class PipelineConfig:
     """Names, paths and columns of one pipeline.
 
     Paths are absolute; :meth:`from_dict` joins relative ones to the storage base path.
+    ``time_zone`` decides to which date an event belongs; without it the session does, and
+    a replay from a session in another zone would move rows to other partitions.
     """
 
     columns: tuple[ColumnSpec, ...]
@@ -35,6 +37,7 @@ class PipelineConfig:
     silver_keys: tuple[str, ...] = ("eventDate",)
     trigger: str = "availableNow"
     format: str = "parquet"
+    time_zone: str | None = None
 
     @classmethod
     def from_dict(cls, document: Mapping[str, Any], **overrides: Any) -> PipelineConfig:
@@ -63,6 +66,7 @@ class PipelineConfig:
             "bronze_keys": tuple(bronze.get("partitionKeys", ("ingestion_date",))),
             "silver_keys": tuple(silver.get("partitionKeys", ("eventDate",))),
             "trigger": document.get("trigger", {}).get("type", "availableNow"),
+            "time_zone": document.get("timeZone"),
         }
         return cls(**{**values, **overrides})
 
@@ -82,12 +86,12 @@ class PipelineConfig:
     def error_name(self) -> str:
         return f"{self.silver_name}_error"
 
-    def valid_sink(self, stream_id: str = "main", layout: str = "as_is") -> RouteSink:
+    def valid_sink(self, stream_id: str = "main", layout: str = "rebalance") -> RouteSink:
         return RouteSink(
             self.silver_path, self.silver_keys, stream_id, self.format, layout, self.silver_name
         )
 
-    def error_sink(self, stream_id: str = "main", layout: str = "as_is") -> RouteSink:
+    def error_sink(self, stream_id: str = "main", layout: str = "rebalance") -> RouteSink:
         return RouteSink(
             self.error_path, self.silver_keys, stream_id, self.format, layout, self.error_name
         )

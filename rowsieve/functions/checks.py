@@ -8,13 +8,15 @@ ANSI setting of the session.
 
 from __future__ import annotations
 
+import functools
 import json
 from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StringType
 
 Params = Mapping[str, Any]
 CheckBuilder = Callable[[str, Params], Column]
@@ -89,18 +91,60 @@ def _whole_number(value: Any) -> int:
         raise RuleParameterError(f"'length' is not a whole number: {value!r}") from e
 
 
+def _compiled_pattern(spark: SparkSession, kind: DataType, params: Params) -> Params:
+    """The pattern must be one that the JVM accepts."""
+    try:
+        spark._jvm.java.util.regex.Pattern.compile(params["pattern"])
+    except Exception as e:
+        raise RuleParameterError(f"'pattern' cannot be used: {params['pattern']!r}") from e
+    return params
+
+
+def _known_format(spark: SparkSession, kind: DataType, params: Params) -> Params:
+    if params.get("format"):
+        try:
+            spark._jvm.java.time.format.DateTimeFormatter.ofPattern(params["format"])
+        except Exception as e:
+            raise RuleParameterError(f"'format' cannot be used: {params['format']!r}") from e
+    return params
+
+
+def _typed_values(spark: SparkSession, kind: DataType, params: Params) -> Params:
+    """Values in the column's own type. What cannot be converted is left out, as no value
+    of the column can equal it; without that, ANSI sessions would fail on such a row and
+    others would call its outcome NULL."""
+    values = [v for v in _value_list(params["values"]) if v is not None]
+    if isinstance(kind, StringType):
+        return {**params, "values": [v if isinstance(v, str) else json.dumps(v) for v in values]}
+    if not values:
+        return {**params, "values": []}
+    texts = tuple(v if isinstance(v, str) else json.dumps(v) for v in values)
+    return {**params, "values": list(_converted(spark, kind, texts))}
+
+
+@functools.lru_cache(maxsize=1_000)
+def _converted(spark: SparkSession, kind: DataType, texts: tuple[str, ...]) -> tuple[Any, ...]:
+    casts = [F.lit(t).try_cast(kind).alias(f"v{i}") for i, t in enumerate(texts)]
+    # A projection of constants, which Spark evaluates while optimizing: no job.
+    row = spark.sql("SELECT 1 AS one").select(*casts).first()
+    return tuple(v for v in row if v is not None)
+
+
 @dataclass(frozen=True)
 class RuleType:
+    """``prepare`` sees session, column type and parameters once, while planning."""
+
     build: CheckBuilder
     required: tuple[str, ...] = field(default=())
+    prepare: Callable[[SparkSession, DataType, Params], Params] | None = None
 
 
 _RULE_TYPES: dict[str, RuleType] = {
     "not_null": RuleType(not_null),
     "min_length": RuleType(min_length, ("length",)),
-    "regex_pattern": RuleType(regex_pattern, ("pattern",)),
-    "allowed_values": RuleType(allowed_values, ("values",)),
-    "is_iso_timestamp": RuleType(is_iso_timestamp),
+    "regex_pattern": RuleType(regex_pattern, ("pattern",), _compiled_pattern),
+    "allowed_values": RuleType(allowed_values, ("values",), _typed_values),
+    "is_iso_timestamp": RuleType(is_iso_timestamp, (), _known_format),
     "array_not_empty": RuleType(array_not_empty),
     "well_formed": RuleType(well_formed),
 }

@@ -1,4 +1,4 @@
-from rowsieve.operators.dedup import dedup, dedup_stream
+from rowsieve.operators.dedup import dedup, dedup_stream, dropped_as_late
 from rowsieve.operators.flatten import flatten
 from rowsieve.operators.route import (
     BatchMetrics,
@@ -26,6 +26,7 @@ __all__ = [
     "count_routes",
     "dedup",
     "dedup_stream",
+    "dropped_as_late",
     "enrich_ingestion",
     "flatten",
     "map_columns",

@@ -12,6 +12,7 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import ArrayType, DataType, MapType, StructType, VariantType
 
 from rowsieve.functions.naming import column, require_columns
@@ -43,19 +44,23 @@ def dedup_stream(
 ) -> DataFrame:
     """One row per key in a stream; state is kept for ``delay`` of event time.
 
-    Rows later than that are discarded by the watermark. A row without an event time
-    never is, and its copies are recognised within one micro-batch only.
+    Rows later than that are discarded by the watermark, also if no copy of them came
+    before; :func:`dropped_as_late` counts them. A row without an event time never is, and
+    its copies are recognised within one micro-batch only.
 
     A stream cannot aggregate before its shuffle, so the copies of a hot key would all
-    meet in one task. They are first reduced within ``salts`` parts of each key, told
-    apart by the other columns (such as the source file), and then across the parts.
-    Where no key is hot, ``salts=1`` saves that step and its state.
+    meet in one task. They are first reduced within ``salts`` parts of each key, by the
+    input partition they came in, and then across the parts. Where no key is hot,
+    ``salts=1`` saves that step and its state.
+
+    State for a long delay belongs in a store on disk: set
+    ``spark.sql.streaming.stateStore.providerClass`` to Spark's RocksDB provider.
     """
     keys = require_columns(df, keys, "dedup_stream")
     [time] = require_columns(df, [event_time], "dedup_stream")
     rows = _with_content(df, keys)
     if salts > 1:
-        salt = F.pmod(F.xxhash64(*_comparable(df)), F.lit(salts)).cast("int")
+        salt = F.pmod(F.spark_partition_id(), F.lit(salts))
         rows = rows.withColumn(_SALT, salt).withWatermark(time, delay)
         rows = rows.dropDuplicatesWithinWatermark([*keys, _CONTENT, _SALT]).drop(_SALT)
     else:
@@ -70,8 +75,26 @@ def _with_content(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def _comparable(df: DataFrame) -> list[Column]:
-    """The columns that Spark can group by."""
-    return [column(f.name) for f in df.schema.fields if not _has_map(f.dataType)]
+    """All columns, in forms that Spark can group by."""
+    return [_groupable(column(f.name), f.dataType).alias(f.name) for f in df.schema.fields]
+
+
+def _groupable(value: Column, kind: DataType) -> Column:
+    """Maps as their entries in order of the key, variants as text; NULL stays NULL."""
+    if not _has_map(kind):
+        return value
+    if isinstance(kind, MapType):
+        entries = F.transform(
+            F.map_entries(value),
+            lambda e: F.struct(e["key"].alias("key"), _groupable(e["value"], kind.valueType).alias("value")),
+        )
+        return F.array_sort(entries)
+    if isinstance(kind, ArrayType):
+        return F.transform(value, lambda x: _groupable(x, kind.elementType))
+    if isinstance(kind, StructType):
+        fields = [_groupable(value[f.name], f.dataType).alias(f.name) for f in kind.fields]
+        return F.when(value.isNotNull(), F.struct(*fields))
+    return F.to_json(value)
 
 
 def _has_map(kind: DataType) -> bool:
@@ -80,3 +103,14 @@ def _has_map(kind: DataType) -> bool:
     if isinstance(kind, StructType):
         return any(_has_map(f.dataType) for f in kind.fields)
     return isinstance(kind, (MapType, VariantType))
+
+
+def dropped_as_late(query: StreamingQuery) -> int:
+    """Rows that a stream has discarded so far because they came after the watermark.
+
+    Spark keeps the progress of the last 100 micro-batches, so sum the results of
+    ``query.recentProgress`` on a schedule where a stream runs for longer.
+    """
+    return sum(
+        state.numRowsDroppedByWatermark for progress in query.recentProgress for state in progress.stateOperators
+    )

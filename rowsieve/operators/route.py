@@ -57,7 +57,8 @@ def route_batch(
     An empty error route is not written, unless an earlier attempt at this batch left
     rows there.
     """
-    return write_routes(apply_rules(df, rules, scope_column), valid, error, batch_id, storage)
+    verdicts = apply_rules(df, rules, scope_column, filtered=storage is None)
+    return write_routes(verdicts, valid, error, batch_id, storage)
 
 
 def write_routes(

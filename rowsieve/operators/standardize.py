@@ -53,9 +53,17 @@ def parse_timestamp(df: DataFrame, name: str = EVENT_TIME) -> DataFrame:
     return df if have is None else df.withColumn(have, to_event_timestamp(column(have)))
 
 
-def add_event_date(df: DataFrame, source: str = EVENT_TIME, target: str = EVENT_DATE) -> DataFrame:
+def add_event_date(
+    df: DataFrame, source: str = EVENT_TIME, target: str = EVENT_DATE, time_zone: str | None = None
+) -> DataFrame:
+    """The date of an event in a time zone, or in the session's."""
     have = find_column(df, source)
-    return df if have is None else df.withColumn(target, column(have).cast("date"))
+    if have is None:
+        return df
+    time = column(have)
+    if time_zone is not None:
+        time = F.convert_timezone(F.lit(time_zone), time.cast("timestamp"))
+    return df.withColumn(target, time.cast("date"))
 
 
 def add_platform(df: DataFrame, source: str = APPLICATION, target: str = PLATFORM) -> DataFrame:
@@ -65,10 +73,14 @@ def add_platform(df: DataFrame, source: str = APPLICATION, target: str = PLATFOR
 
 
 def standardize(
-    df: DataFrame, columns: Iterable[ColumnSpec], keep_time_text: bool = True
+    df: DataFrame,
+    columns: Iterable[ColumnSpec],
+    keep_time_text: bool = True,
+    time_zone: str | None = None,
 ) -> DataFrame:
     """Mapping, event date and platform: what the curated table is made of."""
-    return add_platform(add_event_date(map_columns(df, columns, keep_time_text)))
+    mapped = map_columns(df, columns, keep_time_text)
+    return add_platform(add_event_date(mapped, time_zone=time_zone))
 
 
 def enrich_ingestion(

@@ -35,6 +35,8 @@ ERRORS_TYPE = "array<struct<rule_id:string,column:string,message:string>>"
 UNDETERMINED = "undetermined: "
 
 _OUTCOMES = "_rule_outcomes"
+# Rules whose outcomes are put together by one expression.
+RULES_TOGETHER = 100
 
 
 @dataclass(frozen=True)
@@ -81,8 +83,11 @@ def bind_rules(
         if missing:
             raise RuleParameterError(f"rule {rule.rule_id} ({rule.rule_type}): no {missing}")
         try:
-            check = known.build(quote(target), rule.params)
-        except RuleParameterError as e:
+            params = rule.params
+            if known.prepare is not None:
+                params = known.prepare(df.sparkSession, df.schema[target].dataType, params)
+            check = known.build(quote(target), params)
+        except Exception as e:
             raise RuleParameterError(f"rule {rule.rule_id} ({rule.rule_type}): {e}") from e
         applications = (rule.include, rule.exclude)
         if applications not in scopes:
@@ -108,16 +113,24 @@ def _scope(names: Names, rule: Rule, scope_column: str) -> Column | None:
 
 
 def apply_rules(
-    df: DataFrame, rules: Iterable[Rule], scope_column: str = SCOPE_COLUMN
+    df: DataFrame, rules: Iterable[Rule], scope_column: str = SCOPE_COLUMN, filtered: bool = False
 ) -> DataFrame:
-    """Add ``dq_errors`` (an array of entries) and ``is_valid`` (never NULL)."""
+    """Add ``dq_errors`` (an array of entries) and ``is_valid`` (never NULL).
+
+    Set ``filtered`` where the verdict is filtered on next without being stored before:
+    the outcomes then come out of a generator, through which Spark pushes no filter, so
+    that the rules are not evaluated once for the filter and again for the entries.
+    """
     bound = bind_rules(df, rules, scope_column)
     kept = [column(c) for c in _data_columns(df)]
     none = F.array().cast(ERRORS_TYPE)
     if not bound:
         return df.select(*kept, none.alias(ERRORS), F.lit(True).alias(VERDICT))
 
-    evaluated = df.select(*kept, F.array(*[b.fails for b in bound]).alias(_OUTCOMES))
+    outcomes = F.concat(*[F.array(*[b.fails for b in chunk]) for chunk in _chunks(bound)])
+    if filtered:
+        outcomes = F.explode(F.array(outcomes))
+    evaluated = df.select(*kept, outcomes.alias(_OUTCOMES))
     outcomes = F.col(_OUTCOMES)
     # TRUE, FALSE and NULL exactly as the conjunction of "does not fail".
     valid = ~F.array_contains(outcomes, F.lit(True))
@@ -165,14 +178,29 @@ def valid_rows(
     """
     bound = bind_rules(df, rules, scope_column)
     rows = df.select(*[column(c) for c in _data_columns(df)])
-    return rows.filter(reduce(and_, [b.passes for b in bound])) if bound else rows
+    for chunk in _chunks(bound):
+        rows = rows.filter(_all([b.passes for b in chunk]))
+    return rows
 
 
 def error_rows(
     df: DataFrame, rules: Iterable[Rule], scope_column: str = SCOPE_COLUMN
 ) -> DataFrame:
     """Only the rows that are not valid, with their entries."""
-    return apply_rules(df, rules, scope_column).filter(~F.col(VERDICT))
+    return apply_rules(df, rules, scope_column, filtered=True).filter(~F.col(VERDICT))
+
+
+def _chunks(bound: Sequence[BoundRule]) -> Iterable[Sequence[BoundRule]]:
+    for start in range(0, len(bound), RULES_TOGETHER):
+        yield bound[start : start + RULES_TOGETHER]
+
+
+def _all(parts: Sequence[Column]) -> Column:
+    """The conjunction as a balanced tree, whose depth grows with the logarithm."""
+    if len(parts) == 1:
+        return parts[0]
+    middle = len(parts) // 2
+    return _all(parts[:middle]) & _all(parts[middle:])
 
 
 def split_verdict(verdicts: DataFrame) -> tuple[DataFrame, DataFrame]:

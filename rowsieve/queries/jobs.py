@@ -5,6 +5,8 @@ Each runs its job into a new scratch folder and returns what the sinks then hold
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -17,9 +19,9 @@ from rowsieve.plans.verdict import error_ids, with_verdict
 from rowsieve.queries.common import SECONDS, SECONDS_SQL, scratch, table, verdict_sql, verdict_view
 from rowsieve.queries.rules import COMBINED_VERDICT_SQL, checked_events, combined_rules, policy
 from rowsieve.sinks.files import start_append
-from rowsieve.sinks.tables import RouteSink
+from rowsieve.sinks.tables import RouteSink, compact_batches
 from rowsieve.streaming.bronze import start_bronze
-from rowsieve.streaming.silver import await_end, start_silver
+from rowsieve.streaming.silver import await_end, register_silver, silver_schema, start_silver
 from rowsieve.streaming.triggers import trigger_options
 
 STREAM_COLUMNS = (
@@ -64,8 +66,8 @@ def route_one_pass(spark, sf_dir):
     )
 
 
-def _land(spark: SparkSession, sf_dir: str, folder: str) -> None:
-    """Write all events as JSON lines in nested folders; error events arrive broken."""
+def _land(spark: SparkSession, sf_dir: str, folder: str, which: Column | None = None) -> None:
+    """Write events as JSON lines in nested folders; error events arrive broken."""
     event = F.struct(
         "event_id",
         "event_type",
@@ -73,11 +75,12 @@ def _land(spark: SparkSession, sf_dir: str, folder: str) -> None:
         F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("event_time"),
     )
     broken = F.concat(F.lit('{"event_id": '), F.col("event_id").cast("string"), F.lit(", oops"))
-    lines = table(spark, sf_dir, "events").select(
+    events = table(spark, sf_dir, "events")
+    lines = (events if which is None else events.where(which)).select(
         F.when(F.col("event_type") == "error", broken).otherwise(F.to_json(event)).alias("line"),
         F.date_format("ts", "dd").alias("day"),
     )
-    lines.write.partitionBy("day").text(folder)
+    lines.write.mode("append").partitionBy("day").text(folder)
 
 
 def _config(folder: str, suffix: str) -> PipelineConfig:
@@ -95,7 +98,7 @@ def _config(folder: str, suffix: str) -> PipelineConfig:
     )
 
 
-def _run_bronze(spark: SparkSession, sf_dir: str, purpose: str) -> PipelineConfig:
+def run_bronze(spark: SparkSession, sf_dir: str, purpose: str) -> PipelineConfig:
     folder = scratch(spark, purpose)
     config = _config(folder, folder[-32:])
     _land(spark, sf_dir, config.landing_path)
@@ -110,7 +113,7 @@ def _or_minus_one(name: str) -> Column:
 
 
 def stream_bronze(spark, sf_dir):
-    config = _run_bronze(spark, sf_dir, "bronze")
+    config = run_bronze(spark, sf_dir, "bronze")
     bronze = spark.table(config.bronze_name)
     return bronze.select(
         _or_minus_one("event_id"),
@@ -123,10 +126,8 @@ def stream_bronze(spark, sf_dir):
     )
 
 
-def stream_silver(spark, sf_dir):
-    """Bronze to silver; the valid and the error table side by side."""
-    config = _run_bronze(spark, sf_dir, "silver")
-    rules = rules_from_policies(
+def silver_rules():
+    return rules_from_policies(
         [
             policy("B0", "well_formed", CORRUPT_RECORD, "malformed input"),
             policy("B1", "allowed_values", "applicationCode", "unknown type", {"values": '["click", "purchase", "view"]'}),
@@ -134,9 +135,46 @@ def stream_silver(spark, sf_dir):
             policy("B3", "regex_pattern", "event_time", "whole minute", {"pattern": ":[0-5][1-9][.]"}, exclude=["view"]),
         ]
     )
-    await_end(start_silver(spark, config, rules))
-    valid = config.valid_sink().read(spark)
-    error = config.error_sink().read(spark)
+
+
+def stream_silver(spark, sf_dir):
+    """Bronze to silver; the valid and the error route side by side."""
+    config = run_bronze(spark, sf_dir, "silver")
+    await_end(start_silver(spark, config, silver_rules()))
+    return _silver_routes(spark, config)
+
+
+def stream_restart(spark, sf_dir):
+    """Half of the events run through bronze and silver, then the others, by jobs that
+    start again from their checkpoints."""
+    folder = scratch(spark, "restart")
+    config = _config(folder, folder[-32:])
+    for half in (0, 1):
+        _land(spark, sf_dir, config.landing_path, F.col("event_id") % 2 == half)
+        await_end(start_bronze(spark, config, trigger_options(), multi_line=False))
+        await_end(start_silver(spark, config, silver_rules()))
+    return _silver_routes(spark, config)
+
+
+def stream_silver_tables(spark, sf_dir):
+    """Both routes of the silver job by their names in a database of their own."""
+    folder = scratch(spark, "tables")
+    config = replace(_config(folder, "main"), database="routed_" + folder[-32:])
+    _land(spark, sf_dir, config.landing_path)
+    await_end(start_bronze(spark, config, trigger_options(), multi_line=False))
+    register_silver(spark, config)  # before there is any row
+    await_end(start_silver(spark, config, silver_rules()))
+    register_silver(spark, config)
+    return _side_by_side(spark.table(config.silver_name), spark.table(config.error_name))
+
+
+def _silver_routes(spark: SparkSession, config: PipelineConfig) -> DataFrame:
+    schema = silver_schema(spark, config)
+    valid = config.valid_sink().read(spark, schema)
+    return _side_by_side(valid, config.error_sink().read(spark, with_verdict(schema)))
+
+
+def _side_by_side(valid: DataFrame, error: DataFrame) -> DataFrame:
     columns = (
         _or_minus_one("eventId"),
         "applicationCode",
@@ -157,6 +195,70 @@ def stream_silver(spark, sf_dir):
     )
 
 
+def stream_bronze_documents(spark, sf_dir):
+    """All events landed as pretty-printed arrays over many lines, a thousand a file, with
+    a broken file among them and a file of another name beside them."""
+    folder = scratch(spark, "documents")
+    config = _config(folder, folder[-32:])
+    time = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("event_time")
+    events = table(spark, sf_dir, "events").select(
+        (F.col("event_id") / 1000).cast("int").alias("file"), F.struct("event_id", "event_type", "value", time).alias("event")
+    )
+    files = events.groupBy("file").agg(F.to_json(F.collect_list("event"), {"pretty": "true"}).alias("text"))
+    broken = spark.createDataFrame([(-1, '[\n  {"event_id": 1,\n    oops')], "file int, text string")
+    files.union(broken).write.partitionBy("file").text(config.landing_path)
+    files.select("text").write.json(f"{config.landing_path}/other")
+    await_end(start_bronze(spark, config, trigger_options()))
+    return spark.table(config.bronze_name).select(
+        _or_minus_one("event_id"),
+        "event_type",
+        _or_minus_one("value"),
+        "event_time",
+        F.col(CORRUPT_RECORD).isNotNull().alias("malformed"),
+    )
+
+
+def route_replay(spark, sf_dir):
+    """The same batch routed twice, by rules that change where most rows belong."""
+    folder = scratch(spark, "replay")
+    events = checked_events(spark, sf_dir)
+    valid = RouteSink(f"{folder}/valid", ("applicationCode",))
+    error = RouteSink(f"{folder}/error", ("applicationCode",))
+    first = rules_from_policies([policy("F1", "regex_pattern", "props", "odd", {"pattern": "[13579]\\}$"})])
+    for rules in (first, combined_rules()):
+        route_batch(events, rules, valid, error, batch_id=7)
+    valid = valid.read(spark, events.schema).select("event_id", F.lit("valid").alias("route"))
+    return valid.union(error.read(spark, with_verdict(events.schema)).select("event_id", F.lit("error").alias("route")))
+
+
+def route_metrics(spark, sf_dir):
+    """Observed row counts beside those of what was written, also with no error row."""
+    events = checked_events(spark, sf_dir)
+    never = rules_from_policies([policy("N1", "not_null", "event_id", "never")])
+    rows = []
+    for name, rules in (("mixed", combined_rules()), ("valid only", never)):
+        folder = scratch(spark, "metrics")
+        valid = RouteSink(f"{folder}/valid", ("applicationCode",))
+        error = RouteSink(f"{folder}/error", ("applicationCode",))
+        seen = route_batch(events, rules, valid, error)
+        found = valid.read(spark, events.schema).count(), error.read(spark, with_verdict(events.schema)).count()
+        rows.append((name, seen.valid, seen.error, *found))
+    return spark.createDataFrame(rows, "batch string, valid long, error long, valid_written long, error_written long")
+
+
+def compact_twice(spark, sf_dir):
+    """All events in six batches; four of them compacted in two steps, the second twice."""
+    folder = scratch(spark, "compact")
+    events = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    source = RouteSink(f"{folder}/batches", ("event_type",))
+    target = RouteSink(f"{folder}/compacted", ("event_type",))
+    for batch in range(6):
+        source.write_batch(events.where(F.col("event_id") % 6 == batch), batch)
+    for up_to in (1, 3, 3):
+        compact_batches(spark, source, target, events.schema, up_to)
+    return target.read(spark, events.schema).union(source.read(spark, events.schema, after_batch=3))
+
+
 def stream_dedup(spark, sf_dir):
     """All events streamed twice over, each kept once."""
     folder = scratch(spark, "dedup")
@@ -175,7 +277,21 @@ def stream_dedup(spark, sf_dir):
 
 
 QUERIES = {
-    f.__name__: f for f in (route_valid, route_error, route_one_pass, stream_bronze, stream_silver, stream_dedup)
+    f.__name__: f
+    for f in (
+        route_valid,
+        route_error,
+        route_one_pass,
+        route_replay,
+        route_metrics,
+        compact_twice,
+        stream_bronze,
+        stream_bronze_documents,
+        stream_silver,
+        stream_silver_tables,
+        stream_restart,
+        stream_dedup,
+    )
 }
 
 _LANDED_SQL = f"""
@@ -198,7 +314,24 @@ _SILVER_SQL = verdict_sql(
     ],
 )
 
+_SILVER_ROWS_SQL = (
+    "SELECT coalesce(event_id, -1) AS eventId, event_type AS applicationCode, "
+    "coalesce(value, -1) AS value, "
+    "parsed AS eventTimestamp, left(parsed, 10) AS eventDate, event_type AS platform_type, malformed, "
+    f"CASE WHEN is_valid THEN 'valid' ELSE 'error' END AS route, rule_ids FROM ({_SILVER_SQL})"
+)
+
 ORACLES = {
+    "route_replay": f"SELECT event_id, CASE WHEN is_valid THEN 'valid' ELSE 'error' END AS route FROM ({COMBINED_VERDICT_SQL})",
+    "route_metrics": "SELECT 'mixed' AS batch, count(*) FILTER (is_valid) AS valid, count(*) FILTER (NOT is_valid) AS error, "
+    "count(*) FILTER (is_valid) AS valid_written, count(*) FILTER (NOT is_valid) AS error_written "
+    f"FROM ({COMBINED_VERDICT_SQL}) UNION ALL SELECT 'valid only', count(*), 0, count(*), 0 FROM events",
+    "compact_twice": "SELECT event_id, event_type, value FROM events",
+    "stream_bronze_documents": "SELECT event_id, event_type, value, "
+    "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || 'Z' AS event_time, false AS malformed FROM events "
+    "UNION ALL SELECT -1, NULL, -1, NULL, true",
+    "stream_silver_tables": _SILVER_ROWS_SQL,
+    "stream_restart": _SILVER_ROWS_SQL,
     "route_valid": "SELECT event_id, applicationCode, label, props, value, time_text "
     f"FROM ({COMBINED_VERDICT_SQL}) WHERE is_valid",
     "route_error": "SELECT event_id, applicationCode, value, time_text, is_valid, rule_ids, messages "
@@ -208,10 +341,7 @@ ORACLES = {
     "stream_bronze": "SELECT coalesce(event_id, -1) AS event_id, event_type, "
     "coalesce(value, -1) AS value, event_time, malformed, "
     f"true AS from_landing, true AS dated FROM ({_LANDED_SQL})",
-    "stream_silver": "SELECT coalesce(event_id, -1) AS eventId, event_type AS applicationCode, "
-    "coalesce(value, -1) AS value, "
-    "parsed AS eventTimestamp, left(parsed, 10) AS eventDate, event_type AS platform_type, malformed, "
-    f"CASE WHEN is_valid THEN 'valid' ELSE 'error' END AS route, rule_ids FROM ({_SILVER_SQL})",
+    "stream_silver": _SILVER_ROWS_SQL,
     "stream_dedup": f"SELECT event_id, strftime(ts, '{SECONDS_SQL}') AS ts, user_id, event_type, "
     "value, props FROM events",
 }

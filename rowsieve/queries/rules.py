@@ -122,7 +122,7 @@ def dq_min_length(spark, sf_dir):
 def dq_array_not_empty(spark, sf_dir):
     words = F.filter(F.split("text", " "), lambda w: w == "the")
     documents = table(spark, sf_dir, "documents").select(
-        "doc_id", F.when(F.col("lang") == "en", words).alias("hits")
+        "doc_id", F.when(F.col("source") != "src1", words).alias("hits")
     )
     rules = rules_from_policies([policy("T1", "array_not_empty", "hits", "word never used")])
     return verdict_view(apply_rules(documents, rules), "doc_id")
@@ -226,12 +226,48 @@ def policy_lookup(spark, sf_dir):
         "o_orderkey", "o_orderpriority", F.nullif("o_orderstatus", F.lit("P")).alias("status")
     )
     rules = load_rules(spark, "orders", name)
+    spark.sql(f"DROP TABLE {name}")
     return verdict_view(apply_rules(orders, rules, "status"), "o_orderkey")
 
 
+def dq_typed_values(spark, sf_dir):
+    """Allowed values given as text, for a whole-number and a floating-point column."""
+    items = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_quantity")
+    rules = rules_from_policies(
+        [
+            policy("V1", "allowed_values", "l_linenumber", "odd line", {"values": '["1", "3", "x"]'}),
+            policy("V2", "allowed_values", "l_quantity", "odd amount", {"values": '["10", "20.0", 30, "many"]'}),
+            policy("V3", "allowed_values", "l_orderkey", "never", {"values": '["none"]'}, ["nowhere"]),
+        ]
+    )
+    verdicts = apply_rules(items.withColumn("applicationCode", F.lit("here")), rules)
+    return verdict_view(verdicts, "l_orderkey", "l_linenumber", "l_quantity")
+
+
+MANY = range(500)
+
+
+def dq_many_rules(spark, sf_dir):
+    """Five hundred scoped rules, one for each part of the orders."""
+    items = table(spark, sf_dir, "lineitem").select(
+        "l_orderkey",
+        "l_linenumber",
+        (F.col("l_orderkey") % len(MANY)).cast("string").alias("applicationCode"),
+    )
+    rules = rules_from_policies(
+        [
+            policy(f"M{i:03}", "allowed_values", "l_linenumber", f"line {i}", {"values": f'["{i % 7 + 1}", "2"]'}, [str(i)])
+            for i in MANY
+        ]
+    )
+    return verdict_view(apply_rules(items, rules), "l_orderkey", "l_linenumber")
+
+
 QUERIES = {
     f.__name__: f
     for f in (
+        dq_typed_values,
+        dq_many_rules,
         dq_not_null,
         dq_regex,
         dq_allowed_values,
@@ -257,6 +293,16 @@ COMBINED_VERDICT_SQL = verdict_sql(
 )
 
 ORACLES = {
+    "dq_typed_values": verdict_sql(
+        "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem",
+        ["l_orderkey", "l_linenumber", "l_quantity"],
+        [("V1", "odd line", "l_linenumber NOT IN (1, 3)"), ("V2", "odd amount", "l_quantity NOT IN (10, 20, 30)")],
+    ),
+    "dq_many_rules": verdict_sql(
+        "SELECT l_orderkey, l_linenumber FROM lineitem",
+        ["l_orderkey", "l_linenumber"],
+        [(f"M{i:03}", f"line {i}", f"l_orderkey % {len(MANY)} = {i} AND l_linenumber NOT IN ({i % 7 + 1}, 2)") for i in MANY],
+    ),
     "dq_not_null": verdict_sql(
         CHECKED_SQL, ["event_id"], [("N1", "label is missing", "label IS NULL")]
     ),
@@ -274,7 +320,7 @@ ORACLES = {
         "SELECT * FROM events", ["event_id"], [("L1", "props too short", "NOT length(props) >= 9")]
     ),
     "dq_array_not_empty": verdict_sql(
-        "SELECT doc_id, CASE WHEN lang = 'en' THEN "
+        "SELECT doc_id, CASE WHEN source <> 'src1' THEN "
         "list_filter(string_split(text, ' '), lambda w: w = 'the') END AS hits FROM documents",
         ["doc_id"],
         [("T1", "word never used", "NOT coalesce(len(hits) > 0, false)")],

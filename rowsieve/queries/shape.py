@@ -100,6 +100,7 @@ def registry_active_schema(spark, sf_dir):
     name = "meta_schema_registry_" + folder[-32:]
     overwrite_table(schema_registry(spark, entries), name, folder)
     schema = active_schema(spark, "event_props", name)
+    spark.sql(f"DROP TABLE {name}")
     events = table(spark, sf_dir, "events")
     parsed = events.select("event_id", F.from_json("props", schema).alias("props"))
     return parsed.select(
@@ -144,6 +145,14 @@ def dedup_pk_first(spark, sf_dir):
     return first.select("user_id", "event_type", "event_id", "value")
 
 
+def dedup_unkeyed(spark, sf_dir):
+    """All events twice over without a key, many differing in a map only."""
+    entry = F.create_map(F.col("event_type"), F.col("event_id"))
+    rows = table(spark, sf_dir, "events").select(F.lit(None).cast("long").alias("key"), "user_id", entry.alias("entry"))
+    once = dedup(rows.unionAll(rows), ["key"])
+    return once.select("user_id", F.explode("entry").alias("event_type", "event_id"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -157,6 +166,7 @@ QUERIES = {
         flatten_two_arrays,
         dedup_pk,
         dedup_pk_first,
+        dedup_unkeyed,
     )
 }
 
@@ -183,6 +193,7 @@ ORACLES = {
     "FROM conversations), l AS (SELECT conv_id, turn, sentence, unnest(string_split(role, '')) AS letter FROM s) "
     "SELECT conv_id, turn, letter, CAST(length(sentence) AS INTEGER) AS sentence_chars FROM l",
     "dedup_pk": "SELECT DISTINCT doc_id, text, lang, source, n_chars FROM documents",
+    "dedup_unkeyed": "SELECT user_id, event_type, event_id FROM events",
     "dedup_pk_first": "SELECT user_id, event_type, event_id, value FROM events "
     "QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) = 1",
 }

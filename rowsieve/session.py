@@ -23,7 +23,6 @@ def tune_session(spark: SparkSession) -> None:
     A task that meets only a few partition values, as bronze with its one ingestion date
     does, writes them side by side instead of sorting all its rows first.
     """
-    if int(spark.conf.get(_METHOD_LIMIT)) > JIT_METHOD_LIMIT:
-        spark.conf.set(_METHOD_LIMIT, str(JIT_METHOD_LIMIT))
-    if int(spark.conf.get(_OPEN_FILES)) == 0:
-        spark.conf.set(_OPEN_FILES, str(OPEN_FILES_PER_TASK))
+    for name, value in ((_METHOD_LIMIT, JIT_METHOD_LIMIT), (_OPEN_FILES, OPEN_FILES_PER_TASK)):
+        if spark.conf.get(name, None) is None:
+            spark.conf.set(name, str(value))

@@ -104,30 +104,68 @@ class RouteSink:
 
 
 def compact_batches(
-    spark: SparkSession, source: RouteSink, target: RouteSink, schema: StructType, up_to_batch: int
+    spark: SparkSession,
+    source: RouteSink,
+    target: RouteSink,
+    schema: StructType,
+    up_to_batch: int,
+    after_batch: int | None = None,
 ) -> None:
-    """Rewrite the batches of a stream up to a settled one as fewer, larger files.
-
-    The target is another path, in which the result counts as batch ``up_to_batch`` and
-    replaces an earlier attempt. Readers then take the target and, from the source, what
-    comes ``after_batch``; the source's old directories can be removed when none is left
-    that reads them.
+    """Rewrite the next batches of a stream up to a settled one as fewer, larger files.
+
+    Takes the batches ``after_batch < n <= up_to_batch``; without a lower bound, those
+    after what the target holds for this stream. The target is another path, in which the
+    result counts as batch ``up_to_batch`` and replaces an earlier attempt at the same
+    bound. Readers then take the target and, from the source, what comes
+    ``after_batch=up_to_batch``; the source's old directories can be removed when none is
+    left that reads them.
     """
     if target.path.rstrip("/") == source.path.rstrip("/"):
         raise ValueError("compaction writes to another path than it reads")
+    for sink in (source, target):
+        _require_batches(sink)
+    held = _batches(spark, target, source.stream_id)
+    if held and max(held) > up_to_batch:
+        raise ValueError(f"the target already holds batches up to {max(held)}")
+    if after_batch is None:
+        after_batch = max((n for n in held if n < up_to_batch), default=-1)
     rows = spark.read.format(source.format).schema(_with_batch_columns(schema)).load(source.path)
-    settled = rows.filter((F.col(STREAM_ID) == source.stream_id) & (F.col(BATCH_ID) <= up_to_batch))
-    replace(target, layout="rebalance").write_batch(
+    settled = rows.filter(
+        (F.col(STREAM_ID) == source.stream_id)
+        & (F.col(BATCH_ID) > after_batch)
+        & (F.col(BATCH_ID) <= up_to_batch)
+    )
+    replace(target, layout="rebalance", stream_id=source.stream_id).write_batch(
         settled.select(*[quote(f.name) for f in schema]), up_to_batch
     )
 
 
+def _batches(spark: SparkSession, sink: RouteSink, stream_id: str) -> list[int]:
+    """Numbers of the batches a sink holds, from its directory names alone."""
+    layout = StructType([StructField(STREAM_ID, StringType()), StructField(BATCH_ID, LongType())])
+    try:
+        rows = spark.read.format(sink.format).schema(layout).load(sink.path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return []
+    found = rows.filter(F.col(STREAM_ID) == stream_id).select(BATCH_ID).distinct()
+    return [r[BATCH_ID] for r in found.collect()]
+
+
+def _require_batches(sink: RouteSink) -> None:
+    """Formats with transactions of their own have no directory for each batch."""
+    if sink.format == "delta":
+        raise ValueError("format 'delta' keeps no batch directories")
+
+
 def register_route(spark: SparkSession, table: str, sink: RouteSink, schema: StructType) -> None:
     """Make a route a catalog table, or bring that table up to date.
 
     New columns are added to the table and new batches to its partitions. Listing the
     partitions of a long history takes time, so do this on a schedule, not per batch.
     """
+    _require_batches(sink)
     keys = [STREAM_ID, BATCH_ID, *sink.partition_keys]
     full = _with_batch_columns(schema)
     if not spark.catalog.tableExists(table):
@@ -138,14 +176,20 @@ def register_route(spark: SparkSession, table: str, sink: RouteSink, schema: Str
             f"PARTITIONED BY ({names}) LOCATION '{location}'"
         )
     else:
-        have = {f.name.lower() for f in spark.table(table).schema}
-        added = StructType([f for f in schema if f.name.lower() not in have])
-        if added.fields:
-            spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({added.toDDL()})")
-    spark.catalog.recoverPartitions(table)
+        _add_columns(spark, table, schema)
+    if _exists(spark, sink.format, full, sink.path):
+        spark.catalog.recoverPartitions(table)
     spark.catalog.refreshTable(table)
 
 
+def _add_columns(spark: SparkSession, table: str, schema: StructType) -> None:
+    """Give a table the columns of a schema that it lacks."""
+    have = {f.name.lower() for f in spark.table(table).schema}
+    added = StructType([StructField(f.name, f.dataType) for f in schema if f.name.lower() not in have])
+    if added.fields:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({added.toDDL()})")
+
+
 def append_table(
     df: DataFrame,
     table: str,
@@ -153,15 +197,19 @@ def append_table(
     partition_keys: Sequence[str] = ("eventDate",),
     format: str = "parquet",
 ) -> None:
-    """Append rows to an external table, creating it on first use."""
-    (
-        df.write.format(format)
-        .mode("append")
-        .partitionBy(*partition_keys)
-        .option("mergeSchema", "true")
-        .option("path", path)
-        .saveAsTable(table)
-    )
+    """Append rows to an external table, creating it on first use.
+
+    Columns that are new are added to the table first; those that the rows lack become
+    NULL.
+    """
+    spark = df.sparkSession
+    if spark.catalog.tableExists(table):
+        _add_columns(spark, table, df.schema)
+        have = {name.lower() for name in df.columns}
+        lacking = [f for f in spark.table(table).schema if f.name.lower() not in have]
+        df = df.withColumns({f.name: F.lit(None).cast(f.dataType) for f in lacking})
+    writer = df.write.format(format).mode("append").partitionBy(*partition_keys)
+    writer.option("path", path).saveAsTable(table)
 
 
 def overwrite_table(df: DataFrame, table: str, path: str, format: str = "parquet") -> None:

@@ -26,9 +26,9 @@ POLICY_LAYOUT = (
     "app_scope_inclusion array<string>, app_scope_exclusion array<string>, error_message string"
 )
 
-# Policies are planned on the driver, one expression each. More than this many for one
-# dataset is a mistake in the table, and reported instead of fetched.
-MAX_POLICIES = 10_000
+# Policies are fetched and planned on the driver, one expression each. The default of
+# ``limit`` is what a default session plans; more raise instead of being fetched.
+MAX_POLICIES = 2_000
 
 
 def schema_registry(spark: SparkSession, entries: Iterable[Mapping[str, Any]]) -> DataFrame:
@@ -78,25 +78,26 @@ def active_schema(
 
 
 def load_policies(
-    spark: SparkSession, dataset: str, table: str | DataFrame = POLICY_TABLE
+    spark: SparkSession, dataset: str, table: str | DataFrame = POLICY_TABLE, limit: int | None = None
 ) -> list[Row]:
-    """The policy rows of a dataset."""
+    """The policy rows of a dataset; more than ``limit`` (:data:`MAX_POLICIES`) raise."""
+    limit = MAX_POLICIES if limit is None else limit
     rows = (
         _as_frame(spark, table)
         .filter(F.col("dataset_name") == dataset)
-        .limit(MAX_POLICIES + 1)
+        .limit(limit + 1)
         .collect()
     )
-    if len(rows) > MAX_POLICIES:
-        raise ValueError(f"dataset {dataset!r} has more than {MAX_POLICIES} policies")
+    if len(rows) > limit:
+        raise ValueError(f"dataset {dataset!r} has more than {limit} policies")
     return rows
 
 
 def load_rules(
-    spark: SparkSession, dataset: str, table: str | DataFrame = POLICY_TABLE
+    spark: SparkSession, dataset: str, table: str | DataFrame = POLICY_TABLE, limit: int | None = None
 ) -> list[Rule]:
-    """The rules that the policy table holds for a dataset."""
-    return rules_from_policies(load_policies(spark, dataset, table))
+    """The rules that the policy table holds for a dataset; more than ``limit`` raise."""
+    return rules_from_policies(load_policies(spark, dataset, table, limit))
 
 
 def _as_frame(spark: SparkSession, table: str | DataFrame) -> DataFrame:

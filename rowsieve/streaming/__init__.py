@@ -2,6 +2,7 @@ from rowsieve.streaming.bronze import bronze_stream, start_bronze
 from rowsieve.streaming.silver import (
     await_end,
     register_silver,
+    silver_schema,
     start_routing,
     start_routing_once,
     start_silver,
@@ -12,6 +13,7 @@ __all__ = [
     "await_end",
     "bronze_stream",
     "register_silver",
+    "silver_schema",
     "start_bronze",
     "start_routing",
     "start_routing_once",

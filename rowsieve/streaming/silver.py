@@ -6,13 +6,15 @@ from collections.abc import Callable, Iterable, Mapping
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from rowsieve.config import PipelineConfig
 from rowsieve.operators.route import BatchMetrics, write_once, write_routes
-from rowsieve.operators.standardize import standardize
+from rowsieve.operators.standardize import enrich_ingestion, standardize
 from rowsieve.plans.rules import Rule
+from rowsieve.plans.schema import CORRUPT_RECORD, source_schema
 from rowsieve.plans.verdict import SCOPE_COLUMN, apply_rules, with_verdict
 from rowsieve.session import tune_session
 from rowsieve.sinks.tables import RouteSink, ensure_database, register_route
@@ -20,6 +22,9 @@ from rowsieve.sources.tables import stream_table
 from rowsieve.streaming.triggers import trigger_options
 
 RuleSource = Iterable[Rule] | Callable[[SparkSession], Iterable[Rule]]
+# Files of one micro-batch where the source sets no bound of its own.
+FILES_PER_TRIGGER = 1_000
+_BOUNDS = {"maxfilespertrigger", "maxbytespertrigger"}
 OnBatch = Callable[[int, BatchMetrics], None]
 
 
@@ -101,7 +106,7 @@ def start_silver(
     rules: RuleSource,
     transform: Callable[[DataFrame], DataFrame] | None = None,
     stream_id: str = "main",
-    layout: str = "as_is",
+    layout: str = "rebalance",
     source_options: Mapping[str, str] | None = None,
     **routing,
 ) -> StreamingQuery:
@@ -109,10 +114,20 @@ def start_silver(
 
     ``transform`` replaces the standardising step, for instance by one that also drops
     duplicates, or by the identity.
+
+    A micro-batch is persisted around its two writes, so its size is bounded: by
+    ``maxBytesPerTrigger`` or ``maxFilesPerTrigger`` in ``source_options``, else by
+    :data:`FILES_PER_TRIGGER`. With ``storage=None`` nothing is persisted or bounded.
     """
     ensure_database(spark, config.database)
-    bronze = stream_table(spark, config.bronze_name, source_options)
-    silver = standardize(bronze, config.columns) if transform is None else transform(bronze)
+    options = dict(source_options or {})
+    if routing.get("storage", True) is not None and not _BOUNDS & {k.lower() for k in options}:
+        options["maxFilesPerTrigger"] = str(FILES_PER_TRIGGER)
+    bronze = stream_table(spark, config.bronze_name, options)
+    if transform is None:
+        silver = standardize(bronze, config.columns, time_zone=config.time_zone)
+    else:
+        silver = transform(bronze)
     return start_routing(
         silver,
         rules,
@@ -124,15 +139,25 @@ def start_silver(
     )
 
 
+def silver_schema(spark: SparkSession, config: PipelineConfig, corrupt_column: str | None = CORRUPT_RECORD) -> StructType:
+    """The schema of the valid rows that the bronze and silver jobs write for a
+    configuration, from its columns alone."""
+    raw = spark.createDataFrame([], source_schema(config.columns, corrupt_column))
+    bronze = enrich_ingestion(raw, source_file=F.lit(None).cast("string"))
+    return standardize(bronze, config.columns, time_zone=config.time_zone).schema
+
+
 def register_silver(
     spark: SparkSession, config: PipelineConfig, schema: StructType | None = None
 ) -> None:
     """Make the valid and error routes catalog tables, or bring those up to date.
 
-    ``schema`` is that of the valid rows; without it the files written so far tell.
+    ``schema`` is that of the valid rows, where a ``transform`` of its own makes them
+    differ from :func:`silver_schema`. Nothing is inferred from files, so it does not
+    matter whether any row has been valid yet.
     """
     ensure_database(spark, config.database)
-    schema = schema or config.valid_sink().read(spark).schema
+    schema = schema or silver_schema(spark, config)
     register_route(spark, config.silver_name, config.valid_sink(), schema)
     register_route(spark, config.error_name, config.error_sink(), with_verdict(schema))
 

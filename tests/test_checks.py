@@ -4,6 +4,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from rowsieve.functions.checks import ISO_FORMAT, RuleParameterError, register_rule, rule_type
+from rowsieve.plans.rules import Rule
+from rowsieve.plans.verdict import apply_rules
 
 TEXTS = {
     "not_null": ({}, {"a": True, "": True, None: False}),
@@ -108,3 +110,29 @@ def test_own_rule_type(spark):
     assert [r.ok for r in rows] == [True, False, None]
     with pytest.raises(ValueError):
         register_rule("not_null", lambda name, params: F.lit(True))
+
+
+@pytest.mark.parametrize("ansi", ["true", "false"])
+def test_text_values_on_typed_columns(spark, ansi):
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", ansi)
+    try:
+        df = spark.createDataFrame([(1, 1.5), (2, 2.0), (None, None)], "n int, x double")
+        rules = [
+            Rule("N", "allowed_values", "n", {"values": '["A", "2"]'}, "m"),
+            Rule("X", "allowed_values", "x", {"values": '["2", 7, "much"]'}, "m"),
+        ]
+        got = {r.n: (r.is_valid, [e.rule_id for e in r.dq_errors]) for r in apply_rules(df, rules).collect()}
+        assert got == {1: (False, ["N", "X"]), 2: (True, []), None: (False, ["N", "X"])}
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+
+
+def test_unusable_parameters_name_the_rule(spark):
+    df = spark.createDataFrame([("a",)], "v string")
+    for kind, params in (("regex_pattern", {"pattern": "["}), ("is_iso_timestamp", {"format": "jjj{"})):
+        with pytest.raises(RuleParameterError, match="rule BAD"):
+            apply_rules(df, [Rule("BAD", kind, "v", params)])
+    register_rule("broken", lambda name, params: 1 / 0)
+    with pytest.raises(RuleParameterError, match="rule BAD"):
+        apply_rules(df, [Rule("BAD", "broken", "v")])

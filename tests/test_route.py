@@ -168,6 +168,21 @@ def test_compaction(spark, tmp_path):
         compact_batches(spark, source, source, SCHEMA, 2)
 
 
+def test_growing_compactions_take_each_batch_once(spark, tmp_path):
+    source, target = RouteSink(f"{tmp_path}/many"), RouteSink(f"{tmp_path}/few")
+    for i in range(5):
+        source.write_batch(batch(spark, (i, "ok", "2024-01-01")), i)
+    for up_to in (1, 3, 3):
+        compact_batches(spark, source, target, SCHEMA, up_to_batch=up_to)
+    assert sorted(r.id for r in target.read(spark, SCHEMA).collect()) == [0, 1, 2, 3]
+    with pytest.raises(ValueError, match="already holds"):
+        compact_batches(spark, source, target, SCHEMA, up_to_batch=2)
+    compact_batches(spark, source, target, SCHEMA, up_to_batch=4, after_batch=3)
+    assert sorted(r.id for r in target.read(spark, SCHEMA).collect()) == [0, 1, 2, 3, 4]
+    with pytest.raises(ValueError, match="delta"):
+        compact_batches(spark, source, RouteSink("p", format="delta"), SCHEMA, 4)
+
+
 def test_catalog_table_over_a_route(spark, sinks):
     ensure_database(spark, "route_test")
     sinks[0].write_batch(batch(spark, *GOOD), 0)
@@ -188,3 +203,7 @@ def test_append_table(spark, tmp_path):
         append_table(batch(spark, *GOOD), "route_test.plain", f"{tmp_path}/plain")
     assert spark.table("route_test.plain").count() == 4
     assert os.path.isdir(f"{tmp_path}/plain/eventDate=2024-01-01")
+    append_table(batch(spark, *GOOD).withColumn("more", F.lit(1)), "route_test.plain", f"{tmp_path}/plain")
+    append_table(batch(spark, *GOOD), "route_test.plain", f"{tmp_path}/plain")
+    rows = spark.table("route_test.plain")
+    assert rows.count() == 8 and rows.filter("more = 1").count() == 2

@@ -119,6 +119,7 @@ def test_sample_rule_set(spark, events):
 
 def test_rename_map_form(spark):
     """The other way to standardise: a fixed map of names, time parsed in place."""
+    # Source and target names.
     names = {
         "signInID": "signInId", "customerID": "customerId", "applicationID": "applicationCode",
         "eventDateTimestamp": "eventTimestamp", "viewedField": "viewedFieldNames",

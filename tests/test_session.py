@@ -21,11 +21,12 @@ def test_tuning(session):
     assert session.conf.get(FILES) == str(OPEN_FILES_PER_TASK)
 
 
-def test_own_settings_stay(session):
-    session.conf.set(LIMIT, "4000")
-    session.conf.set(FILES, "9")
+@pytest.mark.parametrize("own", [("4000", "9"), ("65535", "0")])
+def test_own_settings_stay(session, own):
+    session.conf.set(LIMIT, own[0])
+    session.conf.set(FILES, own[1])
     tune_session(session)
-    assert (session.conf.get(LIMIT), session.conf.get(FILES)) == ("4000", "9")
+    assert (session.conf.get(LIMIT), session.conf.get(FILES)) == own
 
 
 def fake_session(checkpoint_dir, master):

@@ -154,6 +154,7 @@ def test_policy_table(spark, monkeypatch):
     assert [r.include for r in rules] == [None, None, ("web",)]
     assert rules[0].params == {"values": '["a", "b"]'}
     monkeypatch.setattr("rowsieve.sources.metadata.MAX_POLICIES", 2)
+    assert len(load_policies(spark, "one", table, limit=3)) == 3
     with pytest.raises(ValueError, match="more than 2"):
         load_policies(spark, "one", table)
 
@@ -243,3 +244,11 @@ def test_dedup(spark):
     assert dedup(with_map, ["k", "t"]).count() == 5
     with pytest.raises(ValueError, match="nope"):
         dedup(df, ["k", "nope"])
+
+
+def test_dedup_tells_unkeyed_rows_apart_by_their_maps(spark):
+    rows = [(None, "x", {"a": 1, "b": 2}), (None, "x", {"a": 2, "b": 2}), (None, "x", {"b": 2, "a": 1}), (1, "y", None), (1, "z", {})]
+    df = spark.createDataFrame(rows, "k int, v string, m map<string,int>")
+    assert dedup(df, ["k"]).count() == 3
+    nested = df.select("k", F.struct("m").alias("s"), F.array(F.col("m")).alias("l"))
+    assert dedup(nested.where("k IS NULL"), ["k"]).count() == 2

@@ -23,38 +23,33 @@ TRI = (True, False, None)
 register_rule("flag", lambda name, params: F.col(name))
 
 
-def chained(df, rules, scope):
-    """The verdict as a chain of columns, one rule after the other."""
-    df = df.withColumn("dq_errors", F.array().cast(ERRORS_TYPE)).withColumn("is_valid", F.lit(True))
-    for rule, in_scope in zip(rules, scope):
-        fails = in_scope & ~F.col(rule.column)
-        entry = F.struct(
-            F.lit(rule.rule_id).alias("rule_id"),
-            F.lit(rule.column).alias("column"),
-            F.lit(rule.message).alias("message"),
-        )
-        df = df.withColumn(
-            "dq_errors",
-            F.when(fails, F.array_union("dq_errors", F.array(entry))).otherwise(F.col("dq_errors")),
-        ).withColumn("is_valid", F.col("is_valid") & ~fails)
-    return df
+def expected_verdict(scopes, checks):
+    """Verdict and failed rules of one row, from plain three-valued logic."""
+    failed, open_rules = [], 0
+    for i, (scope, check) in enumerate(zip(scopes, checks, strict=True)):
+        if scope is False or check is True:
+            continue
+        if scope is True and check is False:
+            failed.append(f"R{i}")
+        else:
+            open_rules += 1
+    if failed:
+        return False, failed
+    return (None if open_rules else True), []
 
 
 def test_all_outcomes_of_three_scoped_rules(spark):
-    """729 rows: definite verdicts equal the chain's, and no row is lost."""
+    """729 rows: definite verdicts equal the model's, and no row is lost."""
     apps = {True: "in", False: "out", None: None}
-    rows = []
+    rows, expected = [], {}
     for scope in itertools.product(TRI, repeat=3):
         for check in itertools.product(TRI, repeat=3):
+            expected[len(rows)] = expected_verdict(scope, check)
             rows.append((len(rows), *[apps[s] for s in scope], *check))
     df = spark.createDataFrame(
         rows, "id int, a0 string, a1 string, a2 string, c0 boolean, c1 boolean, c2 boolean"
     )
-    rules = [Rule(f"R{i}", "flag", f"c{i}", {}, f"m{i}") for i in range(3)]
-    # One scope column per rule, so evaluate rule by rule and combine the outcomes.
-    naive = chained(df, rules, [F.col(f"a{i}") == "in" for i in range(3)])
-    expected = {r.id: (r.is_valid, [e.rule_id for e in r.dq_errors]) for r in naive.collect()}
-
+    # One scope column for each rule, as part of its check.
     for i in range(3):
         register_rule(
             f"scoped_flag_{i}",
@@ -262,6 +257,29 @@ def test_plan_evaluates_each_check_once(spark):
     assert "Python" not in plan and "Exchange" not in plan
 
 
+def test_error_route_evaluates_each_check_once(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    rules = [
+        Rule(f"R{i}", "regex_pattern", "props", {"pattern": f"mark{i}_"}, "m", ("click",))
+        for i in range(20)
+    ]
+    for rows in (
+        error_rows(df, rules, "event_type"),
+        split_verdict(apply_rules(df, rules, "event_type", filtered=True))[1],
+    ):
+        plan = rows._jdf.queryExecution().optimizedPlan().toString()
+        assert all(plan.count(f"mark{i}_") == 1 for i in range(20))
+
+
+def test_two_thousand_rules(spark):
+    """With the default heap and stack."""
+    df = spark.createDataFrame([("7",), ("x7",), (None,)], "v string")
+    rules = [Rule(f"R{i:04}", "regex_pattern", "v", {"pattern": f"^[0-{i % 10}]"}, "m") for i in range(2000)]
+    counts = {r.v: len(r.dq_errors) for r in apply_rules(df, rules).collect()}
+    assert counts == {"7": 1400, "x7": 2000, None: 2000}
+    assert valid_rows(df, rules).count() == 0
+
+
 def test_valid_route_pushes_checks_into_the_scan(spark):
     df = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     rules = [
