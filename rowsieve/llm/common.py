@@ -8,14 +8,17 @@ import tempfile
 import zipfile
 from collections.abc import Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 import rowsieve
 from rowsieve.queries.common import scratch
 
-__all__ = ["read", "scratch", "ship", "stored", "spans", "text_bytes", "WORK_BYTES"]
+__all__ = ["read", "scratch", "ship", "stored", "spans", "text_bytes", "maybe_among", "with_ids", "WORK_BYTES"]
 
 # Texts are taken together until they hold so many bytes; one longer text stands alone.
 WORK_BYTES = 1 << 20
@@ -37,8 +40,17 @@ def _package() -> str | None:
     return path
 
 
+# Bytes of a batch of rows that goes to or from Python at once, where the session names
+# no number: several batches are held at a time, on both sides.
+BATCH_BYTES = 16 << 20
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
 def ship(spark: SparkSession) -> None:
-    """Have Spark send this package's code to the workers, which may not have it."""
+    """Have Spark send this package's code to the workers, which may not have it, and
+    bound the batches they get; a bound that the session has set stays."""
+    if spark.conf.get(_BATCH_BYTES, None) is None:
+        spark.conf.set(_BATCH_BYTES, str(BATCH_BYTES))
     path = _package()
     if path and not any(f.endswith("/rowsieve.zip") for f in spark.sparkContext.listFiles):
         spark.sparkContext.addPyFile(path)
@@ -62,6 +74,42 @@ def stored(df: DataFrame, purpose: str, folder: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+# Bits of the filter that ``maybe_among`` sends to all tasks: 8 MB, however many keys.
+_FILTER_BITS = 1 << 26
+
+
+def maybe_among(rows: DataFrame, keys: DataFrame, *names: str, keep: bool = True) -> DataFrame:
+    """The rows whose values in ``names`` may be among those of ``keys``, or the others,
+    which surely are not.
+
+    A filter of one hash and fixed size goes to all tasks, so that rows without a partner
+    are not shuffled for the join that follows. With very many keys it lets more rows
+    through, no other ones. Only the bit's number goes to Python; the rows stay where they
+    are.
+    """
+    bit = F.pmod(F.xxhash64(*names), F.lit(_FILTER_BITS))
+    places = keys.select(bit.alias("bit")).select(
+        F.shiftright("bit", 5).alias("word"), F.expr("shiftleft(1L, cast(bit % 32 as int))").alias("bits")
+    )
+    found = places.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
+    held = np.zeros(_FILTER_BITS // 32, dtype=np.uint32)
+    held[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+    sent = rows.sparkSession.sparkContext.broadcast(held)
+
+    @F.pandas_udf("boolean")
+    def among(bits: pd.Series) -> pd.Series:
+        at = bits.to_numpy()
+        return pd.Series((sent.value[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1)
+
+    inside = among(bit)
+    return rows.where(inside if keep else ~inside)
+
+
+def with_ids(docs: DataFrame, ids: DataFrame, maybe: bool = True) -> DataFrame:
+    """The rows of ``docs`` whose ``doc_id`` may be among ``ids (doc_id)``, or the others."""
+    return maybe_among(docs, ids, "doc_id", keep=maybe)
+
+
 def text_bytes(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of each text; null counts as empty."""
     return [b"" if v is None else v for v in column.cast(pa.large_binary()).to_pylist()]

@@ -9,9 +9,11 @@ one, by ``(doc_id, line number)``, matches it; the earliest stays.
 What keeps this linear:
 
 * Equal lines are one row before anything else, the earliest.
-* One edit cannot touch both the first and the last ``ANCHOR`` words of a line of
-  ``LEAST_WORDS`` or more. Only lines that share one of these two runs with another line
-  emit variants; no match is lost.
+* One edit leaves one half of a line as it is. Of two lines that match, the shorter of m
+  words, either the first or the last m // 2 words are equal. Only lines that share such a
+  half, for the same m, with another line emit variants; no match is lost.
+* A shared first half puts the edit behind it, a shared last half before it, so only words
+  there are left out.
 * Lines that lack the same word of a shared variant all match each other, so each is
   compared with the earliest of them only, and no pairs within a group are formed. The
   earliest is found by partial aggregation.
@@ -34,11 +36,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowsieve.llm.common import spans, stored, text_bytes
+from rowsieve.llm.common import maybe_among, spans, stored, text_bytes, with_ids
 from rowsieve.llm.words import Words, mix, powers
 
 LEAST_WORDS = 10
-ANCHOR = 4
 _PLACE = ["doc_id", "tie", "line"]
 _BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 
@@ -67,7 +68,7 @@ class Lines:
 
 
 def line_keys(docs: DataFrame, least_words: int) -> DataFrame:
-    """``doc_id, tie, line, n, key_a, key_b, head, tail`` of the lines that take part."""
+    """``doc_id, tie, line, n, key_a, key_b, halves`` of the lines that take part."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -76,25 +77,30 @@ def line_keys(docs: DataFrame, least_words: int) -> DataFrame:
                 lines = Lines(text_bytes(part.column("text")))
                 n = lines.last - lines.first
                 pick = np.flatnonzero(n >= least_words)
-                a, b, n = lines.first[pick], lines.last[pick], n[pick].astype(np.uint64)
-                keys = [
-                    mix(lines.run(0, a, b) + n),
-                    mix(lines.run(1, a, b) + n),
-                    mix(lines.run(0, a, a + ANCHOR)),
-                    ~mix(lines.run(0, b - ANCHOR, b)),
-                ]
+                a, b, n = lines.first[pick], lines.last[pick], n[pick]
+                keys = [mix(lines.run(k, a, b) + n.astype(np.uint64)) for k in (0, 1)]
+                halves = []
+                for m in (n, n - 1):
+                    salt = mix(m.astype(np.uint64))
+                    halves += [mix(lines.run(0, a, a + m // 2) + salt), ~mix(lines.run(0, b - m // 2, b) + salt)]
+                halves = np.stack(halves, axis=1).ravel().view(np.int64)
                 of = pa.array(lines.text[pick])
                 columns = [part.column("doc_id").take(of), part.column("tie").take(of)]
                 columns += [pa.array(lines.number[pick].astype(np.int32)), pa.array(n.astype(np.int32))]
                 columns += [pa.array(k.view(np.int64)) for k in keys]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "tie", "line", "n", "key_a", "key_b", "head", "tail"])
+                ends = pa.array(np.arange(0, 4 * len(pick) + 1, 4), pa.int32())
+                columns.append(pa.ListArray.from_arrays(ends, pa.array(halves)))
+                yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "tie", "line", "n", "key_a", "key_b", "halves"])
 
-    return docs.mapInArrow(run, "doc_id long, tie long, line int, n int, key_a long, key_b long, head long, tail long")
+    return docs.mapInArrow(run, "doc_id long, tie long, line int, n int, key_a long, key_b long, halves array<long>")
 
 
 def line_variants(docs: DataFrame) -> DataFrame:
     """The lines that ``docs (doc_id, tie, text, lines)`` names: their words as they stand
-    and their variants, first the one without any word left out."""
+    and their variants with the place of the word left out, first -1 for none.
+
+    ``lines`` has the number of a line and which of its four halves it shares.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         inverse = np.uint64(pow(_BASES[0], -1, 1 << 64))
@@ -102,13 +108,13 @@ def line_variants(docs: DataFrame) -> DataFrame:
             for lo, hi in spans(batch.column("text")):
                 part = batch.slice(lo, hi - lo)
                 lines = Lines(text_bytes(part.column("text")))
-                wanted = part.column("lines").to_pylist()
+                wanted = [_halves_by_line(x) for x in part.column("lines").to_pylist()]
                 ids = part.column("doc_id").to_pylist()
                 ties = part.column("tie").to_pylist()
                 of = {(int(t), int(k)): i for i, (t, k) in enumerate(zip(lines.text, lines.number, strict=True))}
                 out: list[tuple] = []
                 for text, numbers in enumerate(wanted):
-                    for number in sorted(set(numbers)):
+                    for number, shared in sorted(numbers.items()):
                         i = of.get((text, number))
                         if i is None:
                             continue
@@ -116,16 +122,34 @@ def line_variants(docs: DataFrame) -> DataFrame:
                         sums = lines.sums[0][a : b + 1] - lines.sums[0][a]
                         without = sums[:-1] + (sums[-1] - sums[1:]) * inverse
                         scale = powers(pow(_BASES[0], -1, 1 << 64), a + 1)[a]
-                        keys = mix(np.concatenate([sums[-1:], without]) * scale)
+                        places = _places(b - a, shared)
+                        keys = mix(np.concatenate([sums[-1:], without[places]]) * scale)
+                        places = np.concatenate([[-1], places]).astype(np.int32)
                         raw = lines.words.raw[lines.words.starts[a] : lines.words.ends[b - 1]].tobytes()
-                        out.append((ids[text], ties[text], number, b - a, keys.view(np.int64), raw.decode()))
+                        out.append((ids[text], ties[text], number, b - a, places, keys.view(np.int64), raw.decode()))
                 if out:
                     columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)]
                     yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    names = ["doc_id", "tie", "line", "n", "variants", "words"]
-    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()), pa.string()]
-    return docs.mapInArrow(run, "doc_id long, tie long, line int, n int, variants array<long>, words string")
+    names = ["doc_id", "tie", "line", "n", "places", "variants", "words"]
+    types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.string()]
+    return docs.mapInArrow(run, "doc_id long, tie long, line int, n int, places array<int>, variants array<long>, words string")
+
+
+def _halves_by_line(lines: list[dict]) -> dict[int, set[int]]:
+    out: dict[int, set[int]] = {}
+    for x in lines:
+        out.setdefault(x["line"], set()).add(x["half"])
+    return out
+
+
+def _places(n: int, shared: set[int]) -> np.ndarray:
+    """The words of a line of n that an edit may concern, given the halves it shares: the
+    first and last n // 2 words are halves 0 and 1, those of (n - 1) // 2 are 2 and 3."""
+    behind = min((m // 2 for half, m in ((0, n), (2, n - 1)) if half in shared), default=n)
+    before = max((n - m // 2 for half, m in ((1, n), (3, n - 1)) if half in shared), default=0)
+    at = np.arange(n)
+    return at[(at >= behind) | (at < before)]
 
 
 def _rows(docs: DataFrame) -> DataFrame:
@@ -136,47 +160,51 @@ def _rows(docs: DataFrame) -> DataFrame:
 def repeated_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """``doc_id, tie, line``: the lines (from 0) that an earlier line matches. ``tie`` is
     the text's ``xxhash64``."""
-    if least_words < 2 * ANCHOR + 1:
-        raise ValueError(f"least_words must be {2 * ANCHOR + 1} or more")
+    if least_words < 4:
+        raise ValueError("least_words must be 4 or more")
     docs = _rows(docs)
     lines = stored(line_keys(docs, least_words), "lines")
     distinct = stored(
         lines.groupBy("key_a", "key_b").agg(
             F.min(F.struct(*_PLACE)).alias("at"),
             F.count("*").alias("held"),
-            *[F.first(c).alias(c) for c in ("head", "tail")],
+            F.first("halves").alias("halves"),
         ),
         "distinct",
     )
     near = _near(docs, distinct)
     again = stored(distinct.where("held > 1").select("key_a", "key_b", "at"), "again")
-    later = lines.select("key_a", "key_b", F.struct(*_PLACE).alias("own")).join(again, ["key_a", "key_b"])
-    later = later.where("own <> at").select("own.*")
+    later = maybe_among(lines, again, "key_a").select("key_a", "key_b", F.struct(*_PLACE).alias("own"))
+    later = later.join(again, ["key_a", "key_b"]).where("own <> at").select("own.*")
     # The later places of a line that goes are here, its earliest is in the other part.
     return later.union(near)
 
 
 def _near(docs: DataFrame, distinct: DataFrame) -> DataFrame:
     """The earliest places of distinct lines that an earlier, different line matches."""
-    anchors = distinct.select("at", F.explode(F.array("head", "tail")).alias("anchor"))
-    shared = anchors.groupBy("anchor").count().where("count > 1").select("anchor")
-    shared = stored(shared, "anchors")
-    chosen = anchors.join(shared, "anchor", "left_semi").select("at.*")
-    chosen = chosen.groupBy("doc_id", "tie").agg(F.collect_set("line").alias("lines"))
+    halves = distinct.select("at", F.posexplode("halves").alias("which", "half"))
+    shared = halves.groupBy("half").count().where("count > 1").select("half")
+    shared = stored(shared, "halves")
+    chosen = maybe_among(halves, shared, "half").join(shared, "half", "left_semi").select("at.*", "which")
+    which = F.struct("line", F.col("which").alias("half"))
+    chosen = chosen.groupBy("doc_id", "tie").agg(F.collect_set(which).alias("lines"))
     chosen = stored(chosen, "chosen")
-    emitted = docs.join(chosen, ["doc_id", "tie"]).select("doc_id", "tie", "text", "lines")
+    emitted = with_ids(docs, chosen).join(chosen, ["doc_id", "tie"]).select("doc_id", "tie", "text", "lines")
     emitted = stored(line_variants(emitted).distinct(), "variants")
     own = F.struct(*_PLACE).alias("own")
     whole = emitted.select("n", F.col("variants")[0].alias("variant"), own)
-    lacking = emitted.select("n", F.posexplode("variants").alias("place", "variant"), own)
-    lacking = lacking.where("place > 0")
+    lacking = emitted.select("n", F.explode(F.arrays_zip("places", "variants")).alias("v"), own)
+    lacking = lacking.select("n", F.col("v.places").alias("place"), F.col("v.variants").alias("variant"), "own")
+    lacking = lacking.where("place >= 0")
     # Lines that lack the same word: the earliest matches all others.
-    first = lacking.groupBy("variant", "n", "place").agg(F.min("own").alias("other"), F.count("*").alias("held"))
+    same = ["variant", "n", "place"]
+    first = lacking.groupBy(*same).agg(F.min("own").alias("other"), F.count("*").alias("held"))
     first = stored(first.where("held > 1").drop("held"), "first")
-    replaced = lacking.join(first, ["variant", "n", "place"]).select("own", "other")
+    replaced = maybe_among(lacking, first, *same).join(first, same).select("own", "other")
     # Lines that are another line without one word.
     shorter = whole.select("variant", (F.col("n") + 1).alias("n"), F.col("own").alias("short"))
-    longer = stored(lacking.join(shorter, ["variant", "n"]).select("own", "short"), "longer")
+    longer = maybe_among(lacking, whole, "variant").join(shorter, ["variant", "n"])
+    longer = stored(longer.select("own", "short"), "longer")
     cut = longer.groupBy("short").agg(F.min("own").alias("other")).select(F.col("short").alias("own"), "other")
     pairs = replaced.union(longer.select("own", F.col("short").alias("other"))).union(cut)
     pairs = stored(pairs.where("other < own").distinct(), "pairs")
@@ -220,12 +248,14 @@ def dedup_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
     """
     docs = docs.drop("removed_lines")
     gone = repeated_lines(docs, least_words).groupBy("doc_id", "tie").agg(F.collect_set("line").alias("_lines"))
-    gone = stored(gone, "gone").select(F.col("doc_id").alias("_doc"), F.col("tie").alias("_tie"), "_lines")
+    gone = stored(gone, "gone")
+    whole = with_ids(docs, gone, maybe=False).withColumn("removed_lines", F.lit(0))
+    gone = gone.select(F.col("doc_id").alias("_doc"), F.col("tie").alias("_tie"), "_lines")
     same = (F.col("doc_id").cast("long") == F.col("_doc")) & (F.xxhash64("text") == F.col("_tie"))
-    rows = docs.join(gone, same, "left")
+    rows = with_ids(docs, gone.select(F.col("_doc").alias("doc_id"))).join(gone, same, "left")
     lines = F.split("text", "\n", -1)
     kept = F.filter(lines, lambda _, i: ~F.array_contains("_lines", i))
     text = F.when(F.col("_lines").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
     removed = F.when(F.col("_lines").isNull(), 0).otherwise(F.size("_lines"))
     columns = [text.alias("text") if c == "text" else F.col(c) for c in docs.columns]
-    return rows.select(*columns, removed.alias("removed_lines"))
+    return whole.union(rows.select(*columns, removed.alias("removed_lines")))
