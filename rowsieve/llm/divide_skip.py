@@ -39,12 +39,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowsieve.llm.common import spans, stored, text_bytes
+from rowsieve.llm.common import maybe_among, spans, stored, text_bytes, with_ids
 from rowsieve.llm.components import components
 from rowsieve.llm.words import mix, shingle_sets
 
 LONG_LIST = 100
 MAX_LONG = 1_000_000
+# Times that documents choose other lists when theirs turn out long.
+PUT_OFF_ROUNDS = 3
 
 
 @dataclass(frozen=True)
@@ -123,12 +125,9 @@ def jaccard_components(docs: DataFrame, rule: Rule | None = None, long_list: int
     rule = rule or Rule()
     docs = docs.select(F.col("doc_id").cast("long"), "text")
     sets = stored(heads(docs, rule), "heads")
+    firsts = stored(_firsts(sets), "firsts")
     usable = sets.where("doc_id IS NOT NULL AND n_shingles > 0")
-    firsts = usable.groupBy("key_a", "key_b").agg(
-        F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("head").alias("head")
-    )
-    firsts = stored(firsts, "firsts")
-    copies = usable.select("doc_id", "key_a", "key_b").join(
+    copies = maybe_among(usable, firsts.where("held > 1"), "key_a").select("doc_id", "key_a", "key_b").join(
         firsts.select("key_a", "key_b", "rep"), ["key_a", "key_b"]
     )
     copies = copies.where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
@@ -144,49 +143,69 @@ def jaccard_components(docs: DataFrame, rule: Rule | None = None, long_list: int
 
 
 def _postings(firsts: DataFrame) -> DataFrame:
-    return firsts.select("rep", "n", F.explode("head").alias("shingle"))
+    return firsts.select("rep", F.explode("head").alias("shingle"))
 
 
 def _merged_lists(docs: DataFrame, firsts: DataFrame, rule: Rule, long_list: int) -> DataFrame:
-    """Postings ``rep, n, shingle`` of the lists to merge, long ones put off."""
-    lists = _postings(firsts)
-    total = firsts.agg(F.coalesce(F.sum(F.size("head")), F.lit(0))).first()[0]
-    # At most MAX_LONG shingles can have so many postings.
-    limit = max(long_list, -(-total // MAX_LONG))
-    long = stored(lists.groupBy("shingle").count().where(F.col("count") > limit).select("shingle"), "long")
-    touched = stored(lists.join(long, "shingle", "left_semi").select(F.col("rep").alias("doc_id")).distinct(), "touched")
-    if touched.isEmpty():
-        return stored(lists, "lists")
-    # Documents with a long list among theirs: all their shingles are counted, the long
-    # ones put last.
-    rows = docs.join(touched, "doc_id", "left_semi")
-    counted = _all_shingles(rows, rule).groupBy("shingle").agg(F.sum("held").alias("count"))
-    total = counted.agg(F.coalesce(F.sum("count"), F.lit(0))).first()[0]
-    limit = max(limit, -(-total // MAX_LONG))
-    late = counted.where(F.col("count") > limit).select("shingle").toArrow().column("shingle")
-    late = np.sort(late.to_numpy().view(np.uint64))
-    again = heads(rows, rule, late).where("n_shingles > 0")
-    again = again.groupBy("key_a", "key_b").agg(
-        F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("head").alias("head")
+    """Postings ``rep, n, shingle`` of the lists to merge that have two documents or more,
+    long lists put off."""
+    late = np.zeros(0, dtype=np.uint64)
+    rest, again = firsts.select("rep", "n", "head"), None
+    for _ in range(PUT_OFF_ROUNDS):
+        new = _long(rest if again is None else again, long_list, late)
+        if not len(new):
+            break
+        late = np.sort(np.concatenate([late, new]))
+        # Documents that would merge a long list choose anew, with these lists last.
+        part = rest.select("rep", "head").mapInArrow(_touching(late), "doc_id long")
+        touched = part if again is None else part.union(again.select("rep"))
+        touched = stored(touched.distinct(), "touched")
+        # Texts stay in their tasks; only the shingles chosen are joined.
+        found = heads(with_ids(docs, touched), rule, late).where("n_shingles > 0")
+        found = found.join(touched, "doc_id", "left_semi")
+        again = stored(found.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "head"), "again")
+        rest = stored(rest.join(touched, rest.rep == touched.doc_id, "left_anti"), "rest")
+    chosen = rest if again is None else rest.union(again)
+    lists = _postings(chosen)
+    shared = lists.groupBy("shingle").count().where("count > 1").select("shingle")
+    shared = stored(shared, "shared")
+    lists = maybe_among(lists, shared, "shingle")
+    lists = stored(lists.join(shared, "shingle", "left_semi"), "lists")
+    return stored(lists.join(chosen.select("rep", "n"), "rep"), "lists")
+
+
+def _firsts(sets: DataFrame) -> DataFrame:
+    """One representative of equal sets, the smallest id."""
+    usable = sets.where("doc_id IS NOT NULL AND n_shingles > 0")
+    return usable.groupBy("key_a", "key_b").agg(
+        F.min("doc_id").alias("rep"),
+        F.first("n_shingles").alias("n"),
+        F.first("head").alias("head"),
+        F.count("*").alias("held"),
     )
-    rest = firsts.join(touched, firsts.rep == touched.doc_id, "left_anti")
-    return stored(_postings(rest).union(_postings(again)), "lists")
 
 
-def _all_shingles(docs: DataFrame, rule: Rule) -> DataFrame:
-    """``shingle, held``: how many texts of a stretch of rows hold each shingle."""
+def _long(firsts: DataFrame, long_list: int, late: np.ndarray) -> np.ndarray:
+    """Shingles whose lists are long and not known to be."""
+    total = firsts.agg(F.coalesce(F.sum(F.size("head")), F.lit(0))).first()[0]
+    # At most MAX_LONG shingles can have more postings than this.
+    limit = max(long_list, -(-total // MAX_LONG))
+    counts = _postings(firsts).groupBy("shingle").count().where(F.col("count") > limit)
+    found = counts.select("shingle").toArrow().column("shingle").to_numpy().view(np.uint64)
+    return found[~_among(found, late)]
+
 
+def _touching(late: np.ndarray):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sets = []
-            for lo, hi in spans(batch.column("text")):
-                sets += shingle_sets(text_bytes(batch.column("text").slice(lo, hi - lo)), rule.words)
-            values, counts = np.unique(np.concatenate(sets), return_counts=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(values.view(np.int64)), pa.array(counts.astype(np.int64))], names=["shingle", "held"]
-            )
+            lists = batch.column("head")
+            hit = _among(lists.flatten().to_numpy().view(np.uint64), late)
+            ends = np.cumsum(pa.compute.list_value_length(lists).to_numpy())
+            sums = np.concatenate([[0], np.cumsum(hit)])
+            some = np.diff(np.concatenate([[0], sums[ends]])) > 0
+            yield pa.RecordBatch.from_arrays([batch.column("rep").filter(pa.array(some))], names=["doc_id"])
 
-    return docs.select("text").mapInArrow(run, "shingle long, held long")
+    return run
 
 
 def _similar_size(a: str, b: str, rule: Rule):
@@ -240,10 +259,11 @@ def rule_overlap(n, rule: Rule):
 def verified(docs: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
     """The pairs ``a, b`` whose texts reach the similarity, tested on whole texts."""
     pairs = stored(pairs, "pairs")
-    ids = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = stored(docs.join(stored(ids, "ids"), "doc_id", "left_semi"), "texts")
-    right = pairs.join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
-    rows = right.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
+    # Filters of fixed size keep texts without a pair out of the shuffles.
+    first, second = (stored(pairs.select(F.col(c).alias("doc_id")).distinct(), "ids") for c in ("a", "b"))
+    left = with_ids(docs, first).select(F.col("doc_id").alias("a"), F.col("text").alias("text_a"))
+    right = with_ids(docs, second).select(F.col("doc_id").alias("b"), F.col("text").alias("text_b"))
+    rows = pairs.join(right, "b").join(left, "a")
 
     def probe(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
