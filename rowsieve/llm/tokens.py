@@ -22,7 +22,7 @@ from tokenizers import Tokenizer
 from rowsieve.llm.common import text_bytes
 
 # Pieces that a worker keeps; beyond that it starts anew.
-KEPT_PIECES = 800_000
+KEPT_PIECES = 1_200_000
 
 # Letters that are lower case, composed and alike in every Unicode version.
 _ASCII_LETTERS = "abcdefghijklmnopqrstuvwxyz"
@@ -58,13 +58,13 @@ class WordEncoder:
         self.letters = set((_ASCII_LETTERS + _LATIN_LETTERS) if self.by_word else "")
         self.stand_in = {ord(c): "".join(_byte_letters()[b] for b in c.encode()) for c in _LATIN_LETTERS}
         self.pieces: dict[bytes, bytes] = {}
-        self.stems: dict[str, bytes] = {}
 
     def _stem(self, stem: str) -> bytes:
-        found = self.stems.get(stem)
+        key = stem.encode()
+        found = self.pieces.get(key)
         if found is None:
             tokens = self.whole.model.tokenize(stem.translate(self.stand_in))
-            found = self.stems[stem] = _packed([t.id for t in tokens])
+            found = self.pieces[key] = _packed([t.id for t in tokens])
         return found
 
     def _learn(self, pieces: list[bytes]) -> None:
@@ -93,7 +93,6 @@ class WordEncoder:
             return
         if len(self.pieces) > KEPT_PIECES:
             self.pieces.clear()
-            self.stems.clear()
         for mark in (".", ","):
             if mark.encode() not in self.pieces:
                 ids = self.whole.encode(mark, add_special_tokens=False).ids
