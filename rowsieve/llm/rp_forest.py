@@ -34,14 +34,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from rowsieve.llm.common import stored
-from rowsieve.llm.components import components
+from rowsieve.llm.components import components, joined
 from rowsieve.llm.words import mix
 
-TREES = 8
+TREES = 6
 LEAF = 1024
-SAMPLE = 4096
-LEVELS = 8
-SPILL = 0.5
+SAMPLE = 16_384
+LEVELS = 10
+SPILL = 0.35
 MODEL_BYTES = 32 << 20
 
 Model = tuple[int, dict[int, float], float]  # seed, threshold by heap number, margin
@@ -114,7 +114,7 @@ def fit_splits(x: np.ndarray, total: int, goal: int, seed: int, margin: float) -
     todo = [(1, np.arange(len(x)))]
     while todo:
         number, rows = todo.pop()
-        if number >= 1 << LEVELS or len(rows) < 32 or total * len(rows) / len(x) <= goal:
+        if number >= 1 << LEVELS or len(rows) < 16 or total * len(rows) / len(x) <= goal:
             continue
         p = x[rows] @ _direction(seed, number, x.shape[1])
         share = np.random.default_rng([seed % (1 << 63), number]).uniform(0.4, 0.6)
@@ -261,7 +261,7 @@ def _comparer(threshold: float):
             # Anew in one fixed order, so that it does not depend on the shape of the block.
             exact = np.einsum("ij,ij->i", x[i], x[j])
             i, j = i[exact >= threshold], j[exact >= threshold]
-            root = _joined(root, i, j)
+            root = joined(root, i, j)
             first = ~_shared(earlier, node, i, j)
             np.add.at(links, i[first], copies[j[first]])
             np.add.at(links, j[first], copies[i[first]])
@@ -293,19 +293,3 @@ def _shared(earlier: np.ndarray, node: int, i: np.ndarray, j: np.ndarray) -> np.
             column = a[:, k : k + 1]
             out[lo : lo + 50_000] |= ((column == b) & (column != node)).any(axis=1)
     return out
-
-
-def _joined(root: np.ndarray, i: np.ndarray, j: np.ndarray) -> np.ndarray:
-    """Smallest members of the groups that the pairs join."""
-    while len(i):
-        low = np.minimum(root[i], root[j])
-        new = root.copy()
-        np.minimum.at(new, root[i], low)
-        np.minimum.at(new, root[j], low)
-        new = new[new]
-        while not np.array_equal(new, new[new]):
-            new = new[new]
-        if np.array_equal(new, root):
-            break
-        root = new
-    return root
