@@ -181,6 +181,8 @@ def host_path(url: Column) -> tuple[Column, Column]:
 def rule_keys(host: Column, path: Column, rules: Sequence[str]) -> Column:
     """All keys, longest first, that a rule ``host/path`` fitting this URL could have: the
     host or a domain above it, and a beginning of the path as long as some rule's."""
+    if not rules:
+        return F.array().cast("array<string>")
     split = [r.partition("/") for r in rules]
     labels = range(1, 1 + max((h.count(".") + 1 for h, _, _ in split), default=0))
     lengths = sorted({len(p) + 1 for _, _, p in split})

@@ -164,7 +164,7 @@ def scan(files: DataFrame, templates: dict[str, str] | None = None, header: floa
     nearest = stored(_nearest(files, directories), "nearest")
     rows = files.select(*kept).withColumn("_dir", parent(F.col("path"))).withColumn("_hash", F.xxhash64("text"))
     mine = own.select(F.col("path").alias("_path"), F.col("hash").alias("_h"), F.col("own.licence").alias("_l"), F.col("own.score").alias("_s"))
-    rows = rows.join(mine, (F.col("path") == F.col("_path")) & (F.col("_hash") == F.col("_h")), "left")
+    rows = rows.join(mine, F.col("path").eqNullSafe(F.col("_path")) & (F.col("_hash") == F.col("_h")), "left")
     above = nearest.select(F.col("dir").alias("_of"), F.col("from").alias("_from"), F.col("licence").alias("_al"), F.col("score").alias("_as"))
     rows = rows.join(above, F.col("_dir") == F.col("_of"), "left")
     return rows.select(
