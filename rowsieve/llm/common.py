@@ -21,7 +21,7 @@ from rowsieve.queries.common import scratch
 __all__ = ["read", "scratch", "ship", "stored", "spans", "text_bytes", "maybe_among", "with_ids", "WORK_BYTES"]
 
 # Texts are taken together until they hold so many bytes; one longer text stands alone.
-WORK_BYTES = 1 << 20
+WORK_BYTES = 1 << 18
 
 
 @functools.lru_cache(maxsize=1)
@@ -42,7 +42,7 @@ def _package() -> str | None:
 
 # Bytes of a batch of rows that goes to or from Python at once, where the session names
 # no number: several batches are held at a time, on both sides.
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 

@@ -46,7 +46,7 @@ from rowsieve.llm.words import mix, shingle_sets
 LONG_LIST = 100
 MAX_LONG = 1_000_000
 # Times that documents choose other lists when theirs turn out long.
-PUT_OFF_ROUNDS = 3
+PUT_OFF_ROUNDS = 2
 
 
 @dataclass(frozen=True)
@@ -156,15 +156,16 @@ def _merged_lists(docs: DataFrame, firsts: DataFrame, rule: Rule, long_list: int
         if not len(new):
             break
         late = np.sort(np.concatenate([late, new]))
-        # Documents that would merge a long list choose anew, with these lists last.
+        # Documents that would merge a long list choose anew, with these lists last. The
+        # filter lets some others through: theirs come out as they were, so there is
+        # nothing to join.
         part = rest.select("rep", "head").mapInArrow(_touching(late), "doc_id long")
         touched = part if again is None else part.union(again.select("rep"))
         touched = stored(touched.distinct(), "touched")
-        # Texts stay in their tasks; only the shingles chosen are joined.
-        found = heads(with_ids(docs, touched), rule, late).where("n_shingles > 0")
-        found = found.join(touched, "doc_id", "left_semi")
+        found = heads(with_ids(docs, touched), rule, late).where("doc_id IS NOT NULL AND n_shingles > 0")
         again = stored(found.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "head"), "again")
-        rest = stored(rest.join(touched, rest.rep == touched.doc_id, "left_anti"), "rest")
+        named = rest.withColumnRenamed("rep", "doc_id")
+        rest = with_ids(named, touched, maybe=False).withColumnRenamed("doc_id", "rep")
     chosen = rest if again is None else rest.union(again)
     lists = _postings(chosen)
     shared = lists.groupBy("shingle").count().where("count > 1").select("shingle")
