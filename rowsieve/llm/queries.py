@@ -117,6 +117,23 @@ def op7_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_index.read_archive(spark, folder).drop("url", "payload")
 
 
+OP6_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+s AS (SELECT doc_id, list_distinct(CASE
+    WHEN len(w) >= 4 THEN [array_to_string(w[i:i + 3], ' ') for i in range(1, len(w) - 2)]
+    WHEN len(w) > 0 THEN [array_to_string(w, ' ')] ELSE [] END) AS s FROM w),
+p AS (SELECT doc_id, len(s) AS n, unnest(s) AS g FROM s),
+link AS (SELECT a.doc_id AS x, b.doc_id AS y FROM p a JOIN p b ON a.g = b.g AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))),
+reach(x, y) AS (SELECT doc_id, doc_id FROM s UNION SELECT r.x, l.y FROM reach r JOIN link l ON r.y = l.x),
+c AS (SELECT x, min(y) AS component_id FROM reach GROUP BY x)
+SELECT s.doc_id, len(s.s) AS n_shingles, c.component_id FROM s JOIN c ON c.x = s.doc_id
+"""
+
+
 # Five hexadecimal digits are four digits of base 32.
 _BASE32_SQL = """array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', cast(
     (cast('0x' || substr(sha, cast(1 + 5 * (i // 4) as bigint), 5) as bigint) >> cast(15 - 5 * (i % 4) as bigint)) & 31
@@ -203,6 +220,29 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+OP10_SQL = r"""
+WITH x AS (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents),
+e AS (SELECT doc_id, l - 1 AS l, list_filter(regexp_split_to_array(
+    translate(ls[l], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda y: y <> '') AS w
+  FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS l FROM x)),
+t AS (SELECT doc_id, l, w, array_to_string(w, ' ') AS t FROM e WHERE len(w) >= 10),
+d AS (SELECT t, any_value(w) AS w, len(any_value(w)) AS n, min(struct_pack(d := doc_id, l := l)) AS pl FROM t GROUP BY t),
+v AS (SELECT t, n, pl, i, array_to_string(w[1:i - 1] || w[i + 1:], ' ') AS v
+  FROM (SELECT t, w, n, pl, unnest(range(1, n + 1)) AS i FROM d)),
+f AS (SELECT v, n, i, min(pl) AS first FROM v GROUP BY v, n, i),
+near AS (SELECT v.t FROM v JOIN f ON v.v = f.v AND v.n = f.n AND v.i = f.i WHERE f.first < v.pl
+  UNION SELECT v.t FROM v JOIN d ON v.v = d.t WHERE d.pl < v.pl
+  UNION SELECT d.t FROM v JOIN d ON v.v = d.t WHERE v.pl < d.pl),
+gone AS (SELECT t.doc_id, list(t.l) AS ls FROM t JOIN d ON t.t = d.t
+  WHERE struct_pack(d := t.doc_id, l := t.l) <> d.pl OR t.t IN (SELECT t FROM near) GROUP BY t.doc_id),
+k AS (SELECT x.doc_id, coalesce(len(g.ls), 0) AS removed_lines,
+    array_to_string([y for y, i in x.ls if not list_contains(coalesce(g.ls, []), i - 1)], chr(10)) AS text
+  FROM x LEFT JOIN gone g ON g.doc_id = x.doc_id)
+SELECT doc_id, removed_lines, length(text) AS kept_chars, md5(text) AS kept_md5 FROM k
+"""
+
+
 QUERIES = {
     "op1_quality_mil": op1_quality_mil,
     "op2_token_orc": op2_token_orc,
@@ -218,6 +258,8 @@ QUERIES = {
 ORACLES: dict[str, str] = {
     "op3_rp_forest": OP3_SQL,
     "op5_bloom_cascade": OP5_SQL,
+    "op6_jaccard_divide_skip": OP6_SQL,
     "op7_warc_index": OP7_SQL,
     "op8_license_scan": OP8_SQL,
+    "op10_line_dedup": OP10_SQL,
 }
