@@ -12,8 +12,9 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
 
 import rowsieve
 from rowsieve.queries.common import scratch
@@ -87,8 +88,8 @@ def maybe_among(rows: DataFrame, keys: DataFrame, *names: str, keep: bool = True
     through, no other ones. Only the bit's number goes to Python; the rows stay where they
     are.
     """
-    bit = F.pmod(F.xxhash64(*names), F.lit(_FILTER_BITS))
-    places = keys.select(bit.alias("bit")).select(
+    bit = _bit(rows, names)
+    places = keys.select(_bit(keys, names).alias("bit")).select(
         F.shiftright("bit", 5).alias("word"), F.expr("shiftleft(1L, cast(bit % 32 as int))").alias("bits")
     )
     found = places.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
@@ -105,6 +106,13 @@ def maybe_among(rows: DataFrame, keys: DataFrame, *names: str, keep: bool = True
     return rows.where(inside if keep else ~inside)
 
 
+def _bit(rows: DataFrame, names: tuple[str, ...]) -> Column:
+    """Whole numbers of every width hash alike."""
+    whole = {f.name for f in rows.schema.fields if isinstance(f.dataType, IntegralType)}
+    values = [F.col(n).cast("long") if n in whole else F.col(n) for n in names]
+    return F.pmod(F.xxhash64(*values), F.lit(_FILTER_BITS))
+
+
 def with_ids(docs: DataFrame, ids: DataFrame, maybe: bool = True) -> DataFrame:
     """The rows of ``docs`` whose ``doc_id`` may be among ``ids (doc_id)``, or the others."""
     return maybe_among(docs, ids, "doc_id", keep=maybe)
