@@ -37,9 +37,9 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     """Documents without the lines that an earlier one holds; none that is left empty."""
     ship(spark)
     rows = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text")
-    kept = line_dedup.dedup_lines(rows)
+    kept = line_dedup.dedup_lines(rows, exact_words=1)
     changed = F.col("removed_lines") > 0
-    kept = kept.where(~changed | (F.trim(F.col("text")) != ""))
+    kept = kept.where(~changed | F.col("text").rlike(r"\S"))
     row = F.col("row").withField("text", F.when(changed, F.col("text")).otherwise(F.col("row.text")))
     if "n_chars" in docs.columns:
         kind = docs.schema["n_chars"].dataType

@@ -17,11 +17,14 @@ What keeps this linear:
 * Lines that lack the same word of a shared variant all match each other, so each is
   compared with the earliest of them only, and no pairs within a group are formed. The
   earliest is found by partial aggregation.
+* Lines that hold more than one part in ``HOT_PARTS`` of all lines, of which there are
+  fewer than that, meet their earliest place without a shuffle.
 
 Every match found by hashed keys is verified on the words themselves.
 
-Lines of fewer than ``least_words`` words are kept and match nothing: short lines are
-alike by chance. Rows with a null id are kept as they are and take no part; null texts
+Lines of fewer than ``least_words`` words match equal lines only, and of those no lines of
+fewer than ``exact_words`` words: one edit is a large share of a short line. Lines without
+words are kept. Rows with a null id are kept as they are and take no part; null texts
 stay null. Rows that repeat both id and text count as one document: their lines stay in each. Rows
 that repeat an id with other texts are documents of their own, ordered by a hash of the
 text.
@@ -40,6 +43,7 @@ from rowsieve.llm.common import maybe_among, spans, stored, text_bytes, with_ids
 from rowsieve.llm.words import Words, mix, powers
 
 LEAST_WORDS = 10
+HOT_PARTS = 1000
 _PLACE = ["doc_id", "tie", "line"]
 _BASES = (0xD6E8FEB86659FD93, 0xA0761D6478BD642F)
 
@@ -67,8 +71,9 @@ class Lines:
         return (self.sums[which][hi] - self.sums[which][lo]) * inverse[lo]
 
 
-def line_keys(docs: DataFrame, least_words: int) -> DataFrame:
-    """``doc_id, tie, line, n, key_a, key_b, halves`` of the lines that take part."""
+def line_keys(docs: DataFrame, least_words: int, exact_words: int) -> DataFrame:
+    """``doc_id, tie, line, n, key_a, key_b, halves`` of the lines that take part; those of
+    fewer than ``least_words`` words have no halves."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -76,19 +81,20 @@ def line_keys(docs: DataFrame, least_words: int) -> DataFrame:
                 part = batch.slice(lo, hi - lo)
                 lines = Lines(text_bytes(part.column("text")))
                 n = lines.last - lines.first
-                pick = np.flatnonzero(n >= least_words)
+                pick = np.flatnonzero(n >= min(least_words, exact_words))
                 a, b, n = lines.first[pick], lines.last[pick], n[pick]
                 keys = [mix(lines.run(k, a, b) + n.astype(np.uint64)) for k in (0, 1)]
                 halves = []
+                edits = n >= least_words
                 for m in (n, n - 1):
                     salt = mix(m.astype(np.uint64))
                     halves += [mix(lines.run(0, a, a + m // 2) + salt), ~mix(lines.run(0, b - m // 2, b) + salt)]
-                halves = np.stack(halves, axis=1).ravel().view(np.int64)
+                halves = np.stack(halves, axis=1)[edits].ravel().view(np.int64)
                 of = pa.array(lines.text[pick])
                 columns = [part.column("doc_id").take(of), part.column("tie").take(of)]
                 columns += [pa.array(lines.number[pick].astype(np.int32)), pa.array(n.astype(np.int32))]
                 columns += [pa.array(k.view(np.int64)) for k in keys]
-                ends = pa.array(np.arange(0, 4 * len(pick) + 1, 4), pa.int32())
+                ends = pa.array(np.concatenate([[0], np.cumsum(4 * edits)]), pa.int32())
                 columns.append(pa.ListArray.from_arrays(ends, pa.array(halves)))
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "tie", "line", "n", "key_a", "key_b", "halves"])
 
@@ -157,13 +163,14 @@ def _rows(docs: DataFrame) -> DataFrame:
     return rows.select(F.col("doc_id").cast("long"), F.xxhash64("text").alias("tie"), "text")
 
 
-def repeated_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+def repeated_lines(docs: DataFrame, least_words: int = LEAST_WORDS, exact_words: int | None = None) -> DataFrame:
     """``doc_id, tie, line``: the lines (from 0) that an earlier line matches. ``tie`` is
-    the text's ``xxhash64``."""
+    the text's ``xxhash64``. ``exact_words`` is ``least_words`` unless given."""
     if least_words < 4:
         raise ValueError("least_words must be 4 or more")
+    exact_words = least_words if exact_words is None else exact_words
     docs = _rows(docs)
-    lines = stored(line_keys(docs, least_words), "lines")
+    lines = stored(line_keys(docs, least_words, exact_words), "lines")
     distinct = stored(
         lines.groupBy("key_a", "key_b").agg(
             F.min(F.struct(*_PLACE)).alias("at"),
@@ -173,9 +180,15 @@ def repeated_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame
         "distinct",
     )
     near = _near(docs, distinct)
-    again = stored(distinct.where("held > 1").select("key_a", "key_b", "at"), "again")
+    again = stored(distinct.where("held > 1").select("key_a", "key_b", "at", "held"), "again")
     later = maybe_among(lines, again, "key_a").select("key_a", "key_b", F.struct(*_PLACE).alias("own"))
-    later = later.join(again, ["key_a", "key_b"]).where("own <> at").select("own.*")
+    # Fewer than HOT_PARTS rows.
+    total = lines.count()
+    hot = F.broadcast(again.where(F.col("held") * HOT_PARTS > total).drop("held"))
+    often = later.join(hot, ["key_a", "key_b"])
+    seldom = later.join(hot, ["key_a", "key_b"], "left_anti")
+    seldom = seldom.join(again.where(F.col("held") * HOT_PARTS <= total).drop("held"), ["key_a", "key_b"])
+    later = often.union(seldom).where("own <> at").select("own.*")
     # The later places of a line that goes are here, its earliest is in the other part.
     return later.union(near)
 
@@ -240,14 +253,14 @@ def _verified(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "doc_id long, tie long, line int")
 
 
-def dedup_lines(docs: DataFrame, least_words: int = LEAST_WORDS) -> DataFrame:
+def dedup_lines(docs: DataFrame, least_words: int = LEAST_WORDS, exact_words: int | None = None) -> DataFrame:
     """``docs`` without repeated lines, and the count ``removed_lines`` of each row.
 
     The lines left keep their order and spelling. A column named ``removed_lines`` is
     replaced, all others stay.
     """
     docs = docs.drop("removed_lines")
-    gone = repeated_lines(docs, least_words).groupBy("doc_id", "tie").agg(F.collect_set("line").alias("_lines"))
+    gone = repeated_lines(docs, least_words, exact_words).groupBy("doc_id", "tie").agg(F.collect_set("line").alias("_lines"))
     gone = stored(gone, "gone")
     whole = with_ids(docs, gone, maybe=False).withColumn("removed_lines", F.lit(0))
     gone = gone.select(F.col("doc_id").alias("_doc"), F.col("tie").alias("_tie"), "_lines")

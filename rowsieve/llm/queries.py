@@ -210,8 +210,9 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All documents without lines that an earlier line matches up to one word."""
-    kept = line_dedup.dedup_lines(read(spark, sf_dir, "documents"))
+    """All documents without lines that an earlier line equals or, from ten words on,
+    matches up to one word."""
+    kept = line_dedup.dedup_lines(read(spark, sf_dir, "documents"), exact_words=1)
     return kept.select(
         "doc_id",
         F.col("removed_lines").cast("long").alias("removed_lines"),
