@@ -11,6 +11,9 @@ trees with other directions make it unlikely that a linked pair never shares one
   that are split again in the next round, so leaves stay small at any number of vectors.
 * A node that splits do not make smaller (vectors so close that the margins hold them all)
   stays whole and is compared in pairs of blocks, each pair a group of its own.
+* So does a node whose split would part too many of its linked pairs, as in a large loose
+  group: the share of pairs kept is measured on the sample at every split and carried down
+  the tree, and may not fall below what all trees together need for ``RECALL``.
 * A pair that shares several leaves counts in the first of them. So links are counted
   within leaves and summed, and no pairs leave a task: only sums and, for the components,
   at most one link a vector and leaf.
@@ -43,8 +46,13 @@ SAMPLE = 16_384
 LEVELS = 10
 SPILL = 0.35
 MODEL_BYTES = 32 << 20
+RECALL = 0.995
+ANCHORS = 256
+LEAST_PAIRS = 30
 
-Model = tuple[int, dict[int, float], float]  # seed, threshold by heap number, margin
+# Seed, threshold by heap number, margin, share of linked pairs kept by heap number, and
+# the ends that stay whole.
+Model = tuple[int, dict[int, float], float, dict[int, float], set[int]]
 
 
 def near_vectors(vectors: DataFrame, threshold: float = 0.9, trees: int = TREES, leaf: int = LEAF, spill: float = SPILL) -> DataFrame:
@@ -108,9 +116,15 @@ def _direction(seed: int, number: int, width: int) -> np.ndarray:
     return r / np.linalg.norm(r)
 
 
-def fit_splits(x: np.ndarray, total: int, goal: int, seed: int, margin: float) -> Model:
-    """Splits of a node of ``total`` vectors, learned from the sample ``x``."""
+def fit_splits(x: np.ndarray, total: int, goal: int, seed: int, margin: float, threshold: float, kept: float, least: float) -> Model:
+    """Splits of a node of ``total`` vectors, learned from the sample ``x``.
+
+    ``kept`` is the share of linked pairs that the splits above have left together, and
+    ``least`` what must be left at the ends.
+    """
     splits: dict[int, float] = {}
+    shares = {1: kept}
+    whole: set[int] = set()
     todo = [(1, np.arange(len(x)))]
     while todo:
         number, rows = todo.pop()
@@ -122,14 +136,32 @@ def fit_splits(x: np.ndarray, total: int, goal: int, seed: int, margin: float) -
         low, high = rows[p < at + margin], rows[p >= at - margin]
         if max(len(low), len(high)) > 0.85 * len(rows):
             continue
+        left = shares[number] * (1 - _parted(x[rows], p, at, margin, threshold, [seed % (1 << 63), number, 1]))
+        if left < least:
+            whole.add(number)
+            continue
         splits[number] = at
+        shares[2 * number] = shares[2 * number + 1] = left
         todo += [(2 * number, low), (2 * number + 1, high)]
-    return seed, splits, margin
+    return seed, splits, margin, shares, whole
+
+
+def _parted(x: np.ndarray, p: np.ndarray, at: float, margin: float, threshold: float, seed: list[int]) -> float:
+    """The share of linked pairs, of some vectors with all, that neither side holds; 0
+    where too few are linked to tell."""
+    some = np.random.default_rng(seed).choice(len(x), size=min(ANCHORS, len(x)), replace=False)
+    linked = x[some] @ x.T >= threshold
+    linked[np.arange(len(some)), some] = False
+    i, j = np.nonzero(linked)
+    if len(i) < LEAST_PAIRS:
+        return 0.0
+    a, b = p[some[i]], p[j]
+    return float(((np.maximum(a, b) >= at + margin) & (np.minimum(a, b) < at - margin)).mean())
 
 
 def route(model: Model, x: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
     """``(heap number of the end, rows)`` for all ends that rows reach."""
-    seed, splits, margin = model
+    seed, splits, margin = model[:3]
     todo = [(1, np.arange(len(x)))]
     while todo:
         number, rows = todo.pop()
@@ -149,38 +181,40 @@ def _leaves(points: DataFrame, threshold: float, trees: int, leaf: int, spill: f
     trees = trees if count > leaf else 1
     # Linked unit vectors differ by at most this much, spread over all directions.
     reach = math.sqrt(max(0.0, 2 - 2 * threshold))
+    least = 1 - (1 - RECALL) ** (1 / trees)
     roots = F.array(*[F.lit(_node(t)) for t in range(trees)])
     node = F.explode(roots).alias("root")
     # Widths never mix.
     at = points.select("row", "width", node)
-    rows = at.select("row", F.xxhash64("root", "width").alias("node"), F.lit(count <= leaf).alias("final"))
+    rows = at.select("row", F.xxhash64("root", "width").alias("node"), F.lit(count <= leaf).alias("final"), F.lit(1.0).alias("kept"))
     done = None
     while True:
         rows = stored(rows, "nodes")
-        big = rows.where("NOT final").groupBy("node").count().where(F.col("count") > leaf)
-        big = stored(big.withColumnRenamed("count", "total"), "big")
+        big = rows.where("NOT final").groupBy("node").agg(F.count("*").alias("total"), F.first("kept").alias("kept"))
+        big = stored(big.where(F.col("total") > leaf), "big")
         rest = rows.join(big, "node", "left_anti").select("row", "node")
         done = rest if done is None else done.union(rest)
         if big.isEmpty():
             return done
-        split = rows.where("NOT final").join(big, "node").join(points.select("row", "embedding"), "row")
-        split = stored(split.select("row", "node", "total", "embedding"), "split")
+        split = rows.where("NOT final").drop("kept").join(big, "node").join(points.select("row", "embedding"), "row")
+        split = stored(split.select("row", "node", "total", "kept", "embedding"), "split")
         picked = split.where(F.pmod(F.xxhash64("row", "node"), F.col("total")) < SAMPLE)
-        models = picked.groupBy("node").applyInArrow(_fitter(leaf // 2, reach, spill), "node long, model binary")
+        models = picked.groupBy("node").applyInArrow(_fitter(leaf // 2, reach, spill, threshold, least), "node long, model binary")
         models = stored(models, "models")
         rows = None
         for block in _model_blocks(models):
             part = split.where(F.col("node").isin(list(block))) if len(block) <= 1000 else split
-            part = part.select("row", "node", "embedding").mapInArrow(_router(block), "row long, node long, final boolean")
+            part = part.select("row", "node", "embedding").mapInArrow(_router(block), "row long, node long, final boolean, kept double")
             rows = part if rows is None else rows.union(part)
 
 
-def _fitter(goal: int, reach: float, spill: float):
+def _fitter(goal: int, reach: float, spill: float, threshold: float, least: float):
     def fit(group: pa.Table) -> pa.Table:
         width = len(group.column("embedding")[0])
         x = _unit(group.column("embedding"), width)
         node, total = group.column("node")[0].as_py(), group.column("total")[0].as_py()
-        model = fit_splits(x, total, goal, node, spill * reach / math.sqrt(width))
+        kept = group.column("kept")[0].as_py()
+        model = fit_splits(x, total, goal, node, spill * reach / math.sqrt(width), threshold, kept, least)
         return pa.table({"node": pa.array([node], pa.int64()), "model": pa.array([pickle.dumps(model)], pa.binary())})
 
     return fit
@@ -212,11 +246,11 @@ def _router(block: dict[int, bytes]):
                 x = _unit(vectors, len(vectors[0]))
                 for number, rows in route(model, x):
                     # A node without splits stays as it is.
-                    final = number == 1
-                    new = node if final else _node(node, number)
+                    new = node if number == 1 else _node(node, number)
+                    final, kept = number == 1 or number in model[4], model[3][number]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(ids[here[rows]]), pa.array(np.full(len(rows), new)), pa.array(np.full(len(rows), final))],
-                        names=["row", "node", "final"],
+                        [pa.array(ids[here[rows]]), pa.array(np.full(len(rows), new)), pa.array(np.full(len(rows), final)), pa.array(np.full(len(rows), kept))],
+                        names=["row", "node", "final", "kept"],
                     )
 
     return run

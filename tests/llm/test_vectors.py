@@ -65,6 +65,23 @@ def test_a_close_group_larger_than_a_leaf_is_compared_in_blocks(spark):
     assert {(x["n_links"], x["component_id"]) for x in found} == {(399, 0)}
 
 
+def test_a_loose_group_of_many_leaves_keeps_its_links(spark):
+    r = np.random.default_rng(6)
+    near = r.normal(size=64)
+    near /= np.linalg.norm(near)
+    # A third of the rows at a mean cosine of about 0.91, the others anywhere.
+    group = near + 0.315 / 8 * r.normal(size=(2000, 64))
+    x = np.concatenate([group, r.normal(size=(4000, 64))])
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    truth = (unit @ unit.T >= 0.9).sum(axis=1) - 1
+    assert 0.9 < (unit[:2000] @ unit[:2000].T).mean() < 0.92
+    rows = [(i, v.tolist()) for i, v in enumerate(x)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = {f["vec_id"]: f["n_links"] for f in near_vectors(df, 0.9, leaf=64).collect()}
+    assert all(found[i] <= truth[i] for i in found)
+    assert sum(found.values()) >= 0.99 * truth.sum() > 1_000_000
+
+
 def test_components_of_chains_stars_and_copies(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 130)] + [(7, 6), (5, 5), (None, 3), (300, 299)]
     df = spark.createDataFrame(links, "a long, b long")
