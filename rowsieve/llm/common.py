@@ -75,7 +75,9 @@ def stored(df: DataFrame, purpose: str, folder: str | None = None) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-# Bits of the filter that ``maybe_among`` sends to all tasks: 8 MB, however many keys.
+# Bits of the filter that ``maybe_among`` sends to all tasks: so many for each key, 8 MB
+# however many keys.
+_BITS_A_KEY = 32
 _FILTER_BITS = 1 << 26
 
 
@@ -83,10 +85,10 @@ def maybe_among(rows: DataFrame, keys: DataFrame, *names: str, keep: bool = True
     """The rows whose values in ``names`` may be among those of ``keys``, or the others,
     which surely are not.
 
-    A filter of one hash and fixed size goes to all tasks, so that rows without a partner
-    are not shuffled for the join that follows. With very many keys it lets more rows
-    through, no other ones. Only the bit's number goes to Python; the rows stay where they
-    are.
+    A filter of one hash goes to all tasks, so that rows without a partner are not shuffled
+    for the join that follows. Its size follows the number of keys up to ``_FILTER_BITS``;
+    with more keys it lets more rows through, no other ones. Only the bit's number goes to
+    Python; the rows stay where they are.
     """
     bit = _bit(rows, names)
     places = keys.select(_bit(keys, names).alias("bit")).select(
@@ -95,17 +97,26 @@ def maybe_among(rows: DataFrame, keys: DataFrame, *names: str, keep: bool = True
     found = places.groupBy("word").agg(F.bit_or("bits").alias("bits")).toArrow()
     held = np.zeros(_FILTER_BITS // 32, dtype=np.uint32)
     held[found.column("word").to_numpy()] = found.column("bits").to_numpy()
+    held = _folded(held)
+    mask = 32 * len(held) - 1
     sent = rows.sparkSession.sparkContext.broadcast(held)
 
     @F.pandas_udf("boolean")
     def among(bits: pd.Series) -> pd.Series:
-        at = bits.to_numpy()
+        at = bits.to_numpy() & mask
         return pd.Series((sent.value[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1)
 
     inside = among(bit)
     return rows.where(inside if keep else ~inside)
 
 
+def _folded(held: np.ndarray) -> np.ndarray:
+    """The filter with its bits taken modulo a smaller size, where its keys are few."""
+    wanted = _BITS_A_KEY * max(256, int(np.bitwise_count(held).sum(dtype=np.int64)))
+    words = min(len(held), 1 << ((wanted - 1).bit_length() - 5))
+    return np.bitwise_or.reduce(held.reshape(-1, words), axis=0)
+
+
 def _bit(rows: DataFrame, names: tuple[str, ...]) -> Column:
     """Whole numbers of every width hash alike."""
     whole = {f.name for f in rows.schema.fields if isinstance(f.dataType, IntegralType)}

@@ -5,7 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rowsieve.llm import best_fit, bloom_cascade, cgk_decontam, divide_skip, license_scan, line_dedup, quality_mil, rp_forest, token_orc, warc_index
+from rowsieve.llm import (
+    best_fit,
+    bloom_cascade,
+    cgk_decontam,
+    conversation_repair,
+    conversation_sql,
+    divide_skip,
+    lexical_search,
+    license_scan,
+    line_dedup,
+    piecewise_hash,
+    quality_mil,
+    rp_forest,
+    token_orc,
+    warc_index,
+)
 from rowsieve.llm.common import read, scratch
 
 
@@ -227,14 +242,15 @@ e AS (SELECT doc_id, l - 1 AS l, list_filter(regexp_split_to_array(
     translate(ls[l], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[\x20\x09-\x0D]+'), lambda y: y <> '') AS w
   FROM (SELECT doc_id, ls, unnest(range(1, len(ls) + 1)) AS l FROM x)),
-t AS (SELECT doc_id, l, w, array_to_string(w, ' ') AS t FROM e WHERE len(w) >= 10),
+t AS (SELECT doc_id, l, w, array_to_string(w, ' ') AS t FROM e WHERE len(w) >= 1),
 d AS (SELECT t, any_value(w) AS w, len(any_value(w)) AS n, min(struct_pack(d := doc_id, l := l)) AS pl FROM t GROUP BY t),
+m AS (SELECT * FROM d WHERE n >= 10),
 v AS (SELECT t, n, pl, i, array_to_string(w[1:i - 1] || w[i + 1:], ' ') AS v
-  FROM (SELECT t, w, n, pl, unnest(range(1, n + 1)) AS i FROM d)),
+  FROM (SELECT t, w, n, pl, unnest(range(1, n + 1)) AS i FROM m)),
 f AS (SELECT v, n, i, min(pl) AS first FROM v GROUP BY v, n, i),
 near AS (SELECT v.t FROM v JOIN f ON v.v = f.v AND v.n = f.n AND v.i = f.i WHERE f.first < v.pl
-  UNION SELECT v.t FROM v JOIN d ON v.v = d.t WHERE d.pl < v.pl
-  UNION SELECT d.t FROM v JOIN d ON v.v = d.t WHERE v.pl < d.pl),
+  UNION SELECT v.t FROM v JOIN m AS d ON v.v = d.t WHERE d.pl < v.pl
+  UNION SELECT d.t FROM v JOIN m AS d ON v.v = d.t WHERE v.pl < d.pl),
 gone AS (SELECT t.doc_id, list(t.l) AS ls FROM t JOIN d ON t.t = d.t
   WHERE struct_pack(d := t.doc_id, l := t.l) <> d.pl OR t.t IN (SELECT t FROM near) GROUP BY t.doc_id),
 k AS (SELECT x.doc_id, coalesce(len(g.ls), 0) AS removed_lines,
@@ -244,6 +260,46 @@ SELECT doc_id, removed_lines, length(text) AS kept_chars, md5(text) AS kept_md5
 """
 
 
+def op11_norm_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty best documents, of all, for each benchmark item."""
+    return lexical_search.rank(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+_TERMS_SQL = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+OP11_SQL = f"""
+WITH t AS (SELECT doc_id, {_TERMS_SQL} AS ts FROM documents WHERE text IS NOT NULL),
+s AS (SELECT count(*) AS docs, sum(len(ts)) AS words FROM t WHERE len(ts) > 0),
+q AS (SELECT item_id, term, count(*) AS times FROM (SELECT item_id, unnest({_TERMS_SQL}) AS term FROM benchmark) GROUP BY ALL),
+d AS (SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, len(ts) AS n, unnest(ts) AS term FROM t)
+  WHERE term IN (SELECT term FROM q) GROUP BY ALL),
+w AS (SELECT term, cast(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM d, s GROUP BY term),
+x AS (SELECT item_id, doc_id, sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * docs) // words)))) AS score
+  FROM q JOIN w USING (term) JOIN d USING (term) CROSS JOIN s GROUP BY item_id, doc_id),
+r AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score FROM x WHERE score > 0)
+SELECT item_id, cast(rank AS INTEGER) AS rank, doc_id, cast(score AS BIGINT) AS score FROM r WHERE rank <= 20
+"""
+
+
+def op12_piecewise_hash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and of their texts edited by the next document."""
+    return piecewise_hash.compare_in_order(read(spark, sf_dir, "documents"))
+
+
+def op13_branch_and_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations damaged and repaired; those without a row left have nothing to do."""
+    rows = read(spark, sf_dir, "conversations")
+    found = conversation_repair.report(conversation_repair.repair(conversation_repair.damaged(rows)))
+    every = rows.select(F.col("conv_id").cast("long")).distinct()
+    counts = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    found = every.alias("e").join(found.alias("f"), F.col("e.conv_id").eqNullSafe(F.col("f.conv_id")), "left")
+    return found.select(
+        "e.conv_id",
+        *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in counts],
+        F.coalesce("audit", F.lit("")).alias("audit"),
+        F.coalesce("repaired_sha256", F.sha2(F.lit(""), 256)).alias("repaired_sha256"),
+    )
+
+
 QUERIES = {
     "op1_quality_mil": op1_quality_mil,
     "op2_token_orc": op2_token_orc,
@@ -255,6 +311,9 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_best_fit_packing": op9_best_fit_packing,
     "op10_line_dedup": op10_line_dedup,
+    "op11_norm_buckets": op11_norm_buckets,
+    "op12_piecewise_hash": op12_piecewise_hash,
+    "op13_branch_and_bound": op13_branch_and_bound,
 }
 ORACLES: dict[str, str] = {
     "op3_rp_forest": OP3_SQL,
@@ -263,4 +322,6 @@ ORACLES: dict[str, str] = {
     "op7_warc_index": OP7_SQL,
     "op8_license_scan": OP8_SQL,
     "op10_line_dedup": OP10_SQL,
+    "op11_norm_buckets": OP11_SQL,
+    "op13_branch_and_bound": conversation_sql.REPAIR_SQL,
 }

@@ -2,15 +2,22 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 
 # White space is space, tab, line feed, vertical tab, form feed, return.
 SPACES = b" \t\n\x0b\x0c\r"
 
+# A term is a run of ASCII letters, digits and everything beyond ASCII.
+_TERM_BYTES = b"0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz" + bytes(range(128, 256))
+
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _IS_SPACE = np.zeros(256, dtype=bool)
 _IS_SPACE[list(SPACES)] = True
+BETWEEN_TERMS = np.ones(256, dtype=bool)
+BETWEEN_TERMS[list(_TERM_BYTES)] = False
 
 _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C55  # odd, so it has an inverse modulo 2**64
@@ -43,17 +50,17 @@ def mix(values: np.ndarray) -> np.ndarray:
 
 
 class Words:
-    """The words of some texts.
+    """The words of some texts: runs of bytes that are not ``between`` words.
 
     ``hashes`` are of the lower-cased (A-Z only) bytes, ``starts`` and ``ends`` are byte
     places in the joined buffer, ``bounds[i]:bounds[i + 1]`` are the words of text i.
     """
 
-    def __init__(self, texts: list[bytes]):
+    def __init__(self, texts: list[bytes], between: np.ndarray = _IS_SPACE):
         joined = b"\n".join(texts) + b"\n"
         self.raw = np.frombuffer(joined, dtype=np.uint8)
         low = _LOWER[self.raw]
-        space = _IS_SPACE[low]
+        space = between[low]
         word = ~space
         edge = np.diff(np.concatenate([[False], word, [False]]).view(np.int8))
         self.starts = np.flatnonzero(edge == 1)
@@ -73,6 +80,23 @@ class Words:
         return self.hashes[self.bounds[i] : self.bounds[i + 1]]
 
 
+def pieces(text: bytes, limit: int, between: np.ndarray = _IS_SPACE) -> Iterator[bytes]:
+    """A text in parts of at most ``limit`` bytes, cut between words only: a longer word
+    stays whole."""
+    start = 0
+    while len(text) - start > limit:
+        end = start + limit
+        cuts = np.flatnonzero(between[np.frombuffer(text, np.uint8, limit, start)])
+        if len(cuts):
+            end = start + int(cuts[-1]) + 1
+        while not len(cuts) and end < len(text):
+            cuts = np.flatnonzero(between[np.frombuffer(text, np.uint8, min(limit, len(text) - end), end)])
+            end = end + int(cuts[0]) if len(cuts) else min(len(text), end + limit)
+        yield text[start:end]
+        start = end
+    yield text[start:]
+
+
 def shingle_sets(texts: list[bytes], size: int) -> list[np.ndarray]:
     """For each text the sorted distinct hashes of its runs of ``size`` words.
 

@@ -1,13 +1,10 @@
 import random
 
-import duckdb
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from rowsieve.llm.line_dedup import dedup_lines, within_one_edit
-from rowsieve.llm.queries import OP10_SQL, op10_line_dedup
 from tests.llm.texts import awkward, frame, prose
-from tests.test_oracle import SF_DIR, comparable
 
 
 def distance(a, b):
@@ -111,16 +108,3 @@ def test_short_lines_that_are_equal_go(spark):
             seen.append(words)
         expected.append((doc_id, "\n".join(kept)))
     assert found(spark, rows, exact_words=1) == sorted(expected, key=repr)
-
-
-def test_query_removes_short_repeats_and_else_does_what_its_sql_does(spark):
-    # OP10_SQL with lines of every length, edits still from ten words on.
-    sql = OP10_SQL.replace("FROM e WHERE len(w) >= 10)", "FROM e WHERE len(w) >= 1)")
-    sql = sql.replace("FROM t GROUP BY t),", "FROM t GROUP BY t),\nm AS (SELECT * FROM d WHERE n >= 10),")
-    sql = sql.replace("AS i FROM d)),", "AS i FROM m)),").replace("JOIN d ON v.v = d.t", "JOIN m AS d ON v.v = d.t")
-    assert sql.count("m AS") == 3 and sql.count("FROM m") == 1
-    tables = duckdb.connect()
-    tables.execute(f"CREATE VIEW documents AS SELECT * FROM '{SF_DIR}/documents.parquet'")
-    ours = op10_line_dedup(spark, SF_DIR).toPandas()
-    assert comparable(ours) == comparable(tables.execute(sql).df())
-    assert ours["removed_lines"].sum() > tables.execute(OP10_SQL).df()["removed_lines"].sum()
