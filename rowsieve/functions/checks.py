@@ -130,6 +130,16 @@ def _converted(spark: SparkSession, kind: DataType, texts: tuple[str, ...]) -> t
     return tuple(v for v in row if v is not None)
 
 
+@functools.lru_cache(maxsize=1_000)
+def converted_texts(spark: SparkSession, kind: DataType, texts: tuple[str, ...]) -> tuple[str | None, ...]:
+    """How values of a type, given as text, are spelled as text again; None for those
+    that are none."""
+    if not texts:
+        return ()
+    spelled = F.transform(F.array(*[F.lit(t) for t in texts]), lambda t: t.try_cast(kind).cast("string"))
+    return tuple(spark.sql("SELECT 1 AS one").select(spelled).first()[0])
+
+
 @dataclass(frozen=True)
 class RuleType:
     """``prepare`` sees session, column type and parameters once, while planning."""
