@@ -91,10 +91,15 @@ def _whole_number(value: Any) -> int:
         raise RuleParameterError(f"'length' is not a whole number: {value!r}") from e
 
 
+@functools.lru_cache(maxsize=1)
+def _pattern_class(spark: SparkSession) -> Any:
+    return spark._jvm.java.util.regex.Pattern
+
+
 def _compiled_pattern(spark: SparkSession, kind: DataType, params: Params) -> Params:
     """The pattern must be one that the JVM accepts."""
     try:
-        spark._jvm.java.util.regex.Pattern.compile(params["pattern"])
+        _pattern_class(spark).compile(params["pattern"])
     except Exception as e:
         raise RuleParameterError(f"'pattern' cannot be used: {params['pattern']!r}") from e
     return params

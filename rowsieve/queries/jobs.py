@@ -20,7 +20,7 @@ from rowsieve.queries.common import SECONDS, SECONDS_SQL, scratch, table, verdic
 from rowsieve.queries.rules import COMBINED_VERDICT_SQL, checked_events, combined_rules, policy
 from rowsieve.sinks.files import start_append
 from rowsieve.sinks.tables import RouteSink, compact_batches
-from rowsieve.streaming.bronze import start_bronze
+from rowsieve.streaming.bronze import start_bronze, start_bronze_split
 from rowsieve.streaming.silver import await_end, register_silver, silver_schema, start_silver
 from rowsieve.streaming.triggers import trigger_options
 
@@ -195,21 +195,21 @@ def _side_by_side(valid: DataFrame, error: DataFrame) -> DataFrame:
     )
 
 
-def stream_bronze_documents(spark, sf_dir):
-    """All events landed as pretty-printed arrays over many lines, a thousand a file, with
-    a broken file among them and a file of another name beside them."""
-    folder = scratch(spark, "documents")
-    config = _config(folder, folder[-32:])
+def _land_documents(spark: SparkSession, sf_dir: str, config: PipelineConfig, broken: str) -> None:
+    """All events as pretty-printed arrays over many lines, a thousand a file, with a
+    broken file among them and a file of another name beside them."""
     time = F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("event_time")
     events = table(spark, sf_dir, "events").select(
         (F.col("event_id") / 1000).cast("int").alias("file"), F.struct("event_id", "event_type", "value", time).alias("event")
     )
     files = events.groupBy("file").agg(F.to_json(F.collect_list("event"), {"pretty": "true"}).alias("text"))
-    broken = spark.createDataFrame([(-1, '[\n  {"event_id": 1,\n    oops')], "file int, text string")
+    broken = spark.createDataFrame([(-1, broken)], "file int, text string")
     files.union(broken).write.partitionBy("file").text(config.landing_path)
     files.select("text").write.json(f"{config.landing_path}/other")
-    await_end(start_bronze(spark, config, trigger_options()))
-    return spark.table(config.bronze_name).select(
+
+
+def _documents(bronze: DataFrame) -> DataFrame:
+    return bronze.select(
         _or_minus_one("event_id"),
         "event_type",
         _or_minus_one("value"),
@@ -218,6 +218,25 @@ def stream_bronze_documents(spark, sf_dir):
     )
 
 
+def stream_bronze_documents(spark, sf_dir):
+    """Objects over many lines by the reader that takes a file as one document."""
+    folder = scratch(spark, "documents")
+    config = _config(folder, folder[-32:])
+    _land_documents(spark, sf_dir, config, '[\n  {"event_id": 1,\n    oops')
+    await_end(start_bronze(spark, config, trigger_options()))
+    return _documents(spark.table(config.bronze_name))
+
+
+def stream_bronze_split(spark, sf_dir):
+    """The same by splits of files; of a broken file the good objects are kept."""
+    folder = scratch(spark, "split")
+    config = _config(folder, folder[-32:])
+    good = '[ {"event_id": -7, "event_type": "a } b",\n "value": 1}, {\n"event_id": -8}'
+    _land_documents(spark, sf_dir, config, good + ', oops\n {"event_id": 1,\n    oops')
+    await_end(start_bronze_split(spark, config))
+    return _documents(spark.table(config.bronze_name))
+
+
 def route_replay(spark, sf_dir):
     """The same batch routed twice, by rules that change where most rows belong."""
     folder = scratch(spark, "replay")
@@ -287,6 +306,7 @@ QUERIES = {
         compact_twice,
         stream_bronze,
         stream_bronze_documents,
+        stream_bronze_split,
         stream_silver,
         stream_silver_tables,
         stream_restart,
@@ -321,15 +341,20 @@ _SILVER_ROWS_SQL = (
     f"CASE WHEN is_valid THEN 'valid' ELSE 'error' END AS route, rule_ids FROM ({_SILVER_SQL})"
 )
 
+_DOCUMENTS_SQL = (
+    "SELECT event_id, event_type, value, "
+    "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || 'Z' AS event_time, false AS malformed FROM events "
+)
+
 ORACLES = {
     "route_replay": f"SELECT event_id, CASE WHEN is_valid THEN 'valid' ELSE 'error' END AS route FROM ({COMBINED_VERDICT_SQL})",
     "route_metrics": "SELECT 'mixed' AS batch, count(*) FILTER (is_valid) AS valid, count(*) FILTER (NOT is_valid) AS error, "
     "count(*) FILTER (is_valid) AS valid_written, count(*) FILTER (NOT is_valid) AS error_written "
     f"FROM ({COMBINED_VERDICT_SQL}) UNION ALL SELECT 'valid only', count(*), 0, count(*), 0 FROM events",
     "compact_twice": "SELECT event_id, event_type, value FROM events",
-    "stream_bronze_documents": "SELECT event_id, event_type, value, "
-    "strftime(ts, '%Y-%m-%dT%H:%M:%S.%f') || 'Z' AS event_time, false AS malformed FROM events "
-    "UNION ALL SELECT -1, NULL, -1, NULL, true",
+    "stream_bronze_documents": _DOCUMENTS_SQL + "UNION ALL SELECT -1, NULL, -1, NULL, true",
+    "stream_bronze_split": _DOCUMENTS_SQL + "UNION ALL SELECT -7, 'a } b', 1, NULL, false "
+    "UNION ALL SELECT -8, NULL, -1, NULL, false UNION ALL SELECT -1, NULL, -1, NULL, true UNION ALL SELECT -1, NULL, -1, NULL, true",
     "stream_silver_tables": _SILVER_ROWS_SQL,
     "stream_restart": _SILVER_ROWS_SQL,
     "route_valid": "SELECT event_id, applicationCode, label, props, value, time_text "

@@ -6,15 +6,21 @@ from rowsieve.sources.metadata import (
     load_rules,
     schema_registry,
 )
+from rowsieve.sources.objects import cut_objects, object_lines, parse_objects, read_objects, stream_lines
 from rowsieve.sources.tables import stream_table
 
 __all__ = [
     "active_schema",
+    "cut_objects",
     "dq_policies",
     "load_policies",
     "load_rules",
+    "object_lines",
+    "parse_objects",
     "read_landing",
+    "read_objects",
     "schema_registry",
     "stream_landing",
+    "stream_lines",
     "stream_table",
 ]

@@ -1,4 +1,4 @@
-from rowsieve.streaming.bronze import bronze_stream, start_bronze
+from rowsieve.streaming.bronze import bronze_sink, bronze_stream, start_bronze, start_bronze_split
 from rowsieve.streaming.silver import (
     await_end,
     register_silver,
@@ -11,10 +11,12 @@ from rowsieve.streaming.triggers import trigger_options
 
 __all__ = [
     "await_end",
+    "bronze_sink",
     "bronze_stream",
     "register_silver",
     "silver_schema",
     "start_bronze",
+    "start_bronze_split",
     "start_routing",
     "start_routing_once",
     "start_silver",
