@@ -10,8 +10,11 @@ space). Finding such runs:
   edit distance becomes Hamming distance.
 * Bit sampling then takes a few places of the embedding as a key. Windows and items with
   the same key are candidates. This is repeated with other walks and places until pairs at
-  the bound meet with the wanted recall, which is measured on the items themselves when
-  the index is built.
+  the bound meet with the wanted recall, which is measured on copies of the items, edited
+  and followed by other words as in a document, when the index is built. There is no limit
+  to the repetitions but that recall.
+* Exact copies depend on no sampled place: the hash of a whole run of words meets that of
+  an item of as many.
 * Windows start at every word. Those that hold too few words of any item for the bound are
   passed over first; that loses no match, and few windows remain to be embedded.
 * Candidates are verified by the exact edit distance with a free end.
@@ -19,7 +22,8 @@ space). Finding such runs:
 Items are handled in blocks of bounded size (``BLOCK_WORDS``), each sent to all tasks; a
 larger benchmark takes more passes over the documents. Documents are only mapped, never
 shuffled. Null and empty texts or items match nothing. Nothing is assumed about ids: each
-row is judged for itself.
+row is judged for itself, also where rows repeat. Of several runs that match an item the
+one with fewest edits counts, the earliest of those. Other columns stay as they are.
 """
 
 from __future__ import annotations
@@ -34,14 +38,17 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rowsieve.llm.common import spans, text_bytes
-from rowsieve.llm.words import Words, mix
+from rowsieve.llm.words import Words, mix, powers
 
 SHARE = 0.1
 RECALL = 0.99
 BLOCK_WORDS = 1_000_000
 SAMPLES = 3
-MOST_REPETITIONS = 60
+# Texts are taken together up to so many bytes: each slice walks all classes anew.
+SLICE_BYTES = 4 << 20
 _TRIALS = 300
+_BASE = 0xC2B2AE3D27D4EB4F
+_INVERSE = pow(_BASE, -1, 1 << 64)
 _SIEVE_BITS = 20
 
 
@@ -58,6 +65,8 @@ class LengthClass:
     window: int
     known: np.ndarray = field(default_factory=lambda: np.zeros(0, bool))
     tables: list[tuple[int, np.ndarray, np.ndarray, np.ndarray]] = field(default_factory=list)
+    # By number of words: hashes of whole items, and the items.
+    whole: dict[int, tuple[np.ndarray, np.ndarray]] = field(default_factory=dict)
 
 
 class Index:
@@ -85,24 +94,30 @@ class Index:
         n, m = min(lengths), max(lengths)
         made = LengthClass(items, n - most_edits(n, self.share), m + most_edits(m, self.share))
         made.known = np.isin(self.vocabulary, np.concatenate([self.words[i] for i in items]))
-        pairs = self._edited(items, rng)
+        for length in sorted(set(lengths)):
+            same = np.array([i for i in items if len(self.words[i]) == length])
+            keys = np.array([RunHashes(self.words[i]).whole(length) for i in same])
+            order = np.argsort(keys, kind="stable")
+            made.whole[length] = keys[order], same[order]
+        if not most_edits(m, self.share):
+            return made
+        pairs = self._edited(items, made.window, rng)
         missed = np.ones(len(pairs), dtype=bool)
-        rounds = 0
-        # Exact copies always meet; edited ones until the wanted share has.
-        while rounds < MOST_REPETITIONS and (rounds < 1 or missed.mean() > 1 - recall):
+        steps = max(SAMPLES, 3 * n // 2)
+        while missed.mean() > 1 - recall:
             seed = int(rng.integers(1, 1 << 60))
-            places = np.sort(rng.choice(max(SAMPLES, 2 * n), size=min(SAMPLES, 2 * n), replace=False))
+            places = np.sort(rng.choice(steps, size=min(SAMPLES, steps), replace=False))
             keys = _keys([self.words[i] for i in items], seed, places)
             missed &= _keys([x for x, _ in pairs], seed, places) != _keys([y for _, y in pairs], seed, places)
             order = np.argsort(keys, kind="stable")
             made.tables.append((seed, places, keys[order], np.array(items)[order]))
-            rounds += 1
         return made
 
-    def _edited(self, items: list[int], rng: np.random.Generator) -> list[tuple[np.ndarray, np.ndarray]]:
-        """Items and copies of them at the bound, to measure recall on."""
+    def _edited(self, items: list[int], window: int, rng: np.random.Generator) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Items and windows that begin with copies of them at the bound, to measure recall on."""
         out = []
-        for i in rng.choice(items, size=_TRIALS):
+        some = [i for i in items if most_edits(len(self.words[i]), self.share)]
+        for i in rng.choice(some, size=_TRIALS):
             word = self.words[i]
             new = list(word)
             for _ in range(most_edits(len(word), self.share)):
@@ -113,6 +128,7 @@ class Index:
                     new.insert(at, np.uint64(rng.integers(1 << 62)))
                 elif len(new) > 1:
                     del new[at]
+            new += [np.uint64(x) for x in rng.integers(1 << 62, size=max(0, window - len(new)))]
             out.append((word, np.array(new, dtype=np.uint64)))
         return out
 
@@ -128,6 +144,7 @@ class Index:
         real = self.vocabulary[found] == words.hashes[maybe]
         maybe, found = maybe[real], found[real]
         best: dict[tuple[int, int], tuple[int, int]] = {}
+        runs = RunHashes(words.hashes)
         for group in self.classes:
             here = maybe[group.known[found]]
             if len(here) < group.least:
@@ -142,24 +159,30 @@ class Index:
             starts = starts[starts >= 0]
             if not len(starts):
                 continue
-            self._meet(words, group, starts, ends, best)
+            self._meet(words, group, starts, ends, runs, best)
         for (text, item), (edits, at) in best.items():
             yield text, item, edits, at
 
     def _slack(self, group: LengthClass) -> int:
         return most_edits(max(len(self.words[i]) for i in group.items), self.share)
 
-    def _meet(self, words: Words, group: LengthClass, starts: np.ndarray, ends: np.ndarray, best: dict) -> None:
+    def _meet(self, words: Words, group: LengthClass, starts: np.ndarray, ends: np.ndarray, runs: RunHashes, best: dict) -> None:
         tried: set[tuple[int, int]] = set()
+        for length, (keys, items) in group.whole.items():
+            inside = starts[starts + length <= ends[starts]]
+            self._try(words, inside, runs.of(inside, length), keys, items, tried, ends, best)
         limits = np.minimum(group.window, ends[starts] - starts)
         for seed, places, keys, items in group.tables:
             got = embed_key(words.hashes, starts, limits, seed, places)
-            lo, hi = np.searchsorted(keys, got, "left"), np.searchsorted(keys, got, "right")
-            for k in np.flatnonzero(hi > lo):
-                for item in items[lo[k] : hi[k]]:
-                    pair = (int(starts[k]), int(item))
-                    if pair in tried:
-                        continue
+            self._try(words, starts, got, keys, items, tried, ends, best)
+
+    def _try(self, words: Words, starts, got, keys, items, tried: set, ends: np.ndarray, best: dict) -> None:
+        """Verify the windows at ``starts`` whose key is one of ``keys``."""
+        lo, hi = np.searchsorted(keys, got, "left"), np.searchsorted(keys, got, "right")
+        for k in np.flatnonzero(hi > lo):
+            for item in items[lo[k] : hi[k]]:
+                pair = (int(starts[k]), int(item))
+                if pair not in tried:
                     tried.add(pair)
                     self._verify(words, *pair, int(ends[starts[k]]), best)
 
@@ -175,6 +198,21 @@ class Index:
             best[key] = new
 
 
+class RunHashes:
+    """Hashes of runs of words; the same words give the same hash wherever they stand."""
+
+    def __init__(self, hashes: np.ndarray):
+        sums = np.cumsum(hashes * powers(_BASE, len(hashes)), dtype=np.uint64)
+        self.sums = np.concatenate([np.zeros(1, np.uint64), sums])
+
+    def of(self, starts: np.ndarray, length: int) -> np.ndarray:
+        inverse = powers(_INVERSE, len(self.sums))
+        return mix((self.sums[starts + length] - self.sums[starts]) * inverse[starts])
+
+    def whole(self, length: int) -> np.uint64:
+        return self.of(np.zeros(1, dtype=np.int64), length)[0]
+
+
 def embed_key(hashes: np.ndarray, starts: np.ndarray, limits: np.ndarray, seed: int, places: np.ndarray) -> np.ndarray:
     """Keys of the windows of ``limits`` words at ``starts``: the embedding at ``places``."""
     at = np.zeros(len(starts), dtype=np.int64)
@@ -249,7 +287,7 @@ def _finder(index: Index):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("doc_id").cast(pa.int64())
-            for lo, hi in spans(batch.column("text")):
+            for lo, hi in spans(batch.column("text"), SLICE_BYTES):
                 rows = sorted(index.matches(text_bytes(batch.column("text").slice(lo, hi - lo))))
                 if rows:
                     text, item, edits, start = zip(*rows, strict=True)
@@ -278,7 +316,7 @@ def _keeper(index: Index):
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = np.ones(batch.num_rows, dtype=bool)
-            for lo, hi in spans(batch.column("text")):
+            for lo, hi in spans(batch.column("text"), SLICE_BYTES):
                 for text, *_ in index.matches(text_bytes(batch.column("text").slice(lo, hi - lo))):
                     keep[lo + text] = False
             yield batch.filter(pa.array(keep))

@@ -19,7 +19,7 @@ from pyspark.sql.types import IntegralType
 import rowsieve
 from rowsieve.queries.common import scratch
 
-__all__ = ["read", "scratch", "ship", "stored", "spans", "text_bytes", "maybe_among", "with_ids", "WORK_BYTES"]
+__all__ = ["read", "scratch", "ship", "stored", "discard", "spans", "text_bytes", "maybe_among", "with_ids", "WORK_BYTES"]
 
 # Texts are taken together until they hold so many bytes; one longer text stands alone.
 WORK_BYTES = 1 << 18
@@ -72,12 +72,22 @@ def stored(df: DataFrame, purpose: str, folder: str | None = None) -> DataFrame:
     spark = df.sparkSession
     path = folder or scratch(spark, purpose)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables made by ``stored`` that nothing reads any more."""
+    for table in tables:
+        spark = table.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(table.stored_at)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 # Bits of the filter that ``maybe_among`` sends to all tasks: so many for each key, 8 MB
 # however many keys.
-_BITS_A_KEY = 32
+_BITS_A_KEY = 64
 _FILTER_BITS = 1 << 26
 
 
@@ -112,7 +122,7 @@ def maybe_among(rows: DataFrame, keys: DataFrame, *names: str, keep: bool = True
 
 def _folded(held: np.ndarray) -> np.ndarray:
     """The filter with its bits taken modulo a smaller size, where its keys are few."""
-    wanted = _BITS_A_KEY * max(256, int(np.bitwise_count(held).sum(dtype=np.int64)))
+    wanted = _BITS_A_KEY * max(1024, int(np.bitwise_count(held).sum(dtype=np.int64)))
     words = min(len(held), 1 << ((wanted - 1).bit_length() - 5))
     return np.bitwise_or.reduce(held.reshape(-1, words), axis=0)
 

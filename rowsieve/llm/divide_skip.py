@@ -14,15 +14,20 @@ passage that very many documents share is probed and not merged. Their number is
 Steps:
 
 1. Sets that are equal become one representative, with its merged lists' shingles.
-2. Each list links its documents of similar size to the first one; verified links are
-   joined into components. A group of copies of any size costs one link a copy and list.
-3. Pairs in a common list that are not yet in one component are counted over all merged
-   lists. The number of occurrences plus what the skipped lists can add must reach the
-   overlap; for the pairs left, the skipped lists are probed by binary search in the
-   other's sorted shingles, on whole texts.
+2. Each list links its documents of similar size to one leader; verified links are joined
+   into components. A group of copies of any size costs one link a copy and list. This is
+   repeated with other leaders for lists that still hold several components.
+3. Such lists are then cut into blocks; each gives every document the others in it that
+   are of another component, as one sorted list. A document heap-merges the lists it got
+   and keeps those that occur often enough: occurrences plus the number of skipped lists
+   must reach the overlap. So a pair is one row at most, however many lists it shares.
+4. Pairs from 2 are held against the same bound on the merged lists alone. For those left,
+   the skipped lists are probed: by binary search of one text's shingles in the other's
+   sorted ones. (The long inverted lists themselves hold up to all documents; a document's
+   own shingles say the same and fit a task.)
 
 No link between different components is lost: pairs that step 3 leaves out are already
-in one component.
+in one component or cannot reach the overlap.
 
 Null and empty texts have no shingles and link with nothing. Rows with a null id keep
 their count and have a null component. Rows that repeat an id are one document whose
@@ -31,22 +36,28 @@ texts all count for its links, and each row is returned with its own count.
 
 from __future__ import annotations
 
+import heapq
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowsieve.llm.common import maybe_among, spans, stored, text_bytes, with_ids
+from rowsieve.llm.common import discard, maybe_among, spans, stored, text_bytes, with_ids
 from rowsieve.llm.components import components
 from rowsieve.llm.words import mix, shingle_sets
 
 LONG_LIST = 100
 MAX_LONG = 1_000_000
 # Times that documents choose other lists when theirs turn out long.
-PUT_OFF_ROUNDS = 2
+PUT_OFF_ROUNDS = 3
+# How each round picks the leader of a list.
+LEADERS = (lambda rep: rep, lambda rep: -rep, lambda rep: F.xxhash64(rep))
+# Documents of a list that are held against each other at once.
+LIST_BLOCK = 500
 
 
 @dataclass(frozen=True)
@@ -67,6 +78,12 @@ class Rule:
         """Of two sets that have ``both`` elements together."""
         return -((-both * self.numerator) // (self.numerator + self.denominator))
 
+    def least_merged(self, n_a: int, n_b: int) -> int:
+        """Merged lists that two sets of these sizes must share: the skipped lists can add
+        as many as the larger number of them."""
+        skipped = max(self.least_overlap(n_a), self.least_overlap(n_b)) - 1
+        return max(1, self.pair_overlap(n_a + n_b) - skipped)
+
 
 def heads(docs: DataFrame, rule: Rule, late: np.ndarray | None = None) -> DataFrame:
     """``doc_id, n_shingles, key_a, key_b, head``: the keys tell equal sets, ``head`` has
@@ -132,12 +149,19 @@ def jaccard_components(docs: DataFrame, rule: Rule | None = None, long_list: int
     )
     copies = copies.where("doc_id <> rep").select(F.col("rep").alias("a"), F.col("doc_id").alias("b"))
 
-    merged = _merged_lists(docs, firsts, rule, long_list)
-    links = _first_links(docs, merged, rule)
-    groups = stored(components(links), "groups")
-    links = links.union(_other_links(docs, merged, groups, rule))
+    chosen, lists = _merged_lists(docs, firsts, rule, long_list)
+    links = groups = None
+    for pick in LEADERS:
+        found = _leader_links(docs, chosen, lists, pick, rule)
+        links = found if links is None else stored(links.union(found), "links")
+        groups = stored(components(links), "groups")
+        lists = _mixed(lists, groups)
+        if lists.isEmpty():
+            break
+    links = links.union(_other_links(docs, lists, rule))
 
     groups = stored(components(links.union(copies)), "groups")
+    discard(firsts, chosen, lists)
     found = sets.select("doc_id", "n_shingles").join(groups, F.col("doc_id") == groups.id, "left")
     return found.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
@@ -146,9 +170,9 @@ def _postings(firsts: DataFrame) -> DataFrame:
     return firsts.select("rep", F.explode("head").alias("shingle"))
 
 
-def _merged_lists(docs: DataFrame, firsts: DataFrame, rule: Rule, long_list: int) -> DataFrame:
-    """Postings ``rep, n, shingle`` of the lists to merge that have two documents or more,
-    long lists put off."""
+def _merged_lists(docs: DataFrame, firsts: DataFrame, rule: Rule, long_list: int) -> tuple[DataFrame, DataFrame]:
+    """The documents' lists to merge, ``rep, n, head``, long ones put off, and the postings
+    ``rep, n, shingle, grp`` of those that have two documents or more; ``grp`` is ``rep``."""
     late = np.zeros(0, dtype=np.uint64)
     rest, again = firsts.select("rep", "n", "head"), None
     for _ in range(PUT_OFF_ROUNDS):
@@ -166,13 +190,13 @@ def _merged_lists(docs: DataFrame, firsts: DataFrame, rule: Rule, long_list: int
         again = stored(found.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "head"), "again")
         named = rest.withColumnRenamed("rep", "doc_id")
         rest = with_ids(named, touched, maybe=False).withColumnRenamed("doc_id", "rep")
-    chosen = rest if again is None else rest.union(again)
-    lists = _postings(chosen)
-    shared = lists.groupBy("shingle").count().where("count > 1").select("shingle")
-    shared = stored(shared, "shared")
-    lists = maybe_among(lists, shared, "shingle")
-    lists = stored(lists.join(shared, "shingle", "left_semi"), "lists")
-    return stored(lists.join(chosen.select("rep", "n"), "rep"), "lists")
+    chosen = stored(rest if again is None else rest.union(again), "chosen")
+    postings = chosen.select("rep", "n", F.explode("head").alias("shingle"))
+    shared = stored(postings.groupBy("shingle").count().where("count > 1").select("shingle"), "shared")
+    lists = maybe_among(postings, shared, "shingle").join(shared, "shingle", "left_semi")
+    lists = stored(lists.select("rep", "n", "shingle", F.col("rep").alias("grp")), "lists")
+    discard(shared)
+    return chosen, lists
 
 
 def _firsts(sets: DataFrame) -> DataFrame:
@@ -221,40 +245,111 @@ def _size_class(n: str, rule: Rule):
     return F.floor(F.log(F.col(n).cast("double")) / float(np.log(rule.denominator / rule.numerator)))
 
 
-def _first_links(docs: DataFrame, lists: DataFrame, rule: Rule) -> DataFrame:
-    """Verified links to the first document of each list and class of size."""
+def _leader_links(docs: DataFrame, chosen: DataFrame, lists: DataFrame, pick, rule: Rule) -> DataFrame:
+    """Verified links to one document of each list and class of size."""
     classed = lists.withColumn("size_class", _size_class("n", rule))
     leader = classed.groupBy("shingle", "size_class").agg(
-        F.min(F.struct("rep", "n")).alias("first"), F.count("*").alias("held")
+        F.min(F.struct(pick(F.col("rep")).alias("rank"), "rep", "n", "grp")).alias("first"), F.count("*").alias("held")
     )
-    leader = stored(leader.where("held > 1").select("shingle", "size_class", "first.*"), "leaders")
-    leader = leader.select("shingle", "size_class", F.col("rep").alias("a"), F.col("n").alias("n_a"))
-    pairs = classed.join(leader, ["shingle", "size_class"]).where("rep <> a")
+    leader = leader.where("held > 1").select("shingle", "size_class", "first.rep", "first.n", "first.grp")
+    leader = stored(leader.toDF("shingle", "size_class", "a", "n_a", "grp_a"), "leaders")
+    pairs = classed.join(leader, ["shingle", "size_class"]).where("grp <> grp_a")
     pairs = pairs.where(_similar_size("n", "n_a", rule)).select("a", F.col("rep").alias("b")).distinct()
-    return verified(docs, pairs, rule)
+    pairs = stored(pairs, "pairs")
+    found = verified(docs, _often_enough(pairs, chosen, rule), rule)
+    discard(leader, pairs)
+    return found
 
 
-def _other_links(docs: DataFrame, lists: DataFrame, groups: DataFrame, rule: Rule) -> DataFrame:
-    """Verified links between documents of different components."""
-    known = lists.join(groups, lists.rep == groups.id, "left")
+def _often_enough(pairs: DataFrame, chosen: DataFrame, rule: Rule) -> DataFrame:
+    """Of the pairs those that occur together in enough merged lists."""
+    first = chosen.select(F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("head").alias("head_a"))
+    second = chosen.select(F.col("rep").alias("b"), F.col("n").alias("n_b"), F.col("head").alias("head_b"))
+    rows = pairs.join(second, "b").join(first, "a").select("a", "b", "n_a", "n_b", "head_a", "head_b")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n_a, n_b = batch.column("n_a").to_numpy(), batch.column("n_b").to_numpy()
+            keep = np.zeros(batch.num_rows, dtype=bool)
+            for k, (x, y) in enumerate(zip(batch.column("head_a"), batch.column("head_b"), strict=True)):
+                few, many = sorted((x.values.to_numpy(), y.values.to_numpy()), key=len)
+                common = int(_among(few, np.sort(many)).sum())
+                keep[k] = common >= rule.least_merged(int(n_a[k]), int(n_b[k]))
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
+
+    return rows.mapInArrow(run, "a long, b long")
+
+
+def _mixed(lists: DataFrame, groups: DataFrame) -> DataFrame:
+    """The postings, with their components, of the lists that hold several of these."""
+    known = lists.drop("grp").join(groups, lists.rep == groups.id, "left")
     known = stored(known.select("rep", "n", "shingle", F.coalesce("component", "rep").alias("grp")), "known")
     mixed = known.groupBy("shingle").agg(F.min("grp").alias("low"), F.max("grp").alias("high"))
     mixed = stored(mixed.where("low <> high").select("shingle"), "mixed")
-    left = stored(known.join(mixed, "shingle", "left_semi"), "known")
-    a = left.select("shingle", *[F.col(c).alias(f"{c}_a") for c in ("rep", "n", "grp")])
-    b = left.select("shingle", *[F.col(c).alias(f"{c}_b") for c in ("rep", "n", "grp")])
-    met = a.join(b, "shingle").where("rep_a < rep_b AND grp_a <> grp_b").where(_similar_size("n_a", "n_b", rule))
-    occurrences = met.groupBy("rep_a", "rep_b", "n_a", "n_b").count()
-    # What the skipped lists can add is at most their number.
-    skipped = F.greatest(*[rule_overlap(F.col(n), rule) for n in ("n_a", "n_b")]) - 1
-    both = F.col("n_a") + F.col("n_b")
-    needed = F.ceil(both * rule.numerator / (rule.numerator + rule.denominator) - 1e-9)
-    pairs = occurrences.where(F.col("count") + skipped >= needed)
-    return verified(docs, pairs.select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")), rule)
+    left = stored(maybe_among(known, mixed, "shingle").join(mixed, "shingle", "left_semi").select("rep", "n", "shingle", "grp"), "lists")
+    discard(known, mixed, lists)
+    return left
 
 
-def rule_overlap(n, rule: Rule):
-    return F.ceil(n * rule.numerator / rule.denominator - 1e-9)
+def _other_links(docs: DataFrame, lists: DataFrame, rule: Rule) -> DataFrame:
+    """Verified links between documents of different components."""
+    sizes = lists.groupBy("shingle").agg(F.ceil(F.count("*") / LIST_BLOCK).cast("int").alias("blocks"))
+    rows = lists.join(stored(sizes, "sizes"), "shingle")
+    own = F.pmod(F.xxhash64("rep", "shingle"), F.col("blocks")).cast("int")
+    meets = F.transform(
+        F.sequence(F.lit(0), F.col("blocks") - 1),
+        lambda other: F.struct(F.least(own, other).alias("low"), F.greatest(own, other).alias("high")),
+    )
+    rows = rows.select("shingle", F.struct("rep", "n", "grp", own.alias("block")).alias("doc"), F.explode(meets).alias("pair"))
+    held = rows.groupBy("shingle", "pair.low", "pair.high").agg(F.sort_array(F.collect_list("doc")).alias("docs"))
+    partners = held.select((F.col("low") == F.col("high")).alias("same"), "docs").mapInArrow(_partners(rule), _PARTNERS)
+    found = partners.groupBy("a", "n_a").agg(F.collect_list("others").alias("lists"), F.collect_list("sizes").alias("sizes"))
+    pairs = found.mapInArrow(_merger(rule), "a long, b long")
+    return verified(docs, pairs, rule)
+
+
+_PARTNERS = "a long, n_a long, others array<long>, sizes array<long>"
+
+
+def _partners(rule: Rule):
+    """For each document of a list the later ones of other components and similar size."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for same, docs in zip(batch.column("same").to_pylist(), batch.column("docs"), strict=True):
+                rep, n, grp, block = (docs.values.field(k).to_numpy() for k in range(4))
+                low, high = np.minimum(n[:, None], n[None, :]), np.maximum(n[:, None], n[None, :])
+                meet = (rep[:, None] < rep[None, :]) & (grp[:, None] != grp[None, :])
+                meet &= low * rule.denominator >= high * rule.numerator
+                if not same:
+                    meet &= block[:, None] != block[None, :]
+                i, j = np.nonzero(meet)
+                some, counts = np.unique(i, return_counts=True)
+                if len(some):
+                    ends = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
+                    lists = [pa.ListArray.from_arrays(ends, pa.array(x[j], pa.int64())) for x in (rep, n)]
+                    yield pa.RecordBatch.from_arrays([pa.array(rep[some]), pa.array(n[some]), *lists], names=["a", "n_a", "others", "sizes"])
+
+    return run
+
+
+def _merger(rule: Rule):
+    """Partners that occur in enough of a document's lists, which a heap merges."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            a_out, b_out = [], []
+            for k in range(batch.num_rows):
+                a, n_a = batch.column("a")[k].as_py(), batch.column("n_a")[k].as_py()
+                lists, sizes = batch.column("lists")[k].as_py(), batch.column("sizes")[k].as_py()
+                merged = heapq.merge(*[zip(x, n, strict=True) for x, n in zip(lists, sizes, strict=True)])
+                for (b, n_b), times in groupby(merged):
+                    if sum(1 for _ in times) >= rule.least_merged(n_a, n_b):
+                        a_out.append(a)
+                        b_out.append(b)
+            yield pa.RecordBatch.from_arrays([pa.array(a_out, pa.int64()), pa.array(b_out, pa.int64())], names=["a", "b"])
+
+    return run
 
 
 def verified(docs: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
@@ -284,4 +379,6 @@ def verified(docs: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
                 [batch.column("a").filter(pa.array(keep)), batch.column("b").filter(pa.array(keep))], names=["a", "b"]
             )
 
-    return stored(rows.select("a", "b", "text_a", "text_b").mapInArrow(probe, "a long, b long"), "links")
+    found = stored(rows.select("a", "b", "text_a", "text_b").mapInArrow(probe, "a long, b long"), "links")
+    discard(pairs, first, second)
+    return found

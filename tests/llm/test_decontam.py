@@ -88,3 +88,17 @@ def test_edit_distance_with_a_free_end(bound):
         a, b = r.integers(0, 3, r.integers(1, 9)).astype(np.uint64), r.integers(0, 3, r.integers(1, 12)).astype(np.uint64)
         best = min(distance(a.tolist(), b[:q].tolist()) for q in range(len(b) + 1))
         assert c.edit_distance(a, b, bound) == (best if best <= bound else None)
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_copies_inside_texts_are_found(seed):
+    """All exact copies, whatever the seed and length, and nearly all edited ones."""
+    r = random.Random(seed)
+    items = [prose(r.randrange(4, 61), 10_000 * seed + k, 5000) for k in range(120)]
+    index = c.Index(list(range(len(items))), [x.encode() for x in items], seed=seed)
+    around = lambda k, x: f"{prose(12, 70_000 + k, 5000)} {x} {prose(80, 90_000 + k, 5000)}".encode()
+    exact = {(t, i) for t, i, edits, _ in index.matches([around(k, x) for k, x in enumerate(items)]) if edits == 0}
+    assert {(k, k) for k in range(len(items))} <= exact
+    near = [(k, edited(x, c.most_edits(len(x.split()), 0.1), k)) for k, x in enumerate(items) if len(x.split()) >= 20]
+    found = {(t, i) for t, i, *_ in index.matches([around(k, x) for k, x in near])}
+    assert sum((t, k) in found for t, (k, _) in enumerate(near)) >= 0.95 * len(near)
