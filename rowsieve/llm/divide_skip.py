@@ -58,6 +58,9 @@ PUT_OFF_ROUNDS = 3
 LEADERS = (lambda rep: rep, lambda rep: -rep, lambda rep: F.xxhash64(rep))
 # Documents of a list that are held against each other at once.
 LIST_BLOCK = 500
+# Another leader is tried while lists would give more pairs than so many a posting.
+PAIRS_A_POSTING = 10
+PARTNERS_TOGETHER = 100_000
 
 
 @dataclass(frozen=True)
@@ -156,7 +159,9 @@ def jaccard_components(docs: DataFrame, rule: Rule | None = None, long_list: int
         links = found if links is None else stored(links.union(found), "links")
         groups = stored(components(links), "groups")
         lists = _mixed(lists, groups)
-        if lists.isEmpty():
+        held = lists.groupBy("shingle").count()
+        postings, pairs = held.agg(*[F.coalesce(F.sum(x), F.lit(0)) for x in ("count", F.col("count") * F.col("count"))]).first()
+        if pairs <= PAIRS_A_POSTING * postings:
             break
     links = links.union(_other_links(docs, lists, rule))
 
@@ -316,23 +321,39 @@ def _partners(rule: Rule):
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for same, docs in zip(batch.column("same").to_pylist(), batch.column("docs"), strict=True):
-                rep, n, grp, block = (docs.values.field(k).to_numpy() for k in range(4))
+            made: list[tuple[np.ndarray, ...]] = []
+            size = 0
+            lists = batch.column("docs")
+            fields = [lists.flatten().field(k).to_numpy() for k in range(4)]
+            ends = np.cumsum(pa.compute.list_value_length(lists).to_numpy())
+            for same, lo, hi in zip(batch.column("same").to_pylist(), [0, *ends[:-1]], ends, strict=True):
+                rep, n, grp, block = (f[lo:hi] for f in fields)
                 low, high = np.minimum(n[:, None], n[None, :]), np.maximum(n[:, None], n[None, :])
                 meet = (rep[:, None] < rep[None, :]) & (grp[:, None] != grp[None, :])
                 meet &= low * rule.denominator >= high * rule.numerator
                 if not same:
                     meet &= block[:, None] != block[None, :]
                 i, j = np.nonzero(meet)
-                some, counts = np.unique(i, return_counts=True)
-                if len(some):
-                    ends = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
-                    lists = [pa.ListArray.from_arrays(ends, pa.array(x[j], pa.int64())) for x in (rep, n)]
-                    yield pa.RecordBatch.from_arrays([pa.array(rep[some]), pa.array(n[some]), *lists], names=["a", "n_a", "others", "sizes"])
+                if len(i):
+                    some, counts = np.unique(i, return_counts=True)
+                    made.append((rep[some], n[some], counts, rep[j], n[j]))
+                    size += len(j)
+                if size >= PARTNERS_TOGETHER:
+                    yield _partner_batch(made)
+                    made, size = [], 0
+            if made:
+                yield _partner_batch(made)
 
     return run
 
 
+def _partner_batch(made: list[tuple[np.ndarray, ...]]) -> pa.RecordBatch:
+    a, n_a, counts, others, sizes = (np.concatenate(x) for x in zip(*made, strict=True))
+    ends = pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32())
+    lists = [pa.ListArray.from_arrays(ends, pa.array(x, pa.int64())) for x in (others, sizes)]
+    return pa.RecordBatch.from_arrays([pa.array(a), pa.array(n_a), *lists], names=["a", "n_a", "others", "sizes"])
+
+
 def _merger(rule: Rule):
     """Partners that occur in enough of a document's lists, which a heap merges."""
 
