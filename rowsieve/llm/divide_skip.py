@@ -55,7 +55,7 @@ MAX_LONG = 1_000_000
 # Times that documents choose other lists when theirs turn out long.
 PUT_OFF_ROUNDS = 3
 # How each round picks the leader of a list.
-LEADERS = (lambda rep: rep, lambda rep: -rep, lambda rep: F.xxhash64(rep))
+LEADERS = (lambda rep: rep, lambda rep: -rep)
 # Documents of a list that are held against each other at once.
 LIST_BLOCK = 500
 # Another leader is tried while lists would give more pairs than so many a posting.
