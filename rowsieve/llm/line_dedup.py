@@ -260,15 +260,18 @@ def dedup_lines(docs: DataFrame, least_words: int = LEAST_WORDS, exact_words: in
     replaced, all others stay.
     """
     docs = docs.drop("removed_lines")
-    gone = repeated_lines(docs, least_words, exact_words).groupBy("doc_id", "tie").agg(F.collect_set("line").alias("_lines"))
+    names = docs.columns
+    # The row is one value while other columns are beside it, whatever its names are.
+    docs = docs.select(F.struct(*names).alias("row"), "doc_id", "text")
+    gone = repeated_lines(docs, least_words, exact_words).groupBy("doc_id", "tie").agg(F.collect_set("line").alias("lines"))
     gone = stored(gone, "gone")
-    whole = with_ids(docs, gone, maybe=False).withColumn("removed_lines", F.lit(0))
-    gone = gone.select(F.col("doc_id").alias("_doc"), F.col("tie").alias("_tie"), "_lines")
-    same = (F.col("doc_id").cast("long") == F.col("_doc")) & (F.xxhash64("text") == F.col("_tie"))
-    rows = with_ids(docs, gone.select(F.col("_doc").alias("doc_id"))).join(gone, same, "left")
-    lines = F.split("text", "\n", -1)
-    kept = F.filter(lines, lambda _, i: ~F.array_contains("_lines", i))
-    text = F.when(F.col("_lines").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
-    removed = F.when(F.col("_lines").isNull(), 0).otherwise(F.size("_lines"))
-    columns = [text.alias("text") if c == "text" else F.col(c) for c in docs.columns]
-    return whole.union(rows.select(*columns, removed.alias("removed_lines")))
+    whole = with_ids(docs, gone, maybe=False)
+    gone_ids = gone.select(F.col("doc_id").alias("gone_id"), "tie", "lines")
+    same = (F.col("doc_id").cast("long") == F.col("gone_id")) & (F.xxhash64("text") == F.col("tie"))
+    rows = with_ids(docs, gone).join(gone_ids, same, "left")
+    kept = F.filter(F.split("text", "\n", -1), lambda _, i: ~F.array_contains("lines", i))
+    text = F.when(F.col("lines").isNull(), F.col("text")).otherwise(F.array_join(kept, "\n"))
+    removed = F.when(F.col("lines").isNull(), 0).otherwise(F.size("lines"))
+    rows = whole.select("row", "text", F.lit(0).alias("removed")).union(rows.select("row", text, removed))
+    columns = [F.col("text") if c == "text" else F.col("row").getField(c).alias(c) for c in names]
+    return rows.select(*columns, F.col("removed").alias("removed_lines"))

@@ -108,3 +108,14 @@ def test_short_lines_that_are_equal_go(spark):
             seen.append(words)
         expected.append((doc_id, "\n".join(kept)))
     assert found(spark, rows, exact_words=1) == sorted(expected, key=repr)
+
+
+def test_columns_named_like_temporary_ones(spark):
+    names = ["_lines", "_doc", "_tie", "lines", "tie", "row", "removed", "gone_id", "line", "own", "at"]
+    rows = [(1, "a b\nc d", *names), (2, "c d\ne", *names), (None, None, *names)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, " + ", ".join(f"{n} string" for n in names))
+    kept = dedup_lines(docs, exact_words=1)
+    assert kept.columns == [*docs.columns, "removed_lines"]
+    out = {r["doc_id"]: r for r in kept.collect()}
+    assert [out[2][n] for n in names] == names and out[2]["text"] == "e" and out[2]["removed_lines"] == 1
+    assert out[1]["text"] == "a b\nc d" and out[None]["text"] is None and out[None]["removed_lines"] == 0
