@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from typing import Any
 
+from pyspark.sql.types import StructType
+
 from rowsieve.plans.schema import ColumnSpec, column_specs, key_columns
 from rowsieve.sinks.tables import RouteSink
 from rowsieve.sources.landing import FILE_PATTERN
@@ -18,6 +20,8 @@ class PipelineConfig:
     Paths are absolute; :meth:`from_dict` joins relative ones to the storage base path.
     ``time_zone`` decides to which date an event belongs; without it the session does, and
     a replay from a session in another zone would move rows to other partitions.
+    ``keep_schemas`` writes the schema of each silver batch beside its rows, for tables whose
+    types change over time.
     """
 
     columns: tuple[ColumnSpec, ...]
@@ -38,6 +42,7 @@ class PipelineConfig:
     trigger: str = "availableNow"
     format: str = "parquet"
     time_zone: str | None = None
+    keep_schemas: bool = False
 
     @classmethod
     def from_dict(cls, document: Mapping[str, Any], **overrides: Any) -> PipelineConfig:
@@ -70,6 +75,20 @@ class PipelineConfig:
         }
         return cls(**{**values, **overrides})
 
+    def with_schema(self, schema: StructType) -> PipelineConfig:
+        """The same pipeline with the types and columns of a registered schema.
+
+        Fields are the curated names. Declared columns keep their source names and keys and
+        take the registered type, timestamps stay text until silver; fields that are not
+        declared are read under their own names.
+        """
+        known = {c.target.lower(): c for c in self.columns}
+        columns = []
+        for field in schema:
+            spec = known.pop(field.name.lower(), ColumnSpec(field.name, field.name))
+            columns.append(replace(spec, target=field.name, type=field.dataType.simpleString()))
+        return replace(self, columns=(*columns, *known.values()))
+
     @property
     def keys(self) -> list[str]:
         return key_columns(self.columns)
@@ -88,10 +107,12 @@ class PipelineConfig:
 
     def valid_sink(self, stream_id: str = "main", layout: str = "rebalance") -> RouteSink:
         return RouteSink(
-            self.silver_path, self.silver_keys, stream_id, self.format, layout, self.silver_name
+            self.silver_path, self.silver_keys, stream_id, self.format, layout, self.silver_name,
+            keep_schema=self.keep_schemas,
         )
 
     def error_sink(self, stream_id: str = "main", layout: str = "rebalance") -> RouteSink:
         return RouteSink(
-            self.error_path, self.silver_keys, stream_id, self.format, layout, self.error_name
+            self.error_path, self.silver_keys, stream_id, self.format, layout, self.error_name,
+            keep_schema=self.keep_schemas,
         )

@@ -70,13 +70,17 @@ def dedup_stream(
 
 def _with_content(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Add the whole row as a value of its own where every key column is NULL."""
-    unkeyed = reduce(and_, [column(k).isNull() for k in keys])
-    return df.withColumn(_CONTENT, F.when(unkeyed, F.struct(*_comparable(df))))
+    return df.withColumn(_CONTENT, F.when(without_keys(keys), F.struct(*comparable_columns(df).values())))
 
 
-def _comparable(df: DataFrame) -> list[Column]:
-    """All columns, in forms that Spark can group by."""
-    return [_groupable(column(f.name), f.dataType).alias(f.name) for f in df.schema.fields]
+def without_keys(keys: Sequence[str]) -> Column:
+    """Whether every key column is NULL."""
+    return reduce(and_, [column(k).isNull() for k in keys])
+
+
+def comparable_columns(df: DataFrame) -> dict[str, Column]:
+    """All columns by name, in forms that Spark can group by."""
+    return {f.name: _groupable(column(f.name), f.dataType).alias(f.name) for f in df.schema.fields}
 
 
 def _groupable(value: Column, kind: DataType) -> Column:

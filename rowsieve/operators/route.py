@@ -45,6 +45,7 @@ def route_batch(
     batch_id: int = 0,
     scope_column: str = SCOPE_COLUMN,
     storage: StorageLevel | None = StorageLevel.MEMORY_AND_DISK,
+    committed_counts: bool = False,
 ) -> BatchMetrics:
     """Evaluate the rules, write both routes and return the row counts.
 
@@ -53,12 +54,14 @@ def route_batch(
     choice for a backlog too large to hold, given a source that reads the same twice,
     unless one dataset for both routes will do (see :func:`route_once`). The counts are
     observed while the valid route is written, so no job is spent on counting; they
-    could only be too high, after the loss of an executor in a ``rebalance`` shuffle.
+    could only be too high, after the loss of an executor in a ``rebalance`` shuffle. With
+    ``committed_counts`` they are taken from the footers of the committed files instead,
+    which is exact and costs a job for each route.
     An empty error route is not written, unless an earlier attempt at this batch left
     rows there.
     """
     verdicts = apply_rules(df, rules, scope_column, filtered=storage is None)
-    return write_routes(verdicts, valid, error, batch_id, storage)
+    return write_routes(verdicts, valid, error, batch_id, storage, committed_counts)
 
 
 def write_routes(
@@ -67,6 +70,7 @@ def write_routes(
     error: RouteSink,
     batch_id: int = 0,
     storage: StorageLevel | None = StorageLevel.MEMORY_AND_DISK,
+    committed_counts: bool = False,
 ) -> BatchMetrics:
     """The writing part of :func:`route_batch`, for rows that have their verdict."""
     tune_session(verdicts.sparkSession)
@@ -82,6 +86,12 @@ def write_routes(
             verdicts.sparkSession, error_part.schema, batch_id
         ):
             error.write_batch(error_part, batch_id)
+        if committed_counts:
+            spark = verdicts.sparkSession
+            return BatchMetrics(
+                valid.count_batch(spark, valid_part.schema, batch_id),
+                error.count_batch(spark, error_part.schema, batch_id),
+            )
         return metrics
     finally:
         if storage is not None:

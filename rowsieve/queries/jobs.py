@@ -66,7 +66,7 @@ def route_one_pass(spark, sf_dir):
     )
 
 
-def _land(spark: SparkSession, sf_dir: str, folder: str, which: Column | None = None) -> None:
+def land_events(spark: SparkSession, sf_dir: str, folder: str, which: Column | None = None) -> None:
     """Write events as JSON lines in nested folders; error events arrive broken."""
     event = F.struct(
         "event_id",
@@ -83,7 +83,7 @@ def _land(spark: SparkSession, sf_dir: str, folder: str, which: Column | None =
     lines.write.mode("append").partitionBy("day").text(folder)
 
 
-def _config(folder: str, suffix: str) -> PipelineConfig:
+def config_in(folder: str, suffix: str) -> PipelineConfig:
     return PipelineConfig(
         columns=STREAM_COLUMNS,
         landing_path=f"{folder}/landing",
@@ -100,8 +100,8 @@ def _config(folder: str, suffix: str) -> PipelineConfig:
 
 def run_bronze(spark: SparkSession, sf_dir: str, purpose: str) -> PipelineConfig:
     folder = scratch(spark, purpose)
-    config = _config(folder, folder[-32:])
-    _land(spark, sf_dir, config.landing_path)
+    config = config_in(folder, folder[-32:])
+    land_events(spark, sf_dir, config.landing_path)
     # One object per line, so that Spark may split large files.
     await_end(start_bronze(spark, config, trigger_options(), multi_line=False))
     return config
@@ -148,9 +148,9 @@ def stream_restart(spark, sf_dir):
     """Half of the events run through bronze and silver, then the others, by jobs that
     start again from their checkpoints."""
     folder = scratch(spark, "restart")
-    config = _config(folder, folder[-32:])
+    config = config_in(folder, folder[-32:])
     for half in (0, 1):
-        _land(spark, sf_dir, config.landing_path, F.col("event_id") % 2 == half)
+        land_events(spark, sf_dir, config.landing_path, F.col("event_id") % 2 == half)
         await_end(start_bronze(spark, config, trigger_options(), multi_line=False))
         await_end(start_silver(spark, config, silver_rules()))
     return _silver_routes(spark, config)
@@ -159,22 +159,22 @@ def stream_restart(spark, sf_dir):
 def stream_silver_tables(spark, sf_dir):
     """Both routes of the silver job by their names in a database of their own."""
     folder = scratch(spark, "tables")
-    config = replace(_config(folder, "main"), database="routed_" + folder[-32:])
-    _land(spark, sf_dir, config.landing_path)
+    config = replace(config_in(folder, "main"), database="routed_" + folder[-32:])
+    land_events(spark, sf_dir, config.landing_path)
     await_end(start_bronze(spark, config, trigger_options(), multi_line=False))
     register_silver(spark, config)  # before there is any row
     await_end(start_silver(spark, config, silver_rules()))
     register_silver(spark, config)
-    return _side_by_side(spark.table(config.silver_name), spark.table(config.error_name))
+    return side_by_side(spark.table(config.silver_name), spark.table(config.error_name))
 
 
 def _silver_routes(spark: SparkSession, config: PipelineConfig) -> DataFrame:
     schema = silver_schema(spark, config)
     valid = config.valid_sink().read(spark, schema)
-    return _side_by_side(valid, config.error_sink().read(spark, with_verdict(schema)))
+    return side_by_side(valid, config.error_sink().read(spark, with_verdict(schema)))
 
 
-def _side_by_side(valid: DataFrame, error: DataFrame) -> DataFrame:
+def side_by_side(valid: DataFrame, error: DataFrame) -> DataFrame:
     columns = (
         _or_minus_one("eventId"),
         "applicationCode",
@@ -221,7 +221,7 @@ def _documents(bronze: DataFrame) -> DataFrame:
 def stream_bronze_documents(spark, sf_dir):
     """Objects over many lines by the reader that takes a file as one document."""
     folder = scratch(spark, "documents")
-    config = _config(folder, folder[-32:])
+    config = config_in(folder, folder[-32:])
     _land_documents(spark, sf_dir, config, '[\n  {"event_id": 1,\n    oops')
     await_end(start_bronze(spark, config, trigger_options()))
     return _documents(spark.table(config.bronze_name))
@@ -230,7 +230,7 @@ def stream_bronze_documents(spark, sf_dir):
 def stream_bronze_split(spark, sf_dir):
     """The same by splits of files; of a broken file the good objects are kept."""
     folder = scratch(spark, "split")
-    config = _config(folder, folder[-32:])
+    config = config_in(folder, folder[-32:])
     good = '[ {"event_id": -7, "event_type": "a } b",\n "value": 1}, {\n"event_id": -8}'
     _land_documents(spark, sf_dir, config, good + ', oops\n {"event_id": 1,\n    oops')
     await_end(start_bronze_split(spark, config))
@@ -334,7 +334,7 @@ _SILVER_SQL = verdict_sql(
     ],
 )
 
-_SILVER_ROWS_SQL = (
+SILVER_ROWS_SQL = (
     "SELECT coalesce(event_id, -1) AS eventId, event_type AS applicationCode, "
     "coalesce(value, -1) AS value, "
     "parsed AS eventTimestamp, left(parsed, 10) AS eventDate, event_type AS platform_type, malformed, "
@@ -355,8 +355,8 @@ ORACLES = {
     "stream_bronze_documents": _DOCUMENTS_SQL + "UNION ALL SELECT -1, NULL, -1, NULL, true",
     "stream_bronze_split": _DOCUMENTS_SQL + "UNION ALL SELECT -7, 'a } b', 1, NULL, false "
     "UNION ALL SELECT -8, NULL, -1, NULL, false UNION ALL SELECT -1, NULL, -1, NULL, true UNION ALL SELECT -1, NULL, -1, NULL, true",
-    "stream_silver_tables": _SILVER_ROWS_SQL,
-    "stream_restart": _SILVER_ROWS_SQL,
+    "stream_silver_tables": SILVER_ROWS_SQL,
+    "stream_restart": SILVER_ROWS_SQL,
     "route_valid": "SELECT event_id, applicationCode, label, props, value, time_text "
     f"FROM ({COMBINED_VERDICT_SQL}) WHERE is_valid",
     "route_error": "SELECT event_id, applicationCode, value, time_text, is_valid, rule_ids, messages "
@@ -366,7 +366,7 @@ ORACLES = {
     "stream_bronze": "SELECT coalesce(event_id, -1) AS event_id, event_type, "
     "coalesce(value, -1) AS value, event_time, malformed, "
     f"true AS from_landing, true AS dated FROM ({_LANDED_SQL})",
-    "stream_silver": _SILVER_ROWS_SQL,
+    "stream_silver": SILVER_ROWS_SQL,
     "stream_dedup": f"SELECT event_id, strftime(ts, '{SECONDS_SQL}') AS ts, user_id, event_type, "
     "value, props FROM events",
 }

@@ -1,4 +1,5 @@
 from rowsieve.sinks.files import start_append
+from rowsieve.sinks.generations import generations, read_widened, register_widened
 from rowsieve.sinks.tables import (
     RouteSink,
     append_table,
@@ -13,7 +14,10 @@ __all__ = [
     "append_table",
     "compact_batches",
     "ensure_database",
+    "generations",
     "overwrite_table",
+    "read_widened",
     "register_route",
+    "register_widened",
     "start_append",
 ]

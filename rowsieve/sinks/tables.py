@@ -12,18 +12,23 @@ Readers see the two bookkeeping levels as partition columns and drop them.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType, StringType, StructField, StructType
+from pyspark.sql.types import LongType, NumericType, StringType, StructField, StructType
 
 from rowsieve.functions.naming import quote
+from rowsieve.plans.evolution import widest, widest_schema
 
 STREAM_ID = "_stream_id"
 BATCH_ID = "_batch_id"
+# A folder of a batch that readers of its rows do not see.
+SCHEMA = "_schema"
 
 
 @dataclass(frozen=True)
@@ -36,6 +41,9 @@ class RouteSink:
 
     With ``format="delta"`` (needs that package) batches are appended to ``table``, or
     to ``path``, as idempotent transactions instead.
+
+    ``keep_schema`` writes each batch's schema beside its rows, for batches whose types
+    differ; see :mod:`rowsieve.sinks.generations`.
     """
 
     path: str
@@ -45,6 +53,7 @@ class RouteSink:
     layout: str = "as_is"
     table: str | None = None
     options: Mapping[str, str] = field(default_factory=dict)
+    keep_schema: bool = False
 
     def __post_init__(self):
         if self.layout not in ("as_is", "rebalance"):
@@ -72,6 +81,9 @@ class RouteSink:
             writer.mode("overwrite").option("partitionOverwriteMode", "static").save(
                 self.batch_path(batch_id)
             )
+            if self.keep_schema:
+                schema = df.sparkSession.createDataFrame([(df.schema.json(),)], "value string")
+                schema.coalesce(1).write.mode("overwrite").text(f"{self.batch_path(batch_id)}/{SCHEMA}")
 
     def has_batch(self, spark: SparkSession, schema: StructType, batch_id: int) -> bool:
         """Whether an earlier attempt at this batch has written to this route."""
@@ -79,6 +91,12 @@ class RouteSink:
             return False
         return _exists(spark, self.format, schema, self.batch_path(batch_id))
 
+    def count_batch(self, spark: SparkSession, schema: StructType, batch_id: int) -> int:
+        """How many rows of a batch are committed; no column is read for it."""
+        if not self.has_batch(spark, schema, batch_id):
+            return 0
+        return spark.read.format(self.format).options(**self.options).schema(schema).load(self.batch_path(batch_id)).count()
+
     def read(
         self, spark: SparkSession, schema: StructType | None = None, after_batch: int | None = None
     ) -> DataFrame:
@@ -141,16 +159,18 @@ def compact_batches(
 
 
 def _batches(spark: SparkSession, sink: RouteSink, stream_id: str) -> list[int]:
-    """Numbers of the batches a sink holds, from its directory names alone."""
-    layout = StructType([StructField(STREAM_ID, StringType()), StructField(BATCH_ID, LongType())])
-    try:
-        rows = spark.read.format(sink.format).schema(layout).load(sink.path)
-    except AnalysisException as e:
-        if e.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return []
-    found = rows.filter(F.col(STREAM_ID) == stream_id).select(BATCH_ID).distinct()
-    return [r[BATCH_ID] for r in found.collect()]
+    """Numbers of the batches a sink holds for a stream."""
+    return [batch for stream, batch in batch_directories(spark, sink.path) if stream == stream_id]
+
+
+def batch_directories(spark: SparkSession, path: str, below: str = "") -> list[tuple[str, int]]:
+    """Stream and number of each batch under a path that has a folder ``below``, from
+    directory names alone."""
+    pattern = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{STREAM_ID}=*/{BATCH_ID}=*{below and '/' + below}")
+    found = pattern.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(pattern) or []
+    name = re.compile(f"/{STREAM_ID}=([^/]*)/{BATCH_ID}=([0-9]+)")
+    matches = [name.search(status.getPath().toString()) for status in found]
+    return sorted((unquote(m[1]), int(m[2])) for m in matches if m)
 
 
 def _require_batches(sink: RouteSink) -> None:
@@ -190,6 +210,45 @@ def _add_columns(spark: SparkSession, table: str, schema: StructType) -> None:
         spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({added.toDDL()})")
 
 
+def follow_schema(
+    spark: SparkSession, table: str, schema: StructType, path: str, partition_keys: Sequence[str], format: str
+) -> None:
+    """Bring an external table's definition up to a schema that followed from its own.
+
+    New columns are added. Where numbers became wider, which Parquet's reader converts, the
+    table is defined anew over the same files. Other changes raise: rows of both types
+    need :func:`~rowsieve.sinks.generations.read_widened`.
+    """
+    if not spark.catalog.tableExists(table):
+        return
+    have = spark.table(table).schema
+    known = {f.name.lower(): f.dataType for f in have}
+    changed = [f for f in schema if known.get(f.name.lower(), f.dataType) != f.dataType]
+    for f in changed:
+        old = known[f.name.lower()]
+        if not (isinstance(old, NumericType) and isinstance(f.dataType, NumericType) and widest(old, f.dataType) == f.dataType):
+            raise ValueError(f"table {table}: column {f.name!r} cannot turn from {old.simpleString()} into {f.dataType.simpleString()}")
+    if not changed:
+        _add_columns(spark, table, schema)
+        return
+    if spark.catalog.getTable(table).tableType != "EXTERNAL":
+        raise ValueError(f"table {table} is not external, so it cannot be defined anew")
+    full = widest_schema([have, schema])
+    keys = ", ".join(quote(k) for k in partition_keys)
+    location = path.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"DROP TABLE {table}")
+    # Over files that a stream has written Spark would ignore the schema, so the table is
+    # defined over no files and then moved.
+    spark.sql(
+        f"CREATE TABLE {table} ({full.toDDL()}) USING {format} "
+        f"{keys and f'PARTITIONED BY ({keys})'} LOCATION '{location}/_definition'"
+    )
+    spark.sql(f"ALTER TABLE {table} SET LOCATION '{location}'")
+    if keys:
+        spark.catalog.recoverPartitions(table)
+    spark.catalog.refreshTable(table)
+
+
 def append_table(
     df: DataFrame,
     table: str,

@@ -4,7 +4,9 @@ from rowsieve.sources.metadata import (
     dq_policies,
     load_policies,
     load_rules,
+    registered_schema,
     schema_registry,
+    schema_versions,
 )
 from rowsieve.sources.objects import cut_objects, object_lines, parse_objects, read_objects, stream_lines
 from rowsieve.sources.tables import stream_table
@@ -19,7 +21,9 @@ __all__ = [
     "parse_objects",
     "read_landing",
     "read_objects",
+    "registered_schema",
     "schema_registry",
+    "schema_versions",
     "stream_landing",
     "stream_lines",
     "stream_table",

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from rowsieve.plans.evolution import BREAKING, BreakingChange, compare
 from rowsieve.plans.rules import Rule, rules_from_policies
 from rowsieve.plans.schema import schema_from_json
 
@@ -29,6 +30,8 @@ POLICY_LAYOUT = (
 # Policies are fetched and planned on the driver, one expression each. The default of
 # ``limit`` is what a default session plans; more raise instead of being fetched.
 MAX_POLICIES = 2_000
+# Versions of one dataset's schema, which are compared on the driver.
+MAX_VERSIONS = 10_000
 
 
 def schema_registry(spark: SparkSession, entries: Iterable[Mapping[str, Any]]) -> DataFrame:
@@ -77,6 +80,50 @@ def active_schema(
     return schema_from_json(row["schema_json"])
 
 
+def registered_schema(
+    spark: SparkSession, dataset: str, table: str | DataFrame = REGISTRY_TABLE, since: int | None = None
+) -> StructType:
+    """The active schema of a dataset, for a job that takes its schema from the registry.
+
+    Every version up to the active one, from version ``since`` on, is compared with the
+    one before it. A step that rows written earlier would not fit raises
+    :class:`~rowsieve.plans.evolution.BreakingChange`, which names the fields; pass the
+    version after such a step as ``since`` to accept it.
+    """
+    sensitive = str(spark.conf.get("spark.sql.caseSensitive", "false")).lower() == "true"
+    versions = schema_versions(spark, dataset, table)
+    versions = [v for v in versions if since is None or v[0] >= since]
+    if not versions:
+        raise LookupError(f"no active schema for dataset {dataset!r} from version {since} on")
+    for (before, old), (after, new) in zip(versions, versions[1:]):
+        changes = compare(old, new, sensitive)
+        if any(c.kind == BREAKING for c in changes):
+            raise BreakingChange(f"dataset {dataset!r}, version {before} to {after}", changes)
+    return versions[-1][1]
+
+
+def schema_versions(
+    spark: SparkSession, dataset: str, table: str | DataFrame = REGISTRY_TABLE
+) -> list[tuple[int, StructType]]:
+    """Versions of a dataset's schema in order, up to the highest active one."""
+    rows = (
+        _as_frame(spark, table)
+        .filter(F.col("dataset_name") == dataset)
+        .select("version", "schema_id", "schema_json", "is_active")
+        .limit(MAX_VERSIONS + 1)
+        .collect()
+    )
+    if len(rows) > MAX_VERSIONS:
+        raise ValueError(f"dataset {dataset!r} has more than {MAX_VERSIONS} schema versions")
+    order = lambda r: (r["version"], r["is_active"], r["schema_id"])
+    active = max((r for r in rows if r["is_active"]), key=order, default=None)
+    if active is None:
+        raise LookupError(f"no active schema for dataset {dataset!r}")
+    # Of rows with one version the active one counts, then the highest id, as in active_schema.
+    last = {r["version"]: r for r in sorted(rows, key=order) if r["version"] <= active["version"]}
+    return [(v, schema_from_json(r["schema_json"])) for v, r in sorted(last.items())]
+
+
 def load_policies(
     spark: SparkSession, dataset: str, table: str | DataFrame = POLICY_TABLE, limit: int | None = None
 ) -> list[Row]:

@@ -1,4 +1,5 @@
 from rowsieve.streaming.bronze import bronze_sink, bronze_stream, start_bronze, start_bronze_split
+from rowsieve.streaming.late import SeenKeys, start_dedup_late, write_unseen
 from rowsieve.streaming.silver import (
     await_end,
     register_silver,
@@ -10,6 +11,7 @@ from rowsieve.streaming.silver import (
 from rowsieve.streaming.triggers import trigger_options
 
 __all__ = [
+    "SeenKeys",
     "await_end",
     "bronze_sink",
     "bronze_stream",
@@ -17,8 +19,10 @@ __all__ = [
     "silver_schema",
     "start_bronze",
     "start_bronze_split",
+    "start_dedup_late",
     "start_routing",
     "start_routing_once",
     "start_silver",
     "trigger_options",
+    "write_unseen",
 ]

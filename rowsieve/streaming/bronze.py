@@ -13,7 +13,7 @@ from rowsieve.operators.standardize import enrich_ingestion
 from rowsieve.plans.schema import CORRUPT_RECORD, source_schema
 from rowsieve.session import tune_session
 from rowsieve.sinks.files import start_append
-from rowsieve.sinks.tables import RouteSink, ensure_database, register_route
+from rowsieve.sinks.tables import RouteSink, ensure_database, follow_schema, register_route
 from rowsieve.sources.landing import stream_landing
 from rowsieve.sources.objects import FILE, cut_objects, parse_objects, stream_lines
 from rowsieve.streaming.triggers import trigger_options
@@ -49,10 +49,14 @@ def start_bronze(
     trigger: Mapping[str, object] | None = None,
     **source,
 ) -> StreamingQuery:
-    """Start the bronze job; its output is registered as the bronze table."""
+    """Start the bronze job; its output is registered as the bronze table, which takes up
+    columns that the configuration has gained."""
     ensure_database(spark, config.database)
+    stream = bronze_stream(spark, config, **source)
+    if config.format != "delta":
+        follow_schema(spark, config.bronze_name, stream.schema, config.bronze_path, config.bronze_keys, config.format)
     return start_append(
-        bronze_stream(spark, config, **source),
+        stream,
         config.bronze_path,
         config.bronze_checkpoint,
         config.bronze_keys,

@@ -38,15 +38,17 @@ def start_routing(
     scope_column: str = SCOPE_COLUMN,
     storage: StorageLevel | None = StorageLevel.MEMORY_AND_DISK,
     on_batch: OnBatch | None = None,
+    committed_counts: bool = False,
 ) -> StreamingQuery:
     """Route every micro-batch of a stream, safely under replay.
 
     Rules are fixed at the start of the stream. Pass a function of the session instead
-    to have them fetched anew for each batch. ``on_batch`` gets the row counts.
+    to have them fetched anew for each batch. ``on_batch`` gets the row counts, with
+    ``committed_counts`` those of the committed files.
     """
 
     def write(verdicts: DataFrame, batch_id: int) -> BatchMetrics:
-        return write_routes(verdicts, valid, error, batch_id, storage)
+        return write_routes(verdicts, valid, error, batch_id, storage, committed_counts)
 
     return _start(stream, rules, write, checkpoint, trigger, scope_column, on_batch)
 
