@@ -1,23 +1,31 @@
 """Licences of files: sparse TF-IDF cosine to templates, then inheritance by directory.
 
-Every line of a file may be its licence header, and a whole file may be a licence file.
-Both are compared with the templates in the same way: words (runs of a-z and 0-9, with
-decimal parts, lower-cased) weigh their count times ``ln((1 + files) / (1 + files with
-the word)) + 1``, counted over all files, and the cosine of the weights must reach
-``HEADER`` or ``FILE``. Words of no template weigh as much as a word of no file.
-
-A cosine of that height needs a word that weighs much in a template. These anchor words
-follow from the weights (what is left without them has too small a norm), so only files
-and lines that hold one are taken apart; the result is the same.
-
-A file with a header has that licence. Any other has the licence of the nearest directory
-above it that holds a licence file, found by joining distinct directories with their
-ancestors. Of several licence files in a directory the best match counts, then the first
-by path.
-
-Only DataFrame functions are used. What is sent to all tasks is a row or two a template
-word. Null and empty texts have no words; null paths inherit nothing. Rows that repeat a
-path are files of their own.
+There are two kinds of template. A notice is a line by which a file names its licence; it
+is compared with every line, and a line that reaches ``HEADER`` is the file's header. A
+licence's full text is compared with whole files; one that reaches ``FILE`` is a licence
+file. So is a file named like one (``LICENSE``, ``COPYING``, with any extension) that has a
+header; other files with a header license nothing but themselves.
+
+Words (runs of a-z and 0-9, with decimal parts, lower-cased) weigh their count times
+``ln((1 + files) / (1 + files with the word)) + 1``. The files with each word are counted
+over the whole table, for every word of it, so that a score does not depend on how large
+the table is.
+
+A cosine of some height needs a word that weighs much in a template. These anchor words
+follow from the weights (what is left without them has too small a norm). Files and lines
+without one are not taken apart, nor are files whose template words together have too small
+a norm; the result is the same.
+
+A file with a header, or one that is a licence file, has that licence. Any other has the
+licence of the nearest directory above it that holds a licence file, found by joining
+distinct directories with their ancestors. Of several licence files in a directory a full
+text counts before a name, then the best match, then the first by path.
+
+Only DataFrame functions are used. What is sent to all tasks is a row a template word and
+the weights of words that hold more than one part in ``HOT_PARTS`` of all, of which there
+are fewer than that; the weights of other words are joined. Null and empty texts have no
+words; null paths inherit nothing. Rows that repeat a path are files of their own. Texts are
+taken whole, whatever their length. Columns may have any names.
 """
 
 from __future__ import annotations
@@ -31,10 +39,13 @@ from pyspark.sql import functions as F
 from rowsieve.llm.common import stored
 
 HEADER = 0.7
-FILE = 0.45
+FILE = 0.8
+HOT_PARTS = 1000
+# Names of files that hold a project's licence.
+FILE_NAME = r"(?i)(^|/)(un)?(licen[cs]e|copying)([.-][^/]*)?$"
 
 # Short notices by which works name their licence.
-TEMPLATES = {
+NOTICES = {
     "Apache-2.0": "Licensed under the Apache License, Version 2.0.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
     "GPL-3.0": "This work is licensed under the GNU General Public License, version 3.",
@@ -42,6 +53,58 @@ TEMPLATES = {
     "proprietary": "All rights reserved.",
 }
 
+# Full texts of public licences.
+_AS_IS = (
+    'THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT '
+    "LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. "
+)
+_BSD_TERMS = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that "
+    "the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, "
+    "this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the "
+    "above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other "
+    "materials provided with the distribution. "
+)
+_BSD_END = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR IMPLIED '
+    "WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A "
+    "PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY "
+    "DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, "
+    "PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER "
+    "CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR "
+    "OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+TEXTS = {
+    "BSD-2-Clause": _BSD_TERMS + _BSD_END,
+    "BSD-3-Clause": _BSD_TERMS
+    + "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote "
+    "products derived from this software without specific prior written permission. " + _BSD_END,
+    "ISC": "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is "
+    "hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE "
+    'SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL '
+    "IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, "
+    "DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, "
+    "WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE "
+    "USE OR PERFORMANCE OF THIS SOFTWARE.",
+    "MIT": "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated "
+    'documentation files (the "Software"), to deal in the Software without restriction, including without limitation '
+    "the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and "
+    "to permit persons to whom the Software is furnished to do so, subject to the following conditions: The above "
+    "copyright notice and this permission notice shall be included in all copies or substantial portions of the "
+    "Software. " + _AS_IS + "IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR "
+    "OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH "
+    "THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+    "Unlicense": "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, "
+    "publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for "
+    "any purpose, commercial or non-commercial, and by any means. In jurisdictions that recognize copyright laws, the "
+    "author or authors of this software dedicate any and all copyright interest in the software to the public domain. "
+    "We make this dedication for the benefit of the public at large and to the detriment of our heirs and successors. "
+    "We intend this dedication to be an overt act of relinquishment in perpetuity of all present and future rights to "
+    "this software under copyright law. " + _AS_IS + "IN NO EVENT SHALL THE AUTHORS BE LIABLE FOR ANY CLAIM, DAMAGES OR "
+    "OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH "
+    "THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.",
+}
+
 _WORD = r"[a-z0-9]+(?:\.[0-9]+)*"
 
 
@@ -50,16 +113,15 @@ def words(text: Column) -> Column:
 
 
 @dataclass(frozen=True)
-class Weights:
-    """Template words with their weights over a set of files."""
+class Templates:
+    """The normed weights of each template's words over a set of files."""
 
-    idf: dict[str, float]
-    unknown: float
-    templates: dict[str, dict[str, float]]  # normed weights by licence
+    weights: dict[str, dict[str, float]]
 
     def anchors(self, threshold: float) -> list[str]:
+        """Words of which a text must hold one to reach the threshold with a template."""
         out: set[str] = set()
-        for weights in self.templates.values():
+        for weights in self.weights.values():
             left = 0.0
             for word, w in sorted(weights.items(), key=lambda x: (x[1], x[0])):
                 left += w * w
@@ -67,51 +129,75 @@ class Weights:
                     out.add(word)
         return sorted(out)
 
+    def within_reach(self, held: Column, threshold: float) -> Column:
+        """Whether a text with these distinct words could reach the threshold."""
+        out = F.lit(False)
+        for weights in self.weights.values():
+            squares = F.create_map(*[F.lit(x) for w, v in sorted(weights.items()) for x in (w, v * v)])
+            mine = F.array_intersect(held, F.array(*[F.lit(w) for w in sorted(weights)]))
+            norm = F.aggregate(mine, F.lit(0.0), lambda total, w: total + F.try_element_at(squares, w))
+            out = out | (norm >= F.lit((threshold - 1e-6) ** 2))
+        return out
 
-def weigh(files: DataFrame, templates: dict[str, str]) -> Weights:
-    """Count the files that hold each template word."""
-    spark = files.sparkSession
-    names = sorted(templates)
-    split = spark.range(1).select(*[words(F.lit(templates[n])).alias(f"t{i}") for i, n in enumerate(names)]).first()
-    counts = {n: {w: split[i].count(w) for w in split[i]} for i, n in enumerate(names)}
-    vocabulary = sorted({w for c in counts.values() for w in c})
-    held = F.array_intersect(words(F.col("text")), F.array(*[F.lit(w) for w in vocabulary]))
-    texts = files.select(F.coalesce(held, F.array().cast("array<string>")).alias("held"))
-    # One pass: the empty word stands for the file itself.
-    found = texts.select(F.explode(F.concat("held", F.array(F.lit("")))).alias("word")).groupBy("word").count()
-    seen = {r["word"]: r["count"] for r in found.collect()}
-    total = seen.pop("", 0)
-    idf = {w: math.log((1 + total) / (1 + seen.get(w, 0))) + 1 for w in vocabulary}
-    normed = {}
-    for name, c in counts.items():
-        weights = {w: n * idf[w] for w, n in c.items()}
-        norm = math.sqrt(sum(x * x for x in weights.values()))
-        normed[name] = {w: x / norm for w, x in weights.items()}
-    return Weights(idf, math.log(1 + total) + 1, normed)
-
-
-def cosines(units: DataFrame, weights: Weights) -> DataFrame:
+
+class Weights:
+    """The weight of every word of a set of files."""
+
+    def __init__(self, files: DataFrame):
+        """Count the files with each word, in one pass; the empty word is in every file."""
+        held = F.array_union(F.coalesce(words(F.col("text")), F.array().cast("array<string>")), F.array(F.lit("")))
+        counts = files.select(F.explode(held).alias("word")).groupBy("word").agg(F.count("*").alias("files"))
+        counts = stored(counts, "words")
+        self.total = (counts.where("word = ''").agg(F.sum("files")).first()[0]) or 0
+        sums = counts.where("word <> ''").agg(F.sum("files")).first()[0] or 0
+        self.idf = counts.where("word <> ''").select("word", "files", self._weight(F.col("files")).alias("idf"))
+        self.hot = F.col("files") * HOT_PARTS > sums
+
+    def _weight(self, files: Column) -> Column:
+        return F.log(F.lit(1.0 + self.total) / (1 + files)) + 1
+
+    def templates(self, texts: dict[str, str]) -> Templates:
+        spark = self.idf.sparkSession
+        names = sorted(texts)
+        split = spark.range(1).select(*[words(F.lit(texts[n])).alias(f"t{i}") for i, n in enumerate(names)]).first()
+        counts = {n: {w: split[i].count(w) for w in split[i]} for i, n in enumerate(names)}
+        vocabulary = sorted({w for c in counts.values() for w in c})
+        idf = {r["word"]: r["idf"] for r in self.idf.where(F.col("word").isin(vocabulary)).collect()}
+        unseen = math.log(1 + self.total) + 1
+        out = {}
+        for name, c in counts.items():
+            weights = {w: n * idf.get(w, unseen) for w, n in c.items()}
+            norm = math.sqrt(sum(x * x for x in weights.values()))
+            out[name] = {w: x / norm for w, x in weights.items()}
+        return Templates(out)
+
+    def of(self, counted: DataFrame) -> DataFrame:
+        """``unit, word, weight`` of ``unit, word, count``. Words in very many files meet
+        their weight without a shuffle, so that no task gets all rows of one."""
+        common = F.broadcast(self.idf.where(self.hot).select("word", F.col("idf").alias("common")))
+        met = counted.join(common, "word", "left")
+        known = met.where(F.col("common").isNotNull()).select("unit", "word", (F.col("count") * F.col("common")).alias("weight"))
+        rest = met.where(F.col("common").isNull()).join(self.idf.where(~self.hot).select("word", "idf"), "word")
+        return known.union(rest.select("unit", "word", (F.col("count") * F.col("idf")).alias("weight")))
+
+
+def cosines(units: DataFrame, weights: Weights, templates: Templates) -> DataFrame:
     """``unit, licence, score``: the best template of each unit ``(unit, text)``; units
     are distinct. Scores are rounded to six places, so that the order of sums is of no
     account."""
     spark = units.sparkSession
     counted = units.select("unit", F.explode(words(F.col("text"))).alias("word")).groupBy("unit", "word").count()
+    names = sorted(templates.weights)
+    rows = [
+        (word, [templates.weights[n].get(word, 0.0) for n in names])
+        for word in sorted({w for t in templates.weights.values() for w in t})
+    ]
     # As many rows as the templates have words.
-    idf = F.broadcast(spark.createDataFrame(sorted(weights.idf.items()), "word string, idf double"))
-    rows = [(w, n, x) for n, t in sorted(weights.templates.items()) for w, x in sorted(t.items())]
-    parts = F.broadcast(spark.createDataFrame(rows, "word string, licence string, part double"))
-    weighed = counted.join(idf, "word", "left").withColumn(
-        "weight", F.col("count") * F.coalesce("idf", F.lit(weights.unknown))
-    )
-    hits = weighed.join(parts, "word", "left")
-    # Each template's share of the product, and the norm from one row a word.
-    product = hits.groupBy("unit", "word").agg(
-        F.first("weight").alias("weight"), F.collect_list(F.struct("licence", "part")).alias("parts")
-    )
-    names = sorted(weights.templates)
-    sums = product.groupBy("unit").agg(
+    parts = F.broadcast(spark.createDataFrame(rows, "word string, parts array<double>"))
+    hits = weights.of(counted).join(parts, "word", "left")
+    sums = hits.groupBy("unit").agg(
         F.sqrt(F.sum(F.col("weight") * F.col("weight"))).alias("norm"),
-        *[F.sum(F.col("weight") * _part(name)).alias(f"s{i}") for i, name in enumerate(names)],
+        *[F.coalesce(F.sum(F.col("weight") * F.col("parts")[i]), F.lit(0.0)).alias(f"s{i}") for i in range(len(names))],
     )
     scores = F.array(*[
         F.struct(F.round(F.col(f"s{i}") / F.col("norm"), 6).alias("score"), F.lit(-i).alias("rank"), F.lit(name).alias("licence"))
@@ -121,57 +207,69 @@ def cosines(units: DataFrame, weights: Weights) -> DataFrame:
     return best.select("unit", "best.licence", "best.score")
 
 
-def _part(name: str) -> Column:
-    mine = F.filter("parts", lambda p: p["licence"] == name)
-    return F.coalesce(F.get(mine, F.lit(0))["part"], F.lit(0.0))
-
-
 def parent(path: Column) -> Column:
     """The directory of a path; the topmost is the empty string."""
     return F.regexp_replace(path, "/?[^/]*$", "")
 
 
-def scan(files: DataFrame, templates: dict[str, str] | None = None, header: float = HEADER, file: float = FILE) -> DataFrame:
+def scan(
+    files: DataFrame,
+    notices: dict[str, str] | None = None,
+    texts: dict[str, str] | None = None,
+    header: float = HEADER,
+    file: float = FILE,
+) -> DataFrame:
     """``files`` (with ``path`` and ``text``) and ``licence, licence_source, score``.
 
-    ``licence_source`` is ``header``, or the directory that the licence comes from. Both
-    and the licence are null where none is found; ``score`` is that of the header or the
-    licence file. Columns of these names are replaced, all others stay.
+    ``licence_source`` is ``header``, ``text`` for a file that is a licence's full text, or
+    the directory that the licence comes from. It and the licence are null where none is
+    found; ``score`` is that of the header or the licence file. Columns of these names are
+    replaced, all others stay.
     """
-    made = ("licence", "licence_source", "score", "_file")
-    kept = [c for c in files.columns if c not in made]
-    weights = weigh(files, templates or TEMPLATES)
-    anchors = F.array(*[F.lit(w) for w in weights.anchors(min(header, file))])
-    found = files.where(F.arrays_overlap(words(F.col("text")), anchors)).select("path", "text")
-    found = stored(found.select(F.monotonically_increasing_id().alias("unit"), "path", "text"), "candidates")
-
-    lines = found.select("unit", F.posexplode(F.split("text", "\n", -1)).alias("line", "text"))
-    lines = lines.where(F.arrays_overlap(words(F.col("text")), anchors))
+    kept = [F.col(f"`{c.replace('`', '``')}`") for c in files.columns if c.lower() not in ("licence", "licence_source", "score")]
+    weights = Weights(files.select("text"))
+    notices, texts = weights.templates(notices or NOTICES), weights.templates(texts or TEXTS)
+    marks = F.array(*[F.lit(w) for w in notices.anchors(header)])
+    signs = F.array(*[F.lit(w) for w in texts.anchors(file)])
+
+    held = files.select("path", "text", F.array_distinct(words(F.col("text"))).alias("held"))
+    held = held.select("path", "text", "held", F.arrays_overlap("held", marks).alias("lined"), F.arrays_overlap("held", signs).alias("whole"))
+    held = held.where("lined OR whole").withColumn("whole", F.when(F.col("whole"), texts.within_reach(F.col("held"), file)).otherwise(False))
+    found = held.where("lined OR whole").select(F.monotonically_increasing_id().alias("unit"), "path", "text", "lined", "whole")
+    found = stored(found, "candidates")
+
+    lines = found.where("lined").select("unit", F.posexplode(F.split("text", "\n", -1)).alias("line", "text"))
+    lines = lines.where(F.arrays_overlap(words(F.col("text")), marks))
     lines = stored(lines.select(F.struct("unit", "line").alias("unit"), "text"), "lines")
-    headers = cosines(lines, weights).where(F.col("score") >= header)
+    headers = cosines(lines, weights, notices).where(F.col("score") >= header)
     headers = headers.groupBy("unit.unit").agg(
         F.max(F.struct("score", (-F.col("unit.line")).alias("first"), "licence")).alias("best")
     )
-    headers = headers.select("unit", "best.licence", "best.score")
-    whole = cosines(found.select("unit", "text"), weights).where(F.col("score") >= file)
-
-    texts = found.select("unit", "path", F.xxhash64("text").alias("hash"))
-    own = stored(texts.join(headers, "unit").groupBy("path", "hash").agg(F.max(F.struct("score", "licence")).alias("own")), "headers")
-    placed = texts.join(whole, "unit").where("path IS NOT NULL").select(parent(F.col("path")).alias("dir"), "path", "licence", "score")
-    first = F.struct((-F.col("score")).alias("worse"), "path", "licence", "score")
-    directories = stored(placed.groupBy("dir").agg(F.min(first).alias("best")).select("dir", "best.licence", "best.score"), "licensed")
-
-    nearest = stored(_nearest(files, directories), "nearest")
-    rows = files.select(*kept).withColumn("_dir", parent(F.col("path"))).withColumn("_hash", F.xxhash64("text"))
-    mine = own.select(F.col("path").alias("_path"), F.col("hash").alias("_h"), F.col("own.licence").alias("_l"), F.col("own.score").alias("_s"))
-    rows = rows.join(mine, F.col("path").eqNullSafe(F.col("_path")) & (F.col("_hash") == F.col("_h")), "left")
-    above = nearest.select(F.col("dir").alias("_of"), F.col("from").alias("_from"), F.col("licence").alias("_al"), F.col("score").alias("_as"))
-    rows = rows.join(above, F.col("_dir") == F.col("_of"), "left")
+    headers = headers.select("unit", F.struct(F.lit(0).alias("full"), "best.score", "best.licence").alias("own"))
+    whole = cosines(found.where("whole").select("unit", "text"), weights, texts).where(F.col("score") >= file)
+    whole = whole.select("unit", F.struct(F.lit(1).alias("full"), "score", "licence").alias("own"))
+    matched = headers.union(whole).groupBy("unit").agg(F.max("own").alias("own"))
+    places = found.select("unit", "path", F.xxhash64("text").alias("hash"))
+    matched = stored(places.join(matched, "unit").select("path", "hash", "own"), "matched")
+
+    own = matched.groupBy("path", "hash").agg(F.max("own").alias("own"))
+    placed = matched.where("path IS NOT NULL").where((F.col("own.full") == 1) | F.col("path").rlike(FILE_NAME))
+    first = F.struct((-F.col("own.full")).alias("worse"), (-F.col("own.score")).alias("less"), "path", "own")
+    directories = placed.groupBy(parent(F.col("path")).alias("dir")).agg(F.min(first).alias("best"))
+    directories = stored(directories.select("dir", "best.own.licence", "best.own.score"), "licensed")
+    nearest = stored(_nearest(files.select("path"), directories), "nearest")
+
+    # The row as one value, so that no name of its columns clashes.
+    rows = files.select(F.struct(*kept).alias("row"), F.col("path").alias("at"), parent(F.col("path")).alias("dir"), F.xxhash64("text").alias("hash"))
+    own = own.select(F.col("path").alias("mine"), F.col("hash").alias("same"), "own")
+    rows = rows.join(own, F.col("at").eqNullSafe(F.col("mine")) & (F.col("hash") == F.col("same")), "left")
+    rows = rows.join(nearest.withColumnsRenamed({"dir": "of"}), F.col("dir") == F.col("of"), "left")
+    source = F.when(F.col("own.full") == 1, "text").when(F.col("own").isNotNull(), "header").otherwise(F.col("from"))
     return rows.select(
-        *kept,
-        F.coalesce("_l", "_al").alias("licence"),
-        F.when(F.col("_l").isNotNull(), "header").otherwise(F.col("_from")).alias("licence_source"),
-        F.coalesce("_s", "_as").alias("score"),
+        "row.*",
+        F.coalesce("own.licence", "licence").alias("licence"),
+        source.alias("licence_source"),
+        F.coalesce("own.score", "score").alias("score"),
     )
 
 

@@ -174,47 +174,55 @@ def op8_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _WORDS_SQL = "regexp_extract_all(lower({}), '[a-z0-9]+(?:[.][0-9]+)*')"
-_TEMPLATES_SQL = ", ".join(f"('{n}', '{t}', {-i})" for i, (n, t) in enumerate(sorted(license_scan.TEMPLATES.items())))
+def _templates_sql(texts: dict[str, str]) -> str:
+    return ", ".join(f"('{n}', '{t}', {-i})" for i, (n, t) in enumerate(sorted(texts.items())))
 
 
-def _cosine_sql(units: str) -> str:
+def _parts_sql(names: str) -> str:
+    """Normed weights ``licence, w, part`` of the templates in a table."""
+    return f"""(SELECT licence, w, x / sqrt(sum(x * x) OVER (PARTITION BY licence)) AS part FROM (
+      SELECT t.licence, t.w, t.tf * coalesce(idf.idf, (SELECT ln(1 + count(*)) + 1 FROM f)) AS x FROM (
+        SELECT licence, w, count(*) AS tf FROM (SELECT licence, unnest({_WORDS_SQL.format('template')}) AS w FROM {names}) GROUP BY ALL) t
+      LEFT JOIN idf ON idf.w = t.w))"""
+
+
+def _cosine_sql(units: str, names: str, parts: str) -> str:
     """Best template of each unit ``(u, text)`` as ``u, score, rank, licence``."""
     return f"""(
   SELECT u, max(struct_pack(score := score, rank := rank, licence := licence)) AS best FROM (
-    SELECT c.u, n.rank, n.licence, round(coalesce(sum(c.tf * coalesce(i.idf, o.idf) * t.part), 0) / any_value(q.norm), 6) AS score
-    FROM (SELECT u, w, count(*) AS tf FROM (SELECT u, unnest({_WORDS_SQL.format('text')}) AS w FROM {units}) GROUP BY ALL) c
-    CROSS JOIN oov o CROSS JOIN names n LEFT JOIN idf i ON i.w = c.w
-    LEFT JOIN parts t ON t.w = c.w AND t.licence = n.licence
-    JOIN (SELECT u, sqrt(sum((tf * coalesce(i.idf, o.idf)) ** 2)) AS norm
-      FROM (SELECT u, w, count(*) AS tf FROM (SELECT u, unnest({_WORDS_SQL.format('text')}) AS w FROM {units}) GROUP BY ALL) x
-      CROSS JOIN oov o LEFT JOIN idf i ON i.w = x.w GROUP BY u) q ON q.u = c.u
+    SELECT c.u, n.rank, n.licence, round(coalesce(sum(c.x * t.part), 0) / sqrt(sum(c.x * c.x)), 6) AS score
+    FROM (SELECT u, k.w, k.tf * idf.idf AS x FROM (
+      SELECT u, w, count(*) AS tf FROM (SELECT u, unnest({_WORDS_SQL.format('text')}) AS w FROM {units}) GROUP BY ALL) k
+      JOIN idf ON idf.w = k.w) c
+    CROSS JOIN {names} n LEFT JOIN {parts} t ON t.w = c.w AND t.licence = n.licence
     GROUP BY c.u, n.rank, n.licence) GROUP BY u)"""
 
 
+# No document is named like a licence file, so full texts alone license a directory.
 OP8_SQL = f"""
-WITH names(licence, template, rank) AS (VALUES {_TEMPLATES_SQL}),
+WITH notices(licence, template, rank) AS (VALUES {_templates_sql(license_scan.NOTICES)}),
+texts(licence, template, rank) AS (VALUES {_templates_sql(license_scan.TEXTS)}),
 f AS (SELECT doc_id, concat_ws('/', source, lang, cast(doc_id // 1000 as varchar), cast(doc_id as varchar)) AS path,
   concat_ws('/', source, lang, cast(doc_id // 1000 as varchar)) AS dir, text FROM documents),
-tw AS (SELECT licence, w, count(*) AS tf FROM (
-  SELECT licence, unnest({_WORDS_SQL.format('template')}) AS w FROM names) GROUP BY ALL),
-dw AS (SELECT w, count(*) AS df FROM (SELECT DISTINCT doc_id, unnest({_WORDS_SQL.format('text')}) AS w FROM f)
-  WHERE w IN (SELECT w FROM tw) GROUP BY w),
-oov AS (SELECT ln(1 + count(*)) + 1 AS idf FROM f),
-idf AS (SELECT DISTINCT tw.w, ln((1 + (SELECT count(*) FROM f)) / (1 + coalesce(dw.df, 0))) + 1 AS idf FROM tw LEFT JOIN dw ON dw.w = tw.w),
-parts AS (SELECT licence, w, x / sqrt(sum(x * x) OVER (PARTITION BY licence)) AS part
-  FROM (SELECT licence, tw.w, tw.tf * idf.idf AS x FROM tw JOIN idf ON idf.w = tw.w)),
+dw AS (SELECT w, count(*) AS df FROM (SELECT DISTINCT doc_id, unnest({_WORDS_SQL.format('text')}) AS w FROM f) GROUP BY w),
+idf AS (SELECT w, ln((1 + (SELECT count(*) FROM f)) / (1 + df)) + 1 AS idf FROM dw),
+notice_parts AS {_parts_sql('notices')},
+text_parts AS {_parts_sql('texts')},
 line AS (SELECT struct_pack(d := doc_id, l := l) AS u, string_split(text, chr(10))[l] AS text
-  FROM (SELECT doc_id, text, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS l FROM f)),
+  FROM (SELECT doc_id, text, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS l FROM f)
+  WHERE regexp_matches(lower(string_split(text, chr(10))[l]), '{'|'.join(sorted({w for t in license_scan.NOTICES.values() for w in t.lower().rstrip('.').replace(',', '').replace('-', ' ').split()}))}')),
 doc AS (SELECT doc_id AS u, text FROM f),
 header AS (SELECT u.d AS doc_id, max(struct_pack(score := best.score, first := -u.l, licence := best.licence)) AS h
-  FROM {_cosine_sql('line')} WHERE best.score >= {license_scan.HEADER} GROUP BY u.d),
-placed AS (SELECT f.dir, min(struct_pack(worse := -best.score, path := f.path, licence := best.licence)) AS b
-  FROM {_cosine_sql('doc')} x JOIN f ON f.doc_id = x.u WHERE best.score >= {license_scan.FILE} GROUP BY f.dir)
-SELECT f.doc_id, f.path, coalesce(h.licence, b.licence) AS licence,
-  CASE WHEN h.licence IS NOT NULL THEN 'header' ELSE p.dir END AS licence_source,
-  coalesce(h.score, -b.worse) AS score
-FROM f LEFT JOIN header ON header.doc_id = f.doc_id
-LEFT JOIN (SELECT dir, b FROM placed) p ON f.dir = p.dir
+  FROM {_cosine_sql('line', 'notices', 'notice_parts')} WHERE best.score >= {license_scan.HEADER} GROUP BY u.d),
+whole AS (SELECT u AS doc_id, best.score AS score, best.licence AS licence
+  FROM {_cosine_sql('doc', 'texts', 'text_parts')} WHERE best.score >= {license_scan.FILE}),
+placed AS (SELECT f.dir, min(struct_pack(worse := -w.score, path := f.path, licence := w.licence)) AS b
+  FROM whole w JOIN f ON f.doc_id = w.doc_id GROUP BY f.dir)
+SELECT f.doc_id, f.path, coalesce(w.licence, h.licence, b.licence) AS licence,
+  CASE WHEN w.licence IS NOT NULL THEN 'text' WHEN h.licence IS NOT NULL THEN 'header' ELSE p.dir END AS licence_source,
+  coalesce(w.score, h.score, -b.worse) AS score
+FROM f LEFT JOIN header ON header.doc_id = f.doc_id LEFT JOIN whole w ON w.doc_id = f.doc_id
+LEFT JOIN placed p ON f.dir = p.dir
 """
 
 

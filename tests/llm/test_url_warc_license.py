@@ -1,4 +1,7 @@
+import math
 import random
+import re
+from collections import Counter
 
 import numpy as np
 from hypothesis import given, settings
@@ -118,37 +121,101 @@ def test_small_payloads_and_empty_tables(spark):
     assert w.read_archive(spark, folder).count() == 0
 
 
+def full(name):
+    """A licence's text as it stands in files: a holder before it, lines broken."""
+    broken = lic.TEXTS[name].split()
+    return "Copyright (c) 2020 Somebody Else\n\n" + "\n".join(" ".join(broken[i : i + 12]) for i in range(0, len(broken), 12))
+
+
+def licences(spark, rows, names=()):
+    """``licence, licence_source`` by row, beside columns of the given names."""
+    columns = "".join(f", `{n}` string" for n in names)
+    files = spark.createDataFrame([(i, *r, *names) for i, r in enumerate(rows)], f"n int, path string, text string{columns}")
+    found = lic.scan(files).collect()
+    assert all(r[n] == n for r in found for n in names if n not in ("licence", "score"))
+    return {r["n"]: (r["licence"], r["licence_source"]) for r in found}
+
+
 def test_licences(spark):
-    mit, gpl, all_rights = (lic.TEMPLATES[k] for k in ("MIT", "GPL-3.0", "proprietary"))
+    mit, gpl, all_rights = (lic.NOTICES[k] for k in ("MIT", "GPL-3.0", "proprietary"))
     filler = " ".join(f"unrelated{i}" for i in range(60))
     rows = [
-        ("a/LICENSE", mit), ("a/x/y/1", filler), ("a/x/LICENSE", gpl), ("a/x/z", filler), ("a/own", f"{filler}\n{all_rights}\n{filler}"),
+        ("a/LICENSE", mit), ("a/x/y/1", filler), ("a/x/licence.txt", gpl), ("a/x/z", filler), ("a/own", f"{filler}\n{all_rights}\n{filler}"),
         ("b/none", filler), ("b/null", None), ("b/empty", ""), (None, mit), (None, filler), ("a/two", f"{mit}\n{gpl}"),
         ("top", filler), ("a/xx", filler), ("a/xx", filler), ("a/long", f"{filler} " * 500 + mit),
-    ]
-    files = spark.createDataFrame([(i, *r, "old", 1) for i, r in enumerate(rows)], "n int, path string, text string, licence string, best int")
-    found = {r["n"]: (r["licence"], r["licence_source"]) for r in lic.scan(files).collect()}
+        ("c/one.py", mit), ("c/other.py", filler), ("d/LICENSED", mit), ("d/e", filler),
+    ]
+    found = licences(spark, rows, ("licence", "best", "_l", "_dir", "_hash", "row", "own", "dir", "from", "score", "unit"))
     assert found[0] == ("MIT", "header") and found[2] == ("GPL-3.0", "header")
     assert found[1] == ("GPL-3.0", "a/x") and found[3] == ("GPL-3.0", "a/x")
     assert found[4] == ("proprietary", "header")
     assert all(found[i] == (None, None) for i in (5, 6, 7, 9, 11))
     assert found[8] == ("MIT", "header") and found[10][1] == "header"
     assert found[12] == found[13] == ("MIT", "a") and found[14] == ("MIT", "a")
-    assert lic.scan(files.limit(0)).count() == 0
+    # A header licenses its own file only.
+    assert found[15] == ("MIT", "header") and found[16] == (None, None) and found[18] == (None, None)
+    empty = spark.createDataFrame([], "path string, text string")
+    assert lic.scan(empty).count() == 0
+
+
+def test_full_licence_texts(spark):
+    """Each is found by its text whatever the file's name, and licenses what lies below."""
+    code = "\n".join(f"def part{i}(): return value{i}" for i in range(80))
+    rows = [("z/code.py", code), ("z/MIT/start.txt", lic.TEXTS["MIT"][:250])]
+    for name in sorted(lic.TEXTS):
+        rows += [(f"{name}/about.txt", full(name)), (f"{name}/deep/er/code.py", code), (f"{name}/both", lic.NOTICES["GPL-3.0"] + "\n" + code)]
+    rows += [("ISC/LICENSE", lic.NOTICES["MIT"]), ("BSD-3-Clause/deep/COPYING", full("MIT"))]
+    found = licences(spark, rows)
+    assert found[0] == found[1] == (None, None)
+    for i, name in enumerate(sorted(lic.TEXTS)):
+        assert found[2 + 3 * i] == (name, "text")
+        # The nearest licence file; in one directory a full text goes before a named file.
+        assert found[3 + 3 * i] == (("MIT", "BSD-3-Clause/deep") if name == "BSD-3-Clause" else (name, name))
+        assert found[4 + 3 * i] == ("GPL-3.0", "header")
+
+
+def test_scores_do_not_depend_on_the_size_of_the_table(spark):
+    """The same shares of words give the same score in one table and one forty times larger."""
+    r = random.Random(3)
+    rows = [(f"d{i}/x", " ".join(f"w{r.randrange(80)}" for _ in range(30)) + "\n" + (lic.NOTICES["MIT"] + " w7" if i % 20 == 0 else "")) for i in range(200)]
+    small = spark.createDataFrame(rows, "path string, text string")
+    large = small.crossJoin(spark.range(40).withColumnRenamed("id", "copy"))
+    best = [{x["score"] for x in lic.scan(t).where("licence = 'MIT'").select("score").distinct().collect()} for t in (small, large)]
+    assert len(best[0]) == len(best[1]) == 1 and abs(max(best[0]) - max(best[1])) < 0.01 and min(best[0]) > 0.9
+
+
+def test_cosines_against_plain_python(spark):
+    r = random.Random(5)
+    vocabulary = re.findall(lic._WORD, " ".join([*lic.TEXTS.values(), *lic.NOTICES.values()]).lower()) + [f"v{i}" for i in range(300)]
+    texts = [" ".join(r.choice(vocabulary) for _ in range(r.randrange(1, 400))) for _ in range(60)] + [None, "", *map(full, lic.TEXTS)]
+    bags = [Counter(re.findall(lic._WORD, (t or "").lower())) for t in texts]
+    df = Counter(w for b in bags for w in b)
+    weigh = lambda bag: {w: n * (math.log((1 + len(texts)) / (1 + df[w])) + 1) for w, n in bag.items()}
+    norm = lambda v: math.sqrt(sum(x * x for x in v.values()))
+    templates = {n: weigh(Counter(re.findall(lic._WORD, t.lower()))) for n, t in lic.TEXTS.items()}
+    want = {}
+    for i, bag in enumerate(bags):
+        if bag:
+            v = weigh(bag)
+            want[i] = max(sum(x * t.get(w, 0) for w, x in v.items()) / norm(v) / norm(t) for t in templates.values())
+    units = spark.createDataFrame(list(enumerate(texts)), "unit long, text string")
+    weights = lic.Weights(units)
+    found = {x["unit"]: x["score"] for x in lic.cosines(units, weights, weights.templates(lic.TEXTS)).collect()}
+    assert found.keys() == want.keys() and all(abs(found[i] - want[i]) < 1e-5 for i in want)
 
 
 def test_licence_scan_runs_no_python(spark):
-    files = spark.createDataFrame([("a/b", lic.TEMPLATES["MIT"])], "path string, text string")
+    files = spark.createDataFrame([("a/b", lic.NOTICES["MIT"])], "path string, text string")
     plan = lic.scan(files)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan
 
 
 def test_anchors_lose_no_match():
-    weights = lic.Weights({}, 5.0, {"t": {"a": 0.1, "b": 0.3, "c": 0.5, "d": 0.8}})
+    weights = lic.Templates({"t": {"a": 0.1, "b": 0.3, "c": 0.5, "d": 0.8}})
     anchors = set(weights.anchors(0.7))
     r = random.Random(1)
     for _ in range(200):
         held = {k for k in "abcd" if r.random() < 0.5}
         # The best cosine of a text that holds these words and no others.
-        best = sum(weights.templates["t"][k] ** 2 for k in held) ** 0.5
+        best = sum(weights.weights["t"][k] ** 2 for k in held) ** 0.5
         assert best < 0.7 or held & anchors
