@@ -30,6 +30,7 @@ from __future__ import annotations
 import base64
 import bisect
 import hashlib
+import math
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
@@ -44,6 +45,8 @@ from pyspark.sql import functions as F
 from rowsieve.llm.common import stored, text_bytes
 
 BLOCK_LINES = 256
+# Bytes of records that one task reads back: the most, and the least where cores are idle.
+MOST_READ, LEAST_READ = 128 << 20, 1 << 20
 # Captures carry no time of their own in the table.
 DATE = "1970-01-01T00:00:00Z"
 _GZIP, _LEVEL = 31, 6
@@ -261,6 +264,14 @@ def _fields(line: str) -> tuple:
     return key, None if page_id == "-" else int(page_id), kind, name, int(offset), int(length)
 
 
+def _readers(places: DataFrame) -> int:
+    """Tasks that read the archives: by the bytes of the records, as Spark splits files,
+    since the few bytes of a place say nothing of the record there."""
+    total = places.agg(F.sum("length")).first()[0] or 0
+    share = math.ceil(total / places.sparkSession.sparkContext.defaultParallelism)
+    return max(1, math.ceil(total / min(MOST_READ, max(LEAST_READ, share))))
+
+
 def read_archive(spark: SparkSession, folder: str, captures: DataFrame | None = None) -> DataFrame:
     """``page_id, url, record_type, payload_bytes, payload_digest, refers_to, payload`` of
     the captures, read from the archives; all captures if none are given.
@@ -271,7 +282,7 @@ def read_archive(spark: SparkSession, folder: str, captures: DataFrame | None =
     captures = read_index(spark, folder) if captures is None else captures
     places = stored(captures.select("file", "offset", "length"), "places")
     # In the order of the files, so that each task reads a few of them from front to back.
-    places = places.repartitionByRange("file", "offset").sortWithinPartitions("file", "offset")
+    places = places.repartitionByRange(_readers(places), "file", "offset").sortWithinPartitions("file", "offset")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         reader = _Reader(f"{folder}/archive")

@@ -101,6 +101,14 @@ def test_archive_round_trip(spark):
     assert len(directory) > 3 and sum(r["lines"] for r in directory) == len(PAGES)
 
 
+def test_tasks_that_read_back_follow_the_bytes(spark, monkeypatch):
+    folder = archive(spark, PAGES)
+    assert w.read_archive(spark, folder).rdd.getNumPartitions() == 1
+    monkeypatch.setattr(w, "LEAST_READ", 1)
+    found = w.read_archive(spark, folder)
+    assert found.rdd.getNumPartitions() > 2 and found.count() == len(PAGES)
+
+
 def test_lookup_by_url(spark):
     folder = archive(spark, PAGES, block_lines=2)
     assert [x[1] for x in w.lookup(spark, folder, "http://www.example.com/a?b=1")] == [1]
