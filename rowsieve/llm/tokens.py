@@ -2,15 +2,18 @@
 
 For tokenizers that split at white space before anything else (the word tokenizer does)
 the ids of a text are those of its white-space-separated pieces in order, so a worker
-keeps the pieces it has met. Most of them reduce further to a bare lower-case word and a
-trailing stop or comma, which the vocabulary's model encodes directly. All other pieces
-go through the whole tokenizer.
+keeps the pieces it has met. Most of them are runs of plain letters, single digits and
+runs of plain signs, which the vocabulary's model encodes directly. All other pieces go
+through the whole tokenizer, one by one: its batches start threads of their own, which
+take CPU from the other tasks of an executor. Long texts are encoded in parts that end at
+white space, so what is held besides a text and its ids does not grow with it.
 """
 
 from __future__ import annotations
 
 import functools
 import json
+import re
 import struct
 import zlib
 from collections.abc import Iterator
@@ -24,14 +27,24 @@ from rowsieve.llm.common import text_bytes
 # Pieces that a worker keeps; beyond that it starts anew.
 KEPT_PIECES = 1_200_000
 
-# Letters that are lower case, composed and alike in every Unicode version.
+# Bytes of a text that are split into pieces at once.
+PART_BYTES = 4 << 20
+
+# Letters that are composed and change case alike in every Unicode version,
+# and signs that begin neither a contraction nor a special token.
 _ASCII_LETTERS = "abcdefghijklmnopqrstuvwxyz"
 _LATIN_LETTERS = "àáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿß"
+_LATIN_CAPITALS = "ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞ"
+_SIGNS = "!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~"
 # What the tokenizer must do before its model, for the short way to be the same.
 _STEPS = {
     "normalizer": ["NFC", "Replace", "Lowercase"],
     "pre_tokenizer": ["Split", "ByteLevel"],
 }
+_LETTERS = _ASCII_LETTERS + _LATIN_LETTERS
+_PLAIN = re.compile(f"[{_LETTERS}{_ASCII_LETTERS.upper()}{_LATIN_CAPITALS}0-9{re.escape(_SIGNS)}]+")
+_RUNS = re.compile(f"[{_LETTERS}]+|[0-9]|[{re.escape(_SIGNS)}]+")
+_SPACE = re.compile(rb"[ \t\n\r\f\v]")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -55,34 +68,24 @@ class WordEncoder:
             "pre_tokenizer": [x["type"] for x in (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])],
         }
         self.by_word = parts == _STEPS
-        self.letters = set((_ASCII_LETTERS + _LATIN_LETTERS) if self.by_word else "")
         self.stand_in = {ord(c): "".join(_byte_letters()[b] for b in c.encode()) for c in _LATIN_LETTERS}
         self.pieces: dict[bytes, bytes] = {}
 
-    def _stem(self, stem: str) -> bytes:
-        key = stem.encode()
+    def _run(self, run: str) -> bytes:
+        key = run.encode()
         found = self.pieces.get(key)
         if found is None:
-            tokens = self.whole.model.tokenize(stem.translate(self.stand_in))
-            found = self.pieces[key] = _packed([t.id for t in tokens])
+            word = run if run.isascii() else run.translate(self.stand_in)
+            found = self.pieces[key] = _packed([t.id for t in self.whole.model.tokenize(word)])
         return found
 
-    def _learn(self, pieces: list[bytes]) -> None:
-        rest = []
+    def _learn(self, pieces: set[bytes]) -> None:
         for piece in pieces:
             word = piece.decode()
-            if word.isascii():
-                word = word.lower()
-            tail = word[-1] if word[-1] in ".," and len(word) > 1 else ""
-            stem = word[:-1] if tail else word
-            if self.letters.issuperset(stem):
-                ids = self._stem(stem)
-                self.pieces[piece] = ids + self.pieces[tail.encode()] if tail else ids
+            if _PLAIN.fullmatch(word):
+                self.pieces[piece] = b"".join(map(self._run, _RUNS.findall(word.lower())))
             else:
-                rest.append(piece)
-        if rest:
-            found = self.whole.encode_batch_fast([p.decode() for p in rest], add_special_tokens=False)
-            self.pieces.update((p, _packed(e.ids)) for p, e in zip(rest, found, strict=True))
+                self.pieces[piece] = _packed(self.whole.encode(word, add_special_tokens=False).ids)
 
     def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         """Ids of each UTF-8 text."""
@@ -91,18 +94,26 @@ class WordEncoder:
                 ids = self.whole.encode(text.decode(), add_special_tokens=False).ids
                 yield np.array(ids, dtype="<u4")
             return
-        if len(self.pieces) > KEPT_PIECES:
-            self.pieces.clear()
-        for mark in (".", ","):
-            if mark.encode() not in self.pieces:
-                ids = self.whole.encode(mark, add_special_tokens=False).ids
-                self.pieces[mark.encode()] = _packed(ids)
         for text in texts:
-            split = text.split()
-            new = {p for p in split if p not in self.pieces}
-            if new:
-                self._learn(list(new))
-            yield np.frombuffer(b"".join(map(self.pieces.__getitem__, split)), dtype="<u4")
+            ids = []
+            for part in _parts(text):
+                split = part.split()
+                new = set(split).difference(self.pieces)
+                if len(self.pieces) + len(new) > KEPT_PIECES:
+                    self.pieces.clear()
+                    new = set(split)
+                self._learn(new)
+                ids.append(b"".join(map(self.pieces.__getitem__, split)))
+            yield np.frombuffer(b"".join(ids), dtype="<u4")
+
+
+def _parts(text: bytes) -> Iterator[bytes]:
+    """A text in parts of at least ``PART_BYTES`` that end at white space, but the last."""
+    start = 0
+    while len(text) - start > PART_BYTES and (end := _SPACE.search(text, start + PART_BYTES)):
+        yield text[start : end.start()]
+        start = end.end()
+    yield text[start:]
 
 
 @functools.lru_cache(maxsize=2)

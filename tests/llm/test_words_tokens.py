@@ -5,6 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from rowsieve.llm import tokens
 from rowsieve.llm.tokens import WordEncoder, encoder
 from rowsieve.llm.words import Words, shingle_sets
 
@@ -54,10 +55,28 @@ def test_ids_equal_the_tokenizer(tokenizer):
         assert ids.tolist() == whole.encode(text, add_special_tokens=False).ids, text
 
 
+@given(texts=st.lists(st.text(alphabet="aZéÉß'’1٣!$%.,<|>_~ \n\u0301\u212a", max_size=30), min_size=1, max_size=5))
+@settings(max_examples=300, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+def test_ids_equal_the_tokenizer_on_signs_and_capitals(tokenizer, texts):
+    whole = encoder(tokenizer).whole
+    for text, ids in zip(texts, encoder(tokenizer).encode([t.encode() for t in texts]), strict=True):
+        assert ids.tolist() == whole.encode(text, add_special_tokens=False).ids, text
+
+
+def test_texts_in_parts_and_a_cleared_store_give_the_same_ids(tokenizer, monkeypatch):
+    text = ("Don't  stop\t(it's 12.5%)\n" + "y" * 50 + " École, l'été! ") * 20
+    whole = encoder(tokenizer).whole.encode(text, add_special_tokens=False).ids
+    for part_bytes, kept in ((1, 1 << 20), (7, 3), (60, 10), (1 << 20, 1)):
+        monkeypatch.setattr(tokens, "PART_BYTES", part_bytes)
+        monkeypatch.setattr(tokens, "KEPT_PIECES", kept)
+        found = list(WordEncoder(tokenizer).encode([text.encode(), b"", text.encode()]))
+        assert [x.tolist() for x in found] == [whole, [], whole]
+
+
 @given(texts=st.lists(st.text(max_size=30), min_size=1, max_size=5))
 @settings(max_examples=200, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 def test_ids_equal_the_tokenizer_on_any_text(tokenizer, texts):
-    whole = Tokenizer.from_file(tokenizer)
+    whole = encoder(tokenizer).whole
     texts = [t.encode(errors="ignore").decode() for t in texts]
     for text, ids in zip(texts, encoder(tokenizer).encode([t.encode() for t in texts]), strict=True):
         assert ids.tolist() == whole.encode(text, add_special_tokens=False).ids, text
