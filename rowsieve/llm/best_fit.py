@@ -13,7 +13,8 @@ fit finds. Everything is decided on rows of a few integers:
 4. Gaps shrink, and the next round begins. When gaps take few of the pieces, as many of
    the largest pieces as their total length needs open sequences of their own.
 
-5. The last few pieces (``LAST_STEP``) and as many of the largest gaps go to one task.
+5. The last few pieces (``LAST_STEP``) and as many of the largest gaps go to one task,
+   after at least one round, so that tables of every size are swept.
 
 The driver sees one row a partition and one a length, never pieces or gaps. Each round's
 state is a table in the shared folder, so a lost executor costs a part of one round.
@@ -87,15 +88,14 @@ def pack(pieces: DataFrame, capacity: int = 2048, last_step: int = LAST_STEP) ->
 
     ``pieces`` has a column ``length`` of 1 to ``capacity``; its other columns stay. Rows
     need no key: equal rows are packed each for itself. Lengths that are null or out of
-    range give null places. An empty table gives an empty one.
+    range give null places. Columns named like the new ones are replaced. An empty table
+    gives an empty one.
     """
-    taken = {"_uid", "sequence_id", "offset"} & set(pieces.columns)
-    if taken:
-        raise ValueError(f"columns {sorted(taken)} are made here")
-    rows = stored(pieces.withColumn("_uid", F.monotonically_increasing_id()), "pieces")
-    placed = place(rows.select(F.col("_uid").alias("id"), F.col("length").cast("long").alias("size")), capacity, last_step)
-    places = placed.withColumnRenamed("id", "_uid")
-    return rows.join(places, "_uid", "left").drop("_uid")
+    kept = [c for c in pieces.columns if c not in ("sequence_id", "offset")]
+    rows = pieces.select(F.monotonically_increasing_id().alias("id"), F.struct(*kept).alias("row"))
+    rows = stored(rows, "pieces")
+    placed = place(rows.select("id", F.col("row.length").cast("long").alias("size")), capacity, last_step)
+    return rows.join(placed, "id", "left").select("row.*", "sequence_id", "offset")
 
 
 def place(items: DataFrame, capacity: int, last_step: int = LAST_STEP) -> DataFrame:
@@ -114,7 +114,7 @@ def place(items: DataFrame, capacity: int, last_step: int = LAST_STEP) -> DataFr
     state = stored(state, "packing", f"{folder}/state-0")
     left = state.where(F.col("kind") == _PIECE).count()
     turn = 0
-    while left > last_step:
+    while left > last_step or (left and not turn):
         turn += 1
         were = left
         state, left = _round(state, capacity, f"{folder}/swept-{turn}")

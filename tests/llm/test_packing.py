@@ -72,5 +72,10 @@ def test_pack_keeps_rows_and_defines_odd_lengths(spark):
     assert filled(placed, 10) == 2
     assert all(r["sequence_id"] is None for r in rows if r["length"] not in (5, 10))
     assert pack(pieces.limit(0), 10).count() == 0
-    with pytest.raises(ValueError):
-        pack(pieces.withColumn("offset", F.lit(1)), 10)
+    names = ["id", "row", "_uid", "size", "kind"]
+    clashing = pieces.select("*", *[F.lit("mine").alias(c) for c in names], F.lit(1).alias("offset"))
+    found = pack(clashing, 10)
+    assert found.columns == [*pieces.columns, *names, "sequence_id", "offset"]
+    found = found.collect()
+    assert {r[c] for r in found for c in names} == {"mine"}
+    assert sorted(r["offset"] for r in found if r["length"] in (5, 10)) == [0, 0, 5]
