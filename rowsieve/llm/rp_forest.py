@@ -14,7 +14,8 @@ trees with other directions make it unlikely that a linked pair never shares one
 * So does a node whose split would part too many of its linked pairs, as in a large loose
   group: the share of pairs kept is measured on the sample at every split and carried down
   the tree, and may not fall below what all trees together need for ``RECALL``.
-* A pair that shares several leaves counts in the first of them. So links are counted
+* A pair that shares several leaves counts in the first of them, and vectors that all
+  share an earlier leaf are not compared again: a close group costs one tree's work. So links are counted
   within leaves and summed, and no pairs leave a task: only sums and, for the components,
   at most one link a vector and leaf.
 
@@ -49,6 +50,10 @@ MODEL_BYTES = 32 << 20
 RECALL = 0.995
 ANCHORS = 256
 LEAST_PAIRS = 30
+# Blocks with more than one linked pair in DENSE are counted as matrices, where vectors
+# share so few earlier leaves that these fit so many words of bits.
+DENSE = 16
+DENSE_WORDS = 32
 
 # Seed, threshold by heap number, margin, share of linked pairs kept by heap number, and
 # the ends that stay whole.
@@ -240,7 +245,9 @@ def _router(block: dict[int, bytes]):
             for node in np.unique(nodes).tolist():
                 if node not in block:
                     continue
-                model = models.setdefault(node, pickle.loads(block[node]))
+                if node not in models:
+                    models[node] = pickle.loads(block[node])
+                model = models[node]
                 here = np.flatnonzero(nodes == node)
                 vectors = batch.column("embedding").take(pa.array(here))
                 x = _unit(vectors, len(vectors[0]))
@@ -282,23 +289,40 @@ def _comparer(threshold: float):
         x = _unit(group.column("embedding"), width)
         ids, copies, block = (group.column(c).to_numpy() for c in ("row", "copies", "block"))
         node, low, high = (group.column(c)[0].as_py() for c in ("node", "low", "high"))
-        earlier = _earlier_leaves(group.column("nodes").combine_chunks(), node)
+        lists = group.column("nodes").combine_chunks()
+        bits, together = _leaf_bits(lists, node)
+        # Those of the commonest earlier leaf have met there: they come last, and only
+        # the others are compared with all.
+        order = np.argsort(together, kind="stable")
+        x, ids, copies, block, bits = x[order], ids[order], copies[order], block[order], bits[order]
+        earlier = _earlier_leaves(lists, node)[order]
+        weight = copies.astype(np.float64)
         links = np.zeros(len(ids), dtype=np.int64)
         root = np.arange(len(ids))
-        for lo in range(0, len(ids), 512):
-            i, j = np.nonzero(x[lo : lo + 512] @ x[lo:].T >= threshold - 1e-12)
-            keep = j > i
-            i, j = i[keep] + lo, j[keep] + lo
+        apart = len(ids) - int(together.sum())
+        for lo in range(0, apart, 512):
+            hi = min(lo + 512, apart)
+            close = x[lo:hi] @ x[lo:].T
+            linked = np.triu(close >= threshold - 1e-12, 1)
             if low != high:
-                apart = block[i] != block[j]
-                i, j = i[apart], j[apart]
+                linked &= block[lo:hi, None] != block[None, lo:]
             # Anew in one fixed order, so that it does not depend on the shape of the block.
-            exact = np.einsum("ij,ij->i", x[i], x[j])
-            i, j = i[exact >= threshold], j[exact >= threshold]
-            root = joined(root, i, j)
-            first = ~_shared(earlier, node, i, j)
-            np.add.at(links, i[first], copies[j[first]])
-            np.add.at(links, j[first], copies[i[first]])
+            i, j = np.nonzero(linked & (close < threshold + 1e-12))
+            linked[i, j] = np.einsum("ij,ij->i", x[lo + i], x[lo + j]) >= threshold
+            if np.count_nonzero(linked) * DENSE > linked.size and bits.shape[1] <= DENSE_WORDS:
+                for word in bits.T:
+                    linked &= (word[lo:hi, None] & word[None, lo:]) == 0
+                counted = linked.astype(np.float64)
+                links[lo:hi] += (counted @ weight[lo:]).astype(np.int64)
+                links[lo:] += (weight[lo:hi] @ counted).astype(np.int64)
+                root = _joined_rows(root, linked, lo)
+            else:
+                i, j = np.nonzero(linked)
+                first = ~_shared(earlier, node, lo + i, lo + j)
+                i, j = lo + i[first], lo + j[first]
+                np.add.at(links, i, copies[j])
+                np.add.at(links, j, copies[i])
+                root = joined(root, i, j)
         some, tied = np.flatnonzero(links), np.flatnonzero(root != np.arange(len(ids)))
         none = np.zeros(0, dtype=np.int64)
         a = np.concatenate([ids[some], ids[root[tied]], none])
@@ -309,6 +333,37 @@ def _comparer(threshold: float):
     return compare
 
 
+def _joined_rows(root: np.ndarray, linked: np.ndarray, lo: int) -> np.ndarray:
+    """``root`` after joining the pairs set in ``linked``, whose rows and columns start at
+    ``lo``: one pair of each row and column first, then those that this leaves apart."""
+    rows, columns = np.flatnonzero(linked.any(axis=1)), np.flatnonzero(linked.any(axis=0))
+    i = np.concatenate([rows, linked[:, columns].argmax(axis=0)])
+    j = np.concatenate([linked[rows].argmax(axis=1), columns])
+    root = joined(root, lo + i, lo + j)
+    i, j = np.nonzero(linked & (root[lo : lo + len(linked), None] != root[None, lo:]))
+    return joined(root, lo + i, lo + j)
+
+
+def _leaf_bits(lists: pa.ListArray, node: int) -> tuple[np.ndarray, np.ndarray]:
+    """For each vector a bit for each leaf before ``node`` that it shares with another one
+    here, and which vectors are in the commonest of those leaves."""
+    sizes = pa.compute.list_value_length(lists).to_numpy()
+    owner, leaves = np.repeat(np.arange(len(sizes)), sizes), lists.flatten().to_numpy()
+    owner, leaves = owner[leaves < node], leaves[leaves < node]
+    _, number, count = np.unique(leaves, return_inverse=True, return_counts=True)
+    place = np.cumsum(count > 1) - 1
+    kept = count[number] > 1
+    owner, number = owner[kept], number[kept]
+    words = 1 + int(place[-1]) // 64 if len(count) else 0
+    bits = np.zeros((len(sizes), words), dtype=np.uint64)
+    at = place[number]
+    np.bitwise_or.at(bits, (owner, at >> 6), np.uint64(1) << (at & 63).astype(np.uint64))
+    together = np.zeros(len(sizes), dtype=bool)
+    if len(number):
+        together[owner[number == count.argmax()]] = True
+    return bits, together
+
+
 def _earlier_leaves(lists: pa.ListArray, node: int) -> np.ndarray:
     """For each vector its leaves before ``node``, filled up with ``node``."""
     sizes = pa.compute.list_value_length(lists).to_numpy()

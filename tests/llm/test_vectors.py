@@ -1,6 +1,8 @@
 import numpy as np
+import pyarrow as pa
 import pytest
 
+from rowsieve.llm import rp_forest
 from rowsieve.llm.components import components
 from rowsieve.llm.rp_forest import near_vectors
 
@@ -82,6 +84,39 @@ def test_a_loose_group_of_many_leaves_keeps_its_links(spark):
     assert sum(found.values()) >= 0.99 * truth.sum() > 1_000_000
 
 
+@pytest.mark.parametrize("dense", [1, 1 << 40])
+@pytest.mark.parametrize("low, high", [(0, 0), (0, 1)])
+def test_a_leaf_counts_pairs_that_share_no_earlier_leaf(dense, low, high, monkeypatch):
+    monkeypatch.setattr(rp_forest, "DENSE", dense)
+    r = np.random.default_rng(8)
+    n, node = 700, 50
+    x = r.normal(size=(6, 8))[r.integers(6, size=n)] + 0.25 * r.normal(size=(n, 8))
+    nodes = [sorted({node, *r.choice([7, 8, 9, 60, *range(100, 140), *range(20, 49)], size=3).tolist()}) for _ in range(n)]
+    copies, block, ids = r.integers(1, 4, n), r.integers(low, high + 1, n), r.permutation(n) + 1000
+    group = pa.table({"row": ids, "copies": copies, "block": block, "embedding": x.tolist(), "nodes": nodes})
+    for name, value in (("node", node), ("low", low), ("high", high)):
+        group = group.append_column(name, pa.array([value] * n))
+    found = rp_forest._comparer(0.9)(group).to_pylist()
+    unit = x / np.linalg.norm(x, axis=1, keepdims=True)
+    links, reach = dict.fromkeys(ids.tolist(), 0), {i: {i} for i in ids.tolist()}
+    for i in range(n):
+        for j in range(i):
+            met = {k for k in nodes[i] if k < node} & set(nodes[j])
+            if unit[i] @ unit[j] >= 0.9 and not met and (low == high or block[i] != block[j]):
+                links[ids[i]] += copies[j]
+                links[ids[j]] += copies[i]
+                both = reach[ids[i]] | reach[ids[j]]
+                reach.update(dict.fromkeys(both, both))
+    assert sum(links.values()) > 5_000
+    assert {f["a"]: f["links"] for f in found if f["b"] is None} == {k: v for k, v in links.items() if v}
+    ours = {i: {i} for i in ids.tolist()}
+    for f in found:
+        if f["b"] is not None:
+            both = ours[f["a"]] | ours[f["b"]]
+            ours.update(dict.fromkeys(both, both))
+    assert ours == reach
+
+
 def test_components_of_chains_stars_and_copies(spark):
     links = [(i, i + 1) for i in range(40)] + [(100, k) for k in range(101, 130)] + [(7, 6), (5, 5), (None, 3), (300, 299)]
     df = spark.createDataFrame(links, "a long, b long")
