@@ -24,8 +24,9 @@ from tokenizers import Tokenizer
 
 from rowsieve.llm.common import text_bytes
 
-# Pieces that a worker keeps; beyond that it starts anew.
-KEPT_PIECES = 1_200_000
+# Pieces that a worker keeps, about 200 bytes each: the newest half and, of those before
+# them, the last half. What is met again moves to the newest.
+KEPT_PIECES = 800_000
 
 # Bytes of a text that are split into pieces at once.
 PART_BYTES = 4 << 20
@@ -70,6 +71,7 @@ class WordEncoder:
         self.by_word = parts == _STEPS
         self.stand_in = {ord(c): "".join(_byte_letters()[b] for b in c.encode()) for c in _LATIN_LETTERS}
         self.pieces: dict[bytes, bytes] = {}
+        self.before: dict[bytes, bytes] = {}
 
     def _run(self, run: str) -> bytes:
         key = run.encode()
@@ -99,10 +101,12 @@ class WordEncoder:
             for part in _parts(text):
                 split = part.split()
                 new = set(split).difference(self.pieces)
-                if len(self.pieces) + len(new) > KEPT_PIECES:
-                    self.pieces.clear()
+                if len(self.pieces) + len(new) > KEPT_PIECES // 2:
+                    self.before, self.pieces = self.pieces, {}
                     new = set(split)
-                self._learn(new)
+                again = {piece: self.before[piece] for piece in new if piece in self.before}
+                self.pieces.update(again)
+                self._learn(new.difference(again))
                 ids.append(b"".join(map(self.pieces.__getitem__, split)))
             yield np.frombuffer(b"".join(ids), dtype="<u4")
 

@@ -23,10 +23,14 @@ _MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C55  # odd, so it has an inverse modulo 2**64
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers: dict[int, np.ndarray] = {}
+# Powers of one base that a worker keeps at most, 8 bytes each.
+KEPT_POWERS = 1 << 20
+# Bytes whose words are hashed at once; one longer word stands alone.
+HASHED_BYTES = 1 << 18
 
 
 def powers(base: int, count: int) -> np.ndarray:
-    """base**0, base**1, ... modulo 2**64; kept and lengthened as needed."""
+    """base**0, base**1, ... modulo 2**64; lengthened as needed and kept, unless very many."""
     have = _powers.get(base)
     if have is None or len(have) < count:
         have = np.ones(1, dtype=np.uint64)
@@ -34,7 +38,8 @@ def powers(base: int, count: int) -> np.ndarray:
         while len(have) < size:
             step = np.uint64(pow(base, len(have), 1 << 64))
             have = np.concatenate([have, have * step])
-        _powers[base] = have
+        if size <= KEPT_POWERS:
+            _powers[base] = have
     return have[:count]
 
 
@@ -68,13 +73,24 @@ class Words:
         lengths = np.array([len(t) + 1 for t in texts], dtype=np.int64)
         self.offsets = np.concatenate([[0], np.cumsum(lengths)])
         self.bounds = np.searchsorted(self.starts, self.offsets)
-        if len(self.starts):
-            values = np.where(space, np.uint64(0), low.astype(np.uint64) + np.uint64(1))
-            values = values * powers(_BASE, len(values))
-            sums = np.add.reduceat(values, self.starts)
-            self.hashes = mix(sums * powers(_INVERSE, len(low))[self.starts])
-        else:
-            self.hashes = np.zeros(0, dtype=np.uint64)
+        self.hashes = mix(self._sums(low, space))
+
+    def _sums(self, low: np.ndarray, space: np.ndarray) -> np.ndarray:
+        """Each word as a polynomial of its bytes. Words are taken together up to about
+        ``HASHED_BYTES``, so that the powers, which a worker keeps, and the arrays for a
+        part do not grow with the texts."""
+        sums = np.zeros(len(self.starts), dtype=np.uint64)
+        first = 0
+        while first < len(sums):
+            lo = int(self.starts[first])
+            last = max(first + 1, int(np.searchsorted(self.starts, lo + HASHED_BYTES)))
+            part = slice(lo, int(self.ends[last - 1]))
+            values = np.where(space[part], np.uint64(0), low[part].astype(np.uint64) + np.uint64(1))
+            values *= powers(_BASE, len(values))
+            at = self.starts[first:last] - lo
+            sums[first:last] = np.add.reduceat(values, at) * powers(_INVERSE, len(values))[at]
+            first = last
+        return sums
 
     def of(self, i: int) -> np.ndarray:
         return self.hashes[self.bounds[i] : self.bounds[i + 1]]

@@ -5,7 +5,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from rowsieve.llm import tokens
+from rowsieve.llm import tokens, words
 from rowsieve.llm.tokens import WordEncoder, encoder
 from rowsieve.llm.words import Words, shingle_sets
 
@@ -80,3 +80,21 @@ def test_ids_equal_the_tokenizer_on_any_text(tokenizer, texts):
     texts = [t.encode(errors="ignore").decode() for t in texts]
     for text, ids in zip(texts, encoder(tokenizer).encode([t.encode() for t in texts]), strict=True):
         assert ids.tolist() == whole.encode(text, add_special_tokens=False).ids, text
+
+
+def test_powers_kept_do_not_grow_with_the_texts(monkeypatch):
+    monkeypatch.setattr(words, "_powers", {})
+    long = [b"ab cd, " * 1_000_000, b"x" * 3_000_000 + b" ab", b"  cd,"]
+    found = Words(long)
+    assert sum(x.nbytes for x in words._powers.values()) <= 2 * 8 * words.KEPT_POWERS
+    ab, cd = Words([b"ab cd,"]).hashes.tolist()
+    assert found.of(0).tolist() == [ab, cd] * 1_000_000
+    assert found.of(1).tolist()[1:] == [ab] and found.of(2).tolist() == [cd]
+
+
+def test_few_pieces_are_kept(tokenizer, monkeypatch):
+    monkeypatch.setattr(tokens, "KEPT_PIECES", 100)
+    encoder = WordEncoder(tokenizer)
+    for k in range(40):
+        list(encoder.encode([" ".join(f"w{k}x{i} the" for i in range(30)).encode()]))
+        assert len(encoder.pieces) + len(encoder.before) <= 300 and b"the" in encoder.pieces
