@@ -8,7 +8,9 @@ remaining n - T + 1. Those are merged; the skipped ones are only probed.
 
 Which lists are skipped matters: the long ones should be. Shingles are ordered by a hash,
 and those found in more than ``long_list`` of the merged lists' documents come last, so a
-passage that very many documents share is probed and not merged. Their number is bounded
+passage that very many documents share is probed and not merged. Documents that would merge
+long lists again have all their shingles counted, so that near copies, which have most of
+theirs together, merge their own ones first. The number of long lists is bounded
 (``MAX_LONG``; beyond it the limit rises), so they can be sent to all tasks.
 
 Steps:
@@ -88,9 +90,9 @@ class Rule:
         return max(1, self.pair_overlap(n_a + n_b) - skipped)
 
 
-def heads(docs: DataFrame, rule: Rule, late: np.ndarray | None = None) -> DataFrame:
+def heads(docs: DataFrame, rule: Rule, late: np.ndarray | None = None, whole: bool = False) -> DataFrame:
     """``doc_id, n_shingles, key_a, key_b, head``: the keys tell equal sets, ``head`` has
-    the shingles of the lists to merge. ``late`` are shingles to put last."""
+    the shingles of the lists to merge, or all. ``late`` are shingles to put last."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -102,7 +104,7 @@ def heads(docs: DataFrame, rule: Rule, late: np.ndarray | None = None) -> DataFr
                     sizes.append(n)
                     keys_a.append(int(found.sum(dtype=np.uint64).view(np.int64)))
                     keys_b.append(int(mix(found).sum(dtype=np.uint64).view(np.int64)))
-                    merged = n - rule.least_overlap(n) + 1 if n else 0
+                    merged = n if whole else n - rule.least_overlap(n) + 1 if n else 0
                     if late is not None and n:
                         skip = _among(found, late)
                         found = np.concatenate([found[~skip], found[skip]])
@@ -171,31 +173,32 @@ def jaccard_components(docs: DataFrame, rule: Rule | None = None, long_list: int
     return found.select("doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id"))
 
 
-def _postings(firsts: DataFrame) -> DataFrame:
-    return firsts.select("rep", F.explode("head").alias("shingle"))
-
-
 def _merged_lists(docs: DataFrame, firsts: DataFrame, rule: Rule, long_list: int) -> tuple[DataFrame, DataFrame]:
     """The documents' lists to merge, ``rep, n, head``, long ones put off, and the postings
     ``rep, n, shingle, grp`` of those that have two documents or more; ``grp`` is ``rep``."""
     late = np.zeros(0, dtype=np.uint64)
-    rest, again = firsts.select("rep", "n", "head"), None
-    for _ in range(PUT_OFF_ROUNDS):
-        new = _long(rest if again is None else again, long_list, late)
+    rest = latest = firsts.select("rep", "n", "head")
+    for turn in range(PUT_OFF_ROUNDS):
+        new = _long(latest.select("head"), latest.select(F.size("head").alias("n")), long_list, late)
         if not len(new):
             break
+        if turn:
+            # Near copies have so many shingles together that the lists they choose next
+            # are long as well, again and again. All their shingles are counted at once.
+            touched = _touched(rest, new)
+            whole = heads(with_ids(docs, touched), rule, whole=True).where("doc_id IS NOT NULL")
+            new = np.union1d(new, _long(whole.select("head"), touched, long_list, late))
+            discard(touched)
         late = np.sort(np.concatenate([late, new]))
-        # Documents that would merge a long list choose anew, with these lists last. The
-        # filter lets some others through: theirs come out as they were, so there is
+        # Documents that would merge a list now put off choose anew, with such lists last.
+        # The filter lets some others through: theirs come out as they were, so there is
         # nothing to join.
-        part = rest.select("rep", "head").mapInArrow(_touching(late), "doc_id long")
-        touched = part if again is None else part.union(again.select("rep"))
-        touched = stored(touched.distinct(), "touched")
+        touched = _touched(rest, new)
         found = heads(with_ids(docs, touched), rule, late).where("doc_id IS NOT NULL AND n_shingles > 0")
-        again = stored(found.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "head"), "again")
+        latest = stored(found.select(F.col("doc_id").alias("rep"), F.col("n_shingles").alias("n"), "head"), "latest")
         named = rest.withColumnRenamed("rep", "doc_id")
-        rest = with_ids(named, touched, maybe=False).withColumnRenamed("doc_id", "rep")
-    chosen = stored(rest if again is None else rest.union(again), "chosen")
+        rest = with_ids(named, touched, maybe=False).withColumnRenamed("doc_id", "rep").union(latest)
+    chosen = stored(rest, "chosen")
     postings = chosen.select("rep", "n", F.explode("head").alias("shingle"))
     shared = stored(postings.groupBy("shingle").count().where("count > 1").select("shingle"), "shared")
     lists = maybe_among(postings, shared, "shingle").join(shared, "shingle", "left_semi")
@@ -215,27 +218,31 @@ def _firsts(sets: DataFrame) -> DataFrame:
     )
 
 
-def _long(firsts: DataFrame, long_list: int, late: np.ndarray) -> np.ndarray:
-    """Shingles whose lists are long and not known to be."""
-    total = firsts.agg(F.coalesce(F.sum(F.size("head")), F.lit(0))).first()[0]
+def _long(lists: DataFrame, sizes: DataFrame, long_list: int, late: np.ndarray) -> np.ndarray:
+    """Shingles of ``lists (head)`` whose lists are long and not known to be. The sum of
+    ``n`` in ``sizes`` is at least the number of postings."""
+    total = sizes.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     # At most MAX_LONG shingles can have more postings than this.
     limit = max(long_list, -(-total // MAX_LONG))
-    counts = _postings(firsts).groupBy("shingle").count().where(F.col("count") > limit)
+    counts = lists.select(F.explode("head").alias("shingle")).groupBy("shingle").count().where(F.col("count") > limit)
     found = counts.select("shingle").toArrow().column("shingle").to_numpy().view(np.uint64)
     return found[~_among(found, late)]
 
 
-def _touching(late: np.ndarray):
+def _touched(lists: DataFrame, late: np.ndarray) -> DataFrame:
+    """``doc_id, n`` of the documents that would merge one of these lists."""
+    late = np.sort(late)
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            lists = batch.column("head")
-            hit = _among(lists.flatten().to_numpy().view(np.uint64), late)
-            ends = np.cumsum(pa.compute.list_value_length(lists).to_numpy())
+            found = batch.column("head")
+            hit = _among(found.flatten().to_numpy().view(np.uint64), late)
+            ends = np.cumsum(pa.compute.list_value_length(found).to_numpy())
             sums = np.concatenate([[0], np.cumsum(hit)])
-            some = np.diff(np.concatenate([[0], sums[ends]])) > 0
-            yield pa.RecordBatch.from_arrays([batch.column("rep").filter(pa.array(some))], names=["doc_id"])
+            some = pa.array(np.diff(np.concatenate([[0], sums[ends]])) > 0)
+            yield pa.RecordBatch.from_arrays([batch.column(c).filter(some) for c in ("rep", "n")], names=["doc_id", "n"])
 
-    return run
+    return stored(lists.mapInArrow(run, "doc_id long, n long").distinct(), "touched")
 
 
 def _similar_size(a: str, b: str, rule: Rule):

@@ -65,6 +65,23 @@ def test_families_at_the_threshold_and_shared_passages(spark, long_list):
     assert found(spark, rows, rule, long_list=long_list) == brute(rows, rule)
 
 
+def test_near_copies_that_do_not_link_make_few_pairs(spark, monkeypatch):
+    rule = j.Rule(4, 85, 100)
+    r = random.Random(3)
+    base = prose(150, 8).split()
+    rows = []
+    for d in range(90):
+        words = list(base)
+        for k in r.sample(range(0, 140, 9), 4):
+            words[k] = f"e{d}x{k}"
+        rows.append((d, " ".join(words)))
+    made = []
+    verified = j.verified
+    monkeypatch.setattr(j, "verified", lambda docs, pairs, rule: made.append(pairs.count()) or verified(docs, pairs, rule))
+    assert found(spark, rows, rule, long_list=20) == brute(rows, rule)
+    assert sum(made) < len(rows)
+
+
 def test_five_words_at_four_fifths(spark):
     rows = list(enumerate(t for s in range(10, 14) for t in family(s, 6, 8)))
     assert found(spark, rows, j.Rule()) == brute(rows, j.Rule())
