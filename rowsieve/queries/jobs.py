@@ -204,7 +204,8 @@ def _land_documents(spark: SparkSession, sf_dir: str, config: PipelineConfig, br
     )
     files = events.groupBy("file").agg(F.to_json(F.collect_list("event"), {"pretty": "true"}).alias("text"))
     broken = spark.createDataFrame([(-1, broken)], "file int, text string")
-    files.union(broken).write.partitionBy("file").text(config.landing_path)
+    # A row is a file, without a folder of its own, which the commit would move one by one.
+    files.union(broken).select("text").write.option("maxRecordsPerFile", 1).text(config.landing_path)
     files.select("text").write.json(f"{config.landing_path}/other")
 
 

@@ -7,158 +7,201 @@ strings without knowing what came before. What came before decides the depth onl
 
 * Each split sums up the depth its lines add, and the lowest point they reach. Depth cannot
   fall below zero, so entering at depth d a split ends at ``max(d + total, total - lowest)``;
-  these two numbers a split give the depth at which every split begins.
-* From there each line knows its depth, and lines that reach depth zero are cut.
-* Objects begun so far are counted within splits and then over them, which numbers the
-  objects of a file. The parts of an object meet under that number, in order.
-
-Only whole objects and two numbers a split are shuffled between splits. A line is not split,
-so one that holds everything is one task's work. Text between objects other than brackets
-and commas, and an object that never ends, come out as malformed records.
+  these two numbers a split give the depth at which every split begins. Splits that are a
+  whole file begin at zero and are not summed up.
+* From there a task walks through the lines of its splits and cuts where the depth leaves or
+  reaches zero. An object that ends in the split it begins in is done.
+* Pieces of the others, two a split at most, meet by the number of objects that splits
+  before them left unfinished.
+
+Only those pieces and two numbers a split are shuffled; lines stay in the task that reads
+them, in their order. A line is not split, so one that holds everything is one task's work.
+Text between objects other than brackets and commas, and an object that never ends, come
+out as malformed records.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+import re
+from collections.abc import Callable, Iterable, Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 FILE, SPLIT = "_object_file", "_object_split"
-_SEQ, _LINE = "_object_seq", "_object_line"
-# Strings, also one that the line breaks off, single braces, and all between them.
-_STRING = r'"(?:[^"\\]|\\.)*"?'
-_TOKENS = rf'({_STRING}|[{{}}]|[^"{{}}]+)'
-_BETWEEN = r"^[\s,\[\]]*$"
+_LINE, _WHOLE = "_object_line", "_object_whole"
+# Strings, also one that the line breaks off; a backslash takes no line separator with it.
+_STRING = rb'"(?:[^"\\]|\\(?!\xc2\x85|\xe2\x80[\xa8\xa9])[^\r\n])*"?'
+# Strings, single braces, and all between them.
+_TOKENS = _STRING + rb'|[{}]|[^"{}]+'
+_BETWEEN = rb"[ \t\n\x0b\f\r,\[\]]*(?:\xc2\x85|\xe2\x80[\xa8\xa9])?\Z"
+# An object or text between objects; pieces of an object that other splits have a part of,
+# the split's first lines or its last.
+_DONE, _REST, _BEGUN = 0, 1, 2
 
 
 def object_lines(lines: DataFrame) -> DataFrame:
     """The lines of a text source, batch or stream, with the file and split they are of."""
+    split = F.col("_metadata.file_block_start")
     return lines.select(
         F.col("_metadata.file_path").alias(FILE),
-        F.col("_metadata.file_block_start").alias(SPLIT),
+        split.alias(SPLIT),
+        ((split == 0) & (F.col("_metadata.file_block_length") == F.col("_metadata.file_size"))).alias(_WHOLE),
         F.col("value").alias(_LINE),
     )
 
 
 def cut_objects(lines: DataFrame) -> DataFrame:
-    """``_object_file, text``: the objects in the lines of :func:`object_lines`, a batch.
+    """``_object_file, text``: the objects in the lines of :func:`object_lines`, a batch,
+    as the tasks read them.
 
     Objects may hold others. The order of objects is not kept.
     """
-    rows = _with_depths(lines)
-    splits = _entries(rows)
-    rows = rows.join(splits, [FILE, SPLIT])
-    # Depth at the line's start: as entered, or since the last time it would be below zero.
-    depth = F.greatest(F.col("_enter") + F.col("_before"), F.col("_before") - F.col("_low_before"))
-    parts = rows.withColumn("_parts", _parts(depth)).where(F.size("_parts") > 0)
-    begun = F.size(F.filter("_parts", lambda p: p["begins"])).cast("long")
-    earlier = Window.partitionBy(FILE, SPLIT).orderBy(_SEQ).rowsBetween(Window.unboundedPreceding, -1)
-    parts = parts.withColumn("_begun", begun).withColumn("_earlier", F.coalesce(F.sum("_begun").over(earlier), F.lit(0)))
-
-    totals = parts.groupBy(FILE, SPLIT).agg(F.sum("_begun").alias("_all"))
-    before = Window.partitionBy(FILE).orderBy(SPLIT).rowsBetween(Window.unboundedPreceding, -1)
-    totals = totals.select(FILE, SPLIT, F.coalesce(F.sum("_all").over(before), F.lit(0)).alias("_first"))
-    cut = parts.join(totals, [FILE, SPLIT]).select(
-        FILE, SPLIT, _SEQ, F.col("_first") + F.col("_earlier"), F.posexplode("_parts").alias("_pos", "_part")
-    )
-    cut = cut.toDF(FILE, SPLIT, _SEQ, "_number", "_pos", "_part")
-    # Text between objects is a record of its own.
-    place = F.struct(SPLIT, _SEQ, "_pos")
-    loose = F.when(~F.col("_part.inside"), place)
-    cut = cut.select(
-        FILE,
-        (F.col("_number") + F.col("_part.nth")).alias("_number"),
-        loose.alias("_loose"),
-        F.struct(SPLIT, _SEQ, "_pos", "_part.text").alias("_piece"),
-    )
-    whole = cut.groupBy(FILE, "_number", "_loose").agg(F.sort_array(F.collect_list("_piece")).alias("_pieces"))
-    return whole.select(FILE, F.array_join(F.transform("_pieces", lambda p: p["text"]), "\n").alias("text"))
-
-
-def _with_depths(lines: DataFrame) -> DataFrame:
-    """Each line's own depth and lowest point, and both for the lines before it in its split."""
-    braces = F.regexp_replace(F.regexp_replace(_LINE, _STRING, ""), r"[^{}]", "")
-    # The lowest point of a line: braces walked through, most lines have none or one.
-    walked = F.aggregate(
-        F.split("_braces", ""),
-        F.struct(F.lit(0).alias("at"), F.lit(0).alias("low")),
-        lambda s, b: _walk(s["at"] + F.when(b == "{", 1).when(b == "}", -1).otherwise(0), s["low"]),
-    )
-    rows = lines.withColumn(_SEQ, F.monotonically_increasing_id()).withColumn("_braces", braces)
-    rows = rows.withColumn("_walked", F.when(F.col("_braces") == "", F.struct(F.lit(0).alias("at"), F.lit(0).alias("low"))).otherwise(walked))
-    rows = rows.select(FILE, SPLIT, _SEQ, _LINE, F.col("_walked.at").cast("long").alias("_own"), F.col("_walked.low").cast("long").alias("_low"))
-    order = Window.partitionBy(FILE, SPLIT).orderBy(_SEQ)
-    earlier = order.rowsBetween(Window.unboundedPreceding, -1)
-    rows = rows.withColumn("_before", F.coalesce(F.sum("_own").over(earlier), F.lit(0)))
-    lowest = F.min(F.col("_before") + F.col("_low")).over(earlier)
-    return rows.withColumn("_low_before", F.least(F.coalesce(lowest, F.lit(0)), F.lit(0)))
-
-
-def _walk(at: Column, low: Column) -> Column:
-    return F.struct(at.alias("at"), F.least(low, at).alias("low"))
-
-
-def _entries(rows: DataFrame) -> DataFrame:
-    """The depth at which each split begins, from two numbers of each."""
-    sums = rows.groupBy(FILE, SPLIT).agg(
-        F.sum("_own").alias("_total"), F.least(F.min(F.col("_before") + F.col("_low")), F.lit(0)).alias("_lowest")
-    )
+    shared = lines.where(~F.col(_WHOLE))
+    # Few: files of several splits only, and of these the splits that cut an object.
+    splits = F.broadcast(_open_splits(shared))
+    made = f"{FILE} string, {SPLIT} long, kind int, text string"
+    done = lines.join(splits, [FILE, SPLIT], "left").mapInArrow(_cutter(), made).where(F.col("kind") == _DONE)
+    pieces = shared.join(splits, [FILE, SPLIT]).mapInArrow(_cutter(), made).where(F.col("kind") != _DONE)
+    before = Window.partitionBy(FILE).orderBy(SPLIT, "kind").rowsBetween(Window.unboundedPreceding, 0)
+    pieces = pieces.withColumn("number", F.sum((F.col("kind") == _BEGUN).cast("long")).over(before))
+    joined = pieces.groupBy(FILE, "number").agg(F.sort_array(F.collect_list(F.struct(SPLIT, "kind", "text"))).alias("pieces"))
+    return done.select(FILE, "text").union(joined.select(FILE, F.array_join("pieces.text", "\n").alias("text")))
+
+
+def _open_splits(lines: DataFrame) -> DataFrame:
+    """``_object_file, _object_split, _enter``: the depth at which splits begin that begin
+    or end inside of an object."""
+    sums = lines.mapInArrow(_summer(), f"{FILE} string, {SPLIT} long, _total long, _lowest long")
     earlier = Window.partitionBy(FILE).orderBy(SPLIT).rowsBetween(Window.unboundedPreceding, -1)
-    start = F.coalesce(F.sum("_total").over(earlier), F.lit(0))
-    sums = sums.withColumn("_start", start)
+    sums = sums.withColumn("_start", F.coalesce(F.sum("_total").over(earlier), F.lit(0)))
     lowest = F.coalesce(F.min(F.col("_start") + F.col("_lowest")).over(earlier), F.lit(0))
-    return sums.select(FILE, SPLIT, (F.col("_start") - F.least(lowest, F.lit(0))).alias("_enter"))
-
-
-_PART = "struct<nth:bigint,begins:boolean,inside:boolean,text:string>"
-_STATE = f"struct<depth:bigint,nth:bigint,begins:boolean,text:string,parts:array<{_PART}>>"
-
-
-def _parts(depth: Column) -> Column:
-    """A line cut where its depth leaves or reaches zero; ``nth`` counts objects from 0,
-    the one that the line begins in. Lines that stay inside are one part."""
-    inside = depth + F.col("_low") > 0
-    whole = F.array(_part(F.lit(0), F.lit(False), F.lit(True), F.col(_LINE)))
-    empty = F.array().cast(f"array<{_PART}>")
-    start = _state(depth, F.lit(0), F.lit(False), F.lit(""), empty)
-    cut = F.aggregate(F.regexp_extract_all(_LINE, F.lit(_TOKENS), 1), start, _take, _end)
-    kept = F.filter(cut, lambda p: p["inside"] | ~p["text"].rlike(_BETWEEN))
-    idle = (depth == 0) & F.col(_LINE).rlike(_BETWEEN)
-    return F.when(inside, whole).when(idle, empty).otherwise(kept)
-
-
-def _part(nth: Column, begins: Column, inside: Column, text: Column) -> Column:
-    return F.struct(nth.cast("long").alias("nth"), begins.alias("begins"), inside.alias("inside"), text.alias("text"))
-
-
-def _state(depth: Column, nth: Column, begins: Column, text: Column, parts: Column) -> Column:
-    return F.struct(
-        depth.cast("long").alias("depth"),
-        nth.cast("long").alias("nth"),
-        begins.alias("begins"),
-        text.alias("text"),
-        parts.alias("parts"),
-    ).cast(_STATE)
-
-
-def _take(s: Column, token: Column) -> Column:
-    """A token added to what is being read."""
-    longer = F.concat(s["text"], token)
-    opens, closes = token == "{", (token == "}") & (s["depth"] > 0)
-    outside = F.concat(s["parts"], F.array(_part(s["nth"], F.lit(False), F.lit(False), s["text"])))
-    object_ = F.concat(s["parts"], F.array(_part(s["nth"], s["begins"], F.lit(True), longer)))
-    return (
-        F.when(opens & (s["depth"] == 0), _state(F.lit(1), s["nth"] + 1, F.lit(True), token, outside))
-        .when(closes & (s["depth"] == 1), _state(F.lit(0), s["nth"], F.lit(False), F.lit(""), object_))
-        .otherwise(
-            _state(s["depth"] + F.when(opens, 1).when(closes, -1).otherwise(0), s["nth"], s["begins"], longer, s["parts"])
-        )
-    )
-
-
-def _end(s: Column) -> Column:
-    rest = F.array(_part(s["nth"], s["begins"], s["depth"] > 0, s["text"]))
-    return F.when((s["text"] != "") | s["begins"], F.concat(s["parts"], rest)).otherwise(s["parts"])
+    sums = sums.withColumn("_enter", F.col("_start") - F.least(lowest, F.lit(0)))
+    leaves = F.greatest(F.col("_enter") + F.col("_total"), F.col("_total") - F.col("_lowest"))
+    return sums.where((F.col("_enter") > 0) | (leaves > 0)).select(FILE, SPLIT, "_enter")
+
+
+# What follows runs in tasks. Functions inside of functions go there by value, so workers
+# need not have this package.
+
+
+def _walker() -> Callable[[pa.RecordBatch], Iterator[tuple[tuple[str, int], int, int]]]:
+    """Gives the ranges of a batch's rows that are of one split."""
+
+    def ranges(batch: pa.RecordBatch) -> Iterator[tuple[tuple[str, int], int, int]]:
+        files, splits = batch.column(FILE), batch.column(SPLIT)
+        n = batch.num_rows
+        new = np.ones(n, dtype=bool)
+        for column in (files, splits):
+            same = pc.equal(column.slice(1), column.slice(0, n - 1)).to_numpy(zero_copy_only=False)
+            new[1:] &= same.astype(bool)
+        starts = np.concatenate([[0], np.flatnonzero(~new[1:]) + 1])
+        for lo, hi in zip(starts.tolist(), [*starts[1:].tolist(), n], strict=True):
+            yield (files[lo].as_py(), splits[lo].as_py()), lo, hi
+
+    return ranges
+
+
+def _summer():
+    """For each split the depth its lines add and the lowest point they reach, at most 0."""
+    ranges = _walker()
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        string = re.compile(_STRING)
+        sums: dict[tuple[str, int], tuple[int, int]] = {}
+        for batch in (b for b in batches if b.num_rows):
+            texts = batch.column(_LINE).cast(pa.large_binary())
+            braces = pc.match_substring_regex(texts, "[{}]").to_numpy(zero_copy_only=False)
+            for place, lo, hi in ranges(batch):
+                at, low = sums.get(place, (0, 0))
+                for k in np.flatnonzero(braces[lo:hi]).tolist():
+                    for c in string.sub(b"", texts[lo + k].as_py()):
+                        if c == 123:
+                            at += 1
+                        elif c == 125:
+                            at -= 1
+                            low = min(low, at)
+                sums[place] = at, low
+        if sums:
+            rows = [(*place, *found) for place, found in sums.items()]
+            columns = [pa.array(x) for x in zip(*rows, strict=True)]
+            yield pa.RecordBatch.from_arrays(columns, names=[FILE, SPLIT, "_total", "_lowest"])
+
+    return run
+
+
+def _cutter():
+    """The objects of splits that begin at the depth ``_enter``, or zero, and the pieces."""
+    ranges = _walker()
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens, between = re.compile(_TOKENS), re.compile(_BETWEEN)
+        out: list[tuple[str, int, int, bytes]] = []
+        place, whole, depth, kind = None, True, 0, _DONE
+        held: list[bytes] = []  # lines of the object that is open
+
+        def stray(text: bytes) -> None:
+            if not between.match(text):
+                out.append((*place, _DONE, text))
+
+        def end() -> None:
+            if depth:
+                out.append((*place, _DONE if whole else kind or _BEGUN, b"\n".join(held)))
+
+        def made() -> pa.RecordBatch:
+            files, splits, kinds, found = zip(*out, strict=True)
+            out.clear()
+            columns = [pa.array(files), pa.array(splits, pa.int64()), pa.array(kinds, pa.int32())]
+            columns.append(pa.array(found, pa.binary()).view(pa.string()))
+            return pa.RecordBatch.from_arrays(columns, names=[FILE, SPLIT, "kind", "text"])
+
+        for batch in (b for b in batches if b.num_rows):
+            texts = batch.column(_LINE).cast(pa.large_binary())
+            braces = pc.match_substring_regex(texts, "[{}]").to_pylist()
+            lines = texts.to_pylist()
+            for here, lo, hi in ranges(batch):
+                if here != place:
+                    end()
+                    place, whole, held = here, batch.column(_WHOLE)[lo].as_py(), []
+                    depth = batch.column("_enter")[lo].as_py() or 0
+                    kind = _REST if depth else _DONE
+                for line, some in zip(lines[lo:hi], braces[lo:hi], strict=True):
+                    if not some:
+                        if depth:
+                            held.append(line)
+                        else:
+                            stray(line)
+                        continue
+                    text: list[bytes] = []
+                    for token in tokens.findall(line):
+                        if token == b"{":
+                            if not depth:
+                                stray(b"".join(text))
+                                text, held, kind = [], [], _DONE
+                            depth += 1
+                        elif token == b"}" and depth:
+                            depth -= 1
+                            if not depth:
+                                held.append(b"".join(text) + token)
+                                out.append((*place, kind, b"\n".join(held)))
+                                text, held, kind = [], [], _DONE
+                                continue
+                        text.append(token)
+                    if depth:
+                        held.append(b"".join(text))
+                    else:
+                        stray(b"".join(text))
+            if out:
+                yield made()
+        end()
+        if out:
+            yield made()
+
+    return run
 
 
 def parse_objects(objects: DataFrame, schema: StructType, corrupt_column: str | None = None) -> DataFrame:

@@ -97,3 +97,27 @@ def test_malformed_objects_cost_themselves_only(spark, tmp_path, schema):
 def test_file_is_known(spark, tmp_path):
     (tmp_path / "a.json").write_text('{"id": 1}')
     assert cut_objects(object_lines(spark.read.text(str(tmp_path)))).head()[FILE].endswith("/a.json")
+
+
+def test_lines_are_not_shuffled(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"id": 1,\n"name": "a"}')
+    plan = cut_objects(object_lines(spark.read.text(str(tmp_path))))._jdf.queryExecution().optimizedPlan().toString()
+    assert "monotonically_increasing_id" not in plan and "_object_seq" not in plan
+
+
+def test_an_object_over_many_splits(spark, tmp_path):
+    big = json.dumps({"a": ["x" * 50] * 3000, "b": {"c": "} {"}}, indent=1)
+    made = '[ {"k": 1},\n' + big + ',\n\n oops {"k": 2}, {"k":\n 3}\n' + ", " + big + ', {"k": 4\n' + "\n" * 30_000 + "5"
+    (tmp_path / "a.txt").write_text(made)
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        assert object_lines(spark.read.text(str(tmp_path))).select("_object_split").distinct().count() > 10
+        assert cut(spark, tmp_path) == texts(made)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+
+
+def test_bytes_that_are_no_text_do_not_end_the_job(spark, tmp_path):
+    (tmp_path / "a.json").write_bytes(b'{"a": "\xff\xfe"}\n{"a":\n 1}')
+    assert len(cut_objects(object_lines(spark.read.text(str(tmp_path)))).select("text").collect()) == 2
