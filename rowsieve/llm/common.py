@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
 import functools
 import os
 import tempfile
 import zipfile
-from collections.abc import Iterator
+from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -19,7 +19,7 @@ from pyspark.sql.types import IntegralType
 import rowsieve
 from rowsieve.queries.common import scratch
 
-__all__ = ["read", "scratch", "ship", "stored", "discard", "spans", "text_bytes", "maybe_among", "with_ids", "WORK_BYTES"]
+__all__ = ["read", "scratch", "ship", "lean", "stored", "discard", "spans", "text_bytes", "maybe_among", "with_ids", "WORK_BYTES"]
 
 # Texts are taken together until they hold so many bytes; one longer text stands alone.
 WORK_BYTES = 1 << 18
@@ -47,9 +47,21 @@ BATCH_BYTES = 4 << 20
 _BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
+# Python workers live on between tasks. So they give memory back that they have freed,
+# beyond 16 MB of it, rather than keep what their largest task took.
+_WORKERS = {
+    "MALLOC_TRIM_THRESHOLD_": str(16 << 20),
+    "MALLOC_MMAP_THRESHOLD_": str(16 << 20),
+    "MALLOC_ARENA_MAX": "2",
+    "ARROW_DEFAULT_MEMORY_POOL": "system",
+}
+
+
 def ship(spark: SparkSession) -> None:
     """Have Spark send this package's code to the workers, which may not have it, and
-    bound the batches they get; a bound that the session has set stays."""
+    bound the batches they get and the memory they keep; what the session has set stays."""
+    for name, value in _WORKERS.items():
+        spark.sparkContext.environment.setdefault(name, value)
     if spark.conf.get(_BATCH_BYTES, None) is None:
         spark.conf.set(_BATCH_BYTES, str(BATCH_BYTES))
     path = _package()
@@ -57,6 +69,22 @@ def ship(spark: SparkSession) -> None:
         spark.sparkContext.addPyFile(path)
 
 
+def lean(run: Callable, *forget: Callable[[], None]) -> Callable:
+    """``run`` for ``mapInArrow``, at whose end the worker calls ``forget`` and gives back
+    the memory it has freed: it lives on, and others of its executor need some as well."""
+
+    def leaving(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        for each in forget:
+            each()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+        if trim:
+            trim(0)
+
+    return leaving
+
+
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A table of the given folder; the workers get this package's code as well."""
     ship(spark)
@@ -111,10 +139,10 @@ def maybe_among(rows: DataFrame, keys: DataFrame, *names: str, keep: bool = True
     mask = 32 * len(held) - 1
     sent = rows.sparkSession.sparkContext.broadcast(held)
 
-    @F.pandas_udf("boolean")
-    def among(bits: pd.Series) -> pd.Series:
+    @F.arrow_udf("boolean")
+    def among(bits: pa.Array) -> pa.Array:
         at = bits.to_numpy() & mask
-        return pd.Series((sent.value[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1)
+        return pa.array((sent.value[at >> 5] >> (at & 31).astype(np.uint32)) & 1 == 1)
 
     inside = among(bit)
     return rows.where(inside if keep else ~inside)

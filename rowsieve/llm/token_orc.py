@@ -2,7 +2,8 @@
 
 Layout of a folder:
 
-* ``data/`` – ORC files in ascending ``doc_id`` order, within and between files. Integer
+* ``data/`` – ORC files in ascending ``doc_id`` order, within and between files, with each
+  document's ids and their number, so that offsets are summed without reading ids. Integer
   columns are run-length encoded by the format; row indexes hold the range of ``doc_id``
   for every ``row_stride`` rows, and a Bloom filter on it lets a lookup skip the others.
 * ``offsets/`` – one row a file: its number, its ids and the ids of all files before it.
@@ -14,6 +15,7 @@ in that file, so nothing is encoded twice and only texts are shuffled, not ids.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -22,10 +24,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from rowsieve.llm.common import spans
-from rowsieve.llm.tokens import crc32, token_ids
+from rowsieve.llm.common import lean, spans
+from rowsieve.llm.tokens import crc32, forget, token_ids
 
-SCHEMA = "part int, doc_id long, place long, ids array<int>"
+SCHEMA = "part int, doc_id long, place long, n_ids long, ids array<int>"
 OFFSETS = "part int, first_doc long, last_doc long, documents long, n_ids long, base long"
 
 
@@ -63,13 +65,19 @@ def write_tokens(
                     pa.array(np.concatenate(found).astype(np.int32)),
                 )
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([part] * len(found), pa.int32()), doc_ids.slice(lo, hi - lo), pa.array(place + starts), lists],
-                    names=["part", "doc_id", "place", "ids"],
+                    [
+                        pa.array([part] * len(found), pa.int32()),
+                        doc_ids.slice(lo, hi - lo),
+                        pa.array(place + starts),
+                        pa.array(ends - starts),
+                        lists,
+                    ],
+                    names=["part", "doc_id", "place", "n_ids", "ids"],
                 )
                 place += int(ends[-1])
 
     (
-        rows.mapInArrow(encode, SCHEMA)
+        rows.mapInArrow(lean(encode, partial(forget, tokenizer)), SCHEMA)
         .write.mode("overwrite")
         .option("compression", "zstd")
         .option("orc.stripe.size", stripe_bytes)
@@ -88,7 +96,7 @@ def _write_offsets(spark: SparkSession, path: str) -> None:
         F.min("doc_id").alias("first_doc"),
         F.max("doc_id").alias("last_doc"),
         F.count("*").alias("documents"),
-        F.sum(F.size("ids").cast("long")).alias("n_ids"),
+        F.sum("n_ids").alias("n_ids"),
     )
     # One row a file, so this window is small however many documents there are.
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
@@ -98,7 +106,7 @@ def _write_offsets(spark: SparkSession, path: str) -> None:
 
 def read_tokens(spark: SparkSession, path: str) -> DataFrame:
     """``doc_id, start, ids`` of all documents, a task for each run of stripes."""
-    data = spark.read.schema(SCHEMA).orc(f"{path}/data")
+    data = spark.read.schema(SCHEMA).orc(f"{path}/data").drop("n_ids")
     offsets = spark.read.schema(OFFSETS).parquet(f"{path}/offsets").select("part", "base")
     rows = data.join(offsets, "part")
     return rows.select("doc_id", (F.col("base") + F.col("place")).alias("start"), "ids")

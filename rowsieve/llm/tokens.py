@@ -16,7 +16,7 @@ import json
 import re
 import struct
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -26,16 +26,15 @@ from rowsieve.llm.common import text_bytes
 
 # Pieces that a worker keeps, about 200 bytes each: the newest half and, of those before
 # them, the last half. What is met again moves to the newest.
-KEPT_PIECES = 800_000
+KEPT_PIECES = 400_000
 
 # Bytes of a text that are split into pieces at once.
-PART_BYTES = 4 << 20
+PART_BYTES = 1 << 20
 
 # Letters that are composed and change case alike in every Unicode version,
 # and signs that begin neither a contraction nor a special token.
 _ASCII_LETTERS = "abcdefghijklmnopqrstuvwxyz"
 _LATIN_LETTERS = "àáâãäåæçèéêëìíîïðñòóôõöøùúûüýþÿß"
-_LATIN_CAPITALS = "ÀÁÂÃÄÅÆÇÈÉÊËÌÍÎÏÐÑÒÓÔÕÖØÙÚÛÜÝÞ"
 _SIGNS = "!\"#$%&()*+,-./:;=>?@[\\]^_`{|}~"
 # What the tokenizer must do before its model, for the short way to be the same.
 _STEPS = {
@@ -43,7 +42,7 @@ _STEPS = {
     "pre_tokenizer": ["Split", "ByteLevel"],
 }
 _LETTERS = _ASCII_LETTERS + _LATIN_LETTERS
-_PLAIN = re.compile(f"[{_LETTERS}{_ASCII_LETTERS.upper()}{_LATIN_CAPITALS}0-9{re.escape(_SIGNS)}]+")
+_SIGN_BYTES = _SIGNS.encode()
 _RUNS = re.compile(f"[{_LETTERS}]+|[0-9]|[{re.escape(_SIGNS)}]+")
 _SPACE = re.compile(rb"[ \t\n\r\f\v]")
 
@@ -59,9 +58,25 @@ def _packed(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}I", *ids)
 
 
+class _Pieces(dict):
+    """Ids of pieces, learned when first asked for."""
+
+    def __init__(self, learn: Callable[[bytes], bytes], before: dict[bytes, bytes]):
+        self.learn = learn
+        self.before = before
+
+    def __missing__(self, piece: bytes) -> bytes:
+        found = self.before.get(piece)
+        if found is None:
+            found = self.learn(piece)
+        self[piece] = found
+        return found
+
+
 class WordEncoder:
     def __init__(self, path: str):
         self.whole = Tokenizer.from_file(path)
+        self.model = self.whole.model
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         parts = {
@@ -70,24 +85,32 @@ class WordEncoder:
         }
         self.by_word = parts == _STEPS
         self.stand_in = {ord(c): "".join(_byte_letters()[b] for b in c.encode()) for c in _LATIN_LETTERS}
-        self.pieces: dict[bytes, bytes] = {}
-        self.before: dict[bytes, bytes] = {}
-
-    def _run(self, run: str) -> bytes:
-        key = run.encode()
-        found = self.pieces.get(key)
-        if found is None:
-            word = run if run.isascii() else run.translate(self.stand_in)
-            found = self.pieces[key] = _packed([t.id for t in self.whole.model.tokenize(word)])
-        return found
-
-    def _learn(self, pieces: set[bytes]) -> None:
-        for piece in pieces:
+        self.pieces = _Pieces(self._learn, {})
+
+    @property
+    def before(self) -> dict[bytes, bytes]:
+        return self.pieces.before
+
+    def _learn(self, piece: bytes) -> bytes:
+        """Ids of a new piece: by its runs, which are kept as well, or by the tokenizer."""
+        core = piece.rstrip(_SIGN_BYTES)
+        if core.isalpha():
+            low = core.lower()
+            if core is not piece:
+                return self.pieces[low] + self.pieces[piece[len(core) :]]
+            if low != piece:
+                return self.pieces[low]
             word = piece.decode()
-            if _PLAIN.fullmatch(word):
-                self.pieces[piece] = b"".join(map(self._run, _RUNS.findall(word.lower())))
-            else:
-                self.pieces[piece] = _packed(self.whole.encode(word, add_special_tokens=False).ids)
+        else:
+            low = piece.decode().lower()
+            runs = _RUNS.findall(low)
+            if sum(map(len, runs)) != len(low):
+                return _packed(self.whole.encode(piece.decode(), add_special_tokens=False).ids)
+            keys = [run.encode() for run in runs]
+            if keys != [piece]:
+                return b"".join([self.pieces[key] for key in keys])
+            word = low if low.isascii() else low.translate(self.stand_in)
+        return _packed([t.id for t in self.model.tokenize(word)])
 
     def encode(self, texts: list[bytes]) -> Iterator[np.ndarray]:
         """Ids of each UTF-8 text."""
@@ -99,15 +122,10 @@ class WordEncoder:
         for text in texts:
             ids = []
             for part in _parts(text):
-                split = part.split()
-                new = set(split).difference(self.pieces)
-                if len(self.pieces) + len(new) > KEPT_PIECES // 2:
-                    self.before, self.pieces = self.pieces, {}
-                    new = set(split)
-                again = {piece: self.before[piece] for piece in new if piece in self.before}
-                self.pieces.update(again)
-                self._learn(new.difference(again))
-                ids.append(b"".join(map(self.pieces.__getitem__, split)))
+                if len(self.pieces) > KEPT_PIECES // 2:
+                    self.pieces.before = {}
+                    self.pieces = _Pieces(self._learn, self.pieces)
+                ids.append(b"".join(map(self.pieces.__getitem__, part.split())))
             yield np.frombuffer(b"".join(ids), dtype="<u4")
 
 
@@ -125,6 +143,11 @@ def encoder(path: str) -> WordEncoder:
     return WordEncoder(path)
 
 
+def forget(path: str) -> None:
+    """Drop the pieces kept; the tokenizer stays."""
+    encoder(path).pieces = _Pieces(encoder(path)._learn, {})
+
+
 def token_ids(column: pa.Array, path: str, end_id: int) -> Iterator[np.ndarray]:
     """Ids of each text of a column and the end id; null counts as empty."""
     end = np.array([end_id], dtype="<u4")

@@ -2,7 +2,7 @@ import numpy as np
 from tokenizers import Tokenizer
 
 from rowsieve.llm.common import scratch
-from rowsieve.llm.token_orc import checksums, lookup_tokens, read_tokens, write_tokens
+from rowsieve.llm.token_orc import OFFSETS, SCHEMA, checksums, lookup_tokens, read_tokens, write_tokens
 from rowsieve.llm.tokens import crc32
 from tests.llm.texts import awkward, frame
 
@@ -38,3 +38,12 @@ def test_empty_table(spark, tokenizer):
     folder = scratch(spark, "test")
     write_tokens(frame(spark, awkward()).limit(0), folder, tokenizer)
     assert read_tokens(spark, folder).count() == 0
+
+
+def test_offsets_are_summed_without_reading_ids(spark, tokenizer):
+    folder = scratch(spark, "test")
+    write_tokens(frame(spark, awkward()).repartition(3), folder, tokenizer)
+    data = spark.read.schema(SCHEMA).orc(f"{folder}/data")
+    assert data.where("n_ids <> size(ids) OR n_ids IS NULL").count() == 0
+    n_ids = spark.read.schema(OFFSETS).parquet(f"{folder}/offsets").selectExpr("sum(n_ids)").first()[0]
+    assert n_ids == data.selectExpr("sum(size(ids))").first()[0]

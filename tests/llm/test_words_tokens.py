@@ -98,3 +98,13 @@ def test_few_pieces_are_kept(tokenizer, monkeypatch):
     for k in range(40):
         list(encoder.encode([" ".join(f"w{k}x{i} the" for i in range(30)).encode()]))
         assert len(encoder.pieces) + len(encoder.before) <= 300 and b"the" in encoder.pieces
+
+
+def test_the_model_sees_each_run_once(tokenizer):
+    encoder = WordEncoder(tokenizer)
+    seen = []
+    encoder.model = type("Model", (), {"tokenize": lambda _, run: seen.append(run) or encoder.whole.model.tokenize(run)})()
+    text = "Seen seen SEEN, seen. (seen) seen99 again école École! " * 3
+    (ids,) = encoder.encode([text.encode()])
+    assert ids.tolist() == encoder.whole.encode(text, add_special_tokens=False).ids
+    assert len(seen) == len(set(seen)) and "seen" in seen
