@@ -25,6 +25,7 @@ from __future__ import annotations
 import bisect
 import math
 from collections.abc import Iterable, Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -32,8 +33,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowsieve.llm.common import scratch, spans, stored
-from rowsieve.llm.tokens import crc32, token_ids
+from rowsieve.llm.common import lean, scratch, spans, stored
+from rowsieve.llm.tokens import crc32, forget, token_ids
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 # Below this share of placed pieces a round is followed by opening sequences.
@@ -80,7 +81,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, end_id: int = 0, capacity: int
     types = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()]
     names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return rows.mapInArrow(cut, PIECES + ", ids array<int>" * with_ids)
+    return rows.mapInArrow(lean(cut, partial(forget, tokenizer)), PIECES + ", ids array<int>" * with_ids)
 
 
 def pack(pieces: DataFrame, capacity: int = 2048, last_step: int = LAST_STEP) -> DataFrame:

@@ -37,15 +37,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowsieve.llm.common import spans, text_bytes
-from rowsieve.llm.words import Words, mix, powers
+from rowsieve.llm.common import lean, spans, text_bytes
+from rowsieve.llm.words import Words, forget_powers, mix, powers
 
 SHARE = 0.1
 RECALL = 0.99
 BLOCK_WORDS = 1_000_000
 SAMPLES = 3
 # Texts are taken together up to so many bytes: each slice walks all classes anew.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
 _TRIALS = 300
 _BASE = 0xC2B2AE3D27D4EB4F
 _INVERSE = pow(_BASE, -1, 1 << 64)
@@ -275,7 +275,7 @@ def contamination(docs: DataFrame, items: DataFrame, share: float = SHARE, recal
     """``doc_id, item_id, edits, start_word`` of each document and item found in it."""
     out = None
     for index in item_blocks(items, share, recall):
-        found = docs.select("doc_id", "text").mapInArrow(_finder(index), "doc_id long, item_id long, edits int, start_word int")
+        found = docs.select("doc_id", "text").mapInArrow(lean(_finder(index), forget_powers), "doc_id long, item_id long, edits int, start_word int")
         out = found if out is None else out.union(found)
     if out is None:
         spark = docs.sparkSession
@@ -308,7 +308,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, share: float = SHARE, recal
     """The rows of ``docs`` whose text no item contaminates, unchanged."""
     schema = T.StructType(docs.schema.fields)
     for index in item_blocks(items, share, recall):
-        docs = docs.mapInArrow(_keeper(index), schema)
+        docs = docs.mapInArrow(lean(_keeper(index), forget_powers), schema)
     return docs
 
 

@@ -48,7 +48,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowsieve.llm.common import discard, maybe_among, spans, stored, text_bytes, with_ids
+from rowsieve.llm.common import discard, lean, maybe_among, spans, stored, text_bytes, with_ids
 from rowsieve.llm.components import components
 from rowsieve.llm.words import mix, shingle_sets
 
@@ -121,7 +121,7 @@ def heads(docs: DataFrame, rule: Rule, late: np.ndarray | None = None, whole: bo
                 )
 
     rows = docs.select(F.col("doc_id").cast("long"), "text")
-    return rows.mapInArrow(run, "doc_id long, n_shingles long, key_a long, key_b long, head array<long>")
+    return rows.mapInArrow(lean(run), "doc_id long, n_shingles long, key_a long, key_b long, head array<long>")
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.Array:
@@ -289,7 +289,7 @@ def _often_enough(pairs: DataFrame, chosen: DataFrame, rule: Rule) -> DataFrame:
                 keep[k] = common >= rule.least_merged(int(n_a[k]), int(n_b[k]))
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
-    return rows.mapInArrow(run, "a long, b long")
+    return rows.mapInArrow(lean(run), "a long, b long")
 
 
 def _mixed(lists: DataFrame, groups: DataFrame) -> DataFrame:
@@ -314,9 +314,9 @@ def _other_links(docs: DataFrame, lists: DataFrame, rule: Rule) -> DataFrame:
     )
     rows = rows.select("shingle", F.struct("rep", "n", "grp", own.alias("block")).alias("doc"), F.explode(meets).alias("pair"))
     held = rows.groupBy("shingle", "pair.low", "pair.high").agg(F.sort_array(F.collect_list("doc")).alias("docs"))
-    partners = held.select((F.col("low") == F.col("high")).alias("same"), "docs").mapInArrow(_partners(rule), _PARTNERS)
+    partners = held.select((F.col("low") == F.col("high")).alias("same"), "docs").mapInArrow(lean(_partners(rule)), _PARTNERS)
     found = partners.groupBy("a", "n_a").agg(F.collect_list("others").alias("lists"), F.collect_list("sizes").alias("sizes"))
-    pairs = found.mapInArrow(_merger(rule), "a long, b long")
+    pairs = found.mapInArrow(lean(_merger(rule)), "a long, b long")
     return verified(docs, pairs, rule)
 
 
@@ -407,6 +407,6 @@ def verified(docs: DataFrame, pairs: DataFrame, rule: Rule) -> DataFrame:
                 [batch.column("a").filter(pa.array(keep)), batch.column("b").filter(pa.array(keep))], names=["a", "b"]
             )
 
-    found = stored(rows.select("a", "b", "text_a", "text_b").mapInArrow(probe, "a long, b long"), "links")
+    found = stored(rows.select("a", "b", "text_a", "text_b").mapInArrow(lean(probe), "a long, b long"), "links")
     discard(pairs, first, second)
     return found

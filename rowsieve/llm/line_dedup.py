@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rowsieve.llm.common import maybe_among, spans, stored, text_bytes, with_ids
+from rowsieve.llm.common import lean, maybe_among, spans, stored, text_bytes, with_ids
 from rowsieve.llm.words import Words, mix, powers
 
 LEAST_WORDS = 10
@@ -98,7 +98,7 @@ def line_keys(docs: DataFrame, least_words: int, exact_words: int) -> DataFrame:
                 columns.append(pa.ListArray.from_arrays(ends, pa.array(halves)))
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "tie", "line", "n", "key_a", "key_b", "halves"])
 
-    return docs.mapInArrow(run, "doc_id long, tie long, line int, n int, key_a long, key_b long, halves array<long>")
+    return docs.mapInArrow(lean(run), "doc_id long, tie long, line int, n int, key_a long, key_b long, halves array<long>")
 
 
 def line_variants(docs: DataFrame) -> DataFrame:
@@ -139,7 +139,7 @@ def line_variants(docs: DataFrame) -> DataFrame:
 
     names = ["doc_id", "tie", "line", "n", "places", "variants", "words"]
     types = [pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int32()), pa.list_(pa.int64()), pa.string()]
-    return docs.mapInArrow(run, "doc_id long, tie long, line int, n int, places array<int>, variants array<long>, words string")
+    return docs.mapInArrow(lean(run), "doc_id long, tie long, line int, n int, places array<int>, variants array<long>, words string")
 
 
 def _halves_by_line(lines: list[dict]) -> dict[int, set[int]]:
@@ -250,7 +250,7 @@ def _verified(rows: DataFrame) -> DataFrame:
             ]
             yield batch.select(_PLACE).filter(pa.array(good, pa.bool_()))
 
-    return rows.mapInArrow(run, "doc_id long, tie long, line int")
+    return rows.mapInArrow(lean(run), "doc_id long, tie long, line int")
 
 
 def dedup_lines(docs: DataFrame, least_words: int = LEAST_WORDS, exact_words: int | None = None) -> DataFrame:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rowsieve.llm.common import spans, text_bytes
+from rowsieve.llm.common import lean, spans, text_bytes
 from rowsieve.llm.words import Words, mix
 
 PASSAGE_WORDS = 64
@@ -284,4 +284,4 @@ def score(docs: DataFrame, model: Model | None) -> DataFrame:
                     [*part.columns, pa.array(scores)], names=[*part.schema.names, "score"]
                 )
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(lean(run), schema)

@@ -43,6 +43,10 @@ def powers(base: int, count: int) -> np.ndarray:
     return have[:count]
 
 
+def forget_powers() -> None:
+    _powers.clear()
+
+
 def mix(values: np.ndarray) -> np.ndarray:
     """A fixed scrambling of 64-bit values, one to one."""
     x = values.astype(np.uint64, copy=True)
