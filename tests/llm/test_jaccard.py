@@ -1,4 +1,7 @@
 import random
+import subprocess
+import sys
+from pathlib import Path
 
 import pytest
 
@@ -7,6 +10,9 @@ from tests.llm.test_words_tokens import plain_words
 from tests.llm.texts import awkward, frame, prose
 
 
+ROOT = Path(__file__).parents[2]
+
+
 def brute(rows, rule):
     sets = []
     for _, text in rows:
@@ -94,3 +100,8 @@ def test_rule_bounds():
         assert rule.pair_overlap(n) == next(t for t in range(n + 1) if 185 * t >= 85 * n)
     with pytest.raises(ValueError):
         j.Rule(0, 1, 2)
+
+
+def test_workers_of_the_join_need_no_pandas():
+    code = "import sys, rowsieve.llm.divide_skip, rowsieve.llm.line_dedup; print('pandas' in sys.modules)"
+    assert subprocess.run([sys.executable, "-c", code], capture_output=True, text=True, check=True, cwd=ROOT).stdout.strip() == "False"
